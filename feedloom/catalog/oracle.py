@@ -131,7 +131,7 @@ TABLES = {
         SELECT line_no, uid, arm, json_extract(body, '$.documents[*]') AS docs
         FROM feed_dump WHERE json_valid(body)""",
     "items": """
-        SELECT line_no, item_no, uid, arm, json_extract_string(d, '$.docid') AS docid,
+        SELECT line_no, CAST(item_no AS INT) AS item_no, uid, arm, json_extract_string(d, '$.docid') AS docid,
                CAST(json_extract(d, '$.pos') AS BIGINT) AS pos,
                coalesce(json_extract_string(d, '$.contextMeta.condition') LIKE 'local%', false) AS is_local,
                coalesce(json_extract_string(d, '$.contextMeta.condition'), 'null') AS condition

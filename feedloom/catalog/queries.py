@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
+from feedloom.staging import stage
 from feedloom.sources.testdata import (
     ALL_DAYS,
     AS_OF,
@@ -243,6 +244,14 @@ def labeled(t: FeedTables) -> DataFrame:
     return review.review_labeled(t.crawl_rows, t.reviews, gate(t))
 
 
+def daily(t: FeedTables) -> DataFrame:
+    return review.review_daily(labeled(t))
+
+
+def written_daily(t: FeedTables) -> DataFrame:
+    return stage(daily(t), "review-daily")
+
+
 def payload(t: FeedTables) -> DataFrame:
     rows = review.review_payload(
         t.display_doc,
@@ -258,7 +267,7 @@ def payload(t: FeedTables) -> DataFrame:
 
 
 def review_points(t: FeedTables) -> DataFrame:
-    rows = labeled(t)
+    rows = written_daily(t)
     points = _union([review.review_metric_points(rows, days) for days in (1, 7)])
     return points.select("metric", "ts", "value", F.col("tags")["client"].alias("client"))
 
@@ -278,14 +287,14 @@ _register("review_gate", gate)
 _register("review_labeled", labeled)
 _register("editor_weighted", lambda t: review.editor_weighted(lookup(t)))
 _register("editor_unique", lambda t: review.editor_unique(lookup(t)))
-_register("review_summary", lambda t: review.review_summary(labeled(t)))
-_register("review_status", lambda t: review.review_status(labeled(t)))
-_register("review_status_reason", lambda t: review.review_status_reason(labeled(t)))
-_register("review_unique_status", lambda t: review.review_unique_status(labeled(t)))
-_register("review_7d", lambda t: review.review_summary(labeled(t), 7))
-_register("review_7d_status", lambda t: review.review_status(labeled(t), 7))
-_register("review_7d_status_reason", lambda t: review.review_status_reason(labeled(t), 7))
-_register("review_7d_unique_status", lambda t: review.review_unique_status(labeled(t), 7))
+_register("review_summary", lambda t: review.review_summary(daily(t)))
+_register("review_status", lambda t: review.review_status(daily(t)))
+_register("review_status_reason", lambda t: review.review_status_reason(daily(t)))
+_register("review_unique_status", lambda t: review.review_unique_status(daily(t)))
+_register("review_7d", lambda t: review.review_summary(written_daily(t), 7))
+_register("review_7d_status", lambda t: review.review_status(written_daily(t), 7))
+_register("review_7d_status_reason", lambda t: review.review_status_reason(written_daily(t), 7))
+_register("review_7d_unique_status", lambda t: review.review_unique_status(written_daily(t), 7))
 _register("review_metric_points", review_points)
 
 # ------------------------------------------------------- history, index sync

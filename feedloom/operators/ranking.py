@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from feedloom.staging import stage
 
+_LIMIT_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 _SLICE = "_slice"
 _SIZE = "_slice_rows"
 _BEFORE = "_rows_before"
@@ -28,7 +29,14 @@ def top_k(
     k: int,
     rank: str = "rk",
 ) -> DataFrame:
-    """First ``k`` rows per key, numbered from 1."""
+    """First ``k`` rows per key, numbered from 1.
+
+    Spark cuts each key to k rows before the shuffle as long as k is within
+    its window-limit threshold; a longer list is numbered slice by slice.
+    """
+    if k > int(df.sparkSession.conf.get(_LIMIT_THRESHOLD, "1000")):
+        ranked = spread_rank(df, keys, order, rank, label="top-k")
+        return ranked.where(F.col(rank) <= k).withColumn(rank, F.col(rank).cast("int"))
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
@@ -84,12 +92,20 @@ def ordered_cap(
 ) -> DataFrame:
     """First ``limit`` rows of the whole frame in ``order``, sorted.
 
-    Slices past the cap are skipped without being read row by row, so only the
-    slice on the boundary is cut by rank. ``order`` must be total.
+    The frame is written once; its row count, read from the file footers, tells
+    whether the cap binds at all. If so, slices past the cap are skipped and
+    only the slice on the boundary is cut by rank. ``order`` must be total.
     """
     if limit is None:
         return df.orderBy(*order)
-    slices = _ordered_slices(df, order, label)
+    table = stage(df, label)
+    if table.count() > limit:
+        table = _first_rows(table, order, limit, label)
+    return table.orderBy(*order)
+
+
+def _first_rows(df: DataFrame, order: Sequence[Column], limit: int, label: str) -> DataFrame:
+    slices = _ordered_slices(df, order, f"{label}-slices")
     offsets = _slice_offsets(slices, []).where(F.col(_BEFORE) < limit)
     placed = _join_offsets(slices, offsets, [])
     window = Window.partitionBy(_SLICE).orderBy(*order)
@@ -97,5 +113,4 @@ def ordered_cap(
         placed.withColumn("_row", F.row_number().over(window) + F.col(_BEFORE))
         .where(F.col("_row") <= limit)
         .drop("_row", _SLICE, _BEFORE)
-        .orderBy(*order)
     )

@@ -256,38 +256,47 @@ def editor_unique(lookup: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- analysis
 
 
-def _usable() -> Column:
-    return (F.col("status") != NOT_REVIEWED) & (F.trim("reason") != "")
+def review_daily(labeled: DataFrame) -> DataFrame:
+    """Rows and first line per run, document, status and reason.
 
-
-def _run_days(labeled: DataFrame) -> DataFrame:
-    return labeled.select(*RUN).distinct()
+    All reports are built on this table. Repeats of a document fold here, so
+    the 7-day windows multiply documents, not lines. Reports over several days
+    read it more than once: ``staging.stage`` it first.
+    """
+    usable = (F.col("status") != NOT_REVIEWED) & (F.trim("reason") != "")
+    return labeled.groupBy(*RUN, "docid", "status", "reason").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.min("line_no").alias("first_line"),
+    ).withColumn("usable", usable)
 
 
-def _trailing(daily: DataFrame, run_days: DataFrame, day_range: int) -> DataFrame:
-    """Repeat a daily aggregate under each run day whose window covers it.
+def _trailing(counts: DataFrame, daily: DataFrame, day_range: int) -> DataFrame:
+    """Repeat daily counts under each run day whose window covers them.
 
     Adds ``seen_day``; days without a run report nothing, days missing inside a
     window simply add nothing.
     """
-    seen = daily.withColumnRenamed("day", "seen_day")
+    seen = counts.withColumnRenamed("day", "seen_day")
     if day_range == 1:
         return seen.withColumn("day", F.col("seen_day"))
     shifts = F.sequence(F.lit(0), F.lit(day_range - 1))
-    return seen.select("*", F.explode(shifts).alias("shift")).select(
-        *seen.columns, F.date_add("seen_day", F.col("shift")).alias("day")
-    ).join(run_days, list(RUN), "left_semi")
+    run_days = daily.select(*RUN).distinct()
+    return (
+        seen.select("*", F.explode(shifts).alias("shift"))
+        .select(*seen.columns, F.date_add("seen_day", F.col("shift")).alias("day"))
+        .join(run_days, list(RUN), "left_semi")
+    )
 
 
-def review_summary(labeled: DataFrame, day_range: int = 1) -> DataFrame:
+def review_summary(daily: DataFrame, day_range: int = 1) -> DataFrame:
     """Per run day: total, usable and wrong rows, distinct documents, success rate."""
-    usable = _usable()
-    per_doc = labeled.groupBy(*RUN, "docid").agg(
-        F.count_if(usable).alias("succ"), F.count_if(~usable).alias("wrong")
+    per_doc = daily.groupBy(*RUN, "docid").agg(
+        F.sum(F.when(F.col("usable"), F.col("cnt")).otherwise(0)).alias("succ"),
+        F.sum(F.when(F.col("usable"), 0).otherwise(F.col("cnt"))).alias("wrong"),
     )
-    windowed = _trailing(per_doc, _run_days(labeled), day_range)
     totals = (
-        windowed.groupBy(*RUN, "docid")
+        _trailing(per_doc, daily, day_range)
+        .groupBy(*RUN, "docid")
         .agg(F.sum("succ").alias("succ"), F.sum("wrong").alias("wrong"))
         .groupBy(*RUN)
         .agg(
@@ -306,44 +315,36 @@ def _shares(counts: DataFrame, whole: Sequence[str]) -> DataFrame:
     return counts.withColumn("rate", F.try_divide(F.col("cnt").cast("double"), total.cast("double")))
 
 
-def review_status(labeled: DataFrame, day_range: int = 1) -> DataFrame:
-    """Per run day and status: rows and their share of the usable rows."""
-    daily = labeled.where(_usable()).groupBy(*RUN, "status").agg(F.count(F.lit(1)).alias("cnt"))
-    counts = (
-        _trailing(daily, _run_days(labeled), day_range)
-        .groupBy(*RUN, "status")
-        .agg(F.sum("cnt").alias("cnt"))
+def _counts(daily: DataFrame, keys: Sequence[str], day_range: int) -> DataFrame:
+    per_day = daily.where("usable").groupBy(*RUN, *keys).agg(F.sum("cnt").alias("cnt"))
+    return (
+        _trailing(per_day, daily, day_range).groupBy(*RUN, *keys).agg(F.sum("cnt").alias("cnt"))
     )
-    return _shares(counts, RUN)
 
 
-def review_status_reason(labeled: DataFrame, day_range: int = 1) -> DataFrame:
+def review_status(daily: DataFrame, day_range: int = 1) -> DataFrame:
+    """Per run day and status: rows and their share of the usable rows."""
+    return _shares(_counts(daily, ["status"], day_range), RUN)
+
+
+def review_status_reason(daily: DataFrame, day_range: int = 1) -> DataFrame:
     """Per run day, status and reason: rows and their share of the status."""
-    daily = (
-        labeled.where(_usable())
-        .groupBy(*RUN, "status", "reason")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    counts = (
-        _trailing(daily, _run_days(labeled), day_range)
-        .groupBy(*RUN, "status", "reason")
-        .agg(F.sum("cnt").alias("cnt"))
-    )
+    counts = _counts(daily, ["status", "reason"], day_range)
     return _shares(counts, [*RUN, "status"]).orderBy(*RUN, "status", F.desc("cnt"), "reason")
 
 
-def review_unique_status(labeled: DataFrame, day_range: int = 1) -> DataFrame:
+def review_unique_status(daily: DataFrame, day_range: int = 1) -> DataFrame:
     """Per run day and status: documents by the status seen first.
 
     The newest day is read first, and within a day the first line.
     """
-    daily = (
-        labeled.where(_usable())
+    per_doc = (
+        daily.where("usable")
         .groupBy(*RUN, "docid")
-        .agg(F.min_by("status", "line_no").alias("status"))
+        .agg(F.min_by("status", "first_line").alias("status"))
     )
     counts = (
-        _trailing(daily, _run_days(labeled), day_range)
+        _trailing(per_doc, daily, day_range)
         .groupBy(*RUN, "docid")
         .agg(F.max_by("status", "seen_day").alias("status"))
         .groupBy(*RUN, "status")
@@ -352,18 +353,18 @@ def review_unique_status(labeled: DataFrame, day_range: int = 1) -> DataFrame:
     return _shares(counts, RUN)
 
 
-def review_metric_points(labeled: DataFrame, day_range: int = 1, client: str = "batch") -> DataFrame:
+def review_metric_points(daily: DataFrame, day_range: int = 1, client: str = "batch") -> DataFrame:
     """(metric, ts, value, tags) of one window length.
 
     Statuses outside the three known ones are counted but not reported.
     """
     window = F.lit("" if day_range <= 1 else f"{day_range}d_")
 
-    def named(rows: DataFrame, what: Column, value: Column) -> DataFrame:
+    def named(rows: DataFrame, what: Column) -> DataFrame:
         return rows.select(
             F.concat(F.lit(METRIC_PREFIX), window, "arm", what).alias("metric"),
             day_epoch(F.col("day")).alias("ts"),
-            value.cast("double").alias("value"),
+            F.col("point").alias("value"),
         )
 
     summary = {
@@ -373,20 +374,22 @@ def review_metric_points(labeled: DataFrame, day_range: int = 1, client: str = "
         "uniq_doc_cnt": "_count_succ_uniq_doc",
         "succ_rate": "_rate_succ",
     }
-    totals = review_summary(labeled, day_range).select(
+    totals = review_summary(daily, day_range).select(
         *RUN, *[F.col(c).cast("double").alias(suffix) for c, suffix in summary.items()]
     )
     points = named(
-        totals.unpivot(list(RUN), list(summary.values()), "what", "point"),
-        F.col("what"),
-        F.col("point"),
+        totals.unpivot(list(RUN), list(summary.values()), "what", "point"), F.col("what")
     )
-    by_status = {"status_": review_status(labeled, day_range), "uniqdoc_status_": review_unique_status(labeled, day_range)}
+    by_status = {
+        "status_": review_status(daily, day_range),
+        "uniqdoc_status_": review_unique_status(daily, day_range),
+    }
     for infix, rows in by_status.items():
         known = rows.where(F.col("status").isin(*STATUSES)).select(
             *RUN, "status", F.col("cnt").cast("double").alias("count"), "rate"
         )
         long = known.unpivot([*RUN, "status"], ["count", "rate"], "kind", "point")
-        what = F.concat(F.lit("_"), "kind", F.lit("_" + infix), "status")
-        points = points.unionByName(named(long, what, F.col("point")))
+        points = points.unionByName(
+            named(long, F.concat(F.lit("_"), "kind", F.lit("_" + infix), "status"))
+        )
     return points.withColumn("tags", F.create_map(F.lit("client"), F.lit(client)))
