@@ -241,7 +241,9 @@ def gate(t: FeedTables) -> DataFrame:
 
 
 def labeled(t: FeedTables) -> DataFrame:
-    return review.review_labeled(t.crawl_rows, t.reviews, gate(t))
+    # Written first, the gate has a known size: one row per crawl file.
+    written_gate = stage(gate(t), "review-gate")
+    return review.review_labeled(t.crawl_rows, t.reviews, written_gate)
 
 
 def daily(t: FeedTables) -> DataFrame:

@@ -63,19 +63,17 @@ def doc_facets(
     )
 
 
-def list_keys(doc_dim: DataFrame, dimension: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(list_key, doc_id, ...) with list_key = ``category@type@pid``.
+def list_keys(dimension: str) -> Column:
+    """The document's ``category@type@pid`` keys, one per category and geotag.
 
-    Categories and pids that are NULL have no list.
+    Categories and pids that are NULL have no key. The array stays on the
+    document row, so joins and filters see one row per document.
     """
-    tagged = doc_dim.select(
-        "doc_id",
-        *extra,
-        F.explode(categories(dimension)).alias("category"),
-        non_state_geotags().alias("tags"),
+    places = F.transform(non_state_geotags(), type_pid)
+    keys = F.transform(
+        categories(dimension),
+        lambda category: F.transform(
+            places, lambda place: F.concat(category, F.lit("@"), place)
+        ),
     )
-    return tagged.select(
-        "doc_id", *extra, "category", F.explode(F.transform("tags", type_pid)).alias("type_pid")
-    ).select(
-        F.concat("category", F.lit("@"), "type_pid").alias("list_key"), "doc_id", *extra
-    ).where(F.col("list_key").isNotNull())
+    return F.filter(F.flatten(keys), lambda key: key.isNotNull())

@@ -26,13 +26,14 @@ def feed_items(dumps: DataFrame, include_local: bool = False) -> DataFrame:
     A dump that does not parse, or that has a document without id, position or
     context, gives no rows. Local items are left out unless asked for.
     """
-    documents = F.from_json("body", FEED_BODY)["documents"]
+    # inline() parses a body once, however often its fields are used below.
+    parsed_body = F.inline(F.array(F.from_json("body", FEED_BODY)))
     incomplete = F.exists(
         "documents",
         lambda d: d["docid"].isNull() | d["pos"].isNull() | d["contextMeta"].isNull(),
     )
     items = (
-        dumps.select("line_no", "uid", "arm", documents.alias("documents"))
+        dumps.select("line_no", "uid", "arm", parsed_body)
         .where(~incomplete)
         .select("line_no", "uid", "arm", F.posexplode("documents").alias("item_no", "d"))
     )
@@ -56,17 +57,18 @@ def doc_metadata(bodies: DataFrame, run_date: str) -> DataFrame:
     ``ok``: parsed. ``null``: no single record with features, five text nulls.
     ``broken``: the body does not parse or lacks one of the four features.
     """
-    parsed = F.from_json("body", META_BODY, {"columnNameOfCorruptRecord": "_corrupt"})
-    record = F.map_values("meta.data")[0]["static_feature"]
+    parsed = F.from_json(F.coalesce("body", F.lit("{")), META_BODY, {"columnNameOfCorruptRecord": "_corrupt"})
+    record = F.map_values("data")[0]["static_feature"]
     names = ("url", "domain", "stitle", "date")
-    rows = bodies.select("docid", parsed.alias("meta")).select(
-        "docid", "meta", F.when(F.size("meta.data") == 1, record).alias("feature")
+    # An absent body is read as text that does not parse.
+    rows = bodies.select("docid", F.inline(F.array(parsed))).select(
+        "docid", "_corrupt", F.when(F.size("data") == 1, record).alias("feature")
     )
     any_missing = F.lit(False)
     for name in names:
         any_missing = any_missing | F.col(f"feature.{name}").isNull()
     status = (
-        F.when(F.col("meta").isNull() | F.col("meta._corrupt").isNotNull(), "broken")
+        F.when(F.col("_corrupt").isNotNull(), "broken")
         .when(F.col("feature").isNull(), "null")
         .when(any_missing, "broken")
         .otherwise("ok")

@@ -170,17 +170,24 @@ def geo_top_docs(
 ) -> DataFrame:
     """Documents whose ctr is at least the ctr of their ``category@type@pid``.
 
-    The fact is summed per document first: one row per document is all that
-    meets the exploding keys.
+    The fact is summed per document first, so one row per document meets the
+    document's keys, and these fan out only after the join.
     """
     per_doc = (
         local_impressions(interactions, as_of, cjv_days)
         .groupBy("doc_id")
         .agg(F.sum("checked").alias("checks"), F.sum("clicked").alias("clicks"))
     )
-    keys = list_keys(doc_dim.where(within(F.col("pdate"), as_of, doc_days)), dimension)
+    keys = doc_dim.where(within(F.col("pdate"), as_of, doc_days)).select(
+        "doc_id", list_keys(dimension).alias("list_keys")
+    )
     sums = [F.sum("checks").alias("checks"), F.sum("clicks").alias("clicks")]
-    per_key_doc = per_doc.join(keys, "doc_id").groupBy("list_key", "doc_id").agg(*sums)
+    per_key_doc = (
+        per_doc.join(keys, "doc_id")
+        .select("doc_id", "checks", "clicks", F.explode("list_keys").alias("list_key"))
+        .groupBy("list_key", "doc_id")
+        .agg(*sums)
+    )
 
     ctr = rounded_ctr(F.col("clicks"), F.col("checks"))
     docs = per_key_doc.where(F.col("checks") >= min_check).withColumn("ctr", ctr)
@@ -232,7 +239,7 @@ def geo_new_docs(
         & (F.col("publish_time") >= F.lit(since).cast(doc_dim.schema["publish_time"].dataType))
     )
     newest = top_k(
-        list_keys(recent, dimension, extra=("publish_time",)),
+        recent.select("doc_id", "publish_time", F.explode(list_keys(dimension)).alias("list_key")),
         ["list_key"],
         [F.col("publish_time").desc(), F.col("doc_id")],
         max_docs_exclusive - 1,
