@@ -82,24 +82,24 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- geo lists
 
 
+def city_facts(t: FeedTables) -> DataFrame:
+    return geo.city_doc_user(t.interactions, t.zip_geo, AS_OF, cjv_days=ALL_DAYS)
+
+
 def cross_geo(t: FeedTables, dimension: str) -> DataFrame:
+    facts = stage(city_facts(t), "city-doc-user")
     return geo.cross_geo(
-        t.interactions, t.doc_dim, t.zip_geo, dimension, AS_OF,
-        cjv_days=ALL_DAYS, doc_days=DOC_DAYS, min_users=MIN_USERS, min_check=MIN_CHECK,
-    )
+        facts, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_users=MIN_USERS, min_check=MIN_CHECK
+    )
 
 
 def city_category(t: FeedTables) -> DataFrame:
-    return geo.city_category_ctr(
-        t.interactions, t.doc_dim, t.zip_geo, "channel", AS_OF, cjv_days=ALL_DAYS, doc_days=DOC_DAYS
-    )
+    return geo.city_category_ctr(city_facts(t), t.doc_dim, "channel", AS_OF, DOC_DAYS)
 
 
 def top_docs(t: FeedTables, dimension: str) -> DataFrame:
-    return geo.geo_top_docs(
-        t.interactions, t.doc_dim, dimension, AS_OF,
-        cjv_days=ALL_DAYS, doc_days=DOC_DAYS, min_check=MIN_CHECK,
-    )
+    per_doc = geo.doc_impressions(t.interactions, AS_OF, cjv_days=ALL_DAYS)
+    return geo.geo_top_docs(per_doc, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK)
 
 
 def top_docs_kv(t: FeedTables, dimension: str) -> DataFrame:

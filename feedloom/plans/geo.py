@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from feedloom.functions import rounded_ctr, within
 from feedloom.operators.facets import doc_facets, list_keys
 from feedloom.operators.keyed_lists import kv_fold
 from feedloom.operators.ranking import ordered_cap, top_k
+from feedloom.staging import stage
 
 RESULT_CAP = 1_000_000
 FEED_CHANNELS = ("foryou", "local")
@@ -27,12 +30,13 @@ def local_impressions(interactions: DataFrame, as_of: date, cjv_days: int) -> Da
     )
 
 
-def _city_doc_user(
-    interactions: DataFrame, zip_geo: DataFrame, as_of: date, cjv_days: int, zip_days: int
+def city_doc_user(
+    interactions: DataFrame, zip_geo: DataFrame, as_of: date, cjv_days: int = 3, zip_days: int = 2
 ) -> DataFrame:
-    """Sums per (city, doc, user): all that later stages need of the fact.
+    """Sums per (city, doc, user): all the city metrics need of the fact.
 
-    Repeat impressions fold here, before categories and geotags fan out.
+    Repeat impressions fold here, before categories and geotags fan out. Stage
+    it once and every dimension can be computed without the fact.
     """
     zips = zip_geo.where(F.col("pdate") == F.lit(as_of - timedelta(days=zip_days))).select(
         F.col("id").alias("nr_zip"), "city_id"
@@ -41,60 +45,63 @@ def _city_doc_user(
         local_impressions(interactions, as_of, cjv_days)
         .join(zips.where(F.col("city_id").isNotNull()), "nr_zip")
         .groupBy("city_id", "doc_id", "user_id")
-        .agg(F.sum("checked").alias("checks"), F.sum("clicked").alias("clicks"))
+        .agg(*_sum_up("checked", "clicked"))
     )
 
 
-def _metrics() -> list[Column]:
-    return [
-        F.sum("checks").alias("checks"),
-        F.sum("clicks").alias("clicks"),
+def doc_impressions(interactions: DataFrame, as_of: date, cjv_days: int = 3) -> DataFrame:
+    """Sums per document, the only part of the fact the document lists need."""
+    return (
+        local_impressions(interactions, as_of, cjv_days)
+        .groupBy("doc_id")
+        .agg(*_sum_up("checked", "clicked"))
+    )
+
+
+def _sum_up(checks: str = "checks", clicks: str = "clicks") -> list[Column]:
+    return [F.sum(checks).alias("checks"), F.sum(clicks).alias("clicks")]
+
+
+def _metrics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    totals = rows.groupBy(*keys).agg(
+        *_sum_up(),
         F.count_distinct("doc_id").alias("docs"),
         F.count_distinct("user_id").alias("users"),
-    ]
+    )
+    return totals.select(
+        *keys,
+        rounded_ctr(F.col("clicks"), F.col("checks")).alias("ctr"),
+        "checks",
+        "clicks",
+        "docs",
+        "users",
+    )
 
 
 def city_category_ctr(
-    interactions: DataFrame,
+    facts: DataFrame,
     doc_dim: DataFrame,
-    zip_geo: DataFrame,
     dimension: str,
     as_of: date,
-    cjv_days: int = 3,
     doc_days: int = 3,
-    zip_days: int = 2,
     dedupe_docs: bool = False,
 ) -> DataFrame:
-    """Metrics per (city, category); impressions of no category form a NULL group."""
-    facts = _city_doc_user(interactions, zip_geo, as_of, cjv_days, zip_days)
+    """Metrics per (city, category) of ``city_doc_user`` facts.
+
+    Impressions of no category form a NULL group.
+    """
     docs = doc_facets(doc_dim, dimension, as_of, doc_days, dedupe_docs).select(
         "doc_id", F.explode("categories").alias("category")
     )
-    return (
-        facts.join(docs, "doc_id", "left")
-        .groupBy("city_id", "category")
-        .agg(*_metrics())
-        .select(
-            "city_id",
-            "category",
-            rounded_ctr(F.col("clicks"), F.col("checks")).alias("ctr"),
-            "checks",
-            "clicks",
-            "docs",
-            "users",
-        )
-    )
+    return _metrics(facts.join(docs, "doc_id", "left"), ["city_id", "category"])
 
 
 def cross_geo(
-    interactions: DataFrame,
+    facts: DataFrame,
     doc_dim: DataFrame,
-    zip_geo: DataFrame,
     dimension: str,
     as_of: date,
-    cjv_days: int = 3,
     doc_days: int = 3,
-    zip_days: int = 2,
     min_users: int = 1000,
     min_check: int = 100,
     max_rows: int | None = RESULT_CAP,
@@ -106,35 +113,56 @@ def cross_geo(
     the one of (city, category) over *all* documents of the category, tagged or
     not. Both grains come out of one aggregate: every impression counts once
     under the marker row ``overall`` and once per geotag.
+
+    Sums decide the uplift and are cheap; distinct users and documents are
+    counted only for the groups that pass, and for their baselines. ``facts``
+    (``city_doc_user``) is read twice: stage it.
     """
-    facts = _city_doc_user(interactions, zip_geo, as_of, cjv_days, zip_days)
-    overall = F.array(F.struct(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("type_pid")))
+    keys = ["city_id", "category", "overall", "type_pid"]
+    overall = F.array(
+        F.struct(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("type_pid"))
+    )
     per_tag = F.transform(
         "geos", lambda geo: F.struct(F.lit(False).alias("overall"), geo.alias("type_pid"))
     )
     docs = doc_facets(doc_dim, dimension, as_of, doc_days, dedupe_docs)
-    grains = (
-        facts.join(docs, "doc_id")
-        .select("*", F.explode("categories").alias("category"))
-        .where(F.col("category").isNotNull())
-        .select("*", F.explode(F.concat(overall, per_tag)).alias("grain"))
-        .groupBy("city_id", "category", "grain.overall", "grain.type_pid")
-        .agg(*_metrics())
-        .withColumn("ctr", rounded_ctr(F.col("clicks"), F.col("checks")))
-    )
+
+    def fan_out(rows: DataFrame) -> DataFrame:
+        return (
+            rows.join(docs, "doc_id")
+            .select("*", F.explode("categories").alias("category"))
+            .where(F.col("category").isNotNull())
+            .select(*rows.columns, "category", F.inline(F.concat(overall, per_tag)))
+        )
+
     # One (city, category) holds as many rows as it has geotags, however much
-    # traffic it has, so the baseline may ride along in a window.
-    metrics = ("ctr", "checks", "clicks", "docs", "users")
+    # traffic it has, so its baseline may ride along in a window.
     group = Window.partitionBy("city_id", "category")
+    ctr = rounded_ctr(F.col("clicks"), F.col("checks"))
+    base_ctr = F.max(F.when(F.col("overall"), F.col("ctr"))).over(group)
+    passes = ~F.col("overall") & (F.col("checks") >= min_check) & (F.col("ctr") > F.col("base_ctr"))
+    wanted = (
+        fan_out(facts.groupBy("city_id", "doc_id").agg(*_sum_up()))
+        .groupBy(*keys)
+        .agg(*_sum_up())
+        .withColumn("ctr", ctr)
+        .withColumn("base_ctr", base_ctr)
+        .withColumn("passes", passes)
+        .withColumn("any_passes", F.max("passes").over(group))
+        .where(F.col("passes") | (F.col("overall") & F.col("any_passes")))
+        .select(*[F.col(key).alias(f"wanted_{key}") for key in keys])
+    )
+    wanted = stage(wanted, f"cross-geo-{dimension}")
+    same_group = reduce(
+        Column.__and__, [F.col(key).eqNullSafe(F.col(f"wanted_{key}")) for key in keys]
+    )
+    groups = _metrics(fan_out(facts).join(wanted, same_group, "left_semi"), keys)
+
+    metrics = ("ctr", "checks", "clicks", "docs", "users")
     base = F.max(F.when(F.col("overall"), F.struct(*metrics))).over(group)
     uplifted = (
-        grains.withColumn("base", base)
-        .where(
-            ~F.col("overall")
-            & (F.col("base.users") >= min_users)
-            & (F.col("ctr") > F.col("base.ctr"))
-            & (F.col("checks") >= min_check)
-        )
+        groups.withColumn("base", base)
+        .where(~F.col("overall") & (F.col("base.users") >= min_users))
         .select(
             "city_id",
             "category",
@@ -144,7 +172,9 @@ def cross_geo(
         )
     )
     order = [F.col("city_id"), F.col("category"), F.col("ctr").desc(), F.col("type_pid")]
-    return ordered_cap(uplifted, order, max_rows, label=f"cross-geo-{dimension}")
+    if max_rows is not None and wanted.count() <= max_rows:
+        max_rows = None  # fewer groups than the cap: nothing to cut
+    return ordered_cap(uplifted, order, max_rows, label=f"cross-geo-{dimension}-capped")
 
 
 def cross_geo_kv(rows: DataFrame) -> DataFrame:
@@ -159,39 +189,32 @@ def cross_geo_kv(rows: DataFrame) -> DataFrame:
 
 
 def geo_top_docs(
-    interactions: DataFrame,
+    per_doc: DataFrame,
     doc_dim: DataFrame,
     dimension: str,
     as_of: date,
-    cjv_days: int = 3,
     doc_days: int = 3,
     min_check: int = 100,
     max_rows: int | None = RESULT_CAP,
 ) -> DataFrame:
     """Documents whose ctr is at least the ctr of their ``category@type@pid``.
 
-    The fact is summed per document first, so one row per document meets the
+    ``per_doc`` (``doc_impressions``) brings one row per document to the
     document's keys, and these fan out only after the join.
     """
-    per_doc = (
-        local_impressions(interactions, as_of, cjv_days)
-        .groupBy("doc_id")
-        .agg(F.sum("checked").alias("checks"), F.sum("clicked").alias("clicks"))
-    )
     keys = doc_dim.where(within(F.col("pdate"), as_of, doc_days)).select(
         "doc_id", list_keys(dimension).alias("list_keys")
     )
-    sums = [F.sum("checks").alias("checks"), F.sum("clicks").alias("clicks")]
     per_key_doc = (
         per_doc.join(keys, "doc_id")
         .select("doc_id", "checks", "clicks", F.explode("list_keys").alias("list_key"))
         .groupBy("list_key", "doc_id")
-        .agg(*sums)
+        .agg(*_sum_up())
     )
 
     ctr = rounded_ctr(F.col("clicks"), F.col("checks"))
     docs = per_key_doc.where(F.col("checks") >= min_check).withColumn("ctr", ctr)
-    base = per_key_doc.groupBy("list_key").agg(*sums).select(
+    base = per_key_doc.groupBy("list_key").agg(*_sum_up()).select(
         F.col("list_key").alias("base_key"),
         ctr.alias("base_ctr"),
         F.col("checks").alias("base_checks"),
@@ -233,10 +256,12 @@ def geo_new_docs(
     The cap is exclusive: 20 keeps 19. A document that carries the key twice
     takes two places and is listed once. Order within a list is by id.
     """
-    since = as_of.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
+    hour = as_of.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
+    # Written as text, the bound does not depend on the time zone of the driver.
+    since = F.lit(hour.isoformat(sep=" ")).cast(doc_dim.schema["publish_time"].dataType)
     recent = doc_dim.where(
         within(F.col("pdate"), as_of.date(), doc_days)
-        & (F.col("publish_time") >= F.lit(since).cast(doc_dim.schema["publish_time"].dataType))
+        & (F.col("publish_time") >= since)
     )
     newest = top_k(
         recent.select("doc_id", "publish_time", F.explode(list_keys(dimension)).alias("list_key")),
