@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.jobs import CROSS_PREFIX, NEW_PREFIX, TOP_PREFIX, VARIANT_ORDER
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
@@ -46,15 +47,6 @@ IMAGE_PROXY = "https://images.example.com/image?url="
 NEW_HOST = "https://images.example.com"
 METRIC_HOST = "host1"
 ASSESS_DOCS = 50
-TOP_PREFIX = "local_geo_top"
-NEW_PREFIX = "local_geo_new"
-CROSS_PREFIX = {
-    "channel": "local_geo_channel",
-    "first_cat": "local_geo_first_cat",
-    "second_cat": "local_geo_second_cat",
-}
-# The variants run in this order; a later one overwrites the keys of an earlier.
-VARIANT_ORDER = ("first_cat", "second_cat", "channel")
 
 QUERIES: dict[str, Query] = {}
 
