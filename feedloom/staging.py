@@ -2,33 +2,40 @@
 
 A few operators read an aggregated table more than once. They write it first
 into the shared folder named by ``spark.checkpoint.dir``: that cuts the
-lineage, survives lost executors and computes the input once.
+lineage, survives lost executors and computes the input once. Tables lie under
+one folder per application, to be removed once the application has ended.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="feedloom-")
+
+
 def staging_root(spark: SparkSession) -> str:
+    """The session's shared folder; a temporary one only on a local master."""
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_CHECKPOINT_DIR} must name a folder all executors share")
-    root = tempfile.mkdtemp(prefix="feedloom-")
-    spark.conf.set(_CHECKPOINT_DIR, root)
-    return root
+    return _local_folder()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{staging_root(spark)}/{application}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
