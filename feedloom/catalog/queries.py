@@ -220,30 +220,23 @@ _register("assess_dedupe", lambda t: feedparse.assess_dedupe(t.crawl_rows, ASSES
 # -------------------------------------------------------------------- review
 
 
-def outcomes(t: FeedTables) -> DataFrame:
-    return review.review_enqueue(t.crawl_rows, t.written_ledger, t.reviews)
+def first_outcomes(t: FeedTables) -> DataFrame:
+    return review.first_outcomes(t.crawl_rows, t.written_ledger, t.reviews)
 
 
-def lookup(t: FeedTables) -> DataFrame:
-    return review.review_lookup(t.crawl_rows, t.reviews)
-
-
-def gate(t: FeedTables) -> DataFrame:
-    return review.review_gate(t.crawl_rows, t.reviews)
+def reviewed(t: FeedTables) -> DataFrame:
+    return review.reviewed_docs(t.crawl_rows, t.reviews)
 
 
 def labeled(t: FeedTables) -> DataFrame:
-    # Written first, the gate has a known size: one row per crawl file.
-    written_gate = stage(gate(t), "review-gate")
-    return review.review_labeled(t.crawl_rows, t.reviews, written_gate)
+    gate = stage(review.review_gate(reviewed(t)), "review-gate")
+    return review.review_labeled(t.crawl_rows, t.reviews, gate)
 
 
 def daily(t: FeedTables) -> DataFrame:
-    return review.review_daily(labeled(t))
-
-
-def written_daily(t: FeedTables) -> DataFrame:
-    return stage(daily(t), "review-daily")
+    docs = stage(reviewed(t), "reviewed-docs")
+    gate = stage(review.review_gate(docs), "review-gate")
+    return review.review_daily(docs, gate)
 
 
 def payload(t: FeedTables) -> DataFrame:
@@ -261,34 +254,34 @@ def payload(t: FeedTables) -> DataFrame:
 
 
 def review_points(t: FeedTables) -> DataFrame:
-    rows = written_daily(t)
+    rows = daily(t)
     points = _union([review.review_metric_points(rows, days) for days in (1, 7)])
     return points.select("metric", "ts", "value", F.col("tags")["client"].alias("client"))
 
 
-_register("review_enqueue", outcomes)
-_register("review_enqueue_counts", lambda t: review.review_enqueue_counts(outcomes(t)))
-_register("review_messages", lambda t: review.review_messages(outcomes(t)))
+_register("review_enqueue", lambda t: review.review_enqueue(t.crawl_rows, first_outcomes(t)))
+_register("review_enqueue_counts", lambda t: review.review_enqueue_counts(t.crawl_rows, first_outcomes(t)))
+_register("review_messages", lambda t: review.review_messages(first_outcomes(t)))
 _register(
     "review_ledger_rows",
     lambda t: review.ledger_rows(
-        outcomes(t), F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
+        first_outcomes(t), F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
     ),
 )
 _register("review_payload", payload)
-_register("review_lookup", lookup)
-_register("review_gate", gate)
+_register("review_lookup", lambda t: review.review_lookup(t.crawl_rows, t.reviews))
+_register("review_gate", lambda t: review.review_gate(reviewed(t)))
 _register("review_labeled", labeled)
-_register("editor_weighted", lambda t: review.editor_weighted(lookup(t)))
-_register("editor_unique", lambda t: review.editor_unique(lookup(t)))
+_register("editor_weighted", lambda t: review.editor_weighted(reviewed(t)))
+_register("editor_unique", lambda t: review.editor_unique(reviewed(t)))
 _register("review_summary", lambda t: review.review_summary(daily(t)))
 _register("review_status", lambda t: review.review_status(daily(t)))
 _register("review_status_reason", lambda t: review.review_status_reason(daily(t)))
 _register("review_unique_status", lambda t: review.review_unique_status(daily(t)))
-_register("review_7d", lambda t: review.review_summary(written_daily(t), 7))
-_register("review_7d_status", lambda t: review.review_status(written_daily(t), 7))
-_register("review_7d_status_reason", lambda t: review.review_status_reason(written_daily(t), 7))
-_register("review_7d_unique_status", lambda t: review.review_unique_status(written_daily(t), 7))
+_register("review_7d", lambda t: review.review_summary(daily(t), 7))
+_register("review_7d_status", lambda t: review.review_status(daily(t), 7))
+_register("review_7d_status_reason", lambda t: review.review_status_reason(daily(t), 7))
+_register("review_7d_unique_status", lambda t: review.review_unique_status(daily(t), 7))
 _register("review_metric_points", review_points)
 
 # ------------------------------------------------------- history, index sync

@@ -142,13 +142,13 @@ def tab_metrics(run: Run, host: str = "batch") -> None:
 def review_enqueue(run: Run) -> None:
     """Queue the documents of the day's crawl files and remember them."""
     lines = run.table("crawl_rows").where(F.col("day") == F.lit(run.day))
-    outcomes = stage(
-        review.review_enqueue(lines, run.table("written_ledger"), run.table("reviews")), "review-enqueue"
+    firsts = stage(
+        review.first_outcomes(lines, run.table("written_ledger"), run.table("reviews")), "review-firsts"
     )
-    review.review_messages(outcomes).write.mode("overwrite").parquet(run.path("review_messages"))
+    review.review_messages(firsts).write.mode("overwrite").parquet(run.path("review_messages"))
     source = F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
-    sinks.append_ledger(review.ledger_rows(outcomes, source), run.path("written_ledger"))
-    counts = review.review_enqueue_counts(outcomes)
+    sinks.append_ledger(review.ledger_rows(firsts, source), run.path("written_ledger"))
+    counts = review.review_enqueue_counts(lines, firsts)
     counts.write.mode("overwrite").parquet(run.path("review_enqueue_counts"))
 
 
@@ -158,15 +158,17 @@ def review_analysis(run: Run) -> None:
     The windows of the oldest of them reach another six days back.
     """
     first = run.day - timedelta(days=2 * ANALYSIS_DAYS - 1)
-    lines = run.table("crawl_rows").where(F.col("day").between(F.lit(first), F.lit(run.day - timedelta(days=1))))
+    last = run.day - timedelta(days=1)
+    lines = run.table("crawl_rows").where(F.col("day").between(F.lit(first), F.lit(last)))
     reviews = run.table("reviews")
-    gate = stage(review.review_gate(lines, reviews), "review-gate")
-    labeled = stage(review.review_labeled(lines, reviews, gate), "review-labeled")
+    docs = stage(review.reviewed_docs(lines, reviews), "reviewed-docs")
+    gate = stage(review.review_gate(docs), "review-gate")
+    labeled = review.review_labeled(lines, reviews, gate)
     sinks.write_delimited(labeled.drop("line_no"), run.path("review_labeled"))
-    lookup = stage(review.review_lookup(lines, reviews).join(gate.where("passed"), list(review.RUN), "left_semi"), "review-lookup")
-    daily = stage(review.review_daily(labeled), "review-daily")
+    daily = review.review_daily(docs, gate)
     reported = F.col("day") >= F.lit(run.day - timedelta(days=ANALYSIS_DAYS))
-    editors = review.editor_weighted(lookup).unionByName(review.editor_unique(lookup))
+    checked = docs.join(gate.where("passed"), list(review.RUN), "left_semi")
+    editors = review.editor_weighted(checked).unionByName(review.editor_unique(checked))
     editors.where(reported).write.mode("overwrite").parquet(run.path("review_editors"))
     reports = {
         "summary": review.review_summary,

@@ -25,36 +25,36 @@ MAX_FAIL_RATIO = 0.8
 # ---------------------------------------------------------------- enqueue
 
 
-def review_enqueue(
+def first_outcomes(
     lines: DataFrame, ledger: DataFrame, reviews: DataFrame, run_keys: Sequence[str] = RUN
 ) -> DataFrame:
-    """Outcome of every line of a run: skip, dup, exist or succ.
+    """(run, docid, line_no, outcome) of the first line of a document in a run.
 
-    Only the first line of a document can be anything but a duplicate, so the
-    ledger and the reviews meet one row per document, not every line.
+    Only that line can be anything but a duplicate, so the ledger and the
+    reviews meet one row per document, not every line.
     """
     run = list(run_keys)
     written = ledger.select("docid").distinct().withColumn("written", F.lit(True))
-    reviewed = reviews.select(F.col("_id").alias("docid")).distinct().withColumn("reviewed", F.lit(True))
-    firsts = (
+    reviewed = (
+        reviews.select(F.col("_id").alias("docid")).distinct().withColumn("reviewed", F.lit(True))
+    )
+    outcome = F.when(F.col("written"), "dup").when(F.col("reviewed"), "exist").otherwise("succ")
+    return (
         lines.where(F.col("width") >= 2)
         .groupBy(*run, "docid")
         .agg(F.min("line_no").alias("line_no"))
         .join(written, "docid", "left")
         .join(reviewed, "docid", "left")
-        .select(
-            *run,
-            "line_no",
-            "docid",
-            F.when(F.col("written"), "dup")
-            .when(F.col("reviewed"), "exist")
-            .otherwise("succ")
-            .alias("first_outcome"),
-        )
-    )
-    outcome = F.when(F.col("width") < 2, "skip").otherwise(
-        F.coalesce("first_outcome", F.lit("dup"))
+        .select(*run, "docid", "line_no", outcome.alias("outcome"))
     )
+
+
+def review_enqueue(
+    lines: DataFrame, firsts: DataFrame, run_keys: Sequence[str] = RUN
+) -> DataFrame:
+    """Outcome of every line of a run: skip, dup, exist or succ."""
+    run = list(run_keys)
+    outcome = F.when(F.col("width") < 2, "skip").otherwise(F.coalesce("outcome", F.lit("dup")))
     return (
         lines.select(*run, "line_no", "docid", "width")
         .join(firsts, [*run, "line_no", "docid"], "left")
@@ -62,29 +62,41 @@ def review_enqueue(
     )
 
 
-def review_enqueue_counts(outcomes: DataFrame, run_keys: Sequence[str] = RUN) -> DataFrame:
-    """Counts per run of each outcome."""
-    return outcomes.groupBy(*run_keys).agg(
-        *[
-            F.count_if(F.col("outcome") == name).alias(f"{name}_num")
-            for name in ("succ", "exist", "dup", "skip")
-        ]
+def review_enqueue_counts(
+    lines: DataFrame, firsts: DataFrame, run_keys: Sequence[str] = RUN
+) -> DataFrame:
+    """Counts per run of each outcome, without matching line to line."""
+    run = list(run_keys)
+    totals = lines.groupBy(*run).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("width") < 2).alias("skip_num")
+    )
+    decided = firsts.groupBy(*run).agg(
+        F.count_if(F.col("outcome") == "succ").alias("succ"),
+        F.count_if(F.col("outcome") == "exist").alias("exist"),
+    )
+    succ, exist = F.coalesce("succ", F.lit(0)), F.coalesce("exist", F.lit(0))
+    return totals.join(decided, run, "left").select(
+        *run,
+        succ.alias("succ_num"),
+        exist.alias("exist_num"),
+        (F.col("lines") - F.col("skip_num") - succ - exist).alias("dup_num"),
+        "skip_num",
     )
 
 
-def review_messages(outcomes: DataFrame) -> DataFrame:
+def review_messages(firsts: DataFrame) -> DataFrame:
     """(key, value) queue messages of the documents to review."""
     body = F.struct(
         "docid", F.lit(QUEUE).alias("queue"), F.array(*[F.lit(t) for t in QUEUE_TAGS]).alias("tag")
     )
-    return outcomes.where(F.col("outcome") == "succ").select(
+    return firsts.where(F.col("outcome") == "succ").select(
         F.col("docid").alias("key"), F.to_json(body).alias("value")
     )
 
 
-def ledger_rows(outcomes: DataFrame, source: Column) -> DataFrame:
+def ledger_rows(firsts: DataFrame, source: Column) -> DataFrame:
     """(docid, source) rows to append to the ledger of written documents."""
-    return outcomes.where(F.col("outcome") == "succ").select("docid", source.alias("source"))
+    return firsts.where(F.col("outcome") == "succ").select("docid", source.alias("source"))
 
 
 def review_payload(
@@ -128,69 +140,79 @@ def review_payload(
 # ----------------------------------------------------------- lookup, labels
 
 
-def _review_state(reviews: DataFrame) -> DataFrame:
-    """Per review id: found, has_review, status, reason, editor."""
-    return reviews.select(
+def _looked_up(rows: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Adds ret, status, reason and editor of each row's docid."""
+    state = reviews.select(
         F.col("_id").alias("review_id"),
         F.lit(True).alias("found"),
+        F.col("review.status").alias("review_status"),
+        F.col("review.reason").alias("review_reason"),
+        F.col("review.editor").alias("review_editor"),
         F.col("review").isNotNull().alias("has_review"),
-        F.col("review.status").alias("status"),
-        F.col("review.reason").alias("reason"),
-        F.col("review.editor").alias("editor"),
-    )
-
-
-def _review_id() -> Column:
-    return F.concat("docid", F.lit(REVIEW_SUFFIX))
-
-
-def review_lookup(lines: DataFrame, reviews: DataFrame) -> DataFrame:
-    """(day, arm, line_no, ret, docid, status, reason, editor) per usable line."""
-    looked = (
-        lines.where(F.col("width") > 2)
-        .select(*RUN, "line_no", "docid", _review_id().alias("review_id"))
-        .join(_review_state(reviews), "review_id", "left")
     )
-    succ = F.col("status").isNotNull()
+    succ = F.col("review_status").isNotNull()
     error = (
         F.when(F.col("found").isNull(), "not_in_mongo")
         .when(~F.col("has_review"), "no_review")
         .otherwise("no_status")
     )
-    return looked.select(
-        *RUN,
-        "line_no",
-        F.when(succ, "succ").otherwise("error").alias("ret"),
-        "docid",
-        null_text(F.col("status")).alias("status"),
-        F.when(succ, null_text(F.col("reason"))).otherwise(error).alias("reason"),
-        null_text(F.col("editor")).alias("editor"),
+    return (
+        rows.withColumn("review_id", F.concat("docid", F.lit(REVIEW_SUFFIX)))
+        .join(state, "review_id", "left")
+        .select(
+            *rows.columns,
+            F.when(succ, "succ").otherwise("error").alias("ret"),
+            null_text(F.col("review_status")).alias("status"),
+            F.when(succ, null_text(F.col("review_reason"))).otherwise(error).alias("reason"),
+            null_text(F.col("review_editor")).alias("editor"),
+        )
     )
 
 
-def review_gate(
-    lines: DataFrame, reviews: DataFrame, max_fail_ratio: float = MAX_FAIL_RATIO
-) -> DataFrame:
-    """Per run: line counts, fail ratio and whether the run may be reported.
+def _label() -> list[Column]:
+    """Status and reason a row is published with."""
+    reviewed = F.col("ret") == "succ"
+    return [
+        F.when(reviewed, F.col("status")).otherwise(NOT_REVIEWED).alias("status"),
+        F.when(reviewed, F.col("reason")).otherwise("").alias("reason"),
+    ]
 
-    Lines are counted per document before the reviews are looked up.
+
+def review_lookup(lines: DataFrame, reviews: DataFrame) -> DataFrame:
+    """(day, arm, line_no, docid, ret, status, reason, editor) per usable line."""
+    usable = lines.where(F.col("width") > 2).select(*RUN, "line_no", "docid")
+    return _looked_up(usable, reviews)
+
+
+def reviewed_docs(lines: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The review state of every document of a run, with its numbers of lines.
+
+    ``wrong`` lines are too short to look up, ``looked`` ones are not,
+    ``complete`` ones have all fields. The gate and every report are built on
+    this table alone: stage it.
     """
+    complete = F.col("width") == CRAWL_WIDTH
     per_doc = lines.groupBy(*RUN, "docid").agg(
         F.count_if(F.col("width") <= 2).alias("wrong"),
         F.count_if(F.col("width") > 2).alias("looked"),
+        F.count_if(complete).alias("complete"),
+        F.min(F.when(complete, F.col("line_no"))).alias("first_line"),
     )
-    state = _review_state(reviews).select("review_id", "status")
-    succ = F.when(F.col("status").isNotNull(), F.col("looked")).otherwise(0)
-    counts = (
-        per_doc.withColumn("review_id", _review_id())
-        .join(state, "review_id", "left")
-        .groupBy(*RUN)
-        .agg(
-            F.sum(F.col("wrong") + F.col("looked")).alias("line_cnt"),
-            F.sum(succ).alias("succ_cnt"),
-            F.sum("wrong").alias("wrong_cnt"),
-            F.sum(F.col("looked") - succ).alias("empty_cnt"),
-        )
+    return _looked_up(per_doc, reviews)
+
+
+def review_gate(docs: DataFrame, max_fail_ratio: float = MAX_FAIL_RATIO) -> DataFrame:
+    """Per run: line counts, fail ratio and whether the run may be reported.
+
+    One row per crawl file. Written before it is used, its size is known and
+    Spark can decide to broadcast it.
+    """
+    succ = F.when(F.col("ret") == "succ", F.col("looked")).otherwise(0)
+    counts = docs.groupBy(*RUN).agg(
+        F.sum(F.col("wrong") + F.col("looked")).alias("line_cnt"),
+        F.sum(succ).alias("succ_cnt"),
+        F.sum("wrong").alias("wrong_cnt"),
+        F.sum(F.col("looked") - succ).alias("empty_cnt"),
     )
     failed = (F.col("wrong_cnt") + F.col("empty_cnt")).cast("double")
     fail_ratio = F.when(F.col("line_cnt") == 0, 100.0).otherwise(
@@ -201,34 +223,28 @@ def review_gate(
     )
 
 
-def review_labeled(lines: DataFrame, reviews: DataFrame, gate: DataFrame | None = None) -> DataFrame:
+def _passed(rows: DataFrame, gate: DataFrame) -> DataFrame:
+    return rows.join(gate.where("passed").select(*RUN), list(RUN), "left_semi")
+
+
+def review_labeled(lines: DataFrame, reviews: DataFrame, gate: DataFrame) -> DataFrame:
     """Complete crawl rows plus status and reason; runs the gate stops are left out."""
-    complete = lines.where(F.col("width") == CRAWL_WIDTH)
-    if gate is not None:
-        complete = complete.join(gate.where("passed").select(*RUN), list(RUN), "left_semi")
-    state = _review_state(reviews).where(F.col("status").isNotNull()).select(
-        "review_id", "status", "reason"
-    )
-    reviewed = F.col("status").isNotNull()
-    return (
-        complete.withColumn("review_id", _review_id())
-        .join(state, "review_id", "left")
-        .select(
-            *[c for c in lines.columns if c != "width"],
-            F.coalesce("status", F.lit(NOT_REVIEWED)).alias("status"),
-            F.when(reviewed, null_text(F.col("reason"))).otherwise("").alias("reason"),
-        )
-    )
+    complete = _passed(lines.where(F.col("width") == CRAWL_WIDTH), gate).drop("width")
+    return _looked_up(complete, reviews).select(*complete.columns, *_label())
 
 
 # ------------------------------------------------------------ editor check
 
 
-def _editor_rates(rows: DataFrame, weight: Column, doc_type: str) -> DataFrame:
+def _editor_rates(docs: DataFrame, weight: Column, doc_type: str) -> DataFrame:
     """Totals, counts per status and their rates by editor."""
-    counts = rows.groupBy(*RUN, "editor").agg(
-        F.sum(weight).alias("total"),
-        *[F.sum(F.when(F.col("status") == s, weight).otherwise(0)).alias(s) for s in STATUSES],
+    counts = (
+        docs.where((F.col("ret") == "succ") & (F.col("looked") > 0))
+        .groupBy(*RUN, "editor")
+        .agg(
+            F.sum(weight).alias("total"),
+            *[F.sum(F.when(F.col("status") == s, weight).otherwise(0)).alias(s) for s in STATUSES],
+        )
     )
     total = F.col("total").cast("double")
     return counts.select(
@@ -241,33 +257,29 @@ def _editor_rates(rows: DataFrame, weight: Column, doc_type: str) -> DataFrame:
     ).orderBy(*RUN, "editor")
 
 
-def editor_weighted(lookup: DataFrame) -> DataFrame:
+def editor_weighted(docs: DataFrame) -> DataFrame:
     """Per editor, every reviewed line counts."""
-    rows = lookup.where(F.col("ret") == "succ")
-    return _editor_rates(rows, F.lit(1).cast("long"), "weighted_doc")
+    return _editor_rates(docs, F.col("looked"), "weighted_doc")
 
 
-def editor_unique(lookup: DataFrame) -> DataFrame:
+def editor_unique(docs: DataFrame) -> DataFrame:
     """Per editor, a document counts once per status it was given."""
-    rows = lookup.where(F.col("ret") == "succ").select(*RUN, "editor", "status", "docid").distinct()
-    return _editor_rates(rows, F.lit(1).cast("long"), "uniq_doc")
+    return _editor_rates(docs, F.lit(1).cast("long"), "uniq_doc")
 
 
 # ---------------------------------------------------------------- analysis
 
 
-def review_daily(labeled: DataFrame) -> DataFrame:
-    """Rows and first line per run, document, status and reason.
+def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
+    """Complete rows and first line per run and document, with its label.
 
-    All reports are built on this table. Repeats of a document fold here, so
-    the 7-day windows multiply documents, not lines. Reports over several days
-    read it more than once: ``staging.stage`` it first.
+    A 7-day window repeats this table's rows, that is documents, not lines.
     """
+    labeled = _passed(docs.where(F.col("complete") > 0), gate).select(
+        *RUN, "docid", *_label(), F.col("complete").alias("cnt"), "first_line"
+    )
     usable = (F.col("status") != NOT_REVIEWED) & (F.trim("reason") != "")
-    return labeled.groupBy(*RUN, "docid", "status", "reason").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min("line_no").alias("first_line"),
-    ).withColumn("usable", usable)
+    return labeled.withColumn("usable", usable)
 
 
 def _trailing(counts: DataFrame, daily: DataFrame, day_range: int) -> DataFrame:

@@ -9,7 +9,6 @@ from feedloom.catalog import QUERIES
 from feedloom.plans import geo
 from feedloom.sources.testdata import load
 
-NEVER = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 PRUNED_LISTS = ("geo_new_docs_channel", "local_top_comments", "nonlocal_top_likes", "geo_top_docs_kv")
 
 
@@ -17,12 +16,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_join(spark, name):
-    plan = _plan(QUERIES[name](spark, TESTDATA))
-    assert not [node for node in NEVER if node in plan]
-
-
 @pytest.mark.parametrize("name", PRUNED_LISTS)
 def test_lists_are_cut_before_the_shuffle(spark, name):
     plan = _plan(QUERIES[name](spark, TESTDATA))

@@ -57,16 +57,17 @@ def test_enqueue_outcomes(lines, reviews, ledger, rows_of):
     )
     # A review counts under its bare id only.
     seen = reviews(("known", None), _ok("new"), ("both", None))
-    outcome = review.review_enqueue(df, ledger("written", "written", "both"), seen)
+    firsts = review.first_outcomes(df, ledger("written", "written", "both"), seen)
+    outcome = review.review_enqueue(df, firsts)
     assert rows_of(outcome, "line_no", "outcome") == [
         (1, "skip"), (2, "succ"), (3, "dup"), (4, "dup"), (5, "exist"), (6, "dup"), (7, "succ"), (8, "skip"), (9, "dup"),
     ]
-    counts = rows_of(review.review_enqueue_counts(outcome), "arm", "succ_num", "exist_num", "dup_num", "skip_num")
+    counts = rows_of(review.review_enqueue_counts(df, firsts), "arm", "succ_num", "exist_num", "dup_num", "skip_num")
     assert counts == [("exp", 1, 0, 0, 0), ("online", 1, 1, 4, 2)]
     assert sum(sum(c[1:]) for c in counts) == df.count()
-    messages = [json.loads(r["value"]) for r in review.review_messages(outcome).collect()]
+    messages = [json.loads(r["value"]) for r in review.review_messages(firsts).collect()]
     assert messages == [{"docid": "new", "queue": "quality_check", "tag": ["from_foryou"]}] * 2
-    assert rows_of(review.ledger_rows(outcome, F.col("arm"))) == [("new", "exp"), ("new", "online")]
+    assert rows_of(review.ledger_rows(firsts, F.col("arm"))) == [("new", "exp"), ("new", "online")]
 
 
 def test_lookup_messages(lines, reviews, rows_of):
@@ -91,7 +92,7 @@ def test_gate_stops_a_run_above_the_ratio(lines, reviews, rows_of):
     good = [(i, 0, "online", 10, "a") for i in range(2)] + [(i, 0, "online", 10, "x") for i in range(2, 9)] + [(9, 0, "online", 1, None)]
     bad = [(i, 0, "exp", 10, "x") for i in range(9)] + [(9, 0, "exp", 10, "a")]
     df, known = lines(*good, *bad), reviews(_ok("a"))
-    gate = review.review_gate(df, known)
+    gate = review.review_gate(review.reviewed_docs(df, known))
     assert rows_of(gate, "arm", "line_cnt", "succ_cnt", "wrong_cnt", "empty_cnt", "fail_ratio", "passed") == [
         ("exp", 10, 1, 0, 9, 0.9, False),
         ("online", 10, 2, 1, 7, 0.8, True),
@@ -101,73 +102,89 @@ def test_gate_stops_a_run_above_the_ratio(lines, reviews, rows_of):
         ("online", "not_reviewed", "", 7),
         ("online", "ok", "r", 2),
     ]
-    assert review.review_labeled(df, known).count() == 19
+    open_gate = gate.withColumn("passed", F.lit(True))
+    assert review.review_labeled(df, known, open_gate).count() == 19
 
 
 def test_editor_checks(lines, reviews, rows_of):
     df = lines(*[(i, 0, "online", 10, d) for i, d in enumerate(["a", "a", "b", "c", "n"])])
     known = reviews(_ok("a"), _ok("b", status="poor"), _ok("c", status="odd"), ("n_from_foryou", (None, None, "e")))
-    lookup = review.review_lookup(df, known)
+    lookup = review.reviewed_docs(df, known)
     columns = ("type", "editor", "total", "ok", "poor", "detrimental", "ok_rate", "poor_rate", "detrimental_rate")
     assert rows_of(review.editor_weighted(lookup), *columns) == [("weighted_doc", "e", 4, 2, 1, 0, 0.5, 0.25, 0.0)]
     assert rows_of(review.editor_unique(lookup), *columns) == [("uniq_doc", "e", 3, 1, 1, 0, 1 / 3, 1 / 3, 0.0)]
 
 
 @pytest.fixture
-def labeled(spark):
+def daily(lines, reviews):
     def build(*rows):
-        """(line_no, day offset, docid, status, reason) of the online arm"""
-        data = [(n, D1 + timedelta(d), "online", doc, s, r) for n, d, doc, s, r in rows]
-        return spark.createDataFrame(data, "line_no bigint, day date, arm string, docid string, status string, reason string")
+        """(line_no, day offset, docid): what the reviews say is in the id, ``doc.status.reason``."""
+        df = lines(*[(n, d, "online", 10, doc) for n, d, doc in rows])
+        known = {doc: doc.split(".") for _, _, doc in rows if "." in doc}
+        state = reviews(*[_ok(doc, status, reason) for doc, (_, status, reason) in known.items()])
+        docs = review.reviewed_docs(df, state)
+        return review.review_daily(docs, review.review_gate(docs, max_fail_ratio=1.0))
 
     return build
 
 
-def test_analysis_of_one_day_and_of_a_window(labeled, rows_of):
-    daily = review.review_daily(
-        labeled(
-            (1, 0, "a", "poor", "x"),
-            (2, 0, "a", "ok", "x"),
-            (3, 0, "b", "ok", "y"),
-            (4, 0, "c", "not_reviewed", ""),
-            (5, 0, "d", "ok", " "),
-            (1, 2, "a", "ok", "x"),
-            (2, 2, "e", "odd", "x"),
-            (1, 6, "z", "not_reviewed", ""),
-            (1, 7, "z", "poor", "x"),
-        )
+def test_analysis_of_one_day_and_of_a_window(daily, rows_of):
+    daily = daily(
+        (1, 0, "a.ok.x"),
+        (2, 0, "p.poor.x"),
+        (3, 0, "b.ok.y"),
+        (4, 0, "c"),
+        (5, 0, "d.ok. "),
+        (6, 0, "a.ok.x"),
+        (1, 2, "a.ok.x"),
+        (2, 2, "e.odd.x"),
+        (1, 6, "z"),
+        (1, 7, "p.poor.x"),
     )
     day = [(D1 + timedelta(d)) for d in (0, 2, 6, 7)]
     columns = ("day", "total_cnt", "succ_cnt", "wrong_cnt", "uniq_doc_cnt", "succ_rate")
     assert rows_of(review.review_summary(daily), *columns) == [
-        (day[0], 5, 3, 2, 2, 0.6),
+        (day[0], 6, 4, 2, 3, 4 / 6),
         (day[1], 2, 2, 0, 2, 1.0),
         (day[2], 1, 0, 1, 0, 0.0),
         (day[3], 1, 1, 0, 1, 1.0),
     ]
     # Seven days back from a day that has a run: day 7 no longer sees day 0.
     assert rows_of(review.review_summary(daily, 7), *columns) == [
-        (day[0], 5, 3, 2, 2, 0.6),
-        (day[1], 7, 5, 2, 3, 5 / 7),
-        (day[2], 8, 5, 3, 3, 0.625),
+        (day[0], 6, 4, 2, 3, 4 / 6),
+        (day[1], 8, 6, 2, 4, 0.75),
+        (day[2], 9, 6, 3, 4, 6 / 9),
         (day[3], 4, 3, 1, 3, 0.75),
     ]
     assert rows_of(review.review_status(daily), "day", "status", "cnt", "rate")[:2] == [
-        (day[0], "ok", 2, 2 / 3),
-        (day[0], "poor", 1, 1 / 3),
+        (day[0], "ok", 3, 0.75),
+        (day[0], "poor", 1, 0.25),
     ]
     reasons = review.review_status_reason(daily).where(F.col("day") == F.lit(day[0]))
-    assert [tuple(r)[2:] for r in reasons.collect()] == [("ok", "x", 1, 0.5), ("ok", "y", 1, 0.5), ("poor", "x", 1, 1.0)]
-    # First line of a day decides, and the newest day of a window.
-    assert rows_of(review.review_unique_status(daily), "day", "status", "cnt")[:2] == [(day[0], "ok", 1), (day[0], "poor", 1)]
+    assert [tuple(r)[2:] for r in reasons.collect()] == [("ok", "x", 2, 2 / 3), ("ok", "y", 1, 1 / 3), ("poor", "x", 1, 1.0)]
+    unique = rows_of(review.review_unique_status(daily), "day", "status", "cnt")
+    assert unique[:2] == [(day[0], "ok", 2), (day[0], "poor", 1)]
     window = [r for r in rows_of(review.review_unique_status(daily, 7), "day", "status", "cnt") if r[0] == day[1]]
-    assert window == [(day[1], "odd", 1), (day[1], "ok", 2)]
+    assert window == [(day[1], "odd", 1), (day[1], "ok", 2), (day[1], "poor", 1)]
 
 
-def test_metric_points(labeled):
-    daily = review.review_daily(
-        labeled((1, 0, "a", "ok", "x"), (2, 0, "b", "odd", "x"), (1, 1, "c", "not_reviewed", ""))
-    )
+def test_the_newest_day_and_its_first_line_decide_a_status(spark, rows_of):
+    rows = [
+        (D1, "online", "a", "poor", "x", 1, 5, True),
+        (D1, "online", "a", "ok", "x", 1, 7, True),
+        (D1 + timedelta(2), "online", "a", "odd", "x", 1, 9, True),
+        (D1 + timedelta(2), "online", "a", "ok", "x", 1, 8, True),
+    ]
+    schema = "day date, arm string, docid string, status string, reason string, cnt bigint, first_line bigint, usable boolean"
+    daily = spark.createDataFrame(rows, schema)
+    assert rows_of(review.review_unique_status(daily, 7), "day", "status", "cnt") == [
+        (D1, "poor", 1),
+        (D1 + timedelta(2), "ok", 1),
+    ]
+
+
+def test_metric_points(daily):
+    daily = daily((1, 0, "a.ok.x"), (2, 0, "b.odd.x"), (1, 1, "c"))
     points = {(p["metric"], p["ts"]): p["value"] for p in review.review_metric_points(daily).collect()}
     ts, prefix = 1704067200, "feed_quanlity_check_online"
     first = {m.removeprefix(prefix): v for (m, t), v in points.items() if t == ts}
