@@ -197,6 +197,7 @@ TABLES = {
     "gate": """
         SELECT day, arm, count(*) AS line_cnt, count(*) FILTER (ret = 'succ') AS succ_cnt,
                count(*) FILTER (width <= 2) AS wrong_cnt, count(*) FILTER (width > 2 AND ret = 'error') AS empty_cnt,
+               count(*) FILTER (width = 10) AS complete_cnt,
                count(*) FILTER (width <= 2 OR ret = 'error') / count(*) AS fail_ratio,
                count(*) FILTER (width <= 2 OR ret = 'error') / count(*) <= 0.8 AS passed
         FROM lines LEFT JOIN looked USING (day, arm, line_no) GROUP BY day, arm""",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.plans.geo import FEED_CHANNELS
+from feedloom.staging import stage
 
 MIN_DWELL_MS = 2000
 LONG_LIVED = ("current", "evergreen")
@@ -51,16 +52,21 @@ def user_history(
         .where(F.col("item").isNotNull())
         .distinct()
     )
-    parts = _parts(items, part_size)
-    history = (
-        parts.groupBy("user_id", "part")
-        .agg(F.array_join(F.array_sort(F.collect_list("item")), "\t").alias("doc_items"))
+    parts = _parts(stage(items, "history-items"), part_size)
+    # Partitioned by user *and* part: grouping by the join key alone would put
+    # all parts of a heavy reader into one task.
+    keys = ("user_id", "part")
+    spread = parts.repartition(output_partitions, *keys) if output_partitions else parts.repartition(*keys)
+    return spread.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_list("item")), "\t").alias("doc_items")
     )
-    return history.repartition(output_partitions, "user_id", "part") if output_partitions else history
 
 
 def _parts(items: DataFrame, part_size: int) -> DataFrame:
-    """Number the part of each item; only heavy users have more than part 0."""
+    """Number the part of each item; only heavy users have more than part 0.
+
+    The heavy users are written first, so their number decides how to join them.
+    """
     heavy = (
         items.groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -68,6 +74,6 @@ def _parts(items: DataFrame, part_size: int) -> DataFrame:
         .select("user_id", F.ceil(F.col("n") / F.lit(part_size)).cast("long").alias("n_parts"))
     )
     spread: Column = F.pmod(F.xxhash64("item"), F.col("n_parts"))
-    return items.join(heavy, "user_id", "left").select(
+    return items.join(stage(heavy, "history-heavy"), "user_id", "left").select(
         "user_id", "item", F.coalesce(spread, F.lit(0)).cast("long").alias("part")
     )

@@ -204,8 +204,8 @@ def reviewed_docs(lines: DataFrame, reviews: DataFrame) -> DataFrame:
 def review_gate(docs: DataFrame, max_fail_ratio: float = MAX_FAIL_RATIO) -> DataFrame:
     """Per run: line counts, fail ratio and whether the run may be reported.
 
-    One row per crawl file. Written before it is used, its size is known and
-    Spark can decide to broadcast it.
+    One row per crawl file. Stage it before filtering by it: its size is then
+    known, and lines or documents need not be gathered by run to meet it.
     """
     succ = F.when(F.col("ret") == "succ", F.col("looked")).otherwise(0)
     counts = docs.groupBy(*RUN).agg(
@@ -213,6 +213,7 @@ def review_gate(docs: DataFrame, max_fail_ratio: float = MAX_FAIL_RATIO) -> Data
         F.sum(succ).alias("succ_cnt"),
         F.sum("wrong").alias("wrong_cnt"),
         F.sum(F.col("looked") - succ).alias("empty_cnt"),
+        F.sum("complete").alias("complete_cnt"),
     )
     failed = (F.col("wrong_cnt") + F.col("empty_cnt")).cast("double")
     fail_ratio = F.when(F.col("line_cnt") == 0, 100.0).otherwise(
@@ -273,7 +274,7 @@ def editor_unique(docs: DataFrame) -> DataFrame:
 def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
     """Complete rows and first line per run and document, with its label.
 
-    A 7-day window repeats this table's rows, that is documents, not lines.
+    A 7-day window (``review_window``) repeats documents, not lines.
     """
     labeled = _passed(docs.where(F.col("complete") > 0), gate).select(
         *RUN, "docid", *_label(), F.col("complete").alias("cnt"), "first_line"
@@ -282,34 +283,30 @@ def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
     return labeled.withColumn("usable", usable)
 
 
-def _trailing(counts: DataFrame, daily: DataFrame, day_range: int) -> DataFrame:
-    """Repeat daily counts under each run day whose window covers them.
+def review_window(daily: DataFrame, gate: DataFrame, day_range: int) -> DataFrame:
+    """The daily table under each run day whose trailing window covers it.
 
     Adds ``seen_day``; days without a run report nothing, days missing inside a
-    window simply add nothing.
+    window simply add nothing. Every report takes such a table.
     """
-    seen = counts.withColumnRenamed("day", "seen_day")
+    seen = daily.withColumnRenamed("day", "seen_day")
     if day_range == 1:
         return seen.withColumn("day", F.col("seen_day"))
     shifts = F.sequence(F.lit(0), F.lit(day_range - 1))
-    run_days = daily.select(*RUN).distinct()
-    return (
-        seen.select("*", F.explode(shifts).alias("shift"))
-        .select(*seen.columns, F.date_add("seen_day", F.col("shift")).alias("day"))
-        .join(run_days, list(RUN), "left_semi")
+    return _passed(
+        seen.select("*", F.explode(shifts).alias("shift")).select(
+            *seen.columns, F.date_add("seen_day", F.col("shift")).alias("day")
+        ),
+        gate.where(F.col("complete_cnt") > 0),
     )
 
 
-def review_summary(daily: DataFrame, day_range: int = 1) -> DataFrame:
+def review_summary(window: DataFrame) -> DataFrame:
     """Per run day: total, usable and wrong rows, distinct documents, success rate."""
-    per_doc = daily.groupBy(*RUN, "docid").agg(
-        F.sum(F.when(F.col("usable"), F.col("cnt")).otherwise(0)).alias("succ"),
-        F.sum(F.when(F.col("usable"), 0).otherwise(F.col("cnt"))).alias("wrong"),
-    )
+    succ = F.when(F.col("usable"), F.col("cnt")).otherwise(0)
     totals = (
-        _trailing(per_doc, daily, day_range)
-        .groupBy(*RUN, "docid")
-        .agg(F.sum("succ").alias("succ"), F.sum("wrong").alias("wrong"))
+        window.groupBy(*RUN, "docid")
+        .agg(F.sum(succ).alias("succ"), F.sum(F.col("cnt") - succ).alias("wrong"))
         .groupBy(*RUN)
         .agg(
             F.sum(F.col("succ") + F.col("wrong")).alias("total_cnt"),
@@ -327,54 +324,44 @@ def _shares(counts: DataFrame, whole: Sequence[str]) -> DataFrame:
     return counts.withColumn("rate", F.try_divide(F.col("cnt").cast("double"), total.cast("double")))
 
 
-def _counts(daily: DataFrame, keys: Sequence[str], day_range: int) -> DataFrame:
-    per_day = daily.where("usable").groupBy(*RUN, *keys).agg(F.sum("cnt").alias("cnt"))
-    return (
-        _trailing(per_day, daily, day_range).groupBy(*RUN, *keys).agg(F.sum("cnt").alias("cnt"))
-    )
-
-
-def review_status(daily: DataFrame, day_range: int = 1) -> DataFrame:
+def review_status(window: DataFrame) -> DataFrame:
     """Per run day and status: rows and their share of the usable rows."""
-    return _shares(_counts(daily, ["status"], day_range), RUN)
+    counts = window.where("usable").groupBy(*RUN, "status").agg(F.sum("cnt").alias("cnt"))
+    return _shares(counts, RUN)
 
 
-def review_status_reason(daily: DataFrame, day_range: int = 1) -> DataFrame:
+def review_status_reason(window: DataFrame) -> DataFrame:
     """Per run day, status and reason: rows and their share of the status."""
-    counts = _counts(daily, ["status", "reason"], day_range)
+    counts = window.where("usable").groupBy(*RUN, "status", "reason").agg(F.sum("cnt").alias("cnt"))
     return _shares(counts, [*RUN, "status"]).orderBy(*RUN, "status", F.desc("cnt"), "reason")
 
 
-def review_unique_status(daily: DataFrame, day_range: int = 1) -> DataFrame:
+def review_unique_status(window: DataFrame) -> DataFrame:
     """Per run day and status: documents by the status seen first.
 
     The newest day is read first, and within a day the first line.
     """
-    per_doc = (
-        daily.where("usable")
-        .groupBy(*RUN, "docid")
-        .agg(F.min_by("status", "first_line").alias("status"))
-    )
+    reading_order = F.struct(-F.unix_date("seen_day"), F.col("first_line"))
     counts = (
-        _trailing(per_doc, daily, day_range)
+        window.where("usable")
         .groupBy(*RUN, "docid")
-        .agg(F.max_by("status", "seen_day").alias("status"))
+        .agg(F.min_by(F.col("status"), reading_order).alias("status"))
         .groupBy(*RUN, "status")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     return _shares(counts, RUN)
 
 
-def review_metric_points(daily: DataFrame, day_range: int = 1, client: str = "batch") -> DataFrame:
-    """(metric, ts, value, tags) of one window length.
+def review_metric_points(rows: DataFrame, day_range: int, client: str = "batch") -> DataFrame:
+    """(metric, ts, value, tags) of a ``review_window`` of that many days.
 
     Statuses outside the three known ones are counted but not reported.
     """
-    window = F.lit("" if day_range <= 1 else f"{day_range}d_")
+    length = F.lit("" if day_range <= 1 else f"{day_range}d_")
 
-    def named(rows: DataFrame, what: Column) -> DataFrame:
-        return rows.select(
-            F.concat(F.lit(METRIC_PREFIX), window, "arm", what).alias("metric"),
+    def named(values: DataFrame, what: Column) -> DataFrame:
+        return values.select(
+            F.concat(F.lit(METRIC_PREFIX), length, "arm", what).alias("metric"),
             day_epoch(F.col("day")).alias("ts"),
             F.col("point").alias("value"),
         )
@@ -386,18 +373,18 @@ def review_metric_points(daily: DataFrame, day_range: int = 1, client: str = "ba
         "uniq_doc_cnt": "_count_succ_uniq_doc",
         "succ_rate": "_rate_succ",
     }
-    totals = review_summary(daily, day_range).select(
+    totals = review_summary(rows).select(
         *RUN, *[F.col(c).cast("double").alias(suffix) for c, suffix in summary.items()]
     )
     points = named(
         totals.unpivot(list(RUN), list(summary.values()), "what", "point"), F.col("what")
     )
     by_status = {
-        "status_": review_status(daily, day_range),
-        "uniqdoc_status_": review_unique_status(daily, day_range),
+        "status_": review_status(rows),
+        "uniqdoc_status_": review_unique_status(rows),
     }
-    for infix, rows in by_status.items():
-        known = rows.where(F.col("status").isin(*STATUSES)).select(
+    for infix, shares in by_status.items():
+        known = shares.where(F.col("status").isin(*STATUSES)).select(
             *RUN, "status", F.col("cnt").cast("double").alias("count"), "rate"
         )
         long = known.unpivot([*RUN, "status"], ["count", "rate"], "kind", "point")

@@ -116,20 +116,22 @@ def test_editor_checks(lines, reviews, rows_of):
 
 
 @pytest.fixture
-def daily(lines, reviews):
+def window(lines, reviews):
     def build(*rows):
         """(line_no, day offset, docid): what the reviews say is in the id, ``doc.status.reason``."""
         df = lines(*[(n, d, "online", 10, doc) for n, d, doc in rows])
         known = {doc: doc.split(".") for _, _, doc in rows if "." in doc}
         state = reviews(*[_ok(doc, status, reason) for doc, (_, status, reason) in known.items()])
         docs = review.reviewed_docs(df, state)
-        return review.review_daily(docs, review.review_gate(docs, max_fail_ratio=1.0))
+        gate = review.review_gate(docs, max_fail_ratio=1.0)
+        table = review.review_daily(docs, gate)
+        return lambda days: review.review_window(table, gate, days)
 
     return build
 
 
-def test_analysis_of_one_day_and_of_a_window(daily, rows_of):
-    daily = daily(
+def test_analysis_of_one_day_and_of_a_window(window, rows_of):
+    window = window(
         (1, 0, "a.ok.x"),
         (2, 0, "p.poor.x"),
         (3, 0, "b.ok.y"),
@@ -143,29 +145,29 @@ def test_analysis_of_one_day_and_of_a_window(daily, rows_of):
     )
     day = [(D1 + timedelta(d)) for d in (0, 2, 6, 7)]
     columns = ("day", "total_cnt", "succ_cnt", "wrong_cnt", "uniq_doc_cnt", "succ_rate")
-    assert rows_of(review.review_summary(daily), *columns) == [
+    assert rows_of(review.review_summary(window(1)), *columns) == [
         (day[0], 6, 4, 2, 3, 4 / 6),
         (day[1], 2, 2, 0, 2, 1.0),
         (day[2], 1, 0, 1, 0, 0.0),
         (day[3], 1, 1, 0, 1, 1.0),
     ]
     # Seven days back from a day that has a run: day 7 no longer sees day 0.
-    assert rows_of(review.review_summary(daily, 7), *columns) == [
+    assert rows_of(review.review_summary(window(7)), *columns) == [
         (day[0], 6, 4, 2, 3, 4 / 6),
         (day[1], 8, 6, 2, 4, 0.75),
         (day[2], 9, 6, 3, 4, 6 / 9),
         (day[3], 4, 3, 1, 3, 0.75),
     ]
-    assert rows_of(review.review_status(daily), "day", "status", "cnt", "rate")[:2] == [
+    assert rows_of(review.review_status(window(1)), "day", "status", "cnt", "rate")[:2] == [
         (day[0], "ok", 3, 0.75),
         (day[0], "poor", 1, 0.25),
     ]
-    reasons = review.review_status_reason(daily).where(F.col("day") == F.lit(day[0]))
+    reasons = review.review_status_reason(window(1)).where(F.col("day") == F.lit(day[0]))
     assert [tuple(r)[2:] for r in reasons.collect()] == [("ok", "x", 2, 2 / 3), ("ok", "y", 1, 1 / 3), ("poor", "x", 1, 1.0)]
-    unique = rows_of(review.review_unique_status(daily), "day", "status", "cnt")
+    unique = rows_of(review.review_unique_status(window(1)), "day", "status", "cnt")
     assert unique[:2] == [(day[0], "ok", 2), (day[0], "poor", 1)]
-    window = [r for r in rows_of(review.review_unique_status(daily, 7), "day", "status", "cnt") if r[0] == day[1]]
-    assert window == [(day[1], "odd", 1), (day[1], "ok", 2), (day[1], "poor", 1)]
+    week = [r for r in rows_of(review.review_unique_status(window(7)), "day", "status", "cnt") if r[0] == day[1]]
+    assert week == [(day[1], "odd", 1), (day[1], "ok", 2), (day[1], "poor", 1)]
 
 
 def test_the_newest_day_and_its_first_line_decide_a_status(spark, rows_of):
@@ -177,15 +179,20 @@ def test_the_newest_day_and_its_first_line_decide_a_status(spark, rows_of):
     ]
     schema = "day date, arm string, docid string, status string, reason string, cnt bigint, first_line bigint, usable boolean"
     daily = spark.createDataFrame(rows, schema)
-    assert rows_of(review.review_unique_status(daily, 7), "day", "status", "cnt") == [
+    gate = spark.createDataFrame(
+        [(D1, "online", True, 2), (D1 + timedelta(2), "online", True, 2), (D1 + timedelta(3), "online", True, 0)],
+        "day date, arm string, passed boolean, complete_cnt bigint",
+    )
+    rows = review.review_window(daily, gate, 7)
+    assert rows_of(review.review_unique_status(rows), "day", "status", "cnt") == [
         (D1, "poor", 1),
         (D1 + timedelta(2), "ok", 1),
     ]
 
 
-def test_metric_points(daily):
-    daily = daily((1, 0, "a.ok.x"), (2, 0, "b.odd.x"), (1, 1, "c"))
-    points = {(p["metric"], p["ts"]): p["value"] for p in review.review_metric_points(daily).collect()}
+def test_metric_points(window):
+    window = window((1, 0, "a.ok.x"), (2, 0, "b.odd.x"), (1, 1, "c"))
+    points = {(p["metric"], p["ts"]): p["value"] for p in review.review_metric_points(window(1), 1).collect()}
     ts, prefix = 1704067200, "feed_quanlity_check_online"
     first = {m.removeprefix(prefix): v for (m, t), v in points.items() if t == ts}
     assert first == {
@@ -194,7 +201,7 @@ def test_metric_points(daily):
     }
     # A day without usable rows reports its counts only.
     assert sum(t == ts + 86400 for _, t in points) == 5
-    week = {p["metric"] for p in review.review_metric_points(daily, 7).collect()}
+    week = {p["metric"] for p in review.review_metric_points(window(7), 7).collect()}
     assert "feed_quanlity_check_7d_online_rate_status_ok" in week
 
 
