@@ -233,15 +233,10 @@ def labeled(t: FeedTables) -> DataFrame:
     return review.review_labeled(t.crawl_rows, t.reviews, gate)
 
 
-def windows(t: FeedTables, *day_ranges: int) -> list[DataFrame]:
+def daily_and_gate(t: FeedTables) -> tuple[DataFrame, DataFrame]:
     docs = stage(reviewed(t), "reviewed-docs")
     gate = stage(review.review_gate(docs), "review-gate")
-    daily = review.review_daily(docs, gate)
-    return [review.review_window(daily, gate, days) for days in day_ranges]
-
-
-def window(t: FeedTables, days: int) -> DataFrame:
-    return windows(t, days)[0]
+    return review.review_daily(docs, gate), gate
 
 
 def payload(t: FeedTables) -> DataFrame:
@@ -259,9 +254,8 @@ def payload(t: FeedTables) -> DataFrame:
 
 
 def review_points(t: FeedTables) -> DataFrame:
-    ranges = (1, 7)
-    rows = windows(t, *ranges)
-    points = _union([review.review_metric_points(r, days) for r, days in zip(rows, ranges)])
+    daily, gate = daily_and_gate(t)
+    points = _union([review.review_metric_points(daily, gate, days) for days in (1, 7)])
     return points.select("metric", "ts", "value", F.col("tags")["client"].alias("client"))
 
 
@@ -280,14 +274,14 @@ _register("review_gate", lambda t: review.review_gate(reviewed(t)))
 _register("review_labeled", labeled)
 _register("editor_weighted", lambda t: review.editor_weighted(reviewed(t)))
 _register("editor_unique", lambda t: review.editor_unique(reviewed(t)))
-_register("review_summary", lambda t: review.review_summary(window(t, 1)))
-_register("review_status", lambda t: review.review_status(window(t, 1)))
-_register("review_status_reason", lambda t: review.review_status_reason(window(t, 1)))
-_register("review_unique_status", lambda t: review.review_unique_status(window(t, 1)))
-_register("review_7d", lambda t: review.review_summary(window(t, 7)))
-_register("review_7d_status", lambda t: review.review_status(window(t, 7)))
-_register("review_7d_status_reason", lambda t: review.review_status_reason(window(t, 7)))
-_register("review_7d_unique_status", lambda t: review.review_unique_status(window(t, 7)))
+_register("review_summary", lambda t: review.review_summary(*daily_and_gate(t)))
+_register("review_status", lambda t: review.review_status(*daily_and_gate(t)))
+_register("review_status_reason", lambda t: review.review_status_reason(*daily_and_gate(t)))
+_register("review_unique_status", lambda t: review.review_unique_status(*daily_and_gate(t)))
+_register("review_7d", lambda t: review.review_summary(*daily_and_gate(t), 7))
+_register("review_7d_status", lambda t: review.review_status(*daily_and_gate(t), 7))
+_register("review_7d_status_reason", lambda t: review.review_status_reason(*daily_and_gate(t), 7))
+_register("review_7d_unique_status", lambda t: review.review_unique_status(*daily_and_gate(t), 7))
 _register("review_metric_points", review_points)
 
 # ------------------------------------------------------- history, index sync

@@ -177,11 +177,10 @@ def review_analysis(run: Run) -> None:
         "unique_status": review.review_unique_status,
     }
     for days in (1, ANALYSIS_DAYS):
-        window = review.review_window(daily, gate, days)
         for name, report in reports.items():
-            result = report(window).where(reported)
+            result = report(daily, gate, days).where(reported)
             result.write.mode("overwrite").parquet(run.path(f"review_{name}_{days}d"))
-        points = review.review_metric_points(window, days)
+        points = review.review_metric_points(daily, gate, days)
         oldest = F.unix_date(F.lit(run.day - timedelta(days=ANALYSIS_DAYS))).cast("long") * 86400
         points.where(F.col("ts") >= oldest).write.mode("overwrite").parquet(run.path(f"review_points_{days}d"))
 

@@ -191,12 +191,10 @@ def reviewed_docs(lines: DataFrame, reviews: DataFrame) -> DataFrame:
     ``complete`` ones have all fields. The gate and every report are built on
     this table alone: stage it.
     """
-    complete = F.col("width") == CRAWL_WIDTH
     per_doc = lines.groupBy(*RUN, "docid").agg(
         F.count_if(F.col("width") <= 2).alias("wrong"),
         F.count_if(F.col("width") > 2).alias("looked"),
-        F.count_if(complete).alias("complete"),
-        F.min(F.when(complete, F.col("line_no"))).alias("first_line"),
+        F.count_if(F.col("width") == CRAWL_WIDTH).alias("complete"),
     )
     return _looked_up(per_doc, reviews)
 
@@ -272,51 +270,60 @@ def editor_unique(docs: DataFrame) -> DataFrame:
 
 
 def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
-    """Complete rows and first line per run and document, with its label.
+    """(day, arm, docid, status, reason, cnt, usable): one row per run and document.
 
-    A 7-day window (``review_window``) repeats documents, not lines.
+    ``cnt`` is its number of complete lines; they share the document's label.
+    Every report is built on this table and the gate.
     """
     labeled = _passed(docs.where(F.col("complete") > 0), gate).select(
-        *RUN, "docid", *_label(), F.col("complete").alias("cnt"), "first_line"
+        *RUN, "docid", *_label(), F.col("complete").alias("cnt")
     )
     usable = (F.col("status") != NOT_REVIEWED) & (F.trim("reason") != "")
     return labeled.withColumn("usable", usable)
 
 
-def review_window(daily: DataFrame, gate: DataFrame, day_range: int) -> DataFrame:
-    """The daily table under each run day whose trailing window covers it.
+def _on_run_days(rows: DataFrame, gate: DataFrame) -> DataFrame:
+    """Reports exist for days with a run; a run of no complete line has none."""
+    return _passed(rows, gate.where(F.col("complete_cnt") > 0))
 
-    Adds ``seen_day``; days without a run report nothing, days missing inside a
-    window simply add nothing. Every report takes such a table.
+
+def _trailing(counts: DataFrame, gate: DataFrame, day_range: int) -> DataFrame:
+    """Sum daily counts over the trailing window of each run day.
+
+    Takes a table already counted per day, so it is a handful of rows that are
+    repeated. Days missing inside a window simply add nothing.
     """
-    seen = daily.withColumnRenamed("day", "seen_day")
     if day_range == 1:
-        return seen.withColumn("day", F.col("seen_day"))
+        return counts
+    keys = [c for c in counts.columns if not c.endswith("cnt")]
     shifts = F.sequence(F.lit(0), F.lit(day_range - 1))
-    return _passed(
-        seen.select("*", F.explode(shifts).alias("shift")).select(
-            *seen.columns, F.date_add("seen_day", F.col("shift")).alias("day")
-        ),
-        gate.where(F.col("complete_cnt") > 0),
+    shifted = counts.select("*", F.explode(shifts).alias("shift")).withColumn(
+        "day", F.date_add("day", F.col("shift"))
     )
+    sums = [F.sum(c).alias(c) for c in counts.columns if c.endswith("cnt")]
+    return _on_run_days(shifted, gate).groupBy(*keys).agg(*sums)
 
 
-def review_summary(window: DataFrame) -> DataFrame:
-    """Per run day: total, usable and wrong rows, distinct documents, success rate."""
-    succ = F.when(F.col("usable"), F.col("cnt")).otherwise(0)
-    totals = (
-        window.groupBy(*RUN, "docid")
-        .agg(F.sum(succ).alias("succ"), F.sum(F.col("cnt") - succ).alias("wrong"))
-        .groupBy(*RUN)
-        .agg(
-            F.sum(F.col("succ") + F.col("wrong")).alias("total_cnt"),
-            F.sum("succ").alias("succ_cnt"),
-            F.sum("wrong").alias("wrong_cnt"),
-            F.count_if(F.col("succ") > 0).alias("uniq_doc_cnt"),
-        )
+def _documents_by_status(daily: DataFrame, gate: DataFrame, day_range: int) -> DataFrame:
+    """(day, arm, status, cnt): distinct usable documents of each trailing window.
+
+    The newest day is read first, so a document shows a day's status until it
+    is seen again or has left the window. Each of its days thus stands for an
+    interval of window days; equal intervals are counted before they unfold.
+    """
+    seen = daily.where("usable").select(*RUN, "docid", "status")
+    if day_range == 1:
+        return seen.groupBy(*RUN, "status").agg(F.count(F.lit(1)).alias("cnt"))
+    seen_again = F.lead("day").over(Window.partitionBy("arm", "docid").orderBy("day"))
+    intervals = (
+        seen.withColumn("last", F.least(F.date_add("day", day_range - 1), F.date_sub(seen_again, 1)))
+        .groupBy("arm", "status", "day", "last")
+        .agg(F.count(F.lit(1)).alias("docs"))
     )
-    rate = F.try_divide(F.col("succ_cnt").cast("double"), F.col("total_cnt").cast("double"))
-    return totals.withColumn("succ_rate", rate)
+    unfolded = intervals.select(
+        "arm", "status", "docs", F.explode(F.sequence("day", "last")).alias("day")
+    )
+    return _on_run_days(unfolded, gate).groupBy(*RUN, "status").agg(F.sum("docs").alias("cnt"))
 
 
 def _shares(counts: DataFrame, whole: Sequence[str]) -> DataFrame:
@@ -324,36 +331,55 @@ def _shares(counts: DataFrame, whole: Sequence[str]) -> DataFrame:
     return counts.withColumn("rate", F.try_divide(F.col("cnt").cast("double"), total.cast("double")))
 
 
-def review_status(window: DataFrame) -> DataFrame:
+def review_summary(daily: DataFrame, gate: DataFrame, day_range: int = 1) -> DataFrame:
+    """Per run day: total, usable and wrong rows, distinct documents, success rate."""
+    per_day = daily.groupBy(*RUN).agg(
+        F.sum("cnt").alias("total_cnt"),
+        F.sum(F.when(F.col("usable"), F.col("cnt")).otherwise(0)).alias("succ_cnt"),
+        F.sum(F.when(F.col("usable"), 0).otherwise(F.col("cnt"))).alias("wrong_cnt"),
+    )
+    documents = (
+        _documents_by_status(daily, gate, day_range)
+        .groupBy(*RUN)
+        .agg(F.sum("cnt").alias("documents"))
+    )
+    rate = F.try_divide(F.col("succ_cnt").cast("double"), F.col("total_cnt").cast("double"))
+    return (
+        _trailing(per_day, gate, day_range)
+        .join(documents, list(RUN), "left")
+        .select(
+            *RUN,
+            "total_cnt",
+            "succ_cnt",
+            "wrong_cnt",
+            F.coalesce("documents", F.lit(0)).alias("uniq_doc_cnt"),
+            rate.alias("succ_rate"),
+        )
+    )
+
+
+def review_status(daily: DataFrame, gate: DataFrame, day_range: int = 1) -> DataFrame:
     """Per run day and status: rows and their share of the usable rows."""
-    counts = window.where("usable").groupBy(*RUN, "status").agg(F.sum("cnt").alias("cnt"))
-    return _shares(counts, RUN)
+    per_day = daily.where("usable").groupBy(*RUN, "status").agg(F.sum("cnt").alias("cnt"))
+    return _shares(_trailing(per_day, gate, day_range), RUN)
 
 
-def review_status_reason(window: DataFrame) -> DataFrame:
+def review_status_reason(daily: DataFrame, gate: DataFrame, day_range: int = 1) -> DataFrame:
     """Per run day, status and reason: rows and their share of the status."""
-    counts = window.where("usable").groupBy(*RUN, "status", "reason").agg(F.sum("cnt").alias("cnt"))
+    per_day = daily.where("usable").groupBy(*RUN, "status", "reason").agg(F.sum("cnt").alias("cnt"))
+    counts = _trailing(per_day, gate, day_range)
     return _shares(counts, [*RUN, "status"]).orderBy(*RUN, "status", F.desc("cnt"), "reason")
 
 
-def review_unique_status(window: DataFrame) -> DataFrame:
-    """Per run day and status: documents by the status seen first.
-
-    The newest day is read first, and within a day the first line.
-    """
-    reading_order = F.struct(-F.unix_date("seen_day"), F.col("first_line"))
-    counts = (
-        window.where("usable")
-        .groupBy(*RUN, "docid")
-        .agg(F.min_by(F.col("status"), reading_order).alias("status"))
-        .groupBy(*RUN, "status")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    return _shares(counts, RUN)
+def review_unique_status(daily: DataFrame, gate: DataFrame, day_range: int = 1) -> DataFrame:
+    """Per run day and status: documents by the status seen first, newest day first."""
+    return _shares(_documents_by_status(daily, gate, day_range), RUN)
 
 
-def review_metric_points(rows: DataFrame, day_range: int, client: str = "batch") -> DataFrame:
-    """(metric, ts, value, tags) of a ``review_window`` of that many days.
+def review_metric_points(
+    daily: DataFrame, gate: DataFrame, day_range: int = 1, client: str = "batch"
+) -> DataFrame:
+    """(metric, ts, value, tags) of one window length.
 
     Statuses outside the three known ones are counted but not reported.
     """
@@ -373,15 +399,15 @@ def review_metric_points(rows: DataFrame, day_range: int, client: str = "batch")
         "uniq_doc_cnt": "_count_succ_uniq_doc",
         "succ_rate": "_rate_succ",
     }
-    totals = review_summary(rows).select(
+    totals = review_summary(daily, gate, day_range).select(
         *RUN, *[F.col(c).cast("double").alias(suffix) for c, suffix in summary.items()]
     )
     points = named(
         totals.unpivot(list(RUN), list(summary.values()), "what", "point"), F.col("what")
     )
     by_status = {
-        "status_": review_status(rows),
-        "uniqdoc_status_": review_unique_status(rows),
+        "status_": review_status(daily, gate, day_range),
+        "uniqdoc_status_": review_unique_status(daily, gate, day_range),
     }
     for infix, shares in by_status.items():
         known = shares.where(F.col("status").isin(*STATUSES)).select(

@@ -116,7 +116,7 @@ def test_editor_checks(lines, reviews, rows_of):
 
 
 @pytest.fixture
-def window(lines, reviews):
+def tables(lines, reviews):
     def build(*rows):
         """(line_no, day offset, docid): what the reviews say is in the id, ``doc.status.reason``."""
         df = lines(*[(n, d, "online", 10, doc) for n, d, doc in rows])
@@ -124,14 +124,13 @@ def window(lines, reviews):
         state = reviews(*[_ok(doc, status, reason) for doc, (_, status, reason) in known.items()])
         docs = review.reviewed_docs(df, state)
         gate = review.review_gate(docs, max_fail_ratio=1.0)
-        table = review.review_daily(docs, gate)
-        return lambda days: review.review_window(table, gate, days)
+        return review.review_daily(docs, gate), gate
 
     return build
 
 
-def test_analysis_of_one_day_and_of_a_window(window, rows_of):
-    window = window(
+def test_analysis_of_one_day_and_of_a_window(tables, rows_of):
+    tables = tables(
         (1, 0, "a.ok.x"),
         (2, 0, "p.poor.x"),
         (3, 0, "b.ok.y"),
@@ -145,54 +144,55 @@ def test_analysis_of_one_day_and_of_a_window(window, rows_of):
     )
     day = [(D1 + timedelta(d)) for d in (0, 2, 6, 7)]
     columns = ("day", "total_cnt", "succ_cnt", "wrong_cnt", "uniq_doc_cnt", "succ_rate")
-    assert rows_of(review.review_summary(window(1)), *columns) == [
+    assert rows_of(review.review_summary(*tables), *columns) == [
         (day[0], 6, 4, 2, 3, 4 / 6),
         (day[1], 2, 2, 0, 2, 1.0),
         (day[2], 1, 0, 1, 0, 0.0),
         (day[3], 1, 1, 0, 1, 1.0),
     ]
     # Seven days back from a day that has a run: day 7 no longer sees day 0.
-    assert rows_of(review.review_summary(window(7)), *columns) == [
+    assert rows_of(review.review_summary(*tables, 7), *columns) == [
         (day[0], 6, 4, 2, 3, 4 / 6),
         (day[1], 8, 6, 2, 4, 0.75),
         (day[2], 9, 6, 3, 4, 6 / 9),
         (day[3], 4, 3, 1, 3, 0.75),
     ]
-    assert rows_of(review.review_status(window(1)), "day", "status", "cnt", "rate")[:2] == [
+    assert rows_of(review.review_status(*tables), "day", "status", "cnt", "rate")[:2] == [
         (day[0], "ok", 3, 0.75),
         (day[0], "poor", 1, 0.25),
     ]
-    reasons = review.review_status_reason(window(1)).where(F.col("day") == F.lit(day[0]))
+    reasons = review.review_status_reason(*tables).where(F.col("day") == F.lit(day[0]))
     assert [tuple(r)[2:] for r in reasons.collect()] == [("ok", "x", 2, 2 / 3), ("ok", "y", 1, 1 / 3), ("poor", "x", 1, 1.0)]
-    unique = rows_of(review.review_unique_status(window(1)), "day", "status", "cnt")
+    unique = rows_of(review.review_unique_status(*tables), "day", "status", "cnt")
     assert unique[:2] == [(day[0], "ok", 2), (day[0], "poor", 1)]
-    week = [r for r in rows_of(review.review_unique_status(window(7)), "day", "status", "cnt") if r[0] == day[1]]
+    week = [r for r in rows_of(review.review_unique_status(*tables, 7), "day", "status", "cnt") if r[0] == day[1]]
     assert week == [(day[1], "odd", 1), (day[1], "ok", 2), (day[1], "poor", 1)]
 
 
-def test_the_newest_day_and_its_first_line_decide_a_status(spark, rows_of):
-    rows = [
-        (D1, "online", "a", "poor", "x", 1, 5, True),
-        (D1, "online", "a", "ok", "x", 1, 7, True),
-        (D1 + timedelta(2), "online", "a", "odd", "x", 1, 9, True),
-        (D1 + timedelta(2), "online", "a", "ok", "x", 1, 8, True),
-    ]
-    schema = "day date, arm string, docid string, status string, reason string, cnt bigint, first_line bigint, usable boolean"
-    daily = spark.createDataFrame(rows, schema)
+def test_the_newest_day_decides_a_status(spark, rows_of):
+    def row(day, doc, status, usable=True):
+        return (D1 + timedelta(day), "online", doc, status, "x", 1, usable)
+
+    daily = spark.createDataFrame(
+        [row(0, "a", "poor"), row(2, "a", "odd"), row(2, "b", "ok"), row(9, "a", "ok", False), row(10, "a", "ok"), row(12, "c", "ok")],
+        "day date, arm string, docid string, status string, reason string, cnt bigint, usable boolean",
+    )
+    # Day 4 did not pass the gate, day 5 has no complete line, day 13 is past the data.
+    runs = {0: 1, 1: 1, 2: 1, 4: 0, 5: 1, 6: 1, 8: 1, 9: 1, 10: 1, 13: 1}
     gate = spark.createDataFrame(
-        [(D1, "online", True, 2), (D1 + timedelta(2), "online", True, 2), (D1 + timedelta(3), "online", True, 0)],
+        [(D1 + timedelta(d), "online", bool(p), 0 if d == 5 else 2) for d, p in runs.items()],
         "day date, arm string, passed boolean, complete_cnt bigint",
     )
-    rows = review.review_window(daily, gate, 7)
-    assert rows_of(review.review_unique_status(rows), "day", "status", "cnt") == [
-        (D1, "poor", 1),
-        (D1 + timedelta(2), "ok", 1),
-    ]
+    counts = rows_of(review.review_unique_status(daily, gate, 7), "day", "status", "cnt")
+    assert sorted(((d - D1).days, status, n) for d, status, n in counts) == [
+        (0, "poor", 1), (1, "poor", 1), (2, "odd", 1), (2, "ok", 1), (6, "odd", 1), (6, "ok", 1),
+        (8, "odd", 1), (8, "ok", 1), (10, "ok", 1), (13, "ok", 2),
+    ]
 
 
-def test_metric_points(window):
-    window = window((1, 0, "a.ok.x"), (2, 0, "b.odd.x"), (1, 1, "c"))
-    points = {(p["metric"], p["ts"]): p["value"] for p in review.review_metric_points(window(1), 1).collect()}
+def test_metric_points(tables):
+    tables = tables((1, 0, "a.ok.x"), (2, 0, "b.odd.x"), (1, 1, "c"))
+    points = {(p["metric"], p["ts"]): p["value"] for p in review.review_metric_points(*tables).collect()}
     ts, prefix = 1704067200, "feed_quanlity_check_online"
     first = {m.removeprefix(prefix): v for (m, t), v in points.items() if t == ts}
     assert first == {
@@ -201,7 +201,7 @@ def test_metric_points(window):
     }
     # A day without usable rows reports its counts only.
     assert sum(t == ts + 86400 for _, t in points) == 5
-    week = {p["metric"] for p in review.review_metric_points(window(7), 7).collect()}
+    week = {p["metric"] for p in review.review_metric_points(*tables, 7).collect()}
     assert "feed_quanlity_check_7d_online_rate_status_ok" in week
 
 
