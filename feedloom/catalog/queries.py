@@ -89,27 +89,38 @@ def city_category(t: FeedTables) -> DataFrame:
     return geo.city_category_ctr(city_facts(t), t.doc_dim, "channel", AS_OF, DOC_DAYS)
 
 
-def top_docs(t: FeedTables, dimension: str) -> DataFrame:
-    per_doc = geo.doc_impressions(t.interactions, AS_OF, cjv_days=ALL_DAYS)
-    return geo.geo_top_docs(per_doc, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK)
+def doc_facts(t: FeedTables) -> DataFrame:
+    return geo.doc_impressions(t.interactions, AS_OF, cjv_days=ALL_DAYS)
 
 
-def top_docs_kv(t: FeedTables, dimension: str) -> DataFrame:
-    return geo.geo_top_docs_kv(top_docs(t, dimension), TOP_LIST_SIZE)
+def top_docs(t: FeedTables, dimension: str, facts: DataFrame | None = None) -> DataFrame:
+    facts = doc_facts(t) if facts is None else facts
+    return geo.geo_top_docs(facts, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK)
+
+
+def top_docs_kv(t: FeedTables, dimension: str, facts: DataFrame | None = None) -> DataFrame:
+    return geo.geo_top_docs_kv(top_docs(t, dimension, facts), TOP_LIST_SIZE)
 
 
 def new_docs(t: FeedTables, dimension: str) -> DataFrame:
     return geo.geo_new_docs(t.doc_dim, dimension, AS_OF_TIME, doc_days=DOC_DAYS, hours=NEW_DOC_HOURS)
 
 
-def merged(t: FeedTables, variant: Callable[[FeedTables, str], DataFrame], prefix: str) -> DataFrame:
-    return lists.kv_publish(lists.merge_variants([variant(t, d) for d in VARIANT_ORDER]), prefix)
+def merged_top_docs(t: FeedTables) -> DataFrame:
+    facts = stage(doc_facts(t), "doc-impressions")
+    merged = lists.merge_variants([top_docs_kv(t, d, facts) for d in VARIANT_ORDER])
+    return lists.kv_publish(merged, TOP_PREFIX)
+
+
+def merged_new_docs(t: FeedTables) -> DataFrame:
+    return lists.kv_publish(lists.merge_variants([new_docs(t, d) for d in VARIANT_ORDER]), NEW_PREFIX)
 
 
 def gates(t: FeedTables) -> DataFrame:
+    facts = stage(doc_facts(t), "doc-impressions")
     return _union(
         [lists.publish_gate(new_docs(t, d), f"geo_new_docs_{d}") for d in DIMENSIONS]
-        + [lists.publish_gate(top_docs(t, d), f"geo_top_docs_{d}") for d in DIMENSIONS]
+        + [lists.publish_gate(top_docs(t, d, facts), f"geo_top_docs_{d}") for d in DIMENSIONS]
     )
 
 
@@ -121,8 +132,8 @@ _register("city_category_ctr", city_category)
 _register("cross_geo_kv", lambda t: geo.cross_geo_kv(cross_geo(t, "channel")))
 _register("geo_top_docs_kv", lambda t: top_docs_kv(t, "channel"))
 _register("kv_size_stats", lambda t: lists.kv_size_stats(top_docs_kv(t, "channel")))
-_register("geo_kv_merged", lambda t: merged(t, top_docs_kv, TOP_PREFIX))
-_register("geo_new_kv_merged", lambda t: merged(t, new_docs, NEW_PREFIX))
+_register("geo_kv_merged", merged_top_docs)
+_register("geo_new_kv_merged", merged_new_docs)
 _register("publish_gate", gates)
 _register(
     "kv_publish",

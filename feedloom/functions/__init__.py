@@ -7,6 +7,7 @@ from feedloom.functions.columns import (
     ratio,
     rounded_ctr,
     starts_local,
+    stripped,
     within,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "ratio",
     "rounded_ctr",
     "starts_local",
+    "stripped",
     "within",
 ]

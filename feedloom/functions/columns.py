@@ -60,3 +60,8 @@ def day_epoch(day: Column) -> Column:
 
 def null_text(column: Column, default: str = "null") -> Column:
     return F.coalesce(column, F.lit(default))
+
+
+def stripped(column: Column) -> Column:
+    """Text without white space at either end, tabs and line ends included."""
+    return F.btrim(column, F.lit(" \t\n\r\f\v"))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import stripped
 from feedloom.operators.ranking import top_k
 
 # Text of a NULL field in a landed row file, list separator,
@@ -86,7 +87,7 @@ def kv_publish(kv: DataFrame, prefix: str, ttl_sec: int = LIST_TTL_SEC) -> DataF
 
     A row with an empty key or value is not a two-field row and is not written.
     """
-    return kv.where((F.trim("key") != "") & (F.trim("value") != "")).select(
+    return kv.where((stripped(F.col("key")) != "") & (stripped(F.col("value")) != "")).select(
         F.concat(F.lit(prefix + "@"), "key").alias("key"),
         "value",
         F.lit(ttl_sec).alias("ttl_sec"),

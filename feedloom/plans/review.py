@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.functions import day_epoch, null_text
+from feedloom.functions import day_epoch, null_text, stripped
 from feedloom.plans.feedparse import CRAWL_WIDTH
 
 # A run is one crawl file: a day and an arm.
@@ -278,7 +278,7 @@ def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
     labeled = _passed(docs.where(F.col("complete") > 0), gate).select(
         *RUN, "docid", *_label(), F.col("complete").alias("cnt")
     )
-    usable = (F.col("status") != NOT_REVIEWED) & (F.trim("reason") != "")
+    usable = (F.col("status") != NOT_REVIEWED) & (stripped(F.col("reason")) != "")
     return labeled.withColumn("usable", usable)
 
 

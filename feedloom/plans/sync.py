@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import stripped
+
 # Outcome texts.
 NOT_IN_INDEX = "none"
 UPDATED = "succ_update_es"
@@ -13,7 +15,9 @@ UPDATED = "succ_update_es"
 def latest_updates(updates: DataFrame) -> DataFrame:
     """(docid, timeliness): the last line of a document wins."""
     trimmed = updates.select(
-        F.trim("docid").alias("docid"), F.trim("timeliness").alias("timeliness"), "line_no"
+        stripped(F.col("docid")).alias("docid"),
+        stripped(F.col("timeliness")).alias("timeliness"),
+        "line_no",
     )
     return trimmed.groupBy("docid").agg(F.max_by("timeliness", "line_no").alias("timeliness"))
 

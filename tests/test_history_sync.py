@@ -75,7 +75,7 @@ def _updates(spark, *rows):
 
 
 def test_last_update_wins(spark, rows_of):
-    updates = _updates(spark, ("a", "old"), (" a ", " new "), ("b", "x"), ("c", ""), ("c", "y"), ("c", ""))
+    updates = _updates(spark, ("a", "old"), (" a\t", "\r new \n"), ("b", "x"), ("c", ""), ("c", "y"), ("c", ""))
     index = spark.createDataFrame([("a", "t0"), ("z", "t0"), ("c", "t0")], schemas.SEARCH_INDEX)
     outcome = sync.index_sync_outcome(updates, index)
     assert rows_of(outcome) == [("a", "new", "succ_update_es"), ("b", "x", "none"), ("c", "", "succ_update_es")]

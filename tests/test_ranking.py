@@ -107,7 +107,7 @@ def test_later_variant_wins_a_key(spark, rows_of):
 
 
 def test_gate_and_publish(spark, rows_of):
-    kv = spark.createDataFrame([("a", "x"), ("b", ""), ("", "y"), ("c", None)], "key string, value string")
+    kv = spark.createDataFrame([("a", "x"), ("b", ""), ("\t", "y"), ("c", None)], "key string, value string")
     assert rows_of(lists.publish_gate(kv, "l", 4)) == [("l", 4, True)]
     assert rows_of(lists.publish_gate(kv, "l", 5)) == [("l", 4, False)]
     assert rows_of(lists.kv_publish(kv, "p")) == [("p@a", "x", 86400)]
