@@ -1,6 +1,7 @@
 """The scheduled jobs end to end: read tables, compute, gate, write.
 
-    spark-submit feedloom/jobs.py geo_top_docs --tables s3://... --out s3://... --as-of 2024-01-31
+    spark-submit --py-files feedloom.zip run_job.py geo_top_docs \\
+        --tables <folder> --out <folder> --as-of 2024-01-31
 
 Tables are Parquet folders named as in ``sources.schemas``, the fact and the
 snapshots partitioned by ``pdate``. Every job takes its clock as an argument.
