@@ -9,12 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, quality, tokens, toxicity, urls
+from feedloom.llm import chat, licences, packing, quality, tokens, toxicity, urls, vectors
 from feedloom.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
+#: The same vocabulary as ranks.
+TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKEN_LIMIT = 1024
 #: (host, path, verdict), fixed by the contract of the query.
 URL_RULES = (
@@ -35,6 +37,18 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path(TOKENIZER),
+        public_tokenizers.path(TOKENIZER_RANKS),
+        public_tokenizers.PATTERN,
+    )
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.createDataFrame([(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)], turns.schema)
@@ -46,10 +60,18 @@ def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(_table(spark, folder, "pages"), rules)
 
 
+def op7_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(_table(spark, folder, "documents"))
+
+
 def op10_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Counts through a cache of this run; a lasting cache folder serves later runs."""
     cache = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/token-cache-{uuid.uuid4().hex}"
@@ -59,9 +81,12 @@ def op10_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op3_packing": op3_packing,
     "op4_chat": op4_chat,
     "op6_urls": op6_urls,
+    "op7_vectors": op7_vectors,
     "op8_toxicity": op8_toxicity,
+    "op9_licences": op9_licences,
     "op10_tokens": op10_tokens,
 }
 
