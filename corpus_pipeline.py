@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm import quality, toxicity
+from feedloom.llm import decontamination, nearcopies, packing, quality, queries, toxicity
 from feedloom.staging import stage
 
 
@@ -34,9 +35,34 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return scored.where(F.col(mark) >= quality.THRESHOLD).select(*docs.columns)
 
 
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies; rows without an id are not compared and stay."""
+    copies = nearcopies.mark(docs.where("doc_id IS NOT NULL")).where("NOT kept").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    known = kept.where("doc_id IS NOT NULL")
+    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    row = f"r{uuid.uuid4().hex[:8]}"
+    once = known.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).drop(row)
+    return once.unionByName(kept.where("doc_id IS NULL"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find(docs, benchmark).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return queries.packed_pieces(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality", drop_low_quality),
+    ("near_copies", keep_one_copy),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_pieces),
 ]
 
 #: No SQL can train the classifiers or align texts; the stages have tests of their own.

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, licences, packing, quality, tokens, toxicity, urls, vectors
+from feedloom.llm import chat, decontamination, licences, nearcopies, packing, quality, tokens, toxicity, urls, vectors
 from feedloom.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +37,14 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+def op2_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return nearcopies.mark(_table(spark, folder, "documents"))
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces of all documents, their token ids as a checksum."""
     packed = packing.pack(
-        _table(spark, folder, "documents"),
+        docs,
         public_tokenizers.path(TOKENIZER),
         public_tokenizers.path(TOKENIZER_RANKS),
         public_tokenizers.PATTERN,
@@ -49,12 +54,20 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(_table(spark, folder, "documents"))
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.createDataFrame([(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)], turns.schema)
     return chat.read_back(chat.format_conversations(turns.unionByName(forged)), ordered=True)
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.mark(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return urls.judge(_table(spark, folder, "pages"), rules)
@@ -81,8 +94,10 @@ def op10_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_near_copies": op2_near_copies,
     "op3_packing": op3_packing,
     "op4_chat": op4_chat,
+    "op5_decontamination": op5_decontamination,
     "op6_urls": op6_urls,
     "op7_vectors": op7_vectors,
     "op8_toxicity": op8_toxicity,
