@@ -28,6 +28,19 @@ def _ctr(clicks: str, checks: str) -> str:
     return f"CAST(({clicks} * 20000 + {checks}) // (2 * {checks}) AS DOUBLE) / 10000"
 
 
+def _outcomes(lines: str) -> str:
+    """The runs one after another: by day, the control arm first, then by name."""
+    return f"""
+        SELECT day, arm, line_no, docid,
+               CASE WHEN width < 2 THEN 'skip'
+                    WHEN docid IN (SELECT docid FROM ledger) THEN 'dup'
+                    WHEN docid IN (SELECT _id FROM reviews) THEN CASE WHEN in_run = 1 THEN 'exist' ELSE 'dup' END
+                    WHEN over_all = 1 THEN 'succ' ELSE 'dup' END AS outcome, in_run
+        FROM (SELECT *, row_number() OVER (PARTITION BY day, arm, width < 2, docid ORDER BY line_no) AS in_run,
+                row_number() OVER (PARTITION BY width < 2, docid ORDER BY day, arm <> 'online', arm, line_no) AS over_all
+              FROM {lines})"""
+
+
 TABLES = {
     "ev": f"""
         SELECT event_id, user_id, event_type, value, ts, CAST(ts AS DATE) AS day,
@@ -43,7 +56,8 @@ TABLES = {
                nr_condition,
                CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS joined,
                CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS checked,
-               CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS clicked,
+               CASE WHEN NOT (event_id % 4 = 2 AND CAST(doc_id AS INT) % 25 = 12) THEN
+                    CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END END AS clicked,
                CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS shared,
                CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS thumbed_up,
                CAST(floor(value * 100) AS BIGINT) AS cv_time,
@@ -59,16 +73,9 @@ TABLES = {
         SELECT doc_id AS d, CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, n_chars,
                TIMESTAMP '2024-01-31 00:00:00' - to_hours(doc_id % 48) AS publish_time
         FROM documents""",
-    "doc_cat_channel": """
-        SELECT doc_id, unnest(CASE WHEN d % 29 = 3 THEN [] ELSE [lang, source] END) AS category FROM docs""",
-    "doc_cat_first_cat": "SELECT doc_id, lang AS category FROM docs",
-    "doc_cat_second_cat": "SELECT doc_id, source AS category FROM docs",
-    "doc_geo": """
-        SELECT doc_id, publish_time, 'city' AS type,
-               CASE WHEN d % 23 <> 7 THEN 'p' || CAST(d % 5 AS VARCHAR) END AS pid FROM docs
-        UNION ALL
-        SELECT doc_id, publish_time, CASE WHEN d % 3 = 0 THEN 'state' ELSE 'county' END,
-               'q' || CAST(d % 7 AS VARCHAR) FROM docs""",
+    "snapshots": """
+        SELECT *, unnest(CASE WHEN d % 6 = 1 THEN [0, 1] ELSE [0] END) AS back FROM docs""",
+    "snapshots_latest": "SELECT * FROM snapshots WHERE back = 0",
     "local_facts": f"""
         SELECT * FROM interactions
         WHERE joined = 1 AND checked = 1 AND pdate >= DATE '2024-01-01'
@@ -117,25 +124,30 @@ TABLES = {
                CAST(day AS VARCHAR) AS pub_time, '2024-01-31' AS run_date
         FROM ev""",
     "feed_dump": """
-        SELECT event_id AS line_no, CAST(user_id AS VARCHAR) AS uid,
+        SELECT event_id AS line_no, CAST(day AS VARCHAR) AS day, CAST(user_id AS VARCHAR) AS uid,
                CASE WHEN event_id % 2 = 0 THEN 'online' ELSE 'exp' END AS arm,
                CASE WHEN event_id % 41 = 0 THEN '{"documents":['
                ELSE '{"documents":[' || list_aggregate(list_transform([0, 1, 2], lambda s:
-                   '{"docid":"' || CAST((CAST(doc_id AS INT) + s) % 100 AS VARCHAR) || '","pos":' ||
-                   CAST(s AS VARCHAR) || ',"contextMeta":' ||
+                   '{"docid":"' || CAST((CAST(doc_id AS INT) + s) % 100 AS VARCHAR) || '",' ||
+                   CASE WHEN event_id % 37 = 5 THEN '"pos":"' || CAST(s AS VARCHAR) || '",'
+                        WHEN event_id % 37 = 6 THEN '"pos":' || CAST(s AS VARCHAR) || '.5,'
+                        WHEN event_id % 37 = 7 THEN '"pos":null,' WHEN event_id % 43 = 9 THEN ''
+                        ELSE '"pos":' || CAST(s AS VARCHAR) || ',' END || '"contextMeta":' ||
                    CASE WHEN event_id % 10 = 9 THEN '{}'
                         WHEN (event_id + s) % 3 = 0 THEN '{"condition":"' || nr_condition || '"}'
                         ELSE '{"condition":"trending"}' END || '}'), 'string_agg', ',') || ']}' END AS body
         FROM ev""",
     "feed_docs": """
-        SELECT line_no, uid, arm, json_extract(body, '$.documents[*]') AS docs
-        FROM feed_dump WHERE json_valid(body)""",
+        SELECT * FROM (SELECT day, line_no, uid, arm, json_extract(body, '$.documents[*]') AS docs
+                       FROM feed_dump WHERE json_valid(body))
+        WHERE len(list_filter(docs, lambda x: NOT list_contains(json_keys(x), 'pos'))) = 0""",
     "items": """
-        SELECT line_no, CAST(item_no AS INT) AS item_no, uid, arm, json_extract_string(d, '$.docid') AS docid,
-               CAST(json_extract(d, '$.pos') AS BIGINT) AS pos,
+        SELECT day, line_no AS dump_no, CAST(item_no AS INT) AS item_no, uid, arm,
+               json_extract_string(d, '$.docid') AS docid,
+               coalesce(json_extract_string(d, '$.pos'), 'None') AS pos,
                coalesce(json_extract_string(d, '$.contextMeta.condition') LIKE 'local%', false) AS is_local,
                coalesce(json_extract_string(d, '$.contextMeta.condition'), 'null') AS condition
-        FROM (SELECT line_no, uid, arm, unnest(docs) AS d, unnest(range(len(docs))) AS item_no FROM feed_docs)
+        FROM (SELECT day, line_no, uid, arm, unnest(docs) AS d, unnest(range(len(docs))) AS item_no FROM feed_docs)
         WHERE coalesce(json_extract_string(d, '$.contextMeta.condition') LIKE 'local%', false) = false""",
     "doc_meta_json": f"""
         SELECT docid, CASE WHEN page_id % 43 = 11 THEN '{{' ELSE CAST(json_object('data',
@@ -173,20 +185,30 @@ TABLES = {
                CASE WHEN docs.d % 9 <> 0 THEN '{CONTENT_HOST}/a.png ' || text END AS content
         FROM docs LEFT JOIN page_urls ON page_urls.d = docs.d""",
     "ledger": "SELECT doc_id AS docid FROM docs WHERE d % 7 = 0",
-    "updates": """
-        SELECT d * 2 AS line_no, doc_id AS docid, 'short' AS timeliness FROM docs WHERE d % 2 = 0
+    "update_lines": """
+        SELECT d * 3 AS line_no, doc_id || chr(1) || 'short ' AS line FROM docs
+        UNION ALL
+        SELECT d * 3 + 1, doc_id || chr(1) || CASE WHEN d % 4 = 0 THEN 'evergreen' ELSE 'current' END FROM docs
         UNION ALL
-        SELECT d * 2 + 1, doc_id, CASE WHEN d % 4 = 0 THEN 'evergreen' ELSE 'current' END
-        FROM docs WHERE d % 2 = 0""",
+        SELECT d * 3 + 2, doc_id || CASE WHEN d % 11 = 4 THEN chr(1) || 'short' || chr(1) || 'x' ELSE '' END
+        FROM docs WHERE d % 11 IN (3, 4)""",
+    "updates": """
+        SELECT line_no, trim(f[1]) AS docid, trim(f[2]) AS timeliness
+        FROM (SELECT line_no, string_split(trim(line), chr(1)) AS f FROM update_lines) WHERE len(f) = 2""",
+    "ids": """
+        SELECT doc_id AS id FROM docs UNION ALL SELECT 'gone' || doc_id FROM docs WHERE d % 10 = 0""",
     "search_index": "SELECT doc_id AS docid, 'old' AS timeliness_type FROM docs WHERE d % 3 <> 0",
     # Results several queries build on.
-    "outcomes": """
-        SELECT day, arm, line_no, docid,
-               CASE WHEN width < 2 THEN 'skip'
-                    WHEN docid IN (SELECT docid FROM ledger) THEN 'dup'
-                    WHEN row_number() OVER (PARTITION BY day, arm, width < 2, docid ORDER BY line_no) > 1 THEN 'dup'
-                    WHEN docid IN (SELECT _id FROM reviews) THEN 'exist' ELSE 'succ' END AS outcome
-        FROM lines""",
+    "outcomes": _outcomes("lines"),
+    "crawled": """
+        SELECT day, arm, row_number() OVER (PARTITION BY day, arm ORDER BY dump_no, item_no) AS line_no, uid, i.docid,
+               pos, CASE WHEN is_local THEN 'True' ELSE 'False' END AS is_local, condition,
+               CASE WHEN m.docid IS NULL THEN i.docid ELSE url END AS url,
+               CASE WHEN m.docid IS NULL THEN 'nullTitle' ELSE domain END AS domain,
+               CASE WHEN m.docid IS NULL THEN 'nullPubTime' ELSE title END AS title, pub_time, run_date,
+               CASE WHEN m.docid IS NULL THEN 8 WHEN meta_status = 'broken' THEN 5 ELSE 10 END AS width
+        FROM items i LEFT JOIN metadata m ON m.docid = i.docid""",
+    "crawl_outcomes": _outcomes("crawled"),
     "looked": """
         SELECT day, arm, line_no, CASE WHEN status IS NOT NULL THEN 'succ' ELSE 'error' END AS ret, docid,
                coalesce(status, 'null') AS status,
@@ -207,7 +229,7 @@ TABLES = {
                CASE WHEN status IS NULL THEN '' ELSE coalesce(reason, 'null') END AS reason
         FROM lines LEFT JOIN reviews ON _id = docid || '_from_foryou' AND status IS NOT NULL
         WHERE width = 10 AND (day, arm) IN (SELECT (day, arm) FROM gate WHERE passed)""",
-    "run_days": "SELECT DISTINCT day, arm FROM labeled",
+    "run_days": "SELECT day, arm FROM gate WHERE passed",
     "window1": "SELECT day AS win, day AS seen, * EXCLUDE (day) FROM labeled",
     "window7": """
         SELECT r.day AS win, l.day AS seen, l.* EXCLUDE (day)
@@ -220,7 +242,7 @@ TABLES = {
         FROM interactions
         WHERE pdate BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' AND channel_name = 'channelnew'
           AND joined = 1 AND checked = 1
-        GROUP BY 1, 2, 3""",
+        GROUP BY 1, 2, 3 HAVING sum(clicked) IS NOT NULL""",
     "smoothed": """
         SELECT t.*, coalesce(c1, 0) + coalesce(c1, 0) * CAST(0.5 AS DOUBLE) + 1 AS acc_click,
                coalesce(v1, 0) + coalesce(v2, 0) * CAST(0.5 AS DOUBLE) + 30 AS acc_check,
@@ -243,10 +265,26 @@ TABLES = {
         FROM last_updates""",
 }
 
-for _d in DIMENSIONS:
+_CATEGORIES = {
+    "channel": "unnest(CASE WHEN d % 29 = 3 THEN [] ELSE [lang, source] END)",
+    "first_cat": "lang",
+    "second_cat": "source",
+}
+for _s in ("", "_latest"):
+    TABLES[f"doc_geo{_s}"] = f"""
+        SELECT doc_id, back, publish_time, 'city' AS type,
+               CASE WHEN d % 23 <> 7 THEN 'p' || CAST((d + back) % 5 AS VARCHAR)
+                    || CASE WHEN d % 97 = 13 THEN chr(9) ELSE '' END END AS pid
+        FROM snapshots{_s} WHERE d % 17 NOT IN (2, 9)
+        UNION ALL
+        SELECT doc_id, back, publish_time, CASE WHEN d % 3 = 0 THEN 'state' ELSE 'county' END,
+               'q' || CAST(d % 7 AS VARCHAR) FROM snapshots{_s} WHERE d % 17 NOT IN (2, 9)"""
+for _name, _s in [(d, s) for d in DIMENSIONS for s in ("", "_latest")]:
+    _d = _name + _s
+    TABLES[f"doc_cat_{_d}"] = f"SELECT doc_id, back, {_CATEGORIES[_name]} AS category FROM snapshots{_s}"
     TABLES[f"keys_{_d}"] = f"""
         SELECT category || '@' || type || '@' || pid AS list_key, g.doc_id, publish_time
-        FROM doc_geo g JOIN doc_cat_{_d} c ON c.doc_id = g.doc_id
+        FROM doc_geo{_s} g JOIN doc_cat_{_d} c ON c.doc_id = g.doc_id AND c.back = g.back
         WHERE type <> 'state' AND pid IS NOT NULL AND category IS NOT NULL"""
     TABLES[f"top_{_d}"] = f"""
         SELECT t.list_key, t.doc_id, t.ctr, t.checks, t.clicks, b.list_key AS base_key, b.ctr AS base_ctr,
@@ -260,7 +298,7 @@ for _d in DIMENSIONS:
               FROM local_facts f LEFT JOIN keys_{_d} k ON k.doc_id = f.doc_id
               WHERE list_key IS NOT NULL GROUP BY list_key) b ON b.list_key = t.list_key
         WHERE t.checks >= {q.MIN_CHECK} AND t.ctr >= b.ctr
-        ORDER BY t.list_key, t.ctr DESC, t.doc_id LIMIT 1000000"""
+"""
     TABLES[f"top_kv_{_d}"] = f"""
         SELECT list_key AS key, CAST(count(*) AS INT) AS size, string_agg(doc_id, '#' ORDER BY rk) AS value
         FROM (SELECT *, row_number() OVER (PARTITION BY list_key ORDER BY ctr DESC, doc_id) AS rk FROM top_{_d})
@@ -286,17 +324,20 @@ for _d in DIMENSIONS:
         FROM (SELECT city_id, category, type_pid, {_sums}
               FROM local_facts f
               LEFT JOIN (SELECT g.doc_id, category, CASE WHEN pid IS NOT NULL THEN type || '@' || pid END AS type_pid
-                         FROM doc_geo g JOIN doc_cat_{_d} c ON c.doc_id = g.doc_id WHERE type <> 'state') k
+                         FROM doc_geo{_s} g JOIN doc_cat_{_d} c ON c.doc_id = g.doc_id AND c.back = g.back
+                         WHERE type <> 'state') k
                 ON k.doc_id = f.doc_id
               LEFT JOIN zip_geo z ON z.id = f.nr_zip
               WHERE city_id IS NOT NULL GROUP BY city_id, category, type_pid) t
         LEFT JOIN city_{_d} b ON b.city_id = t.city_id AND b.category = t.category
         WHERE b.users >= {q.MIN_USERS} AND t.ctr > b.ctr AND t.checks >= {q.MIN_CHECK}
-        ORDER BY t.city_id, t.category, t.ctr DESC, t.type_pid LIMIT 1000000"""
+"""
     TABLES[f"cross_kv_{_d}"] = f"""
-        SELECT city_id || '@' || category AS key, CAST(count(*) AS INT) AS size,
-               string_agg(coalesce(type_pid, '\\N'), '#' ORDER BY ctr DESC, type_pid NULLS FIRST) AS value
-        FROM cross_{_d} GROUP BY 1"""
+        SELECT key, (rk - 1) // 1000 AS part, (any_value(n) + 999) // 1000 AS n_parts, CAST(count(*) AS INT) AS size,
+               string_agg(coalesce(type_pid, '\\N'), '#' ORDER BY rk) AS value
+        FROM (SELECT *, city_id || '@' || category AS key, count(*) OVER (PARTITION BY city_id, category) AS n,
+                row_number() OVER (PARTITION BY city_id, category ORDER BY ctr DESC, type_pid NULLS FIRST) AS rk
+              FROM cross_{_d}) GROUP BY key, (rk - 1) // 1000"""
 
 
 def _engaged(scope: str) -> str:
@@ -432,8 +473,10 @@ def _merged(kind: str, prefix: str) -> str:
         f"SELECT key, value, {turn} AS turn FROM {kind}_{d}" for turn, d in enumerate(q.VARIANT_ORDER)
     )
     return f"""
-        SELECT '{prefix}@' || key AS key, value, 86400 AS ttl_sec FROM ({variants})
-        QUALIFY row_number() OVER (PARTITION BY key ORDER BY turn DESC) = 1"""
+        SELECT '{prefix}@' || f[1] AS key, f[2] AS value, 86400 AS ttl_sec
+        FROM (SELECT string_split(trim(key || chr(9) || value, ' ' || chr(9)), chr(9)) AS f FROM ({variants})
+              QUALIFY row_number() OVER (PARTITION BY key ORDER BY turn DESC) = 1)
+        WHERE len(f) = 2"""
 
 
 def _editor(source: str, doc_type: str) -> str:
@@ -447,7 +490,7 @@ def _editor(source: str, doc_type: str) -> str:
 
 def _hash_rows() -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{name}' AS key, category AS field, CAST(0 AS BIGINT) AS part,
+        f"""SELECT '{name}' AS key, category || '#0/1' AS field,
                    '[' || string_agg('{{"docId":"' || doc_id || '","likes":' || CAST(likes AS VARCHAR)
                         || ',"cmts":' || CAST(cmts AS VARCHAR) || '}}', ',' ORDER BY rk) || ']' AS value,
                    15552000 AS ttl_sec
@@ -477,7 +520,9 @@ BODIES: dict[str, str] = {
         for d in DIMENSIONS
     ),
     "kv_publish": f"""
-        SELECT '{q.CROSS_PREFIX["first_cat"]}@' || key AS key, value, 86400 AS ttl_sec FROM cross_kv_first_cat""",
+        SELECT '{q.CROSS_PREFIX["first_cat"]}@' || f[1] AS key, f[2] AS value, 86400 AS ttl_sec
+        FROM (SELECT string_split(trim(key || '#' || CAST(part AS VARCHAR) || '/' || CAST(n_parts AS VARCHAR)
+                || chr(9) || value, ' ' || chr(9)), chr(9)) AS f FROM cross_kv_first_cat) WHERE len(f) = 2""",
     "local_top_comments": "SELECT * FROM engaged_local_cmts",
     "local_top_likes": "SELECT * FROM engaged_local_likes",
     "nonlocal_top_comments": "SELECT * FROM engaged_nonlocal_cmts",
@@ -492,11 +537,14 @@ BODIES: dict[str, str] = {
           FROM smoothed s LEFT JOIN doc_static ON _id = s.doc_id)
         WHERE age_days <= CASE WHEN channel_id IN ({_SHORT}) THEN 0.5 ELSE 1.5 END""",
     "hot_tab_publish": f"""
-        SELECT 'tabHotDocs#2d' AS key, channel_id AS field, (rk - 1) // 1000 AS part,
+        SELECT 'tabHotDocs#2d' AS key,
+               channel_id || '#' || CAST((rk - 1) // 1000 AS VARCHAR) || '/'
+                 || CAST((any_value(n) + 999) // 1000 AS VARCHAR) AS field,
                '[' || string_agg('{{"docId":"' || doc_id || '","tabId":"' || channel_id || '","ctr":'
                  || CAST(acc_ctr AS VARCHAR) || ',"click":' || CAST(acc_click AS VARCHAR) || ',"check":'
                  || CAST(acc_check AS VARCHAR) || '}}', ',' ORDER BY rk) || ']' AS value, 15552000 AS ttl_sec
-        FROM (SELECT *, {_RANKED} FROM smoothed) GROUP BY 1, 2, 3""",
+        FROM (SELECT *, count(*) OVER (PARTITION BY channel_id) AS n, {_RANKED} FROM smoothed)
+        GROUP BY channel_id, (rk - 1) // 1000""",
     "tab_metrics": "SELECT * FROM tab_metrics",
     "tab_metrics_total": "SELECT * FROM tab_totals",
     "tab_metric_points": _metric_points(),
@@ -508,18 +556,19 @@ BODIES: dict[str, str] = {
     + ") AS arms(arm, bucket)",
     "feed_items": "SELECT * FROM items",
     "doc_metadata": "SELECT * FROM metadata",
-    "crawl_rows": """
-        SELECT line_no, item_no, arm, uid, i.docid, pos,
-               CASE WHEN is_local THEN 'True' ELSE 'False' END AS is_local, condition,
-               CASE WHEN m.docid IS NULL THEN i.docid ELSE url END AS url,
-               CASE WHEN m.docid IS NULL THEN 'nullTitle' ELSE domain END AS domain,
-               CASE WHEN m.docid IS NULL THEN 'nullPubTime' ELSE title END AS title, pub_time, run_date,
-               CASE WHEN m.docid IS NULL THEN 8 WHEN meta_status = 'broken' THEN 5 ELSE 10 END AS width
-        FROM items i LEFT JOIN metadata m ON m.docid = i.docid""",
+    "crawl_rows": "SELECT * FROM crawled",
+    "crawl_enqueue": """
+        SELECT day, arm, docid, line_no, outcome FROM crawl_outcomes WHERE outcome <> 'skip' AND in_run = 1""",
+    "user_sample": f"""
+        SELECT least(count(*), {q.SAMPLE}) AS users, least(count(*), {q.SAMPLE}) AS distinct_users,
+               least(count(*), {q.SAMPLE}) AS in_pool FROM users""",
+    "index_sync_lines": """
+        SELECT count(*) AS lines, count(*) FILTER (len(string_split(trim(line), chr(1))) <> 2) AS left_out
+        FROM update_lines""",
     "assess_dedupe": f"""
         SELECT * FROM lines WHERE width >= 2 QUALIFY row_number() OVER (PARTITION BY docid ORDER BY line_no) = 1
         ORDER BY line_no LIMIT {q.ASSESS_DOCS + 1}""",
-    "review_enqueue": "SELECT * FROM outcomes",
+    "review_enqueue": "SELECT day, arm, line_no, docid, outcome FROM outcomes",
     "review_enqueue_counts": """
         SELECT day, arm, count(*) FILTER (outcome = 'succ') AS succ_num, count(*) FILTER (outcome = 'exist') AS exist_num,
                count(*) FILTER (outcome = 'dup') AS dup_num, count(*) FILTER (outcome = 'skip') AS skip_num
@@ -555,7 +604,7 @@ BODIES: dict[str, str] = {
     "review_7d_unique_status": _unique_status("window7"),
     "review_metric_points": _review_points(1) + " UNION ALL " + _review_points(7),
     "user_history": """
-        SELECT user_id, CAST(0 AS BIGINT) AS part, string_agg(item, chr(9) ORDER BY item) AS doc_items
+        SELECT user_id, CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS n_parts, string_agg(item, chr(9) ORDER BY item) AS doc_items
         FROM (SELECT DISTINCT user_id, f.doc_id || '|' || CAST(sec AS VARCHAR) AS item
               FROM interactions f LEFT JOIN doc_static_daily s ON s.doc_id = f.doc_id
               WHERE joined = 1 AND checked = 1 AND cv_time >= 2000 AND channel_name IN ('foryou', 'local')
@@ -575,15 +624,17 @@ BODIES: dict[str, str] = {
         SELECT docid AS key, '{"docId":"' || docid || '","url":"' || coalesce(url, '') || '"}' AS value
         FROM synced LEFT JOIN doc_static ON _id = docid WHERE msg = 'none'""",
     "timeliness_lookup": """
-        SELECT docid AS _id, CASE WHEN _id IS NULL THEN 'failed' ELSE 'success' END AS status,
+        SELECT id AS _id, CASE WHEN _id IS NULL THEN 'failed' ELSE 'success' END AS status,
                coalesce(timeliness_type, '') AS timeliness_type, coalesce(expire_time, '') AS expire_time
-        FROM updates LEFT JOIN (SELECT * FROM doc_static
-          WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = docid""",
+        FROM ids LEFT JOIN (SELECT * FROM doc_static
+          WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = id""",
 }
 for _d in DIMENSIONS:
     BODIES[f"cross_geo_{_d}"] = f"SELECT * FROM cross_{_d}"
     BODIES[f"geo_top_docs_{_d}"] = f"SELECT * FROM top_{_d}"
     BODIES[f"geo_new_docs_{_d}"] = f"SELECT * FROM new_{_d}"
+    for _kind, _table in (("cross_geo", "cross"), ("geo_top_docs", "top"), ("geo_new_docs", "new")):
+        BODIES[f"{_kind}_{_d}_latest"] = f"SELECT * FROM {_table}_{_d}_latest"
 
 
 def _mentions(sql: str, table: str) -> bool:

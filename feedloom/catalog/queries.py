@@ -78,11 +78,12 @@ def city_facts(t: FeedTables) -> DataFrame:
     return geo.city_doc_user(t.interactions, t.zip_geo, AS_OF, cjv_days=ALL_DAYS)
 
 
-def cross_geo(t: FeedTables, dimension: str) -> DataFrame:
+def cross_geo(t: FeedTables, dimension: str, latest: bool = False) -> DataFrame:
     facts = stage(city_facts(t), "city-doc-user")
     return geo.cross_geo(
-        facts, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_users=MIN_USERS, min_check=MIN_CHECK
-    )
+        facts, t.doc_dim, dimension, AS_OF, DOC_DAYS,
+        min_users=MIN_USERS, min_check=MIN_CHECK, dedupe_docs=latest,
+    )
 
 
 def city_category(t: FeedTables) -> DataFrame:
@@ -93,17 +94,23 @@ def doc_facts(t: FeedTables) -> DataFrame:
     return geo.doc_impressions(t.interactions, AS_OF, cjv_days=ALL_DAYS)
 
 
-def top_docs(t: FeedTables, dimension: str, facts: DataFrame | None = None) -> DataFrame:
+def top_docs(
+    t: FeedTables, dimension: str, facts: DataFrame | None = None, latest: bool = False
+) -> DataFrame:
     facts = doc_facts(t) if facts is None else facts
-    return geo.geo_top_docs(facts, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK)
+    return geo.geo_top_docs(
+        facts, t.doc_dim, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK, dedupe_docs=latest
+    )
 
 
 def top_docs_kv(t: FeedTables, dimension: str, facts: DataFrame | None = None) -> DataFrame:
     return geo.geo_top_docs_kv(top_docs(t, dimension, facts), TOP_LIST_SIZE)
 
 
-def new_docs(t: FeedTables, dimension: str) -> DataFrame:
-    return geo.geo_new_docs(t.doc_dim, dimension, AS_OF_TIME, doc_days=DOC_DAYS, hours=NEW_DOC_HOURS)
+def new_docs(t: FeedTables, dimension: str, latest: bool = False) -> DataFrame:
+    return geo.geo_new_docs(
+        t.doc_dim, dimension, AS_OF_TIME, doc_days=DOC_DAYS, hours=NEW_DOC_HOURS, dedupe_docs=latest
+    )
 
 
 def merged_top_docs(t: FeedTables) -> DataFrame:
@@ -128,6 +135,9 @@ for _dim in DIMENSIONS:
     _register(f"cross_geo_{_dim}", lambda t, d=_dim: cross_geo(t, d))
     _register(f"geo_top_docs_{_dim}", lambda t, d=_dim: top_docs(t, d))
     _register(f"geo_new_docs_{_dim}", lambda t, d=_dim: new_docs(t, d))
+    _register(f"cross_geo_{_dim}_latest", lambda t, d=_dim: cross_geo(t, d, latest=True))
+    _register(f"geo_top_docs_{_dim}_latest", lambda t, d=_dim: top_docs(t, d, latest=True))
+    _register(f"geo_new_docs_{_dim}_latest", lambda t, d=_dim: new_docs(t, d, latest=True))
 _register("city_category_ctr", city_category)
 _register("cross_geo_kv", lambda t: geo.cross_geo_kv(cross_geo(t, "channel")))
 _register("geo_top_docs_kv", lambda t: top_docs_kv(t, "channel"))
@@ -152,9 +162,8 @@ def engaged(t: FeedTables, scope: str, by: str) -> DataFrame:
 
 
 def engagement_hashes(t: FeedTables) -> DataFrame:
-    return _union(
-        [engage.engagement_hash(engaged(t, *list_id), name) for list_id, name in engage.HASH_NAMES.items()]
-    )
+    listed = engage.engagement_lists(t.interactions, t.doc_static, AS_OF, ALL_DAYS)
+    return engage.engagement_hash(listed, F.col("list_name"))
 
 
 _register("local_top_comments", lambda t: engaged(t, "local", "cmts"))
@@ -184,10 +193,7 @@ def hot_fresh(t: FeedTables) -> DataFrame:
 
 
 def metric_points(t: FeedTables) -> DataFrame:
-    both = tabs.tab_metrics(t.interactions, FIRST_DAY, LAST_DAY).unionByName(
-        tabs.tab_metrics_total(t.interactions, FIRST_DAY, LAST_DAY)
-    )
-    points = tabs.tab_metric_points(both, METRIC_HOST)
+    points = tabs.tab_metric_points(tabs.tab_reports(t.interactions, FIRST_DAY, LAST_DAY), METRIC_HOST)
     return points.select("metric", "ts", "value", F.col("tags")["host"].alias("host"))
 
 
@@ -215,7 +221,12 @@ def metadata(t: FeedTables) -> DataFrame:
     return feedparse.doc_metadata(t.doc_meta_json, AS_OF.isoformat())
 
 
-_register("user_sample", lambda t: sampling.user_sample(users(t), SAMPLE, seed=7))
+def drawn(t: FeedTables) -> DataFrame:
+    """What can be said of a random sample: its size, and that its users are in the pool."""
+    return sampling.sample_check(sampling.user_sample(users(t), SAMPLE, seed=7), users(t))
+
+
+_register("user_sample", drawn)
 _register("user_sample_hashed", lambda t: sampling.user_sample_hashed(users(t), SAMPLE, SAMPLE_SEED))
 _register(
     "sample_arm_grid",
@@ -226,6 +237,12 @@ _register(
 _register("feed_items", items)
 _register("doc_metadata", metadata)
 _register("crawl_rows", lambda t: feedparse.crawl_rows(items(t), metadata(t)))
+_register(
+    "crawl_enqueue",
+    lambda t: review.first_outcomes(
+        feedparse.crawl_rows(items(t), metadata(t)), t.written_ledger, t.reviews
+    ),
+)
 _register("assess_dedupe", lambda t: feedparse.assess_dedupe(t.crawl_rows, ASSESS_DOCS))
 
 # -------------------------------------------------------------------- review
@@ -266,6 +283,7 @@ def payload(t: FeedTables) -> DataFrame:
 
 def review_points(t: FeedTables) -> DataFrame:
     daily, gate = daily_and_gate(t)
+    daily = stage(daily, "review-daily")
     points = _union([review.review_metric_points(daily, gate, days) for days in (1, 7)])
     return points.select("metric", "ts", "value", F.col("tags")["client"].alias("client"))
 
@@ -311,10 +329,8 @@ def sync_outcome(t: FeedTables) -> DataFrame:
 
 _register("user_history", user_history)
 _register("index_sync_outcome", sync_outcome)
+_register("index_sync_lines", lambda t: sync.update_line_counts(t.timeliness_updates))
 _register("index_sync_counts", lambda t: sync.index_sync_counts(sync_outcome(t)))
 _register("index_sync_snapshot", lambda t: sync.index_sync_snapshot(t.timeliness_updates, t.search_index))
 _register("reindex_messages", lambda t: sync.reindex_messages(sync_outcome(t), t.doc_static))
-_register(
-    "timeliness_lookup",
-    lambda t: sync.timeliness_lookup(t.timeliness_updates.select(F.col("docid").alias("_id")), t.doc_static),
-)
+_register("timeliness_lookup", lambda t: sync.timeliness_lookup(t.lookup_ids, t.doc_static))

@@ -12,10 +12,11 @@ LOCAL_PREFIX = "local"
 
 
 def flag(column: Column, data_type: T.DataType) -> Column:
-    """0/1 integer from a flag that arrives as boolean or as integer."""
-    if isinstance(data_type, T.BooleanType):
-        return column.cast("int")
-    return F.when(column.isNotNull(), (column == 1).cast("int"))
+    """0/1 integer from a flag that arrives as boolean or as integer.
+
+    Integers pass through as they are: filters on them then reach the scan.
+    """
+    return column.cast("int") if isinstance(data_type, T.BooleanType) else column
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -10,19 +10,20 @@ snapshots partitioned by ``pdate``. Every job takes its clock as an argument.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import sinks
 from feedloom.operators import keyed_lists as lists
-from feedloom.plans import engage, geo, history, review, sync, tabs
+from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.session import build_session
-from feedloom.sources.files import partitioned_table, with_int_flags
-from feedloom.staging import stage
+from feedloom.sources import schemas
+from feedloom.sources.files import json_lines, partitioned_table, ragged_text, with_int_flags
+from feedloom.staging import clear, stage
 
 # List prefixes, and the order in which the variants overwrite
 # each other where they share one.
@@ -40,28 +41,52 @@ ANALYSIS_DAYS = 7
 
 @dataclass(frozen=True)
 class Run:
-    """Where a job reads and writes, and the time it runs for."""
+    """Where a job reads and writes, and the time it runs for.
+
+    ``formats`` names inputs that are not Parquet: ``json`` lines, or ``text``.
+    """
 
     spark: SparkSession
     tables: str
     out: str
     as_of: datetime
+    formats: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def day(self) -> date:
         return self.as_of.date()
 
     def table(self, name: str) -> DataFrame:
+        if self.formats.get(name) == "json":
+            return json_lines(self.spark, f"{self.tables}/{name}", schemas.JSON[name])
         df = partitioned_table(self.spark, f"{self.tables}/{name}")
         return with_int_flags(df) if name == "interactions" else df
 
+    def lines(self, name: str, sep: str) -> DataFrame:
+        """Fields, width and order of the lines of a text input, or such a table."""
+        if self.formats.get(name) == "text":
+            return ragged_text(self.spark, f"{self.tables}/{name}", sep)
+        return self.table(name)
+
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
 
+    def has(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def fresh_path(self, name: str) -> str:
+        """Where a result goes that has the name of an input: never onto the input."""
+        if self.tables.rstrip("/") == self.out.rstrip("/"):
+            raise ValueError(f"{name} is read from {self.tables} and must be written elsewhere")
+        return self.path(name)
 
-def _publish_list(run: Run, name: str, rows: DataFrame, kv: DataFrame, prefix: str, min_rows: int) -> bool:
-    """Land the rows, then publish the list unless the result is too short."""
-    sinks.write_delimited(rows, run.path(f"{name}/rows"))
+
+def _publish_list(
+    run: Run, name: str, rows: DataFrame, kv: DataFrame, prefix: str, min_rows: int, order: Sequence[Column]
+) -> bool:
+    """Land the rows in order, then publish the list unless the result is too short."""
+    sinks.write_delimited(rows, run.path(f"{name}/rows"), order=order)
     if not lists.publish_gate(rows, name, min_rows).first().publish:
         return False
     published = lists.kv_publish(kv, prefix)
@@ -77,96 +102,160 @@ def _merge_published(run: Run, name: str, published: list[str]) -> None:
         merged.write.mode("overwrite").parquet(run.path(f"{name}/kv"))
 
 
-def cross_geo(run: Run, min_users: int = 1000, min_check: int = 100, min_rows: int = MIN_RESULT_ROWS) -> None:
+def cross_geo(
+    run: Run,
+    min_users: int = 1000,
+    min_check: int = 100,
+    min_rows: int = MIN_RESULT_ROWS,
+    dedupe_docs: bool = False,
+) -> None:
     facts = stage(geo.city_doc_user(run.table("interactions"), run.table("zip_geo"), run.day), "city-doc-user")
     for dimension in VARIANT_ORDER:
         name = f"cross_geo_{dimension}"
-        rows = stage(
-            geo.cross_geo(facts, run.table("doc_dim"), dimension, run.day, min_users=min_users, min_check=min_check),
-            name,
-        )
-        _publish_list(run, name, rows, geo.cross_geo_kv(rows), CROSS_PREFIX[dimension], min_rows)
-
-
-def geo_top_docs(run: Run, min_check: int = 100, max_size: int = 200, min_rows: int = MIN_RESULT_ROWS) -> None:
+        found = geo.cross_geo(
+            facts, run.table("doc_dim"), dimension, run.day,
+            min_users=min_users, min_check=min_check, dedupe_docs=dedupe_docs,
+        )
+        rows = stage(found, name)
+        prefix = CROSS_PREFIX[dimension]
+        _publish_list(run, name, rows, geo.cross_geo_kv(rows), prefix, min_rows, geo.cross_geo_order())
+
+
+def geo_top_docs(
+    run: Run,
+    min_check: int = 100,
+    max_size: int = 200,
+    min_rows: int = MIN_RESULT_ROWS,
+    dedupe_docs: bool = False,
+) -> None:
     per_doc = stage(geo.doc_impressions(run.table("interactions"), run.day), "doc-impressions")
     published = []
     for dimension in VARIANT_ORDER:
         name = f"geo_top_docs_{dimension}"
-        rows = stage(geo.geo_top_docs(per_doc, run.table("doc_dim"), dimension, run.day, min_check=min_check), name)
+        found = geo.geo_top_docs(
+            per_doc, run.table("doc_dim"), dimension, run.day, min_check=min_check, dedupe_docs=dedupe_docs
+        )
+        rows = stage(found, name)
         kv = geo.geo_top_docs_kv(rows, max_size)
-        if _publish_list(run, name, rows, kv, TOP_PREFIX, min_rows):
+        if _publish_list(run, name, rows, kv, TOP_PREFIX, min_rows, geo.geo_top_docs_order()):
             published.append(name)
     _merge_published(run, "geo_top_docs", published)
 
 
-def geo_new_docs(run: Run, min_rows: int = MIN_RESULT_ROWS) -> None:
+def geo_new_docs(
+    run: Run, hours: int = 6, max_size: int = 20, min_rows: int = MIN_RESULT_ROWS, dedupe_docs: bool = False
+) -> None:
     published = []
     for dimension in VARIANT_ORDER:
         name = f"geo_new_docs_{dimension}"
-        kv = stage(geo.geo_new_docs(run.table("doc_dim"), dimension, run.as_of), name)
-        if _publish_list(run, name, kv.select("key", "value"), kv, NEW_PREFIX, min_rows):
+        found = geo.geo_new_docs(
+            run.table("doc_dim"), dimension, run.as_of,
+            hours=hours, max_docs_exclusive=max_size, dedupe_docs=dedupe_docs,
+        )
+        kv = stage(found, name)
+        rows = kv.select("key", "value")
+        if _publish_list(run, name, rows, kv, NEW_PREFIX, min_rows, [F.col("key")]):
             published.append(name)
     _merge_published(run, "geo_new_docs", published)
 
 
-def engagement(run: Run) -> None:
-    facts, static = run.table("interactions"), run.table("doc_static")
-    scopes = {
-        "local": (engage.local_engagement(facts, run.day), engage.LOCAL_LIST_SIZE),
-        "nonlocal": (engage.nonlocal_engagement(facts, run.day), engage.NONLOCAL_LIST_SIZE),
-    }
-    for scope, (rows, size) in scopes.items():
-        rows = stage(rows, f"engagement-{scope}")
-        for by in ("cmts", "likes"):
-            name = engage.HASH_NAMES[scope, by]
-            hashes = engage.engagement_hash(engage.top_engaged(rows, static, by, size), name)
-            hashes.write.mode("overwrite").parquet(run.path(f"engagement/{name}"))
+def engagement(run: Run, min_comments: int = 10) -> None:
+    """All four lists in one pass over the fact, a folder for each hash."""
+    listed = engage.engagement_lists(
+        run.table("interactions"), run.table("doc_static"), run.day, min_comments=min_comments
+    )
+    hashes = engage.engagement_hash(listed, F.col("list_name"))
+    hashes.write.mode("overwrite").partitionBy("key").parquet(run.path("engagement"))
 
 
-def hot_tab_docs(run: Run, fresh_only: bool = False) -> None:
+def hot_tab_docs(run: Run, fresh_only: bool = False, min_check: int = 60) -> None:
     docs = tabs.tab_doc_ctr(run.table("interactions"), run.day)
     if fresh_only:
         docs = tabs.fresh_docs(docs, run.table("doc_static"), tabs.epoch_of(run.as_of)).drop("age_days")
-    ranked = tabs.hot_tab_docs(tabs.tab_smoothed_ctr(docs, run.table("doc_profile")))
+    ranked = tabs.hot_tab_docs(tabs.tab_smoothed_ctr(docs, run.table("doc_profile")), min_check)
     tabs.hot_tab_hash(ranked).write.mode("overwrite").parquet(run.path("hot_tab_docs"))
 
 
 def tab_metrics(run: Run, host: str = "batch") -> None:
     """Metrics of the day before the run."""
     day = run.day - timedelta(days=1)
-    facts = run.table("interactions")
-    both = tabs.tab_metrics(facts, day, day).unionByName(tabs.tab_metrics_total(facts, day, day))
-    tabs.tab_metric_points(both, host).write.mode("overwrite").parquet(run.path("tab_metrics"))
+    reports = tabs.tab_reports(run.table("interactions"), day, day)
+    tabs.tab_metric_points(reports, host).write.mode("overwrite").parquet(run.path("tab_metrics"))
+
 
+def sample(run: Run, users: int = sampling.SAMPLE_SIZE, labels: str = "", buckets: str = "") -> None:
+    """Draw the users of the day before, and lay out the arms they are crawled under.
 
-def review_enqueue(run: Run) -> None:
-    """Queue the documents of the day's crawl files and remember them."""
-    lines = run.table("crawl_rows").where(F.col("day") == F.lit(run.day))
+    ``labels`` and ``buckets`` name experiment arms, parted by commas.
+    """
+    day = run.day - timedelta(days=1)
+    pool = sampling.feed_users(run.table("interactions"), day, day)
+    drawn = stage(sampling.user_sample_hashed(pool, users, seed=run.day.isoformat()), "sample")
+    arms = [[x for x in text.split(",") if x] for text in (labels, buckets)]
+    sinks.write_delimited(drawn, run.path("sample"))
+    sampling.sample_arm_grid(drawn, *arms).write.mode("overwrite").parquet(run.path("sample_grid"))
+
+
+def crawl_rows(run: Run, include_local: bool = False) -> None:
+    """Parse the day's feed dumps and add them to the crawl rows, one folder per run."""
+    dumps = run.table("feed_dump").where(F.col("day") == F.lit(run.day))
+    metadata = feedparse.doc_metadata(run.table("doc_meta_json"), run.day.isoformat())
+    rows = feedparse.crawl_rows(feedparse.feed_items(dumps, include_local), metadata)
+    path = f"{run.path('crawl_rows')}/day={run.day.isoformat()}"
+    rows.drop("day").write.mode("overwrite").partitionBy("arm").parquet(path)
+
+
+def _crawl_lines(run: Run) -> DataFrame:
+    """Crawl rows: those the job ``crawl_rows`` made, a table, or files of tab text."""
+    own = run.path("crawl_rows")
+    if run.formats.get("crawl_rows") == "text":
+        return feedparse.crawl_lines(run.lines("crawl_rows", "\t")).withColumn("day", F.to_date("day"))
+    if run.has(own):
+        return run.spark.read.parquet(own).withColumn("day", F.to_date("day"))
+    return run.table("crawl_rows")
+
+
+def _ledger(run: Run) -> DataFrame:
+    """Documents queued so far: by earlier runs of this job, and those given as a table."""
+    known = run.spark.createDataFrame([], "docid string, source string")
+    for path in dict.fromkeys([run.path("written_ledger"), f"{run.tables}/written_ledger"]):
+        if run.has(path):
+            known = known.unionByName(run.spark.read.parquet(path).select("docid", "source"))
+    return known
+
+
+def review_enqueue(run: Run, arms: str = sampling.CONTROL_ARM) -> None:
+    """Queue the documents of the day's crawl files and remember them.
+
+    ``arms`` gives the order of the day's runs, parted by commas. The ledger is
+    read where it is written, so a document is queued once, whatever the number
+    of runs and days.
+    """
+    lines = _crawl_lines(run).where(F.col("day") == F.lit(run.day))
     firsts = stage(
-        review.first_outcomes(lines, run.table("written_ledger"), run.table("reviews")), "review-firsts"
+        review.first_outcomes(lines, _ledger(run), run.table("reviews"), arms.split(",")), "review-firsts"
     )
     review.review_messages(firsts).write.mode("overwrite").parquet(run.path("review_messages"))
-    source = F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
-    sinks.append_ledger(review.ledger_rows(firsts, source), run.path("written_ledger"))
     counts = review.review_enqueue_counts(lines, firsts)
     counts.write.mode("overwrite").parquet(run.path("review_enqueue_counts"))
+    source = F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
+    sinks.append_ledger(review.ledger_rows(firsts, source), run.path("written_ledger"))
 
 
-def review_analysis(run: Run) -> None:
+def review_analysis(run: Run, max_fail_ratio: float = review.MAX_FAIL_RATIO) -> None:
     """Re-read the reviews of the last seven crawl days and report on each.
 
     The windows of the oldest of them reach another six days back.
     """
     first = run.day - timedelta(days=2 * ANALYSIS_DAYS - 1)
     last = run.day - timedelta(days=1)
-    lines = run.table("crawl_rows").where(F.col("day").between(F.lit(first), F.lit(last)))
+    lines = _crawl_lines(run).where(F.col("day").between(F.lit(first), F.lit(last)))
     reviews = run.table("reviews")
     docs = stage(review.reviewed_docs(lines, reviews), "reviewed-docs")
-    gate = stage(review.review_gate(docs), "review-gate")
+    gate = stage(review.review_gate(docs, max_fail_ratio), "review-gate")
     labeled = review.review_labeled(lines, reviews, gate)
     sinks.write_delimited(labeled.drop("line_no"), run.path("review_labeled"))
-    daily = review.review_daily(docs, gate)
+    daily = stage(review.review_daily(docs, gate), "review-daily")
     reported = F.col("day") >= F.lit(run.day - timedelta(days=ANALYSIS_DAYS))
     checked = docs.join(gate.where("passed"), list(review.RUN), "left_semi")
     editors = review.editor_weighted(checked).unionByName(review.editor_unique(checked))
@@ -186,7 +275,10 @@ def review_analysis(run: Run) -> None:
         points.where(F.col("ts") >= oldest).write.mode("overwrite").parquet(run.path(f"review_points_{days}d"))
 
 
-def user_history(run: Run, fact_days: int = 31, publish_days: int = 190, partitions: int = 100) -> None:
+def user_history(
+    run: Run, fact_days: int = 31, publish_days: int = 190, partitions: int | None = None
+) -> None:
+    """Lines ``user, part, parts, items``: a heavy reader has several."""
     rows = history.user_history(
         run.table("interactions"),
         run.table("doc_static_daily"),
@@ -197,38 +289,64 @@ def user_history(run: Run, fact_days: int = 31, publish_days: int = 190, partiti
         snapshot=run.day,
         output_partitions=partitions,
     )
-    sinks.write_delimited(rows.select("user_id", "doc_items"), run.path("user_history"), sep=",")
+    sinks.write_delimited(rows, run.path("user_history"), sep=",")
 
 
 def index_sync(run: Run) -> None:
-    """Update the index snapshot and queue the documents it does not have."""
-    updates, index = run.table("timeliness_updates"), run.table("search_index")
+    """Write the updated index snapshot and queue the documents it does not have.
+
+    Updates are lines of two fields parted by ``\\x01``, or a table of such lines.
+    """
+    snapshot_path = run.fresh_path("search_index")
+    updates, index = run.lines("timeliness_updates", "\x01"), run.table("search_index")
+    sync.update_line_counts(updates).write.mode("overwrite").parquet(run.path("index_sync_lines"))
     outcome = stage(sync.index_sync_outcome(updates, index), "index-sync")
     sync.index_sync_counts(outcome).write.mode("overwrite").parquet(run.path("index_sync_counts"))
     snapshot = sync.index_sync_snapshot(updates, index)
-    snapshot.write.mode("overwrite").parquet(run.path("search_index"))
+    snapshot.write.mode("overwrite").parquet(snapshot_path)
     messages = sync.reindex_messages(outcome, run.table("doc_static"))
     messages.write.mode("overwrite").parquet(run.path("reindex_messages"))
 
 
-JOBS: dict[str, Callable[[Run], None]] = {
+JOBS: dict[str, Callable[..., None]] = {
     job.__name__: job
     for job in (
-        cross_geo, geo_top_docs, geo_new_docs, engagement, hot_tab_docs, tab_metrics,
+        cross_geo, geo_top_docs, geo_new_docs, engagement, hot_tab_docs, tab_metrics, sample, crawl_rows,
         review_enqueue, review_analysis, user_history, index_sync,
     )
 }
 
 
+def _value(text: str) -> int | float | bool | str:
+    if text.lower() in ("true", "false"):
+        return text.lower() == "true"
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            continue
+    return text
+
+
+def _pairs(texts: Sequence[str]) -> dict[str, str]:
+    return dict(text.split("=", 1) for text in texts)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--tables", required=True, help="folder of the input tables")
     parser.add_argument("--out", required=True, help="folder for results")
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="UTC run time")
+    parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", help="a parameter of the job")
+    parser.add_argument("--format", action="append", default=[], metavar="TABLE=FORMAT", help="json or text input")
     args = parser.parse_args()
+    settings = {name: _value(text) for name, text in _pairs(args.set).items()}
     spark = build_session(f"feedloom-{args.job}")
-    JOBS[args.job](Run(spark, args.tables, args.out, args.as_of))
+    try:
+        JOBS[args.job](Run(spark, args.tables, args.out, args.as_of, _pairs(args.format)), **settings)
+    finally:
+        clear(spark)
 
 
 if __name__ == "__main__":

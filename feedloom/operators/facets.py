@@ -50,6 +50,9 @@ def doc_facets(
 ) -> DataFrame:
     """(doc_id, categories, geos), still one row per document snapshot.
 
+    A document without geotags, or with a NULL array of them, has no geos and
+    keeps its categories.
+
     The arrays stay unexploded so that the fact side is joined to narrow rows
     and fans out only afterwards.
     """
@@ -59,7 +62,9 @@ def doc_facets(
     return docs.select(
         "doc_id",
         categories(dimension).alias("categories"),
-        F.transform(non_state_geotags(), type_pid).alias("geos"),
+        F.coalesce(
+            F.transform(non_state_geotags(), type_pid), F.array().cast("array<string>")
+        ).alias("geos"),
     )
 
 

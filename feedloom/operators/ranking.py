@@ -32,7 +32,9 @@ def top_k(
     """First ``k`` rows per key, numbered from 1.
 
     Spark cuts each key to k rows before the shuffle as long as k is within
-    its window-limit threshold; a longer list is numbered slice by slice.
+    its window-limit threshold; a longer list is numbered slice by slice. Both
+    ways give the same rows: ``order`` must be total within a key up to equal
+    rows.
     """
     if k > int(df.sparkSession.conf.get(_LIMIT_THRESHOLD, "1000")):
         ranked = spread_rank(df, keys, order, rank, label="top-k")
@@ -92,16 +94,13 @@ def ordered_cap(
 ) -> DataFrame:
     """First ``limit`` rows of the whole frame in ``order``, sorted.
 
-    The frame is written once; its row count, read from the file footers, tells
-    whether the cap binds at all. If so, slices past the cap are skipped and
-    only the slice on the boundary is cut by rank. ``order`` must be total.
+    An explicit cap only: without a limit all rows come out. The frame is
+    written while the plan is built; slices past the cap are skipped and only
+    the slice on the boundary is cut by rank. ``order`` must be total.
     """
     if limit is None:
         return df.orderBy(*order)
-    table = stage(df, label)
-    if table.count() > limit:
-        table = _first_rows(table, order, limit, label)
-    return table.orderBy(*order)
+    return _first_rows(df, order, limit, label).orderBy(*order)
 
 
 def _first_rows(df: DataFrame, order: Sequence[Column], limit: int, label: str) -> DataFrame:

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import null_text, starts_local
+from feedloom.operators.ranking import spread_rank
 
-FEED_BODY = "documents array<struct<docid:string,pos:bigint,contextMeta:struct<condition:string>>>"
+# Fields are read as text, so that a document may give its position in any form.
+FEED_BODY = "documents array<map<string,string>>"
+FEED_FIELDS = ("docid", "pos", "contextMeta")
 META_BODY = (
     "data map<string,struct<static_feature:"
     "struct<url:string,domain:string,stitle:string,date:string>>>, _corrupt string"
@@ -21,30 +24,35 @@ ITEM_WIDTH = 5
 
 
 def feed_items(dumps: DataFrame, include_local: bool = False) -> DataFrame:
-    """One row per document of a feed dump, in dump order (line_no, item_no).
+    """One row per document of a feed dump, in dump order (dump_no, item_no).
 
     A dump that does not parse, or that has a document without id, position or
-    context, gives no rows. Local items are left out unless asked for.
+    context, gives no rows. Positions are taken as they are written, a null one
+    as ``None``. Local items are left out unless asked for.
     """
+    run = [c for c in ("day",) if c in dumps.columns]
     # inline() parses a body once, however often its fields are used below.
     parsed_body = F.inline(F.array(F.from_json("body", FEED_BODY)))
     incomplete = F.exists(
         "documents",
-        lambda d: d["docid"].isNull() | d["pos"].isNull() | d["contextMeta"].isNull(),
+        lambda d: F.exists(F.array(*[F.lit(f) for f in FEED_FIELDS]), lambda f: ~F.map_contains_key(d, f))
+        | d["docid"].isNull()
+        | d["contextMeta"].isNull(),
     )
     items = (
-        dumps.select("line_no", "uid", "arm", parsed_body)
-        .where(~incomplete)
-        .select("line_no", "uid", "arm", F.posexplode("documents").alias("item_no", "d"))
+        dumps.select(*run, F.col("line_no").alias("dump_no"), "uid", "arm", parsed_body)
+        .where(F.col("documents").isNotNull() & ~incomplete)
+        .select(*run, "dump_no", "uid", "arm", F.posexplode("documents").alias("item_no", "d"))
     )
-    condition = F.col("d.contextMeta.condition")
+    condition = F.get_json_object(F.col("d")["contextMeta"], "$.condition")
     parsed = items.select(
-        "line_no",
+        *run,
+        "dump_no",
         "item_no",
         "uid",
         "arm",
-        F.col("d.docid").alias("docid"),
-        F.col("d.pos").alias("pos"),
+        F.col("d")["docid"].alias("docid"),
+        null_text(F.col("d")["pos"], "None").alias("pos"),
         F.coalesce(starts_local(condition), F.lit(False)).alias("is_local"),
         null_text(condition).alias("condition"),
     )
@@ -91,10 +99,13 @@ def doc_metadata(bodies: DataFrame, run_date: str) -> DataFrame:
 
 
 def crawl_rows(items: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Items with their metadata, matched by document id.
+    """The rows of each crawl file: items with their metadata, numbered.
 
-    ``width`` is the number of fields the row has as text: 10 when complete, 8
-    when the metadata is missing and a stub takes its place, 5 when broken.
+    A file is a (day, arm); its rows have a ``line_no`` from 1, in order of dump
+    and item, counted slice by slice so that no task holds a whole file (the
+    rows are written while the plan is built). ``width`` is the number of
+    fields the row has as text: 10 when complete, 8 when the metadata is missing
+    and a stub takes its place, 5 when broken.
     """
     joined = items.join(metadata, "docid", "left")
     missing = F.col("meta_status").isNull()
@@ -103,10 +114,12 @@ def crawl_rows(items: DataFrame, metadata: DataFrame) -> DataFrame:
         .when(F.col("meta_status") == "broken", ITEM_WIDTH)
         .otherwise(CRAWL_WIDTH)
     )
-    return joined.select(
-        "line_no",
-        "item_no",
+    rows = joined.select(
+        "day",
         "arm",
+        "dump_no",
+        "item_no",
+        width.alias("width"),
         "uid",
         "docid",
         "pos",
@@ -117,8 +130,21 @@ def crawl_rows(items: DataFrame, metadata: DataFrame) -> DataFrame:
         F.when(missing, STUB_TITLE).otherwise(F.col("title")).alias("title"),
         "pub_time",
         "run_date",
-        width.alias("width"),
     )
+    order = [F.col("dump_no"), F.col("item_no")]
+    return spread_rank(rows, ["day", "arm"], order, "line_no", label="crawl-rows").drop("dump_no", "item_no")
+
+
+# The fields of a crawl row as text, in order.
+CRAWL_FIELDS = (
+    "uid", "docid", "pos", "is_local", "condition", "url", "domain", "title", "pub_time", "run_date",
+)
+
+
+def crawl_lines(lines: DataFrame) -> DataFrame:
+    """Crawl rows from lines of text (``fields``, ``width`` beside day, arm and line_no)."""
+    named = [F.get(F.col("fields"), F.lit(k)).alias(name) for k, name in enumerate(CRAWL_FIELDS)]
+    return lines.select("day", "arm", "line_no", "width", *named)
 
 
 def assess_dedupe(rows: DataFrame, max_docs: int) -> DataFrame:

@@ -6,16 +6,15 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import rounded_ctr, within
-from feedloom.operators.facets import doc_facets, list_keys
-from feedloom.operators.keyed_lists import kv_fold
+from feedloom.operators.facets import doc_facets, latest_snapshot, list_keys
+from feedloom.operators.keyed_lists import kv_fold, kv_parts
 from feedloom.operators.ranking import ordered_cap, top_k
 from feedloom.staging import stage
 
-RESULT_CAP = 1_000_000
 FEED_CHANNELS = ("foryou", "local")
 
 
@@ -104,7 +103,7 @@ def cross_geo(
     doc_days: int = 3,
     min_users: int = 1000,
     min_check: int = 100,
-    max_rows: int | None = RESULT_CAP,
+    max_rows: int | None = None,
     dedupe_docs: bool = False,
 ) -> DataFrame:
     """Geotags a city reads more eagerly than the rest of a category.
@@ -112,13 +111,18 @@ def cross_geo(
     A (city, category, geotag) is kept when its rounded ctr is strictly above
     the one of (city, category) over *all* documents of the category, tagged or
     not. Both grains come out of one aggregate: every impression counts once
-    under the marker row ``overall`` and once per geotag.
+    under the marker row ``overall`` and once per geotag; the baseline is then
+    joined to its geotags.
 
     Sums decide the uplift and are cheap; distinct users and documents are
-    counted only for the groups that pass, and for their baselines. ``facts``
-    (``city_doc_user``) is read twice: stage it.
+    counted only for the groups that pass, and for their baselines: facts meet
+    the (city, category) pairs of those before their geotags fan out. ``facts``
+    (``city_doc_user``) is read twice: stage it. The groups that pass are
+    written while the plan is built. All rows come out, in no order;
+    ``max_rows`` keeps the first ones by city, category and ctr, sorted.
     """
-    keys = ["city_id", "category", "overall", "type_pid"]
+    group = ["city_id", "category"]
+    keys = [*group, "overall", "type_pid"]
     overall = F.array(
         F.struct(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("type_pid"))
     )
@@ -127,64 +131,65 @@ def cross_geo(
     )
     docs = doc_facets(doc_dim, dimension, as_of, doc_days, dedupe_docs)
 
-    def fan_out(rows: DataFrame) -> DataFrame:
+    def per_category(rows: DataFrame) -> DataFrame:
         return (
             rows.join(docs, "doc_id")
-            .select("*", F.explode("categories").alias("category"))
+            .select(*rows.columns, "geos", F.explode("categories").alias("category"))
             .where(F.col("category").isNotNull())
-            .select(*rows.columns, "category", F.inline(F.concat(overall, per_tag)))
         )
 
-    # One (city, category) holds as many rows as it has geotags, however much
-    # traffic it has, so its baseline may ride along in a window.
-    group = Window.partitionBy("city_id", "category")
-    ctr = rounded_ctr(F.col("clicks"), F.col("checks"))
-    base_ctr = F.max(F.when(F.col("overall"), F.col("ctr"))).over(group)
-    passes = ~F.col("overall") & (F.col("checks") >= min_check) & (F.col("ctr") > F.col("base_ctr"))
-    wanted = (
-        fan_out(facts.groupBy("city_id", "doc_id").agg(*_sum_up()))
+    def fan_out(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c != "geos"]
+        return rows.select(*kept, F.inline(F.concat(overall, per_tag)))
+
+    sums = (
+        fan_out(per_category(facts.groupBy("city_id", "doc_id").agg(*_sum_up())))
         .groupBy(*keys)
         .agg(*_sum_up())
-        .withColumn("ctr", ctr)
-        .withColumn("base_ctr", base_ctr)
-        .withColumn("passes", passes)
-        .withColumn("any_passes", F.max("passes").over(group))
-        .where(F.col("passes") | (F.col("overall") & F.col("any_passes")))
-        .select(*[F.col(key).alias(f"wanted_{key}") for key in keys])
+        .withColumn("ctr", rounded_ctr(F.col("clicks"), F.col("checks")))
+    )
+    base_ctr = sums.where("overall").select(*group, F.col("ctr").alias("base_ctr"))
+    wanted = (
+        sums.where(~F.col("overall") & (F.col("checks") >= min_check))
+        .join(base_ctr, group)
+        .where(F.col("ctr") > F.col("base_ctr"))
+        .select(*group, F.col("type_pid"))
     )
     wanted = stage(wanted, f"cross-geo-{dimension}")
-    same_group = reduce(
-        Column.__and__, [F.col(key).eqNullSafe(F.col(f"wanted_{key}")) for key in keys]
+    pairs = wanted.select(*group).distinct()
+    candidates = fan_out(per_category(facts).join(pairs, group, "left_semi"))
+    same_tag = reduce(
+        Column.__and__,
+        [F.col(c).eqNullSafe(F.col(f"wanted_{c}")) for c in (*group, "type_pid")],
     )
-    groups = _metrics(fan_out(facts).join(wanted, same_group, "left_semi"), keys)
-
+    named = wanted.select(*[F.col(c).alias(f"wanted_{c}") for c in wanted.columns])
     metrics = ("ctr", "checks", "clicks", "docs", "users")
-    base = F.max(F.when(F.col("overall"), F.struct(*metrics))).over(group)
-    uplifted = (
-        groups.withColumn("base", base)
-        .where(~F.col("overall") & (F.col("base.users") >= min_users))
-        .select(
-            "city_id",
-            "category",
-            "type_pid",
-            *metrics,
-            *[F.col(f"base.{m}").alias(f"base_{m}") for m in metrics],
-        )
+    tags = _metrics(
+        candidates.where(~F.col("overall")).join(named, same_tag, "left_semi"), [*group, "type_pid"]
     )
-    order = [F.col("city_id"), F.col("category"), F.col("ctr").desc(), F.col("type_pid")]
-    if max_rows is not None and wanted.count() <= max_rows:
-        max_rows = None  # fewer groups than the cap: nothing to cut
-    return ordered_cap(uplifted, order, max_rows, label=f"cross-geo-{dimension}-capped")
+    base = _metrics(candidates.where("overall"), group).where(F.col("users") >= min_users)
+    uplifted = tags.join(
+        base.select(*group, *[F.col(m).alias(f"base_{m}") for m in metrics]), group
+    ).select(*group, "type_pid", *metrics, *[f"base_{m}" for m in metrics])
+    return _capped(uplifted, cross_geo_order(), max_rows, f"cross-geo-{dimension}-capped")
+
+
+def cross_geo_order() -> list[Column]:
+    """The order in which the rows are landed."""
+    return [F.col("city_id"), F.col("category"), F.col("ctr").desc(), F.col("type_pid")]
+
+
+def _capped(rows: DataFrame, order: list[Column], max_rows: int | None, label: str) -> DataFrame:
+    return rows if max_rows is None else ordered_cap(rows, order, max_rows, label=label)
 
 
 def cross_geo_kv(rows: DataFrame) -> DataFrame:
-    """``city@category`` → geotags, best ctr first, every geotag kept."""
-    return kv_fold(
+    """``city@category`` → geotags, best ctr first, every geotag kept, in numbered parts."""
+    return kv_parts(
         rows,
         key=F.concat("city_id", F.lit("@"), "category"),
         item=F.col("type_pid"),
         order=[-F.col("ctr"), F.col("type_pid")],
-        max_size=None,
     )
 
 
@@ -195,16 +200,19 @@ def geo_top_docs(
     as_of: date,
     doc_days: int = 3,
     min_check: int = 100,
-    max_rows: int | None = RESULT_CAP,
+    max_rows: int | None = None,
+    dedupe_docs: bool = False,
 ) -> DataFrame:
     """Documents whose ctr is at least the ctr of their ``category@type@pid``.
 
     ``per_doc`` (``doc_impressions``) brings one row per document to the
-    document's keys, and these fan out only after the join.
+    document's keys, and these fan out only after the join. All rows come out,
+    in no order; ``max_rows`` keeps the first ones by key and ctr, sorted.
     """
-    keys = doc_dim.where(within(F.col("pdate"), as_of, doc_days)).select(
-        "doc_id", list_keys(dimension).alias("list_keys")
-    )
+    docs = doc_dim.where(within(F.col("pdate"), as_of, doc_days))
+    if dedupe_docs:
+        docs = latest_snapshot(docs)
+    keys = docs.select("doc_id", list_keys(dimension).alias("list_keys"))
     per_key_doc = (
         per_doc.join(keys, "doc_id")
         .select("doc_id", "checks", "clicks", F.explode("list_keys").alias("list_key"))
@@ -228,8 +236,12 @@ def geo_top_docs(
             "base_key", "base_ctr", "base_checks", "base_clicks",
         )
     )
-    order = [F.col("list_key"), F.col("ctr").desc(), F.col("doc_id")]
-    return ordered_cap(kept, order, max_rows, label=f"geo-top-docs-{dimension}")
+    return _capped(kept, geo_top_docs_order(), max_rows, f"geo-top-docs-{dimension}")
+
+
+def geo_top_docs_order() -> list[Column]:
+    """The order in which the rows are landed."""
+    return [F.col("list_key"), F.col("ctr").desc(), F.col("doc_id")]
 
 
 def geo_top_docs_kv(rows: DataFrame, max_size: int = 200) -> DataFrame:
@@ -250,6 +262,7 @@ def geo_new_docs(
     doc_days: int = 1,
     hours: int = 6,
     max_docs_exclusive: int = 20,
+    dedupe_docs: bool = False,
 ) -> DataFrame:
     """``category@type@pid`` → newest documents of the last hours.
 
@@ -259,10 +272,10 @@ def geo_new_docs(
     hour = as_of.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
     # Written as text, the bound does not depend on the time zone of the driver.
     since = F.lit(hour.isoformat(sep=" ")).cast(doc_dim.schema["publish_time"].dataType)
-    recent = doc_dim.where(
-        within(F.col("pdate"), as_of.date(), doc_days)
-        & (F.col("publish_time") >= since)
-    )
+    docs = doc_dim.where(within(F.col("pdate"), as_of.date(), doc_days))
+    if dedupe_docs:
+        docs = latest_snapshot(docs)
+    recent = docs.where(F.col("publish_time") >= since)
     newest = top_k(
         recent.select("doc_id", "publish_time", F.explode(list_keys(dimension)).alias("list_key")),
         ["list_key"],

@@ -25,10 +25,12 @@ def user_history(
     part_size: int = 100_000,
     output_partitions: int | None = None,
 ) -> DataFrame:
-    """(user_id, part, doc_items): distinct ``doc|ts`` items joined by tab, sorted.
+    """(user_id, part, n_parts, doc_items): distinct ``doc|ts`` items joined by tab, sorted.
 
     A user with more than ``part_size`` items is written in several parts, each
     item in exactly one of them, so no task ever holds a whole heavy reader.
+    Everybody else has part 0 of 1. Items and heavy users are written while the
+    plan is built.
     """
     published = F.to_date("publish_time").between(F.lit(first_publish), F.lit(last_publish))
     docs = doc_static_daily.where((F.col("pdate") == F.lit(snapshot)) & published).select(
@@ -55,7 +57,7 @@ def user_history(
     parts = _parts(stage(items, "history-items"), part_size)
     # Partitioned by user *and* part: grouping by the join key alone would put
     # all parts of a heavy reader into one task.
-    keys = ("user_id", "part")
+    keys = ("user_id", "part", "n_parts")
     spread = parts.repartition(output_partitions, *keys) if output_partitions else parts.repartition(*keys)
     return spread.groupBy(*keys).agg(
         F.array_join(F.array_sort(F.collect_list("item")), "\t").alias("doc_items")
@@ -75,5 +77,8 @@ def _parts(items: DataFrame, part_size: int) -> DataFrame:
     )
     spread: Column = F.pmod(F.xxhash64("item"), F.col("n_parts"))
     return items.join(stage(heavy, "history-heavy"), "user_id", "left").select(
-        "user_id", "item", F.coalesce(spread, F.lit(0)).cast("long").alias("part")
+        "user_id",
+        "item",
+        F.coalesce(spread, F.lit(0)).cast("long").alias("part"),
+        F.coalesce("n_parts", F.lit(1)).cast("long").alias("n_parts"),
     )

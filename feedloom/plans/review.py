@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import day_epoch, null_text, stripped
 from feedloom.plans.feedparse import CRAWL_WIDTH
+from feedloom.plans.sampling import CONTROL_ARM
+from feedloom.staging import stage
 
 # A run is one crawl file: a day and an arm.
 RUN = ("day", "arm")
@@ -26,47 +28,63 @@ MAX_FAIL_RATIO = 0.8
 
 
 def first_outcomes(
-    lines: DataFrame, ledger: DataFrame, reviews: DataFrame, run_keys: Sequence[str] = RUN
+    lines: DataFrame,
+    ledger: DataFrame,
+    reviews: DataFrame,
+    arms: Sequence[str] = (CONTROL_ARM,),
 ) -> DataFrame:
-    """(run, docid, line_no, outcome) of the first line of a document in a run.
-
-    Only that line can be anything but a duplicate, so the ledger and the
-    reviews meet one row per document, not every line.
+    """(day, arm, docid, line_no, outcome) of the first line of a document in a run.
+
+    Runs follow one another by day, and within a day in the order of ``arms``,
+    others after them by name; each sees what the runs before it have queued. So
+    a document not yet in the ledger and not under review is ``succ`` in its
+    first run and a duplicate in later ones. One under review ``exist``s in every
+    run, as it does not enter the ledger. Lines meet the ledger and the reviews
+    as one row per run and document, and runs meet through a minimum per document.
     """
-    run = list(run_keys)
     written = ledger.select("docid").distinct().withColumn("written", F.lit(True))
     reviewed = (
         reviews.select(F.col("_id").alias("docid")).distinct().withColumn("reviewed", F.lit(True))
     )
-    outcome = F.when(F.col("written"), "dup").when(F.col("reviewed"), "exist").otherwise("succ")
-    return (
+    turn = F.coalesce(
+        *[F.when(F.col("arm") == arm, k) for k, arm in enumerate(arms)], F.lit(len(arms))
+    )
+    run = F.struct("day", turn.alias("turn"), "arm")
+    firsts = (
         lines.where(F.col("width") >= 2)
-        .groupBy(*run, "docid")
+        .groupBy(*RUN, "docid")
         .agg(F.min("line_no").alias("line_no"))
+        .withColumn("run", run)
+    )
+    first_run = firsts.groupBy(F.col("docid").alias("first_docid")).agg(F.min("run").alias("first_run"))
+    outcome = (
+        F.when(F.col("written"), "dup")
+        .when(F.col("reviewed"), "exist")
+        .when(F.col("run") == F.col("first_run"), "succ")
+        .otherwise("dup")
+    )
+    return (
+        firsts.join(first_run, F.col("docid").eqNullSafe(F.col("first_docid")))
         .join(written, "docid", "left")
         .join(reviewed, "docid", "left")
-        .select(*run, "docid", "line_no", outcome.alias("outcome"))
+        .select(*RUN, "docid", "line_no", outcome.alias("outcome"))
     )
 
 
-def review_enqueue(
-    lines: DataFrame, firsts: DataFrame, run_keys: Sequence[str] = RUN
-) -> DataFrame:
+def review_enqueue(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """Outcome of every line of a run: skip, dup, exist or succ."""
-    run = list(run_keys)
+    known = firsts.select(*RUN, "line_no", "outcome")
     outcome = F.when(F.col("width") < 2, "skip").otherwise(F.coalesce("outcome", F.lit("dup")))
     return (
-        lines.select(*run, "line_no", "docid", "width")
-        .join(firsts, [*run, "line_no", "docid"], "left")
-        .select(*run, "line_no", "docid", outcome.alias("outcome"))
+        lines.select(*RUN, "line_no", "docid", "width")
+        .join(known, [*RUN, "line_no"], "left")
+        .select(*RUN, "line_no", "docid", outcome.alias("outcome"))
     )
 
 
-def review_enqueue_counts(
-    lines: DataFrame, firsts: DataFrame, run_keys: Sequence[str] = RUN
-) -> DataFrame:
+def review_enqueue_counts(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """Counts per run of each outcome, without matching line to line."""
-    run = list(run_keys)
+    run = list(RUN)
     totals = lines.groupBy(*run).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(F.col("width") < 2).alias("skip_num")
     )
@@ -283,8 +301,8 @@ def review_daily(docs: DataFrame, gate: DataFrame) -> DataFrame:
 
 
 def _on_run_days(rows: DataFrame, gate: DataFrame) -> DataFrame:
-    """Reports exist for days with a run; a run of no complete line has none."""
-    return _passed(rows, gate.where(F.col("complete_cnt") > 0))
+    """Reports exist for days with a run that passed, be it without a complete line."""
+    return _passed(rows, gate)
 
 
 def _trailing(counts: DataFrame, gate: DataFrame, day_range: int) -> DataFrame:
@@ -331,15 +349,21 @@ def _shares(counts: DataFrame, whole: Sequence[str]) -> DataFrame:
     return counts.withColumn("rate", F.try_divide(F.col("cnt").cast("double"), total.cast("double")))
 
 
-def review_summary(daily: DataFrame, gate: DataFrame, day_range: int = 1) -> DataFrame:
-    """Per run day: total, usable and wrong rows, distinct documents, success rate."""
+def review_summary(
+    daily: DataFrame, gate: DataFrame, day_range: int = 1, by_status: DataFrame | None = None
+) -> DataFrame:
+    """Per run day: total, usable and wrong rows, distinct documents, success rate.
+
+    ``by_status`` may hold the documents by status, if they are known already.
+    """
     per_day = daily.groupBy(*RUN).agg(
         F.sum("cnt").alias("total_cnt"),
         F.sum(F.when(F.col("usable"), F.col("cnt")).otherwise(0)).alias("succ_cnt"),
         F.sum(F.when(F.col("usable"), 0).otherwise(F.col("cnt"))).alias("wrong_cnt"),
     )
+    by_status = _documents_by_status(daily, gate, day_range) if by_status is None else by_status
     documents = (
-        _documents_by_status(daily, gate, day_range)
+        by_status
         .groupBy(*RUN)
         .agg(F.sum("cnt").alias("documents"))
     )
@@ -381,8 +405,11 @@ def review_metric_points(
 ) -> DataFrame:
     """(metric, ts, value, tags) of one window length.
 
-    Statuses outside the three known ones are counted but not reported.
+    Statuses outside the three known ones are counted but not reported. The
+    documents by status are counted once and written, a few rows per run and
+    status; ``daily`` is read three times: stage it.
     """
+    seen = stage(_documents_by_status(daily, gate, day_range), f"review-documents-{day_range}d")
     length = F.lit("" if day_range <= 1 else f"{day_range}d_")
 
     def named(values: DataFrame, what: Column) -> DataFrame:
@@ -399,7 +426,7 @@ def review_metric_points(
         "uniq_doc_cnt": "_count_succ_uniq_doc",
         "succ_rate": "_rate_succ",
     }
-    totals = review_summary(daily, gate, day_range).select(
+    totals = review_summary(daily, gate, day_range, seen).select(
         *RUN, *[F.col(c).cast("double").alias(suffix) for c, suffix in summary.items()]
     )
     points = named(
@@ -407,7 +434,7 @@ def review_metric_points(
     )
     by_status = {
         "status_": review_status(daily, gate, day_range),
-        "uniqdoc_status_": review_unique_status(daily, gate, day_range),
+        "uniqdoc_status_": _shares(seen, RUN),
     }
     for infix, shares in by_status.items():
         known = shares.where(F.col("status").isin(*STATUSES)).select(

@@ -12,14 +12,30 @@ NOT_IN_INDEX = "none"
 UPDATED = "succ_update_es"
 
 
+# Fields of an update line: document and timeliness.
+UPDATE_WIDTH = 2
+
+
 def latest_updates(updates: DataFrame) -> DataFrame:
-    """(docid, timeliness): the last line of a document wins."""
-    trimmed = updates.select(
-        stripped(F.col("docid")).alias("docid"),
-        stripped(F.col("timeliness")).alias("timeliness"),
+    """(docid, timeliness): the last whole line of a document wins.
+
+    ``updates`` has the ``fields``, ``width`` and ``line_no`` of each line. Lines
+    of more or fewer than two fields are no updates.
+    """
+    whole = updates.where(F.col("width") == UPDATE_WIDTH).select(
+        stripped(F.col("fields")[0]).alias("docid"),
+        stripped(F.col("fields")[1]).alias("timeliness"),
         "line_no",
     )
-    return trimmed.groupBy("docid").agg(F.max_by("timeliness", "line_no").alias("timeliness"))
+    return whole.groupBy("docid").agg(F.max_by("timeliness", "line_no").alias("timeliness"))
+
+
+def update_line_counts(updates: DataFrame) -> DataFrame:
+    """One row: lines read, and lines left out for their width."""
+    return updates.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("width") != UPDATE_WIDTH).alias("left_out"),
+    )
 
 
 def index_sync_outcome(updates: DataFrame, search_index: DataFrame) -> DataFrame:

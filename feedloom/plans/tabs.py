@@ -77,7 +77,10 @@ def tab_name(channel_id: Column, names: Mapping[str, str]) -> Column:
 
 
 def tab_doc_ctr(interactions: DataFrame, as_of: date, days: int = 2) -> DataFrame:
-    """(tab, doc_id, channel_id) → ctr, checks, clicks; unmapped tabs are kept."""
+    """(tab, doc_id, channel_id) → ctr, checks, clicks; unmapped tabs are kept.
+
+    A group whose clicks were never recorded has no ctr and is left out.
+    """
     return (
         interactions.where(
             within(F.col("pdate"), as_of, days, closed=True)
@@ -87,6 +90,7 @@ def tab_doc_ctr(interactions: DataFrame, as_of: date, days: int = 2) -> DataFram
         )
         .groupBy("doc_id", "channel_id")
         .agg(F.sum("checked").alias("checks"), F.sum("clicked").alias("clicks"))
+        .where(F.col("clicks").isNotNull())
         .select(
             tab_name(F.col("channel_id"), HOT_TAB_NAMES).alias("tab"),
             "doc_id",
@@ -158,7 +162,7 @@ def hot_tab_docs(smoothed: DataFrame, min_check: int = 60) -> DataFrame:
 
 
 def hot_tab_hash(ranked: DataFrame, part_size: int = 1000) -> DataFrame:
-    """Hash rows tab id → JSON array of ``{docId, tabId, ctr, click, check}``."""
+    """Hash rows tab id → JSON arrays of ``{docId, tabId, ctr, click, check}``."""
     element = F.struct(
         F.col("doc_id").alias("docId"),
         F.col("channel_id").alias("tabId"),
@@ -169,8 +173,33 @@ def hot_tab_hash(ranked: DataFrame, part_size: int = 1000) -> DataFrame:
     return hash_publish(ranked, HOT_TAB_HASH, "channel_id", element, part_size=part_size)
 
 
-def _metric_aggregates(rows: DataFrame, *keys: str) -> DataFrame:
-    totals = rows.groupBy(*keys).agg(
+def tab_reports(interactions: DataFrame, first_day: date, last_day: date) -> DataFrame:
+    """Metrics per (day, tab, os), and per (day, os) under the tab ``tot``.
+
+    The fact is summed once to (day, os, tab id, channel, user); each sum then
+    counts for its tab, and for the total if it is of the new tabs, unmapped ones
+    included. A daily run passes the same day twice.
+    """
+    new_tab = F.col("channel_name") == "channelnew"
+    headline = (F.col("channel_name") == "channel") & (F.col("channel_id") == HEADLINE_TAB)
+    counters = ("clicked", "checked", "shared", "thumbed_up")
+    per_user = (
+        interactions.where(
+            F.col("pdate").between(F.lit(first_day), F.lit(last_day))
+            & (F.col("joined") == 1)
+            & (F.col("checked") == 1)
+            & (new_tab | headline)
+        )
+        .groupBy("pdate", "os", "channel_id", "channel_name", "user_id")
+        .agg(*[F.sum(c).alias(c) for c in counters])
+    )
+    reports = F.array(
+        tab_name(F.col("channel_id"), METRIC_TAB_NAMES), F.when(new_tab, F.lit(TOTAL_TAB))
+    )
+    rows = per_user.select(
+        "pdate", "os", "user_id", *counters, F.explode(reports).alias("tab")
+    ).where(F.col("tab").isNotNull())
+    totals = rows.groupBy("pdate", "tab", "os").agg(
         F.count_distinct("user_id").alias("dau"),
         F.sum("clicked").alias("clicks"),
         F.sum("checked").alias("checks"),
@@ -179,7 +208,9 @@ def _metric_aggregates(rows: DataFrame, *keys: str) -> DataFrame:
     )
     c = F.col
     return totals.select(
-        *keys,
+        "pdate",
+        "tab",
+        "os",
         "dau",
         "clicks",
         "checks",
@@ -194,34 +225,14 @@ def _metric_aggregates(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _checked_between(interactions: DataFrame, first_day: date, last_day: date) -> DataFrame:
-    return interactions.where(
-        F.col("pdate").between(F.lit(first_day), F.lit(last_day))
-        & (F.col("joined") == 1)
-        & (F.col("checked") == 1)
-    )
-
-
 def tab_metrics(interactions: DataFrame, first_day: date, last_day: date) -> DataFrame:
-    """Metrics per (day, tab, os); a daily run passes the same day twice."""
-    new_tab = F.col("channel_name") == "channelnew"
-    headline = (F.col("channel_name") == "channel") & (F.col("channel_id") == HEADLINE_TAB)
-    rows = (
-        _checked_between(interactions, first_day, last_day)
-        .where(new_tab | headline)
-        .withColumn("tab", tab_name(F.col("channel_id"), METRIC_TAB_NAMES))
-        .where(F.col("tab").isNotNull())
-    )
-    return _metric_aggregates(rows, "pdate", "tab", "os")
+    """Metrics per (day, tab, os)."""
+    return tab_reports(interactions, first_day, last_day).where(F.col("tab") != TOTAL_TAB)
 
 
 def tab_metrics_total(interactions: DataFrame, first_day: date, last_day: date) -> DataFrame:
     """Metrics per (day, os) over all ``channelnew`` rows, unmapped tabs included."""
-    rows = _checked_between(interactions, first_day, last_day).where(
-        F.col("channel_name") == "channelnew"
-    )
-    totals = _metric_aggregates(rows, "pdate", "os")
-    return totals.select("pdate", F.lit(TOTAL_TAB).alias("tab"), "os", *TAB_METRICS)
+    return tab_reports(interactions, first_day, last_day).where(F.col("tab") == TOTAL_TAB)
 
 
 def tab_metric_points(metrics: DataFrame, host: str) -> DataFrame:

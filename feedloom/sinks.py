@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -26,16 +26,20 @@ def _as_text(field: T.StructField) -> Column:
     return F.coalesce(column.cast("string"), F.lit(NULL_FIELD))
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "overwrite") -> None:
-    """Rows as text without header or quotes, NULL as ``\\N``."""
-    line = F.concat_ws(sep, *[_as_text(f) for f in df.schema])
-    df.select(line.alias("value")).write.mode(mode).text(path)
-
+def write_delimited(
+    df: DataFrame,
+    path: str,
+    sep: str = "\t",
+    mode: str = "overwrite",
+    order: Sequence[Column] = (),
+) -> None:
+    """Rows as text without header or quotes, NULL as ``\\N``.
 
-def write_ordered_file(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """One part file in the frame's order; for results already capped."""
+    With ``order`` the parts, read by name, are in that order: one sort, here.
+    """
     line = F.concat_ws(sep, *[_as_text(f) for f in df.schema])
-    df.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    rows = df.orderBy(*order) if order else df
+    rows.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions import flag
+from feedloom.functions import flag, stripped
 
 FLAGS = ("joined", "checked", "clicked", "shared", "thumbed_up")
 
@@ -39,15 +39,29 @@ def delimited_text(spark: SparkSession, path: str, schema: str, sep: str = "\t")
     )
 
 
+def ragged_fields(line: Column, sep: str = "\t") -> Column:
+    """The fields of a line whose number is part of its meaning.
+
+    The line is stripped first, so an empty last field of a tab text does not count.
+    """
+    return F.split(stripped(line), sep)
+
+
 def ragged_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """(fields, width) of rows whose number of fields is part of their meaning.
+    """(fields, width, line_no) of text lines, beside the columns of partition folders.
 
-    The line is stripped first, so an empty last field does not count.
+    ``line_no`` is a struct that orders the lines of a file, and files by name: the
+    block a line lies in, then its place there.
     """
-    stripped = F.regexp_replace("value", r"^\s+|\s+$", "")
-    return spark.read.text(path).select(F.split(stripped, sep).alias("fields")).select(
-        "fields", F.size("fields").alias("width")
+    read = spark.read.text(path)
+    folders = [c for c in read.columns if c != "value"]
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    lines = read.select(*folders, ragged_fields(F.col("value"), sep).alias("fields"), place.alias("line_no"))
+    return lines.withColumn("width", F.size("fields"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

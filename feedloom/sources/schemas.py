@@ -27,7 +27,7 @@ DOC_PROFILE = (
     "doc_id string, tab_cfb_1d map<string,struct<view:bigint,click:bigint>>, "
     "tab_cfb_2d map<string,struct<view:bigint,click:bigint>>"
 )
-FEED_DUMP = "line_no bigint, uid string, zip string, arm string, body string"
+FEED_DUMP = "line_no bigint, day date, uid string, zip string, arm string, body string"
 DOC_META_JSON = "docid string, body string"
 CRAWL_ROWS = (
     "line_no bigint, day date, arm string, width int, uid string, docid string, pos string, "
@@ -40,5 +40,8 @@ DISPLAY_DOC = (
     "image_urls array<string>, content string"
 )
 WRITTEN_LEDGER = "docid string, source string"
-TIMELINESS_UPDATES = "line_no bigint, docid string, timeliness string"
+TIMELINESS_UPDATES = "line_no bigint, fields array<string>, width int"
 SEARCH_INDEX = "docid string, timeliness_type string"
+
+# Inputs that may come as JSON lines.
+JSON = {"feed_dump": FEED_DUMP, "doc_meta_json": DOC_META_JSON, "reviews": REVIEWS, "display_doc": DISPLAY_DOC}

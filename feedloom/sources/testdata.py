@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.plans.tabs import METRIC_TAB_NAMES
+from feedloom.sources.files import ragged_fields
 
 AS_OF = date(2024, 1, 31)
 AS_OF_TIME = datetime(2024, 1, 31)
@@ -73,6 +74,8 @@ class FeedTables:
         no_error = (kind != "error").cast("int")
         seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', event_time)")
         no_likes = (i % 13 == 0) | (F.col("doc_id").cast("int") % 10 == 3)
+        # Clicks of some documents in the new tabs were never recorded.
+        unrecorded = (i % 4 == 2) & (F.col("doc_id").cast("int") % 25 == 12)
         return self._events.join(zips, "user_id").select(
             "user_id",
             "doc_id",
@@ -84,7 +87,7 @@ class FeedTables:
             "nr_condition",
             no_error.alias("joined"),
             no_error.alias("checked"),
-            kind.isin("click", "purchase").cast("int").alias("clicked"),
+            F.when(~unrecorded, kind.isin("click", "purchase").cast("int")).alias("clicked"),
             (kind == "purchase").cast("int").alias("shared"),
             (kind == "signup").cast("int").alias("thumbed_up"),
             F.floor(value * 100).alias("cv_time"),
@@ -108,22 +111,25 @@ class FeedTables:
 
     @cached_property
     def doc_dim(self) -> DataFrame:
+        """Every sixth document has an older snapshot; some have no geotags, or a NULL of them."""
         d = F.col("doc_id")
 
         def tag(kind: Column, prefix: str, pid: Column) -> Column:
             return F.struct(kind.alias("type"), F.concat(F.lit(prefix), pid).alias("pid"))
 
-        city_pid = F.when(d % 23 != 7, (d % 5).cast("string"))
         wide = F.when(d % 3 == 0, "state").otherwise("county")
+        tab = F.when(d % 97 == 13, "\t").otherwise("")
+        city_pid = F.when(d % 23 != 7, F.concat(((d + F.col("back")) % 5).cast("string"), tab))
+        tags = F.array(tag(F.lit("city"), "p", city_pid), tag(wide, "q", (d % 7).cast("string")))
+        geotag = F.when(d % 17 == 9, F.array_except(tags, tags)).when(d % 17 != 2, tags)
+        snapshots = F.when(d % 6 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         channels = F.when(d % 29 == 3, F.array().cast("array<string>")).otherwise(F.array("lang", "source"))
-        return self._documents.select(
+        return self._documents.withColumn("back", F.explode(snapshots)).select(
             _text("doc_id").alias("doc_id"),
-            F.to_date("publish_time").alias("pdate"),
+            F.date_sub(F.to_date("publish_time"), F.col("back")).alias("pdate"),
             "publish_time",
             channels.alias("channels"),
-            F.array(
-                tag(F.lit("city"), "p", city_pid), tag(wide, "q", (d % 7).cast("string"))
-            ).alias("geotag"),
+            geotag.alias("geotag"),
             F.struct(
                 F.create_map("lang", F.lit(1.0)).alias("first_cat"),
                 F.create_map("source", F.lit(0.5)).alias("second_cat"),
@@ -237,7 +243,11 @@ class FeedTables:
 
     @cached_property
     def feed_dump(self) -> DataFrame:
-        """One dump per event with three documents; every 41st body is cut off."""
+        """One dump per event with three documents.
+
+        Every 41st body is cut off; some have a position as text, a fractional or
+        a null one, or none at all.
+        """
         i = F.col("event_id")
 
         def document(step: int) -> Column:
@@ -250,8 +260,15 @@ class FeedTables:
                 )
                 .otherwise(F.lit('{"condition":"trending"}'))
             )
+            pos = (
+                F.when(i % 37 == 5, f'"pos":"{step}",')
+                .when(i % 37 == 6, f'"pos":{step}.5,')
+                .when(i % 37 == 7, '"pos":null,')
+                .when(i % 43 == 9, "")
+                .otherwise(f'"pos":{step},')
+            )
             return F.concat(
-                F.lit('{"docid":"'), docid, F.lit(f'","pos":{step},"contextMeta":'), meta, F.lit("}")
+                F.lit('{"docid":"'), docid, F.lit('",'), pos, F.lit('"contextMeta":'), meta, F.lit("}")
             )
 
         body = F.concat(
@@ -259,6 +276,7 @@ class FeedTables:
         )
         return self._events.select(
             i.alias("line_no"),
+            "day",
             _text("user_id").alias("uid"),
             F.lit("").alias("zip"),
             F.when(i % 2 == 0, "online").otherwise("exp").alias("arm"),
@@ -309,16 +327,34 @@ class FeedTables:
 
     @cached_property
     def timeliness_updates(self) -> DataFrame:
-        """Two lines per even document: the second one must win."""
+        """Lines of two fields, two per document: the second one must win.
+
+        Some documents have a later line of one field, or of three: no updates.
+        """
         d = F.col("doc_id")
-        first = F.struct((d * 2).alias("line_no"), F.lit("short").alias("timeliness"))
-        second = F.struct(
-            (d * 2 + 1).alias("line_no"), F.when(d % 4 == 0, "evergreen").otherwise("current").alias("timeliness")
-        )
+        docid = _text("doc_id")
+        last = F.when(d % 4 == 0, "evergreen").otherwise("current")
+        bad = F.when(d % 11 == 3, docid).when(d % 11 == 4, F.concat_ws("\x01", docid, F.lit("short"), F.lit("x")))
+        lines = [
+            F.concat_ws("\x01", docid, F.lit("short ")),
+            F.concat_ws("\x01", docid, last),
+            bad,
+        ]
+        numbered = [F.struct((d * 3 + k).alias("line_no"), line.alias("line")) for k, line in enumerate(lines)]
         return (
             self._read("documents")
-            .where(d % 2 == 0)
-            .select(_text("doc_id").alias("docid"), F.inline(F.array(first, second)))
+            .select(F.inline(F.array(*numbered)))
+            .where(F.col("line").isNotNull())
+            .select("line_no", ragged_fields(F.col("line"), "\x01").alias("fields"))
+            .withColumn("width", F.size("fields"))
+        )
+
+    @cached_property
+    def lookup_ids(self) -> DataFrame:
+        """Every document, and some ids that no document has."""
+        ids = [_text("doc_id"), F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("gone"), _text("doc_id")))]
+        return (
+            self._read("documents").select(F.explode(F.array(*ids)).alias("_id")).where(F.col("_id").isNotNull())
         )
 
     @cached_property

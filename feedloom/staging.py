@@ -3,7 +3,7 @@
 A few operators read an aggregated table more than once. They write it first
 into the shared folder named by ``spark.checkpoint.dir``: that cuts the
 lineage, survives lost executors and computes the input once. Tables lie under
-one folder per application, to be removed once the application has ended.
+one folder per application; a job removes it when it ends.
 """
 
 from __future__ import annotations
@@ -29,13 +29,24 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{_CHECKPOINT_DIR} must name a folder all executors share")
+    if spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError(f"{_CHECKPOINT_DIR} must be set where executors are processes of their own")
     return _local_folder()
 
 
+def _application_root(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the tables this application has staged; frames on them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{staging_root(spark)}/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

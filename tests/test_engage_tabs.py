@@ -73,11 +73,11 @@ def test_a_name_at_two_levels_lists_the_document_twice(impressions, static, rows
     by_likes = engage.top_engaged(rows, docs, "likes", 2)
     assert rows_of(by_likes, "category", "rk", "doc_id") == [("x", 1, "b"), ("x", 2, "a"), ("y", 1, "a")]
     hashes = {r["field"]: r for r in engage.engagement_hash(by_likes, "localTopLikes").collect()}
-    assert json.loads(hashes["x"]["value"]) == [
+    assert json.loads(hashes["x#0/1"]["value"]) == [
         {"docId": "b", "likes": 2.0, "cmts": 5.0},
         {"docId": "a", "likes": 1.0, "cmts": 5.0},
     ]
-    assert hashes["y"]["ttl_sec"] == 15552000 and hashes["y"]["part"] == 0
+    assert hashes["y#0/1"]["ttl_sec"] == 15552000
     with pytest.raises(ValueError):
         engage.top_engaged(rows, docs, "views", 2)
 
@@ -131,7 +131,7 @@ def test_low_volume_documents_go_behind(spark, tab_rows):
     ranked = tabs.hot_tab_docs(smoothed)
     order = [(r["channel_id"], r["doc_id"]) for r in ranked.orderBy("channel_id", "rk").collect()]
     assert order == [("k1", "b"), ("k1", "c"), ("k1", "a"), ("k1", "d"), ("k2", "z")]
-    row = tabs.hot_tab_hash(ranked).where("field = 'k2'").first()
+    row = tabs.hot_tab_hash(ranked).where("field = 'k2#0/1'").first()
     assert json.loads(row["value"]) == [{"docId": "z", "tabId": "k2", "ctr": 0.1, "click": 1.0, "check": 30.0}]
 
 
@@ -182,3 +182,33 @@ def test_metrics_and_points(impressions, rows_of):
     values = {p["metric"]: (p["ts"], p["value"], p["tags"]) for p in points}
     assert values["tabmetric.up_pu.ios.crime"] == (1706572800, 0.5, {"host": "h"})
     assert tabs.tab_metrics(facts, AS_OF, AS_OF).count() == 0
+
+
+def test_clicks_that_were_never_recorded_leave_no_row(impressions, rows_of):
+    new = {"channel_name": "channelnew"}
+    facts = impressions(
+        {"doc_id": "a", "clicked": None, **new}, {"doc_id": "a", "clicked": None, **new},
+        {"doc_id": "b", "clicked": None, **new}, {"doc_id": "b", "clicked": 1, **new},
+    )
+    assert rows_of(tabs.tab_doc_ctr(facts, AS_OF), "doc_id", "ctr", "checks", "clicks") == [("b", 0.5, 2, 1)]
+
+
+def test_all_lists_in_one_pass_equal_the_single_ones(impressions, static, rows_of):
+    facts = impressions(
+        {"doc_id": "a", "doc_comment_cnt": 50, "doc_thumb_up_cnt": 1},
+        {"doc_id": "b", "doc_comment_cnt": None, "doc_thumb_up_cnt": None},
+        {"doc_id": "a", "nr_condition": "global", "channel_name": "foryou", "doc_comment_cnt": 11, "doc_thumb_up_cnt": 2},
+        {"doc_id": "b", "nr_condition": "global", "channel_name": "foryou", "doc_comment_cnt": 12, "doc_thumb_up_cnt": None},
+        {"doc_id": "c", "nr_condition": "global", "channel_name": "foryou", "doc_comment_cnt": 10, "doc_thumb_up_cnt": 7},
+        {"doc_id": "c", "nr_condition": "global", "doc_comment_cnt": 99, "doc_thumb_up_cnt": 99},
+        {"doc_id": "d", "nr_condition": None, "channel_name": "foryou", "doc_comment_cnt": 99, "doc_thumb_up_cnt": 99},
+    )
+    docs = static(*[{"_id": d, "first_cat": {"x": 1.0}} for d in "abcd"])
+    listed = engage.engagement_lists(facts, docs, AS_OF)
+    for (scope, by), name in engage.HASH_NAMES.items():
+        if scope == "local":
+            single = engage.top_engaged(engage.local_engagement(facts, AS_OF), docs, by, engage.LOCAL_LIST_SIZE)
+        else:
+            single = engage.top_engaged(engage.nonlocal_engagement(facts, AS_OF), docs, by, engage.NONLOCAL_LIST_SIZE)
+        columns = ("category", "rk", "doc_id", "cmts", "likes")
+        assert rows_of(listed.where(listed.list_name == name), *columns) == rows_of(single, *columns) != []

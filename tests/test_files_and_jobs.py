@@ -22,17 +22,17 @@ def test_delimited_round_trip(spark, tmp_path, rows_of):
     assert rows_of(files.delimited_text(spark, path, schema)) == rows_of(df)
 
 
-def test_ordered_file_keeps_the_order(spark, tmp_path):
-    df = spark.range(1000).orderBy(F.desc("id"))
-    sinks.write_ordered_file(df, str(tmp_path / "one"))
-    (part,) = [p for p in (tmp_path / "one").iterdir() if p.name.startswith("part-")]
-    assert [int(line) for line in part.read_text().split()] == list(range(999, -1, -1))
+def test_parts_read_by_name_keep_the_order(spark, tmp_path):
+    df = stage(spark.range(0, 1000, 1, 7), "thousand")
+    sinks.write_delimited(df, str(tmp_path / "rows"), order=[F.desc("id")])
+    parts = sorted(p for p in (tmp_path / "rows").iterdir() if p.name.startswith("part-"))
+    assert [int(line) for p in parts for line in p.read_text().split()] == list(range(999, -1, -1))
 
 
 def test_ragged_and_control_separated_text(spark, tmp_path, rows_of):
     (tmp_path / "rows").write_text("a\tb\tc\n\tx\ty\t\nlone\n\n")
     ragged = files.ragged_text(spark, str(tmp_path / "rows"))
-    assert sorted(r["width"] for r in ragged.collect()) == [1, 1, 2, 3]
+    assert [r["width"] for r in ragged.orderBy("line_no").collect()] == [3, 2, 1, 1]
     (tmp_path / "sep").write_text("d1\x01current\nd2\x01\n")
     df = files.delimited_text(spark, str(tmp_path / "sep"), "docid string, timeliness string", sep="\x01")
     assert [r["docid"] for r in df.orderBy("docid").collect()] == ["d1", "d2"]
@@ -58,7 +58,7 @@ def test_boolean_flags_become_integers(spark, rows_of):
     df = spark.createDataFrame([(True, 1), (False, 0), (None, None), (True, 2)], "joined boolean, checked int")
     out = files.with_int_flags(df)
     assert [t for _, t in out.dtypes] == ["int", "int"]
-    assert rows_of(out) == [(0, 0), (1, 0), (1, 1), (None, None)]
+    assert rows_of(out) == [(0, 0), (1, 1), (1, 2), (None, None)]
 
 
 def test_ledger_appends_and_writer_closes(spark, tmp_path):
@@ -113,7 +113,7 @@ def warehouse(spark, tmp_path_factory):
     t = load(spark, TESTDATA)
     names = (
         "interactions zip_geo doc_dim doc_static doc_static_daily doc_profile reviews crawl_rows "
-        "written_ledger timeliness_updates search_index"
+        "written_ledger timeliness_updates search_index feed_dump doc_meta_json"
     ).split()
     for name in names:
         df = getattr(t, name)
@@ -159,8 +159,8 @@ def test_a_short_result_is_not_published(run, tmp_path):
 
 def test_engagement_and_tab_jobs(run):
     jobs.engagement(run)
-    row = _read(run, "engagement/localTopCmts").first()
-    assert row["key"] == "localTopCmts" and json.loads(row["value"])[0]["docId"]
+    row = _read(run, "engagement").where("key = 'localTopCmts'").first()
+    assert row["field"].endswith("#0/1") and json.loads(row["value"])[0]["docId"]
     jobs.hot_tab_docs(run)
     assert _read(run, "hot_tab_docs").count() > 0
     jobs.hot_tab_docs(jobs.Run(run.spark, run.tables, run.out + "/fresh", run.as_of), fresh_only=True)
@@ -198,5 +198,82 @@ def test_history_and_sync_jobs(run):
     assert _read(run, "search_index").count() == run.table("search_index").count()
 
 
+def test_an_index_is_never_written_over_itself(spark, warehouse):
+    with pytest.raises(ValueError, match="search_index"):
+        jobs.index_sync(jobs.Run(spark, warehouse, warehouse + "/", datetime(2024, 1, 31)))
+    assert spark.read.parquet(f"{warehouse}/search_index").count() > 0
+
+
+def test_days_on_one_ledger_queue_nothing_twice(spark, warehouse, tmp_path):
+    queued = []
+    for day in (29, 30, 30):
+        run = jobs.Run(spark, warehouse, str(tmp_path), datetime(2024, 1, day))
+        jobs.review_enqueue(run)
+        queued.append([r["key"] for r in _read(run, "review_messages").collect()])
+    ledger = [r["docid"] for r in spark.read.parquet(str(tmp_path / "written_ledger")).collect()]
+    assert queued[0] and queued[1] and not queued[2]
+    assert sorted(queued[0] + queued[1]) == sorted(ledger) == sorted(set(ledger))
+
+
+def test_sampled_and_crawled_rows_are_enqueued(spark, warehouse, tmp_path):
+    run = jobs.Run(spark, warehouse, str(tmp_path), datetime(2024, 1, 30))
+    jobs.sample(run, users=5, labels="a,b", buckets="x,y")
+    assert _read(run, "sample_grid").count() == 3 * len(spark.read.text(run.path("sample")).collect()) > 0
+    jobs.crawl_rows(run)
+    rows = _read(run, "crawl_rows")
+    assert {"day", "arm", "line_no", "width"} <= set(rows.columns)
+    jobs.review_enqueue(run)
+    crawled = {r["docid"] for r in rows.where("width >= 2").select("docid").collect()}
+    messages = [r["key"] for r in _read(run, "review_messages").collect()]
+    assert messages and set(messages) <= crawled and len(messages) == len(set(messages))
+
+
+def test_text_and_json_inputs(spark, warehouse, tmp_path):
+    given = tmp_path / "tables"
+    for name in ("search_index", "doc_static", "reviews"):
+        spark.read.parquet(f"{warehouse}/{name}").write.parquet(str(given / name))
+    (given / "timeliness_updates").mkdir()
+    lines = ["1\x01old", " 1\x01 new ", "1", "1\x01a\x01b", "nowhere\x01x"]
+    (given / "timeliness_updates" / "updates.txt").write_text("\n".join(lines) + "\n")
+    run = jobs.Run(spark, str(given), str(tmp_path / "out"), datetime(2024, 1, 30), {
+        "timeliness_updates": "text", "crawl_rows": "text", "feed_dump": "json", "doc_meta_json": "json",
+    })
+    jobs.index_sync(run)
+    assert tuple(_read(run, "index_sync_lines").first()) == (5, 2)
+    assert _read(run, "search_index").where("docid = '1'").first()["timeliness_type"] == "new"
+    assert [r["key"] for r in _read(run, "reindex_messages").collect()] == ["nowhere"]
+
+    folder = given / "crawl_rows" / "day=2024-01-30" / "arm=online"
+    folder.mkdir(parents=True)
+    (folder / "a.txt").write_text("u\tq1\t0\nshort\nu\tq2\t1\nu\tq1\t2\n")
+    jobs.review_enqueue(run)
+    counts = _read(run, "review_enqueue_counts").first().asDict()
+    assert [counts[c] for c in ("succ_num", "exist_num", "dup_num", "skip_num")] == [2, 0, 1, 1]
+
+    dump = {"line_no": 1, "day": "2024-01-30", "uid": "u", "arm": "online",
+            "body": json.dumps({"documents": [{"docid": "d", "pos": 1.0, "contextMeta": {}}]})}
+    for name, row in (("feed_dump", dump), ("doc_meta_json", {"docid": "d", "body": "{"})):
+        (given / name).mkdir()
+        (given / name / "x.json").write_text(json.dumps(row) + "\n")
+    jobs.crawl_rows(run)
+    row = _read(run, "crawl_rows").first()
+    assert (row["docid"], row["pos"], row["width"], row["line_no"]) == ("d", "1.0", 5, 1)
+
+
+def test_command_line_settings():
+    assert jobs._pairs(["a=1", "b=x=y"]) == {"a": "1", "b": "x=y"}
+    assert [jobs._value(v) for v in ("7", "0.5", "true", "a,b")] == [7, 0.5, True, "a,b"]
+
+
+def test_staged_tables_can_be_cleared(spark):
+    kept = stage(spark.range(3), "cleared")
+    (path,) = {f.rsplit("/", 2)[0] for f in kept.inputFiles()}
+    from feedloom.staging import clear
+
+    clear(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def test_every_job_has_a_name():
     assert set(jobs.JOBS) >= {"cross_geo", "geo_top_docs", "review_analysis", "index_sync"}

@@ -194,3 +194,42 @@ def test_unknown_dimension_is_refused(documents):
         geo.geo_new_docs(documents({"doc_id": "d"}), "third_cat", datetime(2024, 1, 30))
 
 
+
+
+def test_documents_without_geotags_count_for_the_baseline(impressions, documents, zips, rows_of):
+    facts = geo.city_doc_user(
+        impressions(*_clicks(10, 5, doc_id="tagged"), *_clicks(10, 0, doc_id="null"), *_clicks(10, 0, doc_id="empty")),
+        zips,
+        AS_OF,
+    )
+    docs = documents(
+        {"doc_id": "tagged", "channels": ["a"], "geotag": [("city", "p1")]},
+        {"doc_id": "null", "channels": ["a"], "geotag": None},
+        {"doc_id": "empty", "channels": ["a"], "geotag": []},
+    )
+    rows = geo.cross_geo(facts, docs, "channel", AS_OF, min_users=1, min_check=1)
+    assert rows_of(rows, "type_pid", "ctr", "base_ctr", "base_docs") == [("city@p1", 0.5, 0.1667, 3)]
+
+
+def test_more_rows_than_the_former_cap_stay(spark, rows_of):
+    n = 1_000_050
+    per_doc = spark.range(n).selectExpr("cast(id as string) doc_id", "1 checks", "1 clicks")
+    docs = spark.range(n).selectExpr(
+        "cast(id as string) doc_id",
+        "date'2024-01-31' pdate",
+        "array('a') channels",
+        "array(named_struct('type', 'city', 'pid', 'p')) geotag",
+    )
+    assert geo.geo_top_docs(per_doc, docs, "channel", AS_OF, min_check=1).count() == n
+
+
+def test_only_the_latest_snapshot_counts_if_asked(impressions, documents, rows_of):
+    per_doc = geo.doc_impressions(impressions({"doc_id": "d"}, {"doc_id": "d"}), AS_OF)
+    docs = documents(
+        {"doc_id": "d", "channels": ["a"], "geotag": [("city", "p1")], "pdate": date(2024, 1, 29)},
+        {"doc_id": "d", "channels": ["a"], "geotag": [("city", "p1")], "pdate": date(2024, 1, 30)},
+    )
+    every = geo.geo_top_docs(per_doc, docs, "channel", AS_OF, min_check=1)
+    assert rows_of(every, "list_key", "checks") == [("a@city@p1", 4)]
+    latest = geo.geo_top_docs(per_doc, docs, "channel", AS_OF, min_check=1, dedupe_docs=True)
+    assert rows_of(latest, "list_key", "checks") == [("a@city@p1", 2)]

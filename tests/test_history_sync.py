@@ -51,7 +51,7 @@ def test_which_impressions_count(impressions, static_daily, rows_of):
         {"doc_id": "long", "ts": 7, "pdate": date(2023, 12, 31)},
     )
     rows = rows_of(history.user_history(facts, docs, **WINDOW))
-    assert rows == [(1, 0, "half|2\tlong|5\tlong|6\tnonnews|1\tunknown|3")]
+    assert rows == [(1, 0, 1, "half|2\tlong|5\tlong|6\tnonnews|1\tunknown|3")]
 
 
 def test_heavy_readers_come_in_parts_that_add_up(impressions, static_daily):
@@ -67,11 +67,14 @@ def test_heavy_readers_come_in_parts_that_add_up(impressions, static_daily):
     assert {u: set(items) for u, items in seen.items()} == whole
     assert all(len(items) == len(set(items)) for items in seen.values())
     assert len([r for r in rows if r["user_id"] == 7]) == 10
+    assert {r["n_parts"] for r in rows if r["user_id"] == 7} == {10}
+    assert {(r["part"], r["n_parts"]) for r in rows if r["user_id"] != 7} == {(0, 1)}
     assert max(len(r["doc_items"].split("\t")) for r in rows) < 100
 
 
 def _updates(spark, *rows):
-    return spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(rows)], schemas.TIMELINESS_UPDATES)
+    data = [(i, list(fields), len(fields)) for i, fields in enumerate(rows)]
+    return spark.createDataFrame(data, schemas.TIMELINESS_UPDATES)
 
 
 def test_last_update_wins(spark, rows_of):
@@ -83,6 +86,12 @@ def test_last_update_wins(spark, rows_of):
     assert rows_of(sync.index_sync_snapshot(updates, index)) == [("a", "new"), ("c", ""), ("z", "t0")]
 
 
+def test_lines_of_another_width_are_no_updates(spark, rows_of):
+    updates = _updates(spark, ("a", "new"), ("a",), ("a", "x", "y"), ("b", "x", "y"), ("c",))
+    assert rows_of(sync.latest_updates(updates)) == [("a", "new")]
+    assert rows_of(sync.update_line_counts(updates)) == [(5, 4)]
+
+
 def test_reindex_and_lookup(spark, rows_of):
     outcome = spark.createDataFrame([("a", "x", "none"), ("b", "x", "none"), ("c", "x", "succ_update_es")], "docid string, timeliness string, msg string")
     static = spark.createDataFrame(

@@ -3,10 +3,12 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from feedloom.catalog import QUERIES
 from feedloom.plans import geo
+from feedloom.sources.files import with_int_flags
 from feedloom.sources.testdata import load
 
 PRUNED_LISTS = ("geo_new_docs_channel", "local_top_comments", "nonlocal_top_likes", "geo_top_docs_kv")
@@ -58,3 +60,26 @@ def test_top_docs_reads_the_fact_once(spark):
     final = _plan(df).split("Initial Plan")[0]
     assert "ReusedExchange" in final
     assert final.count("events.parquet") == 1
+
+
+@pytest.mark.parametrize("kind", ["int", "boolean"])
+def test_flags_are_pushed_into_the_scan(spark, tmp_path, kind):
+    flags = {f: F.col(f).cast(kind) for f in ("joined", "checked")}
+    load(spark, TESTDATA).interactions.withColumns(flags).write.partitionBy("pdate").parquet(str(tmp_path / "facts"))
+    facts = with_int_flags(spark.read.parquet(str(tmp_path / "facts")))
+    value = "1" if kind == "int" else "true"
+    pushed = spark_scan(spark, facts)
+    for name in ("joined", "checked"):
+        assert f"EqualTo({name},{value})" in pushed, pushed
+
+
+@pytest.mark.parametrize("name", ["hash_publish", "tab_metric_points"])
+def test_one_pass_over_the_fact(spark, name):
+    frame = QUERIES[name](spark, TESTDATA)
+    frame.collect()
+    assert _plan(frame).split("Initial Plan")[0].count("events.parquet") == 1
+
+
+def test_metric_points_read_written_tables_only(spark):
+    plan = _plan(QUERIES["review_metric_points"](spark, TESTDATA))
+    assert "events.parquet" not in plan and "labels.parquet" not in plan

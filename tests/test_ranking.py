@@ -89,8 +89,13 @@ def test_fold_keeps_order_and_cap(spark):
 
 def test_uncapped_fold_keeps_everything_and_writes_null_as_text(spark):
     df = spark.createDataFrame([("k", 0.5, None), ("k", 0.9, "b"), ("k", 0.5, "a")], "key string, ctr double, pid string")
-    row = lists.kv_fold(df, F.col("key"), F.col("pid"), [-F.col("ctr"), F.col("pid")], None).first()
-    assert (row["size"], row["value"]) == (3, "b#\\N#a")
+    order = [-F.col("ctr"), F.col("pid")]
+    row = lists.kv_parts(df, F.col("key"), F.col("pid"), order).first()
+    assert tuple(row) == ("k", 0, 1, 3, "b#\\N#a")
+    parts = lists.kv_parts(df, F.col("key"), F.col("pid"), order, part_size=2)
+    assert sorted(map(tuple, parts.collect())) == [("k", 0, 2, 2, "b#\\N"), ("k", 1, 2, 1, "a")]
+    published = sorted(r["key"] for r in lists.kv_publish(parts, "p").collect())
+    assert published == ["p@k#0/2", "p@k#1/2"]
 
 
 def test_size_stats(spark):
@@ -111,6 +116,8 @@ def test_gate_and_publish(spark, rows_of):
     assert rows_of(lists.publish_gate(kv, "l", 4)) == [("l", 4, True)]
     assert rows_of(lists.publish_gate(kv, "l", 5)) == [("l", 4, False)]
     assert rows_of(lists.kv_publish(kv, "p")) == [("p@a", "x", 86400)]
+    odd = spark.createDataFrame([(" a", "x \t"), ("b", "x\ty"), ("c\td", "x")], "key string, value string")
+    assert rows_of(lists.kv_publish(odd, "p")) == [("p@a", "x", 86400)]
 
 
 def test_long_hash_lists_come_in_parts(spark):
@@ -119,9 +126,12 @@ def test_long_hash_lists_come_in_parts(spark):
     import json
 
     whole = {}
-    for row in sorted(parts, key=lambda r: (r["field"], r["part"])):
+    assert len({(r["key"], r["field"]) for r in parts}) == len(parts)
+    address = lambda row: (row["field"].split("#")[0], *map(int, row["field"].split("#")[1].split("/")))
+    for row in sorted(parts, key=address):
         docs = [e["doc"] for e in json.loads(row["value"])]
         assert len(docs) <= 100
-        whole.setdefault(row["field"], []).extend(docs)
+        whole.setdefault(address(row)[0], []).extend(docs)
+    assert all(n == -(-len(whole[k]) // 100) for k, _, n in map(address, parts))
     ranks = _expected(_skewed(spark).collect())
     assert {(k, d): i for k, docs in whole.items() for i, d in enumerate(docs, 1)} == ranks

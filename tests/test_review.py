@@ -60,14 +60,32 @@ def test_enqueue_outcomes(lines, reviews, ledger, rows_of):
     firsts = review.first_outcomes(df, ledger("written", "written", "both"), seen)
     outcome = review.review_enqueue(df, firsts)
     assert rows_of(outcome, "line_no", "outcome") == [
-        (1, "skip"), (2, "succ"), (3, "dup"), (4, "dup"), (5, "exist"), (6, "dup"), (7, "succ"), (8, "skip"), (9, "dup"),
+        (1, "skip"), (2, "succ"), (3, "dup"), (4, "dup"), (5, "exist"), (6, "dup"), (7, "dup"), (8, "skip"), (9, "dup"),
     ]
     counts = rows_of(review.review_enqueue_counts(df, firsts), "arm", "succ_num", "exist_num", "dup_num", "skip_num")
-    assert counts == [("exp", 1, 0, 0, 0), ("online", 1, 1, 4, 2)]
+    assert counts == [("exp", 0, 0, 1, 0), ("online", 1, 1, 4, 2)]
     assert sum(sum(c[1:]) for c in counts) == df.count()
     messages = [json.loads(r["value"]) for r in review.review_messages(firsts).collect()]
-    assert messages == [{"docid": "new", "queue": "quality_check", "tag": ["from_foryou"]}] * 2
-    assert rows_of(review.ledger_rows(firsts, F.col("arm"))) == [("new", "exp"), ("new", "online")]
+    assert messages == [{"docid": "new", "queue": "quality_check", "tag": ["from_foryou"]}]
+    assert rows_of(review.ledger_rows(firsts, F.col("arm"))) == [("new", "online")]
+
+
+def test_runs_see_what_earlier_runs_queued(lines, reviews, ledger, rows_of):
+    df = lines(
+        (1, 1, "online", 10, "a"),
+        (1, 0, "zeta", 10, "a"),
+        (2, 0, "zeta", 10, "b"),
+        (1, 0, "alpha", 10, "b"),
+        (2, 0, "alpha", 10, "k"),
+        (2, 1, "online", 10, "k"),
+    )
+    known, none = reviews(("k", None)), ledger()
+    by_name = review.first_outcomes(df, none, known)
+    assert rows_of(by_name.where("outcome = 'succ'"), "arm", "docid") == [("alpha", "b"), ("zeta", "a")]
+    # One under review is found anew in every run.
+    assert rows_of(by_name.where("docid = 'k'"), "arm", "outcome") == [("alpha", "exist"), ("online", "exist")]
+    given = review.first_outcomes(df, none, known, ["online", "zeta", "alpha"])
+    assert rows_of(given.where("outcome = 'succ'"), "arm", "docid") == [("zeta", "a"), ("zeta", "b")]
 
 
 def test_lookup_messages(lines, reviews, rows_of):
@@ -177,7 +195,8 @@ def test_the_newest_day_decides_a_status(spark, rows_of):
         [row(0, "a", "poor"), row(2, "a", "odd"), row(2, "b", "ok"), row(9, "a", "ok", False), row(10, "a", "ok"), row(12, "c", "ok")],
         "day date, arm string, docid string, status string, reason string, cnt bigint, usable boolean",
     )
-    # Day 4 did not pass the gate, day 5 has no complete line, day 13 is past the data.
+    # Day 4 did not pass the gate; day 5 did without a complete line and reports the days before.
+    # Day 13 is past the data.
     runs = {0: 1, 1: 1, 2: 1, 4: 0, 5: 1, 6: 1, 8: 1, 9: 1, 10: 1, 13: 1}
     gate = spark.createDataFrame(
         [(D1 + timedelta(d), "online", bool(p), 0 if d == 5 else 2) for d, p in runs.items()],
@@ -185,7 +204,7 @@ def test_the_newest_day_decides_a_status(spark, rows_of):
     )
     counts = rows_of(review.review_unique_status(daily, gate, 7), "day", "status", "cnt")
     assert sorted(((d - D1).days, status, n) for d, status, n in counts) == [
-        (0, "poor", 1), (1, "poor", 1), (2, "odd", 1), (2, "ok", 1), (6, "odd", 1), (6, "ok", 1),
+        (0, "poor", 1), (1, "poor", 1), (2, "odd", 1), (2, "ok", 1), (5, "odd", 1), (5, "ok", 1), (6, "odd", 1), (6, "ok", 1),
         (8, "odd", 1), (8, "ok", 1), (10, "ok", 1), (13, "ok", 2),
     ]
 

@@ -30,7 +30,7 @@ def test_arm_grid(spark, rows_of):
 
 
 def _dump(spark, *bodies):
-    rows = [(i, f"u{i}", "z", "online", b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
+    rows = [(i, DAY, f"u{i}", "z", "online", b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, schemas.FEED_DUMP)
 
 
@@ -49,12 +49,37 @@ def test_feed_items(spark, rows_of):
     )
     items = feedparse.feed_items(dumps)
     assert rows_of(items, "uid", "item_no", "docid", "pos", "is_local", "condition") == [
-        ("u0", 1, "b", 1, False, "null"),
-        ("u0", 2, "c", 2, False, "x_local"),
+        ("u0", 1, "b", "1", False, "null"),
+        ("u0", 2, "c", "2", False, "x_local"),
     ]
     assert rows_of(feedparse.feed_items(dumps, include_local=True), "docid") == [("a",), ("b",), ("c",)]
 
 
+def test_positions_are_taken_as_written(spark, rows_of):
+    dumps = _dump(
+        spark,
+        {"documents": [_doc("a", "3"), _doc("b", 1.0), _doc("c", None), _doc("d", 2)]},
+        {"documents": [_doc("e", 0), {"docid": "f", "contextMeta": {}}]},
+        {"documents": [{"docid": None, "pos": 1, "contextMeta": {}}]},
+    )
+    items = feedparse.feed_items(dumps)
+    assert rows_of(items, "docid", "pos") == [("a", "3"), ("b", "1.0"), ("c", "None"), ("d", "2")]
+
+
+def test_crawl_rows_are_numbered_within_their_file(spark):
+    docs = [[_doc(f"{i}{k}", k) for k in range(3)] for i in range(4)]
+    items = feedparse.feed_items(_dump(spark, *[{"documents": d} for d in docs]))
+    none = spark.createDataFrame([], schemas.DOC_META_JSON)
+    rows = feedparse.crawl_rows(items, feedparse.doc_metadata(none, "2024-01-31"))
+    found = [(r["line_no"], r["docid"]) for r in rows.orderBy("line_no").collect()]
+    assert found == list(enumerate((d["docid"] for dump in docs for d in dump), 1))
+
+
+def test_a_grid_has_every_user(spark):
+    users = spark.range(1500).selectExpr("id AS user_id", "'z' AS nr_zip")
+    assert sampling.sample_arm_grid(users, [], []).count() == 1500
+
+
 def _feature(**fields):
     return {"static_feature": {"url": "u", "domain": "d", "stitle": "t\tt", "date": "2024", **fields}}
 
