@@ -11,11 +11,10 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontamination, nearcopies, packing, quality, queries, toxicity
+from feedloom.llm import decontamination, nearcopies, quality, queries, toxicity
 from feedloom.staging import stage
 
 

@@ -89,9 +89,11 @@ def score(
     text_col: str = "text",
     out: str = "score",
 ) -> DataFrame:
-    """All columns of ``docs`` and the score of each whole text in column ``out``."""
-    if out in docs.columns:
-        raise ValueError(f"docs already has a column {out}")
+    """All columns of ``docs`` and the score of each whole text in column ``out``.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     at = docs.columns.index(text_col)
 
@@ -104,7 +106,7 @@ def score(
                 found.append(linear.predict(rows, weights, 1 << BITS) if len(weights) else np.full(b - a, 0.5))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return words.bounded(docs).mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

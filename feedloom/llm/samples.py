@@ -61,7 +61,7 @@ def labelled_features(
                     names=["key", "marks", "idx", "val"],
                 )
 
-    return joined.mapInArrow(cut, _SCHEMA)
+    return words.bounded(joined).mapInArrow(cut, _SCHEMA)
 
 
 def fit_once(
@@ -69,18 +69,24 @@ def fit_once(
 ) -> np.ndarray:
     """Run ``fit`` on the bounded sample in one task and return its ``outputs`` x dim weights.
 
+    An empty sample gives weights of no width.
+
     The rows are put in key order first, so a task that runs again after a lost
     executor returns the same weights.
     """
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [r for batch in batches for r in batch.to_pylist()]
+        if not found:
+            return
         found.sort(key=lambda r: (r["key"], r["idx"], r["marks"]))
-        index = [np.frombuffer(r["idx"], np.int32).astype(np.int64) for r in found]
-        value = [np.frombuffer(r["val"], np.float32).astype(np.float64) for r in found]
+        index = [np.frombuffer(r["idx"], np.int32) for r in found]
+        value = [np.frombuffer(r["val"], np.float32) for r in found]
         firsts = [np.array([0, len(x)]) for x in index]
         marks = np.array([r["marks"] for r in found], np.float64).reshape(len(found), -1)
-        weights = fit(linear.join_rows(firsts, index, value), marks)
+        rows = linear.join_rows(firsts, index, value)
+        del found, index, value
+        weights = fit(rows, marks)
         yield pa.RecordBatch.from_arrays(
             [pa.array([weights.astype(np.float32).tobytes()], pa.binary())], names=["weights"]
         )

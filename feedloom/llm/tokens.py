@@ -20,9 +20,7 @@ import os
 from collections.abc import Iterator
 from importlib.metadata import version
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,7 +100,7 @@ def count_tokens(
             )
 
     (
-        chosen.select("_content", "_text")
+        words.bounded(chosen.select("_content", "_text"))
         .mapInArrow(encode, "content binary, n_tokens long")
         .groupBy("content")
         .agg(F.max("n_tokens").alias("n_tokens"))

@@ -123,10 +123,12 @@ def score(
     text_col: str = "text",
     prefix: str = "p_",
 ) -> DataFrame:
-    """All columns of ``docs`` and a probability column for each category."""
+    """All columns of ``docs`` and a probability column for each category.
+
+    Columns of those names are replaced.
+    """
     names = [f"{prefix}{c}" for c in categories]
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"docs already has {sorted(clash)}")
+    docs = docs.drop(*names)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
     at = docs.columns.index(text_col)
 
@@ -141,7 +143,7 @@ def score(
                 names=[*batch.schema.names, *names],
             )
 
-    return docs.mapInArrow(run, schema)
+    return words.bounded(docs).mapInArrow(run, schema)
 
 
 def category_labels(labels: DataFrame) -> DataFrame:

@@ -15,8 +15,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Most bytes of rows that tasks of these operators are handed at once.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -73,6 +77,15 @@ class Words:
         return np.searchsorted(self.doc, np.arange(self.n_docs + 1))
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """The same rows, in a session that hands tasks batches of ``BATCH_BYTES`` at most.
+
+    Batches are bounded by rows alone otherwise, and long texts fill a worker's memory.
+    """
+    rows.sparkSession.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return rows
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column without nulls, and each text's offsets in them."""
     kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
@@ -131,7 +144,7 @@ def split(texts: pa.Array, marks: bool = False) -> Words:
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     out = np.empty(len(start), np.uint64)
     at = 0
-    powers = _powers(min(_SEGMENT, len(data)))
+    powers = _powers(min(_SEGMENT, len(data)) or 1)
     while at < len(start):
         base = start[at]
         stop = max(int(np.searchsorted(end, base + _SEGMENT, side="right")), at + 1)
