@@ -84,7 +84,8 @@ def template(texts: pa.Array) -> Template:
     number = digit | np.isin(h, _known(NUMBER_WORDS))
     latin = (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
     third = data[np.minimum(w.start + np.where(latin, 2, 1), len(data) - 1)]
-    title = (((first >= 65) & (first <= 90)) | latin) & (size > 1) & ~((third >= 65) & (third <= 90)) & ~((third >= 48) & (third <= 57))
+    shout = ((third >= 65) & (third <= 90)) | ((third >= 48) & (third <= 57))
+    title = (((first >= 65) & (first <= 90)) | latin) & (size > 1) & ~shout
     stops = np.zeros(256, np.int64)
     stops[list(b".!?\n\r")] = 1
     seen = np.concatenate([[0], np.cumsum(stops[w.data])])
@@ -128,12 +129,19 @@ def _slots(t: Template, at: np.ndarray, size: int) -> list[list[int]]:
     return out
 
 
-def _window_rows(table: DataFrame, id_col: str, text_col: str, sizes: dict[int, int] | None, bitmap: np.ndarray | None) -> DataFrame:
+def _window_rows(
+    table: DataFrame, id_col: str, text_col: str, sizes: list[int] | None, bitmap: np.ndarray | None
+) -> DataFrame:
     """Windows of all texts; without ``sizes`` a text shorter than a window is one window.
 
     ``bitmap`` drops windows whose place is not set.
     """
 
+    def set_places(found: np.ndarray) -> np.ndarray:
+        bit = found >> np.uint64(64 - BITMAP_BITS)
+        held = bitmap[(bit >> np.uint64(3)).astype(np.int64)]
+        return (held >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = words.text_array(batch.column("_text"))
@@ -142,15 +150,14 @@ def _window_rows(table: DataFrame, id_col: str, text_col: str, sizes: dict[int,
                 first = np.searchsorted(t.doc, np.arange(b - a + 1))
                 count = np.diff(first)
                 ids = batch.column("_id").slice(a, b - a)
-                own = sorted(sizes) if sizes is not None else sorted({min(int(c), WINDOW) for c in count if c >= MIN_LITERAL})
-                for size in own:
+                lengths = {min(int(c), WINDOW) for c in count if c >= MIN_LITERAL}
+                for size in sorted(lengths) if sizes is None else sizes:
                     found, at = windows(t, size)
                     keep = np.ones(len(at), bool)
                     if sizes is None and size < WINDOW:
                         keep = count[t.doc[at]] == size
                     if bitmap is not None:
-                        bit = found >> np.uint64(64 - BITMAP_BITS)
-                        keep &= (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        keep &= set_places(found)
                     found, at = found[keep], at[keep]
                     doc = t.doc[at]
                     yield pa.RecordBatch.from_arrays(
@@ -164,14 +171,14 @@ def _window_rows(table: DataFrame, id_col: str, text_col: str, sizes: dict[int,
                     )
 
     named = table.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return named.where("_id IS NOT NULL AND _text IS NOT NULL").mapInArrow(run, _WINDOWS)
+    return words.bounded(named.where("_id IS NOT NULL AND _text IS NOT NULL")).mapInArrow(run, _WINDOWS)
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
     """The set places as bytes; gathered as at most ``2 ** BITMAP_BITS / 64`` words of 64 places."""
-    bit = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
+    bit = f"shiftrightunsigned(hash, {64 - BITMAP_BITS})"
     found = (
-        items.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITMAP_BITS}) & 63 AS int))").alias("bit"))
+        items.selectExpr(f"shiftright({bit}, 6) AS word", f"shiftleft(1L, cast({bit} & 63 AS int)) AS bit")
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -191,12 +198,10 @@ def find(
 ) -> DataFrame:
     """Pairs of a document and an item it holds (``id``, ``item``, ``hits``), without repeats."""
     items = stage(_window_rows(benchmark, item_col, item_text_col, None, None), "benchmark-windows")
-    totals = items.groupBy(F.col("id").alias("item")).agg(
-        F.count_distinct("place").alias("n_windows"), F.max(F.size("slots")).alias("_widest")
-    )
+    totals = items.groupBy(F.col("id").alias("item")).agg(F.count_distinct("place").alias("n_windows"))
     # Window lengths that occur: WINDOW and those of shorter items, fewer than WINDOW in all.
     lengths = benchmark.select(F.col(item_col).cast("long").alias("_id"), F.col(item_text_col).alias("_text"))
-    sizes = {WINDOW: 1} | {int(r["n"]): 1 for r in _short_lengths(lengths).collect()}
+    sizes = sorted({WINDOW, *(r["n"] for r in _short_lengths(lengths).collect())})
     hits = _window_rows(docs, id_col, text_col, sizes, _bitmap(items))
     joined = hits.select("id", "hash", F.col("place").alias("at"), F.col("slots").alias("said")).join(
         items.select(F.col("id").alias("item"), "hash", "place", "slots"), "hash"
