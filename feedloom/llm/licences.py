@@ -81,7 +81,11 @@ EQUIVALENT: tuple[tuple[str, str], ...] = (
     ("whilst", "while"),
     ("wilful", "willful"),
 )
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b|©|\(c\)\s)[^\n]*$"
+#: A line that names a holder: the word or sign, then a year or "by"; or that all rights are reserved.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(((copyright|\(c\)|©)[ \t,:]*)+(\d{4}|by |<year>|\[year\])[^\n]*"
+    r"|all rights reserved[^\p{L}\p{N}\n]*)$"
+)
 
 
 def canonical(text: Column) -> Column:

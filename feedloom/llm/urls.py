@@ -22,8 +22,6 @@ compared label by label; empty labels count as labels.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +58,10 @@ def _running(rows: DataFrame, order: list[str], made: dict[str, Column], label:
     own = ranged.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(n) for n, c in made.items()])
     place = F.struct(*order)
     ends = ranged.groupBy("_slice").agg(
-        *[F.max(F.when(c.isNotNull(), F.struct(place.alias("at"), c.alias("value"))))["value"].alias(f"_end_{n}") for n, c in made.items()]
+        *[
+            F.max(F.when(c.isNotNull(), F.struct(place.alias("at"), c.alias("value"))))["value"].alias(f"_end_{n}")
+            for n, c in made.items()
+        ]
     )
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(

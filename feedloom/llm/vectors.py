@@ -101,7 +101,13 @@ def _coded(vectors: DataFrame, passes: int) -> DataFrame:
                         planes[number, dim] = _planes(number, int(dim))
                     code = ((units @ planes[number, dim]) > 0) @ bits
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), number, np.int32)), own.column("dim"), pa.array(code), own.column("id"), own.column("vec")],
+                        [
+                            pa.array(np.full(len(own), number, np.int32)),
+                            own.column("dim"),
+                            pa.array(code),
+                            own.column("id"),
+                            own.column("vec"),
+                        ],
                         names=["pass", "dim", "code", "id", "vec"],
                     )
 
@@ -169,9 +175,15 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
 
     parts = members.mapInArrow(sums, "component long, total array<double>")
     # A sum per place of the vector; partial sums are combined before the shuffle.
-    places = parts.select("component", F.posexplode("total").alias("place", "x")).groupBy("component", "place").agg(F.sum("x").alias("x"))
-    centres = places.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("p")).select(
-        F.col("component").alias("_c"), F.col("p.x").alias("centre")
+    places = (
+        parts.select("component", F.posexplode("total").alias("place", "x"))
+        .groupBy("component", "place")
+        .agg(F.sum("x").alias("x"))
+    )
+    centres = (
+        places.groupBy("component")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("p"))
+        .select(F.col("component").alias("_c"), F.col("p.x").alias("centre"))
     )
 
     def angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +199,8 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
                 found[at] = np.where(norm > 0, np.arccos(np.clip(cosine, -1, 1)), math.pi)
             core = found <= limit / 2 - _SLACK
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("id", "component", "vec")] + [pa.array(core)], names=["id", "component", "vec", "core"]
+                [*[batch.column(c) for c in ("id", "component", "vec")], pa.array(core)],
+                names=["id", "component", "vec", "core"],
             )
 
     kind = members.schema["vec"].dataType.simpleString()
@@ -209,11 +222,15 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
     )
     h = F.xxhash64("id")
     inner = mixed.select(
-        "component", F.pmod(h, "_members").cast("int").alias("p"), F.explode(F.sequence(F.lit(0), F.col("_outers") - 1)).alias("q"),
+        "component",
+        F.pmod(h, "_members").cast("int").alias("p"),
+        F.explode(F.sequence(F.lit(0), F.col("_outers") - 1)).alias("q"),
         "id", "vec", "core", F.lit(False).alias("outer"),
     )
     outer = mixed.where(~F.col("core")).select(
-        "component", F.explode(F.sequence(F.lit(0), F.col("_members") - 1)).alias("p"), F.pmod(F.shiftright(h, 20), "_outers").cast("int").alias("q"),
+        "component",
+        F.explode(F.sequence(F.lit(0), F.col("_members") - 1)).alias("p"),
+        F.pmod(F.shiftright(h, 20), "_outers").cast("int").alias("q"),
         "id", "vec", "core", F.lit(True).alias("outer"),
     )
 
