@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Adaptive execution only merges shuffle partitions, so a cluster starts with many.
+INITIAL_PARTITIONS = 4096
+
+
 def build_session(
     app_name: str = "feedloom",
     master: str | None = None,
@@ -30,6 +35,8 @@ def build_session(
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config(_INITIAL_PARTITIONS, str(INITIAL_PARTITIONS))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
