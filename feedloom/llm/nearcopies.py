@@ -6,21 +6,21 @@ shingles, puts them back in text order, and hashes that sequence to a bucket: te
 meet if they share those shingles in that order. Short texts sample
 ``SHORT_SAMPLED``, texts on the border both. The similarity of two texts is that of
 their best alignment, matched shingles by all shingles of either, with repeats or
-with every shingle once. Pairs at ``THRESHOLD`` or above are links, classes are connected components
-of links, named by their least id.
+with every shingle once. Pairs at ``THRESHOLD`` or above are links; classes are
+connected components of links, named by their least id.
 
 Texts of equal words are one class before anything else, and only its first
 document goes on. In a bucket every text is aligned with the bucket's first, not
-with every other. Where that leaves several classes in a bucket, its texts are dealt
-to smaller buckets by each of their other band values, with the same chance to meet
-as before, until every bucket is of one class or has two texts; after ``LEVELS``
-such rounds the pairs of different classes that are left are aligned one by one. So
-a bucket that a common passage fills costs no pairs of all with all, and no member
-is left out.
+with every other: a group of copies, however large, takes one alignment a member.
+Where that leaves several classes in a bucket, the members outside its largest class
+are compared with all others in blocks of bounded bytes, each block pair a task: the
+shingles of a block are indexed, and pairs that share enough and are still of two
+classes are aligned. So every two texts of a bucket are linked, of one class, or
+compared, and no pair of rows is ever written.
 
 Texts without a word, null texts and null ids link with nothing. Texts of fewer than
 five words are one shingle. Very long texts are sampled and aligned whole. Rows under
-one id are one document with the least of its texts. Ties in a sample go by place in
+one id are one document with the text of the least digest that has a word. Ties in a sample go by place in
 the text. An empty table gives an empty result. Only id and text columns are read.
 """
 
@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm import words
-from feedloom.llm.components import components
+from feedloom.llm import bitmaps, words
+from feedloom.llm.components import Forest, components
 from feedloom.staging import stage
 
 SHINGLE = 5
@@ -44,7 +44,8 @@ BANDS = 20
 SAMPLED, SHORT_SAMPLED = 5, 2
 #: Texts of fewer shingles than the first sample ``SHORT_SAMPLED``, of at least the second ``SAMPLED``.
 SHORT_BELOW, LONG_FROM = 9, 7
-LEVELS = 3
+#: A block of a bucket holds about so many texts, or so many bytes of shingles, at most.
+BLOCK_TEXTS, BLOCK_BYTES = 2048, 8 << 20
 _OVERSAMPLE = 24
 _SEEDS = np.random.default_rng(20240131).integers(1, 1 << 62, (2, BANDS)).astype(np.uint64)
 
@@ -126,6 +127,17 @@ def sketches(grams: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarra
     return long, short
 
 
+def _digests(w: words.Words) -> list[pa.Array]:
+    """Two 64-bit sums over a text's words and their places: equal for equal word sequences."""
+    place = (np.arange(len(w.hash)) - w.first_words()[w.doc] if len(w.hash) else w.doc).astype(np.uint64)
+    out = []
+    for salt in (3, 5):
+        total = np.zeros(w.n_docs, np.uint64)
+        np.add.at(total, w.doc, words.mix(w.hash ^ words.mix(place * np.uint64(64) + np.uint64(salt))))
+        out.append(pa.array(total.view(np.int64)))
+    return out
+
+
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id, digest of the word sequence and band values of every text with a word."""
 
@@ -142,41 +154,46 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ([] if s < LONG_FROM else x.tolist()) + ([] if s >= SHORT_BELOW else y.tolist())
                     for s, x, y in zip(size.tolist(), long.view(np.int64), short.view(np.int64), strict=True)
                 ]
-                place = np.arange(len(w.hash)) - w.first_words()[w.doc] if len(w.hash) else w.doc
-                digest = []
-                for salt in (3, 5):
-                    total = np.zeros(n, np.uint64)
-                    np.add.at(total, w.doc, words.mix(w.hash ^ words.mix(place.astype(np.uint64) * np.uint64(64) + np.uint64(salt))))
-                    digest.append(pa.array(total.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, n), *digest, pa.array(bands, pa.list_(pa.int64()))],
+                    [batch.column("id").slice(a, n), *_digests(w), pa.array(bands, pa.list_(pa.int64()))],
                     names=["id", "d1", "d2", "bands"],
                 ).filter(pa.array(size > 0))
 
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).where("id IS NOT NULL")
-    return named.mapInArrow(run, "id long, d1 long, d2 long, bands array<long>")
+    return words.bounded(named).mapInArrow(run, "id long, d1 long, d2 long, bands array<long>")
 
 
 def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Shingle sequences (four bytes a shingle) of the documents in ``ids``."""
+    """Shingle sequences (four bytes a shingle) of the documents in ``ids``.
+
+    A bitmap of the ids drops most other texts where they are read, so that only
+    shingles, not texts, are shuffled to the join that decides.
+    """
+    wanted = bitmaps.gather(ids.select(F.xxhash64("id").alias("hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(bitmaps.held(wanted, batch.column("hash").to_numpy().view(np.uint64))))
             texts = words.text_array(batch.column("_text"))
             for a, b in words.slices(texts):
-                grams, doc = shingles(words.split(words.lowered(texts.slice(a, b - a))))
+                w = words.split(words.lowered(texts.slice(a, b - a)))
+                grams, doc = shingles(w)
                 first = np.searchsorted(doc, np.arange(b - a + 1))
                 raw = (grams >> np.uint64(32)).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(a, b - a),
+                        *_digests(w),
                         pa.array([raw[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary()),
                     ],
-                    names=["id", "grams"],
-                )
+                    names=["id", "d1", "d2", "grams"],
+                ).filter(pa.array(first[1:] > first[:-1]))
 
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"))
-    return named.join(ids, "id", "left_semi").mapInArrow(run, "id long, grams binary")
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).where("id IS NOT NULL")
+    hashed = words.bounded(named.withColumn("hash", F.xxhash64("id")))
+    found = hashed.mapInArrow(run, "id long, d1 long, d2 long, grams binary").join(ids, "id", "left_semi")
+    # Of the texts under one id, the one that was sampled.
+    return found.groupBy("id").agg(F.min(F.struct("d1", "d2", "grams"))["grams"].alias("grams"))
 
 
 def needed(n: int, m: int, threshold: float = THRESHOLD) -> int:
@@ -270,7 +287,136 @@ def _aligned(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
 
     left = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
     right = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return words.bounded(both).mapInArrow(run, "a long, b long")
+
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """``key``, ``id`` and the bucket's ``first`` id, of all buckets of two texts or more."""
+    rows = texts.select("id", F.explode("bands").alias("key"))
+    firsts = rows.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return stage(rows.join(firsts, "key").select("key", "id", "first"), "copies-buckets")
+
+
+def _blocks(buckets: DataFrame, members: DataFrame, grams: DataFrame) -> DataFrame:
+    """Rows of the blocks to compare: ``key``, ``p``, ``q``, ``outer`` and the text.
+
+    Only buckets of several classes have blocks. Block (p, q) brings the p-th part of
+    a bucket's texts together with the q-th part of those outside its largest class.
+    """
+    classed = buckets.join(members, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("class")
+    )
+    sizes = (
+        classed.groupBy("key", "class")
+        .agg(F.count("*").alias("n"))
+        .groupBy("key")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.struct("n", "class")).alias("core"),
+            F.count("*").alias("classes"),
+        )
+        .where("classes > 1 AND n > 2")
+        .select("key", "n", F.col("core.class").alias("core"), (F.col("n") - F.col("core.n")).alias("n_outer"))
+    )
+    rows = classed.join(sizes, "key").join(grams, "id")
+    bytes_ = rows.groupBy(F.col("key").alias("_key")).agg(
+        F.sum(F.octet_length("grams")).alias("all_bytes"),
+        F.sum(F.when(F.col("class") != F.col("core"), F.octet_length("grams")).otherwise(0)).alias("outer_bytes"),
+    )
+    parts = lambda n, size: F.ceil(
+        F.greatest(F.col(n) / BLOCK_TEXTS, F.col(size) / BLOCK_BYTES)
+    ).cast("int")
+    h = F.xxhash64("id")
+    placed = rows.join(bytes_, F.col("key") == F.col("_key")).select(
+        "key", "id", "class", "grams", (F.col("class") != F.col("core")).alias("outer"),
+        parts("n", "all_bytes").alias("ps"), parts("n_outer", "outer_bytes").alias("qs"),
+    )
+    members_ = placed.select(
+        "key",
+        F.pmod(h, "ps").cast("int").alias("p"),
+        F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"),
+        "id", "class", "grams", F.lit(False).alias("outer"),
+    )
+    outers = placed.where("outer").select(
+        "key",
+        F.explode(F.sequence(F.lit(0), F.col("ps") - 1)).alias("p"),
+        F.pmod(F.shiftright(h, 20), "qs").cast("int").alias("q"),
+        "id", "class", "grams", F.lit(True).alias("outer"),
+    )
+    return members_.unionByName(outers)
+
+
+def compare_block(
+    ids: list[int], classes_: list[int], grams: list[np.ndarray], outer: list[bool], threshold: float
+) -> list[tuple[int, int]]:
+    """Links between the outer texts and the members of a block that lie in different classes."""
+    side = np.array(outer, bool)
+    members, others = np.flatnonzero(~side), np.flatnonzero(side)
+    if not len(members) or not len(others):
+        return []
+    sizes = np.array([len(g) for g in grams])
+    doc = np.repeat(np.arange(len(grams)), sizes)
+    flat = np.concatenate(grams).astype(np.uint64) << np.uint64(16)
+    marked = labelled(flat, doc)
+    # A pair can only be alike if it shares enough shingles with repeats, or enough distinct ones.
+    views = [(marked, doc, sizes)]
+    once = marked == flat
+    if not once.all():
+        views.append((marked[once], doc[once], np.bincount(doc[once], minlength=len(grams))))
+    indexes = [_Postings(terms, holder, ~side, threshold, count) for terms, holder, count in views]
+    forest = Forest()
+    found = []
+    for x in others.tolist():
+        near = np.unique(np.concatenate([index.near(x) for index in indexes]))
+        for y in near.tolist():
+            a, b = ids[x], ids[y]
+            if a == b or forest.find(classes_[x]) == forest.find(classes_[y]):
+                continue
+            if alike(grams[x], grams[y], threshold):
+                forest.join(classes_[x], classes_[y])
+                found.append((min(a, b), max(a, b)))
+    return found
+
+
+class _Postings:
+    """Which members of a block hold a shingle."""
+
+    def __init__(self, terms: np.ndarray, holder: np.ndarray, member: np.ndarray, threshold: float, count: np.ndarray):
+        inside = member[holder]
+        order = np.argsort(terms[inside], kind="stable")
+        self.terms, self.holder = terms[inside][order], holder[inside][order]
+        self.own, self.first = terms, np.concatenate([[0], np.cumsum(count)])
+        self.count, self.threshold = count, threshold
+
+    def near(self, x: int) -> np.ndarray:
+        """Members that share enough of the shingles of text ``x``."""
+        own = self.own[self.first[x] : self.first[x + 1]]
+        low, high = np.searchsorted(self.terms, own, "left"), np.searchsorted(self.terms, own, "right")
+        spans = [self.holder[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True) if b > a]
+        if not spans:
+            return np.zeros(0, np.int64)
+        shared = np.bincount(np.concatenate(spans), minlength=len(self.count))
+        least = self.threshold * (self.count[x] + self.count) / (1 + self.threshold) - 1e-9
+        return np.flatnonzero(shared >= np.maximum(least, 1))
+
+
+def _compared(blocks: DataFrame, threshold: float) -> DataFrame:
+    """Links found in the blocks, a task for each."""
+
+    def run(table: pa.Table) -> pa.Table:
+        grams = [np.frombuffer(x, "<u4") for x in table.column("grams").to_pylist()]
+        ids, held, outer = (table.column(c).to_pylist() for c in ("id", "class", "outer"))
+        order = sorted(range(len(ids)), key=lambda k: (ids[k], outer[k]))
+        columns = [[column[k] for k in order] for column in (ids, held, grams, outer)]
+        links = compare_block(*columns, threshold)
+        ends = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+        return pa.table(ends, names=["a", "b"])
+
+    # Blocks are small but take time: they are dealt to as many tasks as the session shuffles to.
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = blocks.repartition(tasks, "key", "p", "q")
+    return spread.groupBy("key", "p", "q").applyInArrow(run, "a long, b long")
 
 
 def classes(
@@ -288,58 +434,26 @@ def classes(
     texts = stage(
         sketched.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.min("bands").alias("bands")), "copies-texts"
     )
-    active = texts.select("id", F.explode("bands").alias("key")).withColumn("used", F.array("key"))
-    links = tested = members = grams = None
-    for level in range(LEVELS + 2):
-        buckets = active.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-        if level <= LEVELS:
-            pairs = active.join(buckets, "key").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-        else:  # what no round has parted is aligned pair by pair
-            other = active.select("key", F.col("id").alias("b"))
-            pairs = active.select("key", F.col("id").alias("a")).join(other, "key").where("a < b").select("a", "b")
-        pairs = pairs.distinct()
-        if level:
-            known = members.select(F.col("id"), "component")
-            pairs = (
-                pairs.join(known.toDF("a", "ca"), "a", "left")
-                .join(known.toDF("b", "cb"), "b", "left")
-                .where("coalesce(ca, a) <> coalesce(cb, b)")
-                .select("a", "b")
-                .join(tested, ["a", "b"], "left_anti")
-            )
-        pairs = stage(pairs, f"copies-pairs-{level}")
-        if level:
-            tested = tested.unionByName(pairs)
-        else:
-            tested = pairs
-            ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-            grams = stage(_grams(docs, ids, id_col, text_col), "copies-grams")
-        found = stage(_aligned(pairs, grams, threshold), f"copies-links-{level}")
-        new = bool(level == 0 or found.head(1))
-        links = found if links is None else links.unionByName(found)
-        if new:
-            members = stage(components(links, f"copies-{level}"), f"copies-members-{level}")
-        if level > LEVELS:
-            break
-        placed = active.join(buckets.where("n > 2").select("key"), "key").join(members, "id", "left")
-        mixed = placed.groupBy("key").agg(
-            F.min(F.coalesce("component", "id")).alias("low"), F.max(F.coalesce("component", "id")).alias("high")
-        )
-        parted = active.join(mixed.where("low <> high").select("key"), "key")
-        if level < LEVELS:
-            # By every band value that the bucket was not made by.
-            parted = (
-                parted.join(texts.select("id", F.explode("bands").alias("value")), "id")
-                .where(~F.array_contains("used", F.col("value")))
-                .select("id", F.xxhash64("key", "value").alias("key"), F.array_append("used", F.col("value")).alias("used"))
-            )
-        active = stage(parted, f"copies-active-{level}")
-        if not active.head(1):
-            break
-    named = sketched.join(texts.select("d1", "d2", F.col("id").alias("text_id")), ["d1", "d2"])
-    return named.join(members.withColumnRenamed("id", "text_id"), "text_id", "left").select(
-        "id", F.coalesce("component", "text_id").alias("class_id")
+    buckets = _buckets(texts)
+    needed_ids = buckets.select("id").distinct()
+    grams = stage(_grams(docs, needed_ids, id_col, text_col), "copies-grams")
+    pairs = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    links = stage(_aligned(pairs, grams, threshold), "copies-links")
+    members = stage(components(links, "copies"), "copies-members")
+    more = stage(_compared(_blocks(buckets, members, grams), threshold), "copies-more-links")
+    # A link between members of two classes joins the classes.
+    named = lambda end: members.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    joined = more.join(named("a"), "a", "left").join(named("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
+    )
+    merged = stage(components(joined, "copies-classes").toDF("component", "whole"), "copies-merged")
+    named_texts = sketched.join(texts.select("d1", "d2", F.col("id").alias("text_id")), ["d1", "d2"])
+    first = (
+        named_texts.join(members.withColumnRenamed("id", "text_id"), "text_id", "left")
+        .select("id", F.coalesce("component", "text_id").alias("component"))
+        .join(merged, "component", "left")
     )
+    return first.select("id", F.coalesce("whole", "component").alias("class_id"))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
