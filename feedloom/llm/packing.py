@@ -20,9 +20,11 @@ packed again to the same pieces: its rows are sorted before anything else.
 from __future__ import annotations
 
 import base64
+import json
 import math
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +45,8 @@ SHARD_BYTES = 16 << 20
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 _FIRST_LOOK = 32
+_END = END_ID.to_bytes(4, "little")
 _PIECE_CHARS = 1 << 20
-_LONG_BLANK = re.compile(r"\s{1000}")
 _SAFE_CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
 
 
@@ -65,33 +67,38 @@ def encoder(json_path: str, ranks_path: str | None = None, pattern: str | None =
 
     ``ranks_path`` may name the same byte-level vocabulary as ranks, with the
     pattern that splits texts before the merges; plain texts are then encoded by
-    the faster library with equal ids. Texts with a special string, or with very
-    long blanks, always go to ``tokenizers`` itself.
+    the faster library with equal ids. Texts with a special string always go to
+    ``tokenizers`` itself.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(json_path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    loaded = []
 
     def exact(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        if not loaded:
+            from tokenizers import Tokenizer
+
+            loaded.append(Tokenizer.from_file(json_path))
+            loaded[0].no_truncation()
+            loaded[0].no_padding()
+        return np.array(loaded[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     if ranks_path is None:
         return exact
     import tiktoken
 
+    with open(json_path, encoding="utf-8") as file:
+        special = [t["content"] for t in json.load(file)["added_tokens"]]
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file)}
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special) or _LONG_BLANK.search(text):
+        if any(s in text for s in special):
             return exact(text)
-        pieces = [np.array(fast.encode_ordinary(p), np.int32) for p in _safe_pieces(text)]
-        return pieces[0] if len(pieces) == 1 else np.concatenate(pieces)
+        ids = array("I")
+        for piece in _safe_pieces(text):
+            ids.extend(array("I", fast.encode_ordinary(piece)))
+        return np.frombuffer(ids, np.uint32)
 
     return encode
 
@@ -112,7 +119,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], names=["place", "n"])
 
     # At most 2 ** BITS + 3 rows, whatever the number of documents.
-    total = docs.select(text_col).mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    total = words.bounded(docs.select(text_col)).mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
     out = np.zeros((1 << BITS) + 3, np.int64)
     table = total.toArrow()
     out[table.column("place").to_numpy()] = table.column("n").to_numpy()
@@ -123,8 +130,13 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 class Index:
     """BM25 postings of the documents of one shard, with statistics of the whole corpus."""
 
-    def __init__(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float):
+    def __init__(
+        self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float
+    ):
         self.n_docs = len(length)
+        # A term that one document of the shard holds leads nowhere.
+        shared = np.bincount(term, minlength=len(idf))[term] > 1
+        doc, term, tf = doc[shared], term[shared], tf[shared]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / max(mean, 1e-9)))
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = doc[order], weight[order].astype(np.float32)
@@ -133,8 +145,9 @@ class Index:
         at = np.empty(len(term), np.int64)
         at[order] = np.repeat(np.arange(len(first)), sizes)
         self.first, self.stop = first, first + sizes
-        shared = np.flatnonzero(sizes[at] > 1) if len(term) else np.zeros(0, np.int64)
-        best = shared[np.lexsort((term[shared], -weight[shared], doc[shared]))]
+        # By document, then falling weight, ties by term: positive floats sort like their bits.
+        falling = np.uint64(0xFFFFFFFF) - weight.astype(np.float32).view(np.uint32).astype(np.uint64)
+        best = np.argsort((doc.astype(np.uint64) << np.uint64(32)) | falling, kind="stable")
         begins = np.searchsorted(doc[best], np.arange(self.n_docs + 1))
         rank = np.arange(len(best)) - begins[doc[best]]
         best = best[rank < QUERY_TERMS]
@@ -243,17 +256,20 @@ def pack(
             parts.append((doc + a, term, tf))
             lengths.append(np.bincount(w.doc, minlength=b - a))
             for text in part:
-                tokens.append(np.append(encode(text.as_py()), np.int32(END_ID)))
+                tokens.append(encode(text.as_py()))
         doc, term, tf = (np.concatenate([p[k] for p in parts]) for k in range(3))
         del parts, texts
         index = Index(doc, term, tf, np.concatenate(lengths), idf, mean)
-        sizes = np.array([len(t) for t in tokens], np.int64)
+        sizes = np.array([len(t) + 1 for t in tokens], np.int64)
         base = TaskContext.get().partitionId() << 32
         pieces: list[tuple[int, int, int, int, int]] = []
 
         def batch() -> pa.RecordBatch:
             d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
-            ids = [tokens[k][s : s + n].astype("<i4").tobytes() for k, s, n, _, _ in pieces]
+            ids = [
+                tokens[k][s : s + n].astype("<u4").tobytes() + (_END if s + n == sizes[k] else b"")
+                for k, s, n, _, _ in pieces
+            ]
             return pa.RecordBatch.from_arrays(
                 [
                     names.take(pa.array(d)),
@@ -271,4 +287,4 @@ def pack(
         if pieces:
             yield batch()
 
-    return dealt.mapInArrow(run, schema)
+    return words.bounded(dealt).mapInArrow(run, schema)

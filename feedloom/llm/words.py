@@ -25,7 +25,9 @@ _SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
-SPACE, WORD, LONE, MARK = 0, 1, 2, 3
+# The two lowest bits say what a byte belongs to; a lone character begins a word of its own.
+SPACE, WORD, MARK, LONE = 0, 1, 2, 5
+_KIND = 3
 
 
 def _classes(marks: bool) -> np.ndarray:
@@ -128,11 +130,12 @@ def split(texts: pa.Array, marks: bool = False) -> Words:
     lead = np.flatnonzero(data == 0xC2)
     for k in range(2):
         kind[lead[lead + k < len(data)] + k] = other
-    group = np.where(kind == LONE, WORD, kind)
+    group = kind & _KIND
     begins = np.ones(len(data), bool)
-    begins[1:] = group[1:] != group[:-1]
+    np.not_equal(group[1:], group[:-1], out=begins[1:])
     begins[offsets[:-1][offsets[:-1] < len(data)]] = True
-    begins |= kind == LONE
+    if kind.max(initial=0) == LONE:
+        begins |= kind == LONE
     runs = np.flatnonzero(begins)
     ends = np.append(runs[1:], len(data)) if len(runs) else runs
     own = group[runs] != SPACE
@@ -151,7 +154,10 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         size = int(end[stop - 1] - base)
         up, down = powers if size <= _SEGMENT else _powers(size)
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum((data[base : base + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=sums[1:])
+        sums[1:] = data[base : base + size]
+        sums[1:] += np.uint64(1)
+        sums[1:] *= up[:size]
+        np.cumsum(sums, out=sums)
         s = start[at:stop] - base
         out[at:stop] = (sums[end[at:stop] - base] - sums[s]) * down[s]
         at = stop
