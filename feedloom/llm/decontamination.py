@@ -13,8 +13,8 @@ the frame of a sentence are not. Items of fewer than ``WINDOW`` words are matche
 as one window of their length; items of fewer than ``MIN_LITERAL`` plain words
 say too little to be matched.
 
-Before the join, a bitmap of ``2 ** BITMAP_BITS`` places (fixed size, whatever the
-benchmark's) drops windows that no item has; what passes is decided by the join.
+Before the join, a bitmap of fixed size, whatever the benchmark's, drops windows that
+no item has; what passes is decided by the join.
 
 Null and empty texts are clean. Documents of any length are read whole. A null or
 repeated document id gives a row per input row; rows under one id share its
@@ -32,13 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm import words
+from feedloom.llm import bitmaps, words
 from feedloom.staging import stage
 
 WINDOW = 8
 MIN_LITERAL = 5
 MIN_HITS = 3
-BITMAP_BITS = 24
 
 # English number words and common units.
 NUMBER_WORDS = (
@@ -137,11 +136,6 @@ def _window_rows(
     ``bitmap`` drops windows whose place is not set.
     """
 
-    def set_places(found: np.ndarray) -> np.ndarray:
-        bit = found >> np.uint64(64 - BITMAP_BITS)
-        held = bitmap[(bit >> np.uint64(3)).astype(np.int64)]
-        return (held >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = words.text_array(batch.column("_text"))
@@ -157,7 +151,7 @@ def _window_rows(
                     if sizes is None and size < WINDOW:
                         keep = count[t.doc[at]] == size
                     if bitmap is not None:
-                        keep &= set_places(found)
+                        keep &= bitmaps.held(bitmap, found)
                     found, at = found[keep], at[keep]
                     doc = t.doc[at]
                     yield pa.RecordBatch.from_arrays(
@@ -174,20 +168,6 @@ def _window_rows(
     return words.bounded(named.where("_id IS NOT NULL AND _text IS NOT NULL")).mapInArrow(run, _WINDOWS)
 
 
-def _bitmap(items: DataFrame) -> np.ndarray:
-    """The set places as bytes; gathered as at most ``2 ** BITMAP_BITS / 64`` words of 64 places."""
-    bit = f"shiftrightunsigned(hash, {64 - BITMAP_BITS})"
-    found = (
-        items.selectExpr(f"shiftright({bit}, 6) AS word", f"shiftleft(1L, cast({bit} & 63 AS int)) AS bit")
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return out.view(np.uint8)
-
-
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -202,11 +182,12 @@ def find(
     # Window lengths that occur: WINDOW and those of shorter items, fewer than WINDOW in all.
     lengths = benchmark.select(F.col(item_col).cast("long").alias("_id"), F.col(item_text_col).alias("_text"))
     sizes = sorted({WINDOW, *(r["n"] for r in _short_lengths(lengths).collect())})
-    hits = _window_rows(docs, id_col, text_col, sizes, _bitmap(items))
+    hits = _window_rows(docs, id_col, text_col, sizes, bitmaps.gather(items))
     joined = hits.select("id", "hash", F.col("place").alias("at"), F.col("slots").alias("said")).join(
         items.select(F.col("id").alias("item"), "hash", "place", "slots"), "hash"
     )
-    aligned = joined.withColumn("shift", F.col("at") - F.col("place"))
+    # Few windows match; written, they are found once for the counts and the slots.
+    aligned = stage(joined.withColumn("shift", F.col("at") - F.col("place")), "benchmark-hits")
     pairs = F.transform(F.arrays_zip("slots", "said"), lambda p: F.struct(p["slots"].alias("s"), p["said"].alias("d")))
     keys = ["id", "item", "shift"]
     hit_counts = aligned.groupBy(*keys).agg(F.count_distinct("place").alias("hits"))
