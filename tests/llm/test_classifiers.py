@@ -1,0 +1,93 @@
+"""Quality and toxicity: held-out accuracy, odd rows, labels that must not be seen."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.llm import queries, quality, toxicity
+
+FOLDER = "/root/testdata/sf0.01"
+LONG = "word " * 200_000
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    read = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    return read("documents"), read("labels")
+
+
+@pytest.fixture
+def odd(spark):
+    rows = [(1, None), (2, ""), (None, "some text"), (3, "x"), (3, "x"), (4, LONG)]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit("clash") for c in ("score", "held_out", "p_toxic", "key", "_text", "_id")}
+    )
+
+
+def test_quality_on_held_out_rows(spark, tables):
+    docs, labels = tables
+    rows = queries.op1_quality(spark, FOLDER).join(labels, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert all(r["predicted"] == int(r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert len(held) > 50
+    assert np.mean([r["predicted"] == r["quality"] for r in held]) > 0.95
+
+
+def test_held_out_labels_teach_nothing(tables):
+    docs, labels = tables
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert np.array_equal(quality.train(docs, labels, rows=100), quality.train(docs, flipped, rows=100))
+
+
+def test_a_model_is_the_same_whatever_the_partitions(tables):
+    docs, labels = tables
+    assert np.array_equal(quality.train(docs, labels, rows=80), quality.train(docs.repartition(13), labels, rows=80))
+
+
+def test_odd_rows_are_scored(spark, tables, odd):
+    docs, labels = tables
+    weights = quality.train(docs, labels, rows=100)
+    rows = quality.score(odd, weights).collect()
+    assert len(rows) == 6 and all(0 <= r["score"] <= 1 for r in rows)
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r["doc_id"], set()).add(r["score"])
+    assert len(by_id[3]) == 1 and by_id[1] == by_id[2]
+    assert quality.score_documents(odd, labels).count() == 6
+    assert toxicity.score_documents(odd, labels).count() == 6
+
+
+def test_empty_tables_and_no_labels(spark, tables, odd):
+    docs, labels = tables
+    none = spark.createDataFrame([], labels.schema)
+    assert {r["score"] for r in quality.score_documents(odd, none).collect()} == {0.5}
+    assert {(r["p_toxic"], r["toxic"]) for r in toxicity.score_documents(odd, none).collect()} <= {(0.5, 0), (0.5, 1)}
+    nulls = spark.createDataFrame([(1, None, None), (None, 1, 1)], labels.schema)
+    assert {r["score"] for r in quality.score_documents(odd, nulls).collect()} == {0.5}
+    empty = docs.where("false")
+    assert quality.score_documents(empty, labels).count() == toxicity.score_documents(empty, labels).count() == 0
+
+
+def test_toxic_documents_are_caught_and_clean_ones_left(spark, tables):
+    labels = tables[1]
+    rows = queries.op8_toxicity(spark, FOLDER).join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+    assert not [r for r in rows if r["toxic"] and not r["label"]]
+    assert sum(r["toxic"] for r in rows) >= 0.9 * sum(r["label"] for r in rows) > 0
+
+
+def test_the_chain_feeds_out_of_fold_probabilities():
+    rng = np.random.default_rng(0)
+    import pyarrow as pa
+
+    first = rng.integers(0, 2, 300)
+    texts = pa.array([f"{'bad' if a else 'good'} w{i} v{i % 7}" for i, a in enumerate(first)])
+    rows = toxicity.features(texts)
+    # The second category is the first one; noise words cannot explain it.
+    marks = np.column_stack([first, first]).astype(float)
+    chain = toxicity.fit_chain(rows, marks)
+    assert chain[1, 1 << toxicity.BITS] > 0
+    found = toxicity.predict_chain(rows, chain)
+    assert ((found > 0.5) == marks).mean() > 0.95

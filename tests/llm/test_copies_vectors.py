@@ -1,0 +1,180 @@
+"""Near copies and near-duplicate vectors against brute force."""
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from feedloom.llm import nearcopies, queries, vectors, words
+from feedloom.llm.components import Forest, components
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def _once(x):
+    return list(dict.fromkeys(x))
+
+
+def _similar(a, b, threshold=0.8):
+    share = lambda x, y: _lcs(x, y) / (len(x) + len(y) - _lcs(x, y))
+    return max(share(a, b), share(_once(a), _once(b))) >= threshold - 1e-9
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=1, max_size=30), st.data())
+def test_alignment_equals_the_textbook(a, data):
+    b = list(a)
+    for _ in range(data.draw(st.integers(0, 5))):
+        at = data.draw(st.integers(0, len(b)))
+        b[at : at + data.draw(st.integers(0, 1))] = [data.draw(st.integers(0, 12))] * data.draw(st.integers(0, 2))
+    if b:
+        found = nearcopies.alike(np.array(a, "<u4"), np.array(b, "<u4"))
+        assert found == _similar(a, b)
+
+
+def _grams(texts):
+    w = words.split(words.lowered(pa.array(texts)))
+    grams, doc = nearcopies.shingles(w)
+    return [(grams[doc == i] >> np.uint64(32)).astype("<u4") for i in range(len(texts))]
+
+
+def _classes(texts):
+    """Least index reachable over alike texts; texts without a word stand alone."""
+    grams, forest = _grams(texts), Forest()
+    for i, a in enumerate(grams):
+        forest.find(i)
+        for j in range(i):
+            if len(a) and len(grams[j]) and _similar(a.tolist(), grams[j].tolist()):
+                forest.join(i, j)
+    return [forest.find(i) for i in range(len(texts))]
+
+
+def _base(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 5000, n)]
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = np.random.default_rng(11)
+    texts = []
+    passage = " ".join(_base(rng, 60))
+    for size in (6, 8, 9, 12, 15, 40, 120):
+        base = _base(rng, size)
+        texts.append(" ".join(base))
+        texts.append(" ".join(base).upper() + "!")
+        for _ in range(6):
+            edited = list(base)
+            edited[rng.integers(0, size)] = "changed"
+            texts.append(" ".join(edited))
+        texts.append(" ".join(base + ["more"]))
+    texts += [" ".join(_base(rng, 60)) + " " + passage for _ in range(12)]
+    return texts + ["", None, "one", "one", "two words", "...", "!!"]
+
+
+def test_classes_equal_brute_force(spark, corpus):
+    rows = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string")
+    rows = rows.withColumns({c: F.lit("clash") for c in ("id", "class_id", "component", "key", "_text")})
+    found = {r["doc_id"]: (r["class_id"], r["kept"]) for r in nearcopies.mark(rows).collect()}
+    expected = _classes([t or "" for t in corpus])
+    assert {i: c for i, (c, _) in found.items()} == dict(enumerate(expected))
+    assert all(kept == (i == c) for i, (c, kept) in found.items())
+
+
+def test_blocks_split_as_they_will_give_the_same(spark, corpus, monkeypatch):
+    rows = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string")
+    whole = sorted(map(tuple, nearcopies.mark(rows).collect()))
+    monkeypatch.setattr(nearcopies, "BLOCK_TEXTS", 2)
+    monkeypatch.setattr(nearcopies, "BLOCK_BYTES", 64)
+    assert sorted(map(tuple, nearcopies.mark(rows).collect())) == whole
+
+
+def test_the_query_classes_equal_brute_force(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    ids = [r["doc_id"] for r in rows]
+    grams, forest = _grams([r["text"] for r in rows]), Forest()
+    for i in range(len(ids)):
+        forest.find(ids[i])
+        for j in range(i):
+            if nearcopies.alike(grams[i], grams[j]):
+                forest.join(ids[i], ids[j])
+    found = {r["doc_id"]: r["class_id"] for r in queries.op2_near_copies(spark, FOLDER).collect()}
+    assert found == {i: forest.find(i) for i in ids}
+
+
+def test_null_and_repeated_ids_and_an_empty_table(spark):
+    text = " ".join(f"t{i}" for i in range(20))
+    rows = spark.createDataFrame([(None, text), (5, text), (5, text), (7, text), (None, None)], "doc_id long, text string")
+    found = sorted(map(repr, (tuple(r) for r in nearcopies.mark(rows).collect())))
+    assert found == sorted(map(repr, [(None, None, True), (None, None, True), (5, 5, True), (5, 5, True), (7, 5, False)]))
+    assert nearcopies.mark(rows.where("false")).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(200)] + [(1000, 2000 + i) for i in range(300)] + [(9, 9), (5000, 5000), (None, 3)]
+    links += [(7001, 7000), (7000, 7001)]
+    found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), "test").collect()))
+    expected = {i: 0 for i in range(201)} | {1000: 1000, 5000: 5000, 7000: 7000, 7001: 7000} | {2000 + i: 1000 for i in range(300)}
+    assert found == expected
+
+
+def _brute(ids, matrix, usable):
+    links, forest = dict.fromkeys(ids, 0), Forest()
+    for i, a in enumerate(ids):
+        forest.find(a)
+        for j, b in enumerate(ids):
+            if i != j and usable[i] and usable[j] and len(matrix[i]) == len(matrix[j]):
+                x, y = np.array(matrix[i], float), np.array(matrix[j], float)
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.9:
+                    links[a] += 1
+                    forest.join(a, b)
+    return {i: (links[i], forest.find(i)) for i in ids}
+
+
+def test_vectors_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    near = lambda base, noise: (base + noise * rng.standard_normal(len(base))).astype(np.float32)
+    rows = []
+    for _ in range(15):
+        base = rng.standard_normal(16)
+        rows += [near(base, s) for s in rng.uniform(0, 0.5, 8)]
+    hot = rng.standard_normal(16)
+    rows += [near(hot, 0.05) for _ in range(120)] + [hot.astype(np.float32)] * 30
+    rows += [rng.standard_normal(8).astype(np.float32) for _ in range(3)]
+    rows = [r.tolist() for r in rows]
+    rows += [rows[-1], [0.0] * 16, [], None, [1.0, None], [math.nan] * 16, [math.inf] + [1.0] * 15, [1e-30] * 16, [3e-30] * 16]
+    ids = rng.permutation(len(rows)).tolist()
+    usable = [bool(r) and None not in r and np.isfinite(r).all() and any(r) for r in rows]
+    frame = spark.createDataFrame(list(zip(ids, rows, strict=True)), "vec_id long, embedding array<float>").withColumns(
+        {c: F.lit("clash") for c in ("id", "vec", "n_links", "component")}
+    )
+    monkeypatch.setattr(vectors, "OUTER_BLOCK", 16)
+    monkeypatch.setattr(vectors, "MEMBER_BLOCK", 64)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(frame).collect()}
+    expected = _brute(ids, [r or [] for r in rows], usable)
+    assert found == expected
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in vectors.near_duplicates(frame).collect())
+
+
+def test_no_vectors_and_null_ids(spark):
+    rows = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<double>")
+    found = sorted((repr(r["vec_id"]), r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_duplicates(rows).collect())
+    assert found == [("1", 1, 1, True), ("2", 1, 1, False), ("None", 0, None, True)]
+    assert vectors.near_duplicates(rows.where("false")).count() == 0
+
+
+def test_passes_grow_with_the_logarithm_of_the_miss_and_a_root_of_the_size():
+    few, many = vectors.passes_for(10_000), vectors.passes_for(10_000_000)
+    assert few < many < few * (1000**0.3)
