@@ -135,23 +135,37 @@ class Index:
     ):
         self.n_docs = len(length)
         # A term that one document of the shard holds leads nowhere.
-        shared = np.bincount(term, minlength=len(idf))[term] > 1
-        doc, term, tf = doc[shared], term[shared], tf[shared]
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / max(mean, 1e-9)))
-        order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order].astype(np.float32)
-        first = np.flatnonzero(np.append(True, term[order][1:] != term[order][:-1])) if len(term) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(first, len(term)))
-        at = np.empty(len(term), np.int64)
-        at[order] = np.repeat(np.arange(len(first)), sizes)
-        self.first, self.stop = first, first + sizes
-        # By document, then falling weight, ties by term: positive floats sort like their bits.
-        falling = np.uint64(0xFFFFFFFF) - weight.astype(np.float32).view(np.uint32).astype(np.uint64)
-        best = np.argsort((doc.astype(np.uint64) << np.uint64(32)) | falling, kind="stable")
-        begins = np.searchsorted(doc[best], np.arange(self.n_docs + 1))
+        holders = np.bincount(term, minlength=len(idf))
+        shared = np.flatnonzero(holders[term] > 1)
+        doc, term, tf = doc[shared], term[shared], tf[shared].astype(np.float32)
+        norm = (K1 * (1 - B + B * length / max(mean, 1e-9))).astype(np.float32)
+        weight = idf[term] * tf * np.float32(K1 + 1) / (tf + norm[doc])
+        held = holders > 1
+        sizes = holders[held]
+        self.stop = np.cumsum(sizes)
+        self.first = self.stop - sizes
+        entry = np.arange(len(term), dtype=np.uint64)
+        # Distinct keys that hold their entry sort faster than an order of entries.
+        order = np.sort((term.astype(np.uint64) << np.uint64(32)) | entry) & np.uint64(0xFFFFFFFF)
+        self.docs, self.weights = doc[order.astype(np.int64)], weight[order.astype(np.int64)]
+        best = self._telling(doc, weight, entry)
+        self.terms = (np.cumsum(held) - 1)[term[best]]
+        self.begins = np.searchsorted(doc[best], np.arange(self.n_docs + 1))
+
+    def _telling(self, doc: np.ndarray, weight: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Entries of the ``QUERY_TERMS`` highest weights of every document, ties in order of terms.
+
+        Positive floats sort like their bits; as many of them are compared as document
+        and entry leave room for.
+        """
+        place = len(entry).bit_length()
+        spare = min(32, 64 - place - self.n_docs.bit_length())
+        falling = (np.uint64(0xFFFFFFFF) - weight.view(np.uint32).astype(np.uint64)) >> np.uint64(32 - spare)
+        key = (((doc.astype(np.uint64) << np.uint64(spare)) | falling) << np.uint64(place)) | entry
+        best = (np.sort(key) & np.uint64((1 << place) - 1)).astype(np.int64)
+        begins = np.searchsorted(doc, np.arange(self.n_docs))
         rank = np.arange(len(best)) - begins[doc[best]]
-        best = best[rank < QUERY_TERMS]
-        self.terms, self.begins = at[best], np.searchsorted(doc[best], np.arange(self.n_docs + 1))
+        return best[rank < QUERY_TERMS]
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.terms[self.begins[seed] : self.begins[seed + 1]]
