@@ -51,12 +51,15 @@ def labelled_features(
             for at, stop in words.slices(texts):
                 found = features(texts.slice(at, stop - at))
                 spans = list(zip(found.first[:-1], found.first[1:], strict=True))
+                # Values that are all one are not sent.
+                value = found.value.astype(np.float32)
+                values = [b"" if (value[a:b] == 1).all() else value[a:b].tobytes() for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").slice(at, stop - at),
                         batch.column("marks").slice(at, stop - at),
                         pa.array([found.index[a:b].astype(np.int32).tobytes() for a, b in spans], pa.binary()),
-                        pa.array([found.value[a:b].astype(np.float32).tobytes() for a, b in spans], pa.binary()),
+                        pa.array(values, pa.binary()),
                     ],
                     names=["key", "marks", "idx", "val"],
                 )
@@ -81,7 +84,10 @@ def fit_once(
             return
         found.sort(key=lambda r: (r["key"], r["idx"], r["marks"]))
         index = [np.frombuffer(r["idx"], np.int32) for r in found]
-        value = [np.frombuffer(r["val"], np.float32) for r in found]
+        value = [
+            np.frombuffer(r["val"], np.float32) if r["val"] else np.ones(len(x), np.float32)
+            for r, x in zip(found, index, strict=True)
+        ]
         firsts = [np.array([0, len(x)]) for x in index]
         marks = np.array([r["marks"] for r in found], np.float64).reshape(len(found), -1)
         rows = linear.join_rows(firsts, index, value)

@@ -3,7 +3,7 @@
 A word is a run of letters and digits; bytes of other scripts count as letters,
 and every character of a script that is written without spaces is a word of its
 own. With ``marks`` a run of punctuation is a word too. Texts are cut into
-slices of a few MB and hashed in short byte segments, so memory follows the
+slices of about a MB and hashed in short byte segments, so memory follows the
 slice, not the text; a text is never shortened.
 """
 
@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Most bytes of rows that tasks of these operators are handed at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SEGMENT = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
