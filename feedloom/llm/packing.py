@@ -147,7 +147,8 @@ class Index:
         entry = np.arange(len(term), dtype=np.uint64)
         # Distinct keys that hold their entry sort faster than an order of entries.
         order = np.sort((term.astype(np.uint64) << np.uint64(32)) | entry) & np.uint64(0xFFFFFFFF)
-        self.docs, self.weights = doc[order.astype(np.int64)], weight[order.astype(np.int64)]
+        self.docs = doc[order.astype(np.int64)].astype(np.int32)
+        self.weights = weight[order.astype(np.int64)]
         best = self._telling(doc, weight, entry)
         self.terms = (np.cumsum(held) - 1)[term[best]]
         self.begins = np.searchsorted(doc[best], np.arange(self.n_docs + 1))
@@ -274,6 +275,7 @@ def pack(
         doc, term, tf = (np.concatenate([p[k] for p in parts]) for k in range(3))
         del parts, texts
         index = Index(doc, term, tf, np.concatenate(lengths), idf, mean)
+        del doc, term, tf
         sizes = np.array([len(t) + 1 for t in tokens], np.int64)
         base = TaskContext.get().partitionId() << 32
         pieces: list[tuple[int, int, int, int, int]] = []
