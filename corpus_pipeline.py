@@ -3,6 +3,7 @@
 Each stage works on all that the one before kept, as ``run`` writes it and reads
 it again. Toxic documents go, then low quality, then all but one document of a
 group of near copies, then documents with benchmark passages; the rest is packed.
+A classifier that no label could teach drops nothing.
 Nulls, empty texts and ties are treated as the operators say; extra columns of
 documents are carried along by every filter.
 """
@@ -24,12 +25,16 @@ def _labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chain = toxicity.train(docs, toxicity.category_labels(_labels(spark, sf_dir)))
+    if not toxicity.learnt(chain):
+        return docs
     scored = toxicity.score(docs, chain, prefix=(mark := f"p{uuid.uuid4().hex[:8]}_"))
     return scored.where(F.col(f"{mark}toxic") <= toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     weights = quality.train(docs, _labels(spark, sf_dir))
+    if not len(weights):
+        return docs
     scored = quality.score(docs, weights, out=(mark := f"s{uuid.uuid4().hex[:8]}"))
     return scored.where(F.col(mark) >= quality.THRESHOLD).select(*docs.columns)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import linear, words
 
-#: Most labelled rows a model is fitted on, those with the lowest hash of their id.
+#: Most labelled rows a mark is fitted on, those with the lowest hash of their id.
 SAMPLE_ROWS = 8192
 
 _SCHEMA = "key long, marks array<double>, idx binary, val binary"
@@ -26,22 +27,24 @@ def labelled_features(
     text_col: str = "text",
     rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """Features of at most ``rows`` labelled texts, and their labels.
+    """Features of at most ``rows`` labelled texts for each mark, and their labels.
 
-    Labels that are null, and ids that are null or unknown, teach nothing. An id
+    Labels that are null, and ids that are null or unknown, teach nothing; a row
+    without one label still teaches the others, its missing label is null. An id
     labelled twice counts with its highest labels, a repeated document once per
     row. Only ids are ranked; texts meet the chosen ids, a table of at most
-    ``rows`` rows that is small enough to be sent to every executor.
+    ``rows`` rows a mark that is small enough to be sent to every executor.
     """
-    known = (
-        labels.select(F.col(id_col).alias("_id"), *[F.col(m).cast("double").alias(f"_m{k}") for k, m in enumerate(marks)])
-        .na.drop()
+    given = [F.nanvl(F.col(m).cast("double"), F.lit(None)).alias(f"_m{k}") for k, m in enumerate(marks)]
+    labelled = (
+        labels.select(F.col(id_col).alias("_id"), *given)
+        .na.drop(subset=["_id"])
         .groupBy("_id")
         .agg(F.array(*[F.max(f"_m{k}") for k in range(len(marks))]).alias("marks"))
         .withColumn("key", F.xxhash64(F.col("_id").cast("string")))
-        .orderBy("key", "_id")
-        .limit(rows)
     )
+    chosen = [labelled.where(F.col("marks")[k].isNotNull()).orderBy("key", "_id").limit(rows) for k in range(len(marks))]
+    known = chosen[0] if len(chosen) == 1 else reduce(DataFrame.unionByName, chosen).distinct()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     joined = texts.join(F.broadcast(known), "_id").select("key", "marks", "_text")
 
@@ -72,7 +75,7 @@ def fit_once(
 ) -> np.ndarray:
     """Run ``fit`` on the bounded sample in one task and return its ``outputs`` x dim weights.
 
-    An empty sample gives weights of no width.
+    An empty sample gives weights of no width. A missing label comes to ``fit`` as NaN.
 
     The rows are put in key order first, so a task that runs again after a lost
     executor returns the same weights.
@@ -82,7 +85,7 @@ def fit_once(
         found = [r for batch in batches for r in batch.to_pylist()]
         if not found:
             return
-        found.sort(key=lambda r: (r["key"], r["idx"], r["marks"]))
+        found.sort(key=lambda r: (r["key"], r["idx"], [(m is not None, m or 0.0) for m in r["marks"]]))
         index = [np.frombuffer(r["idx"], np.int32) for r in found]
         value = [
             np.frombuffer(r["val"], np.float32) if r["val"] else np.ones(len(x), np.float32)

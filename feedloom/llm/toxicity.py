@@ -11,7 +11,9 @@ chain.
 
 Null and empty texts have no word and get the prior of each link. Very long
 texts are read whole; a word counts once per text. Repeated rows are scored
-alike. Without usable labels every probability is 0.5 and nothing is toxic.
+alike. A category learns from the rows that have its own label, whatever other
+labels they lack. A category without any has the probability 0.5; if that is
+the toxic one, nothing is toxic.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ FOLDS = 3
 #: Bytes of the word beginnings that are features beside whole words.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.4
-#: Most labelled rows the chain is fitted on.
+#: Most labelled rows each category is fitted on.
 SAMPLE_ROWS = 16384
 CATEGORIES = ("low_quality", "toxic")
 _ODDS_SCALE = 0.25
@@ -68,27 +70,47 @@ def _part(rows: linear.Rows, chosen: np.ndarray) -> linear.Rows:
 
 
 def fit_chain(rows: linear.Rows, marks: np.ndarray) -> np.ndarray:
-    """Weights of every link, one row each, padded to the width of the last link."""
+    """Weights of every link, one row each, padded to the width of the last link.
+
+    A link is fitted on the rows whose mark is not NaN; the constant of a link
+    that no row has a mark of is NaN.
+    """
     n, links = marks.shape
     dim = 1 << BITS
-    fold = np.arange(n) % FOLDS
     earlier = np.zeros((n, 0))
     out = np.zeros((links, dim + links))
     for k in range(links):
+        known = np.flatnonzero(~np.isnan(marks[:, k]))
+        unseen = np.full(n, 0.5)
+        if not len(known):
+            out[k, -1] = np.nan
+            earlier = np.column_stack([earlier, _odds(unseen)])
+            continue
         y = (marks[:, k] > 0).astype(float)
-        weights = _learner().fit(rows, y, dim, earlier)
+        weights = _learner().fit(_part(rows, known), y[known], dim, earlier[known])
         out[k, : dim + k] = weights[:-1]
         out[k, -1] = weights[-1]
         if k + 1 < links:
-            unseen = np.zeros(n)
+            fold = np.full(n, FOLDS)
+            fold[known] = np.arange(len(known)) % FOLDS
             for f in range(FOLDS):
-                learn, keep = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-                model = _learner().fit(_part(rows, learn), y[learn], dim, earlier[learn])
-                unseen[keep] = linear.predict(_part(rows, keep), model, dim, earlier[keep])
+                learn, keep = known[fold[known] != f], known[fold[known] == f]
+                if len(learn) and len(keep):
+                    model = _learner().fit(_part(rows, learn), y[learn], dim, earlier[learn])
+                    unseen[keep] = linear.predict(_part(rows, keep), model, dim, earlier[keep])
+            # No model has seen a row without this mark.
+            keep = np.flatnonzero(fold == FOLDS)
+            if len(keep):
+                unseen[keep] = linear.predict(_part(rows, keep), weights, dim, earlier[keep])
             earlier = np.column_stack([earlier, _odds(unseen)])
     return out
 
 
+def learnt(chain: np.ndarray, link: int = -1) -> bool:
+    """Whether a link had labels to learn from."""
+    return chain.shape[1] > 0 and not np.isnan(chain[link, -1])
+
+
 def predict_chain(rows: linear.Rows, chain: np.ndarray) -> np.ndarray:
     """Probability of every category, in chain order."""
     dim, links = 1 << BITS, len(chain)
@@ -98,7 +120,7 @@ def predict_chain(rows: linear.Rows, chain: np.ndarray) -> np.ndarray:
     earlier = np.zeros((len(rows), 0))
     for k in range(links):
         weights = np.concatenate([chain[k, : dim + k], chain[k, -1:]])
-        found[:, k] = linear.predict(rows, weights, dim, earlier)
+        found[:, k] = linear.predict(rows, weights, dim, earlier) if learnt(chain, k) else 0.5
         earlier = np.column_stack([earlier, _odds(found[:, k])])
     return found
 
@@ -111,7 +133,7 @@ def train(
     text_col: str = "text",
     rows: int = SAMPLE_ROWS,
 ) -> np.ndarray:
-    """The chain learnt from at most ``rows`` labelled texts."""
+    """The chain learnt from at most ``rows`` labelled texts a category."""
     sample = samples.labelled_features(docs, labels, list(categories), features, id_col, text_col, rows)
     return samples.fit_once(sample, fit_chain, len(categories))
 
@@ -157,5 +179,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs.select("doc_id", "text"), chain).select(
         "doc_id",
         *[f"p_{c}" for c in CATEGORIES],
-        (F.col("p_toxic") > THRESHOLD).cast("int").alias("toxic"),
+        (F.lit(learnt(chain)) & (F.col("p_toxic") > THRESHOLD)).cast("int").alias("toxic"),
     )

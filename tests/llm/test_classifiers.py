@@ -91,3 +91,27 @@ def test_the_chain_feeds_out_of_fold_probabilities():
     assert chain[1, 1 << toxicity.BITS] > 0
     found = toxicity.predict_chain(rows, chain)
     assert ((found > 0.5) == marks).mean() > 0.95
+
+
+def test_nothing_is_toxic_without_a_label_of_it(spark, tables, odd):
+    labels = tables[1]
+    for given in (labels.where("false"), labels.withColumn("toxic", F.lit(None).cast("int"))):
+        assert {(r["p_toxic"], r["toxic"]) for r in toxicity.score_documents(odd, given).collect()} == {(0.5, 0)}
+
+
+def test_a_row_without_one_label_teaches_the_others(spark, tables):
+    docs, labels = tables
+    bare = labels.withColumn("quality", F.lit(None).cast("int"))
+    rows = toxicity.score_documents(docs, bare).join(labels.select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+    assert {r["p_low_quality"] for r in rows} == {0.5}
+    assert not [r for r in rows if r["toxic"] and not r["label"]]
+    assert sum(r["toxic"] for r in rows) >= 0.9 * sum(r["label"] for r in rows) > 0
+
+
+def test_rare_labels_are_not_crowded_out_of_the_sample(spark, tables):
+    docs, labels = tables
+    rare = labels.withColumn("toxic", F.when(F.col("doc_id") % 50 == 0, F.col("toxic")))
+    sample = toxicity.samples.labelled_features(docs, rare, ["quality", "toxic"], toxicity.features, rows=20).collect()
+    held = {k: sum(r["marks"][k] is not None for r in sample) for k in (0, 1)}
+    n_rare = rare.where("toxic IS NOT NULL").join(docs, "doc_id").count()
+    assert held[0] >= 20 and held[1] >= min(20, n_rare) > 0

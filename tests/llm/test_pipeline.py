@@ -63,3 +63,11 @@ def test_a_run_packs_what_the_filters_keep(spark):
 def test_every_stage_takes_an_empty_table(spark, docs):
     for name, step in corpus_pipeline.STAGES:
         assert step(spark, docs.where("false"), FOLDER).count() == 0, name
+
+
+def test_labels_without_a_value_drop_nothing(spark, docs, tmp_path):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    none = labels.withColumns({c: F.lit(None).cast("int") for c in ("quality", "toxic")})
+    none.write.parquet(f"{tmp_path}/labels.parquet")
+    for step in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_low_quality):
+        assert _ids(step(spark, docs, str(tmp_path))) == _ids(docs)
