@@ -3,7 +3,9 @@
 A text is its sequence of five-word shingles, a repeated shingle labelled with its
 occurrence. Each of ``BANDS`` hash functions samples the ``SAMPLED`` least labelled
 shingles, puts them back in text order, and hashes that sequence to a bucket: texts
-meet if they share those shingles in that order. Short texts sample
+meet if they share those shingles in that order. A text that repeats shingles is
+also sampled with every shingle once, where it first stands, so that texts which
+repeat a passage a different number of times meet as well. Short texts sample
 ``SHORT_SAMPLED``, texts on the border both. The similarity of two texts is that of
 their best alignment, matched shingles by all shingles of either, with repeats or
 with every shingle once. Pairs at ``THRESHOLD`` or above are links; classes are
@@ -104,9 +106,8 @@ def _sequence_hash(values: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarr
     return words.mix(out)
 
 
-def sketches(grams: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+def sketches(marked: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Band values of long and of short texts, one row per text (see the module)."""
-    marked = labelled(grams, doc)
     first = np.searchsorted(doc, np.arange(n_docs + 1))
     size = np.diff(first)
     share = np.minimum(_OVERSAMPLE / np.maximum(size, 1), 1.0)
@@ -127,6 +128,32 @@ def sketches(grams: np.ndarray, doc: np.ndarray, n_docs: int) -> tuple[np.ndarra
     return long, short
 
 
+def band_lists(grams: np.ndarray, doc: np.ndarray, n_docs: int) -> list[list[int]]:
+    """Bands of every text: of its labelled shingles and, where it repeats some, of every shingle once."""
+
+    def lists(marked: np.ndarray, doc: np.ndarray, n_docs: int) -> list[list[int]]:
+        size = np.bincount(doc, minlength=n_docs)
+        long, short = sketches(marked, doc, n_docs)
+        return [
+            ([] if s < LONG_FROM else x.tolist()) + ([] if s >= SHORT_BELOW else y.tolist())
+            for s, x, y in zip(size.tolist(), long.view(np.int64), short.view(np.int64), strict=True)
+        ]
+
+    marked = labelled(grams, doc)
+    out = lists(marked, doc, n_docs)
+    again = marked != grams
+    if again.any():
+        repeats = np.zeros(n_docs, bool)
+        repeats[doc[again]] = True
+        own = np.flatnonzero(repeats)
+        once = repeats[doc] & ~again
+        more = lists(grams[once], np.searchsorted(own, doc[once]), len(own))
+        for d, bands in zip(own.tolist(), more, strict=True):
+            # A band may sample the same shingles twice.
+            out[d] = list(dict.fromkeys(out[d] + bands))
+    return out
+
+
 def _digests(w: words.Words) -> list[pa.Array]:
     """Two 64-bit sums over a text's words and their places: equal for equal word sequences."""
     place = (np.arange(len(w.hash)) - w.first_words()[w.doc] if len(w.hash) else w.doc).astype(np.uint64)
@@ -149,11 +176,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 grams, doc = shingles(w)
                 n = b - a
                 size = np.bincount(doc, minlength=n)
-                long, short = sketches(grams, doc, n)
-                bands = [
-                    ([] if s < LONG_FROM else x.tolist()) + ([] if s >= SHORT_BELOW else y.tolist())
-                    for s, x, y in zip(size.tolist(), long.view(np.int64), short.view(np.int64), strict=True)
-                ]
+                bands = band_lists(grams, doc, n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(a, n), *_digests(w), pa.array(bands, pa.list_(pa.int64()))],
                     names=["id", "d1", "d2", "bands"],

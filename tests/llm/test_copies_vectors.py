@@ -178,3 +178,30 @@ def test_no_vectors_and_null_ids(spark):
 def test_passes_grow_with_the_logarithm_of_the_miss_and_a_root_of_the_size():
     few, many = vectors.passes_for(10_000), vectors.passes_for(10_000_000)
     assert few < many < few * (1000**0.3)
+
+
+def test_passages_repeated_a_different_number_of_times_are_one_class(spark):
+    rng = np.random.default_rng(23)
+    texts, expected = [], []
+    for group in range(8):
+        passage, line = " ".join(_base(rng, 60)), " ".join(_base(rng, 12))
+        for text in (passage, " ".join([passage] * 2), " ".join([passage] * 3), " ".join([passage] * 7)):
+            texts.append(text)
+            expected.append(group * 6)
+        # A long text whose boilerplate line is repeated, and the same text with it once.
+        body = " ".join(_base(rng, 80))
+        texts += [f"{line} {body}", " ".join([line] * 12) + f" {body}"]
+        expected += [group * 6 + 4] * 2
+    assert _classes(texts) == expected
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["class_id"] for r in nearcopies.mark(rows).orderBy("doc_id").collect()] == expected
+
+
+def test_a_text_names_no_band_twice():
+    rng = np.random.default_rng(3)
+    passage = " ".join(_base(rng, 30))
+    w = words.split(words.lowered(pa.array([f"{passage} {passage}", passage, "", "a b a b a b a b a b a b"])))
+    grams, doc = nearcopies.shingles(w)
+    bands = nearcopies.band_lists(grams, doc, 4)
+    assert all(len(b) == len(set(b)) for b in bands)
+    assert set(bands[0]) & set(bands[1])
