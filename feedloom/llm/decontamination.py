@@ -10,8 +10,13 @@ windows of it match and its slots are consistent: equal values in the item stand
 where equal values stand in the document, and different ones where different
 ones stand. So re-parameterised questions are caught, and texts that merely share
 the frame of a sentence are not. Items of fewer than ``WINDOW`` words are matched
-as one window of their length; items of fewer than ``MIN_LITERAL`` plain words
-say too little to be matched.
+as one window of their length.
+
+Beside the template, every run of ``WINDOW`` lower-cased words is hashed as it
+stands. So a whole item is found whatever its slots and whatever the case of the
+copy; of an item whose template windows all hold too few plain words, ``MIN_HITS``
+such runs are enough. Items of fewer than ``MIN_LITERAL`` words say too little to
+be matched.
 
 Before the join, a bitmap of fixed size, whatever the benchmark's, drops windows that
 no item has; what passes is decided by the join.
@@ -52,17 +57,23 @@ UNITS = (
 ).split()
 
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0xA11CE5, 0xB0B5, 0xCAFE5))
-_WINDOWS = "id long, hash long, place int, slots array<long>"
+_VERBATIM = np.uint64(0x7E47BA71)
+_WINDOWS = "id long, hash long, place int, slots array<long>, verbatim boolean"
 
 
 @dataclass
 class Template:
-    """Template words of a slice of texts: hash, document, kind of slot (0 is none) and slot value."""
+    """Template words of a slice of texts: hash, document, kind of slot (0 is none) and slot value.
+
+    ``word`` and ``word_doc`` are the lower-cased words as they stand.
+    """
 
     hash: np.ndarray
     doc: np.ndarray
     slot: np.ndarray
     value: np.ndarray
+    word: np.ndarray
+    word_doc: np.ndarray
 
 
 def _known(names: list[str]) -> np.ndarray:
@@ -75,7 +86,7 @@ def template(texts: pa.Array) -> Template:
     h = low.hash if len(low.hash) == len(w.hash) else w.hash
     n = len(h)
     if not n:
-        return Template(h, w.doc, np.zeros(0, np.int64), h)
+        return Template(h, w.doc, np.zeros(0, np.int64), h, h, w.doc)
     data = np.append(w.data, np.uint8(0))
     first, second = data[w.start], data[np.minimum(w.start + 1, len(data) - 1)]
     size = w.end - w.start
@@ -108,7 +119,7 @@ def template(texts: pa.Array) -> Template:
     value = np.add.reduceat(words.mix(h + place.astype(np.uint64)), head)
     slot = slot[head]
     marks = np.array([0, _NUMBER, _UNIT, _NAME], np.uint64)
-    return Template(np.where(slot > 0, words.mix(marks[slot]), h[head]), w.doc[head], slot, value)
+    return Template(np.where(slot > 0, words.mix(marks[slot]), h[head]), w.doc[head], slot, value, h, w.doc)
 
 
 def windows(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +131,13 @@ def windows(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found[rich] + np.uint64(size), at[rich]
 
 
+def verbatim(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of all runs of ``size`` words as they stand."""
+    frame = words.Words(t.word, t.word_doc, *[t.word_doc] * 3, t.word, t.word_doc)
+    found, at = words.runs_of(frame, size)
+    return words.mix(found ^ _VERBATIM) + np.uint64(size), at
+
+
 def _slots(t: Template, at: np.ndarray, size: int) -> list[list[int]]:
     out = []
     for a in at.tolist():
@@ -141,28 +159,31 @@ def _window_rows(
             texts = words.text_array(batch.column("_text"))
             for a, b in words.slices(texts):
                 t = template(texts.slice(a, b - a))
-                first = np.searchsorted(t.doc, np.arange(b - a + 1))
-                count = np.diff(first)
                 ids = batch.column("_id").slice(a, b - a)
-                lengths = {min(int(c), WINDOW) for c in count if c >= MIN_LITERAL}
-                for size in sorted(lengths) if sizes is None else sizes:
-                    found, at = windows(t, size)
-                    keep = np.ones(len(at), bool)
-                    if sizes is None and size < WINDOW:
-                        keep = count[t.doc[at]] == size
-                    if bitmap is not None:
-                        keep &= bitmaps.held(bitmap, found)
-                    found, at = found[keep], at[keep]
-                    doc = t.doc[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(pa.array(doc)),
-                            pa.array(found.view(np.int64)),
-                            pa.array((at - first[doc]).astype(np.int32)),
-                            pa.array(_slots(t, at, size), pa.list_(pa.int64())),
-                        ],
-                        names=["id", "hash", "place", "slots"],
-                    )
+                for look, own in ((windows, t.doc), (verbatim, t.word_doc)):
+                    first = np.searchsorted(own, np.arange(b - a + 1))
+                    count = np.diff(first)
+                    lengths = {min(int(c), WINDOW) for c in count if c >= MIN_LITERAL}
+                    for size in sorted(lengths) if sizes is None else sizes:
+                        found, at = look(t, size)
+                        keep = np.ones(len(at), bool)
+                        if sizes is None and size < WINDOW:
+                            keep = count[own[at]] == size
+                        if bitmap is not None:
+                            keep &= bitmaps.held(bitmap, found)
+                        found, at = found[keep], at[keep]
+                        doc = own[at]
+                        slots = _slots(t, at, size) if look is windows else [[]] * len(at)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                ids.take(pa.array(doc)),
+                                pa.array(found.view(np.int64)),
+                                pa.array((at - first[doc]).astype(np.int32)),
+                                pa.array(slots, pa.list_(pa.int64())),
+                                pa.array(np.full(len(at), look is verbatim)),
+                            ],
+                            names=["id", "hash", "place", "slots", "verbatim"],
+                        )
 
     named = table.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     return words.bounded(named.where("_id IS NOT NULL AND _text IS NOT NULL")).mapInArrow(run, _WINDOWS)
@@ -178,18 +199,21 @@ def find(
 ) -> DataFrame:
     """Pairs of a document and an item it holds (``id``, ``item``, ``hits``), without repeats."""
     items = stage(_window_rows(benchmark, item_col, item_text_col, None, None), "benchmark-windows")
-    totals = items.groupBy(F.col("id").alias("item")).agg(F.count_distinct("place").alias("n_windows"))
+    totals = items.groupBy(F.col("id").alias("item")).agg(
+        F.count_distinct(F.when(~F.col("verbatim"), F.col("place"))).alias("n_windows"),
+        F.count_distinct(F.when(F.col("verbatim"), F.col("place"))).alias("n_verbatim"),
+    )
     # Window lengths that occur: WINDOW and those of shorter items, fewer than WINDOW in all.
     lengths = benchmark.select(F.col(item_col).cast("long").alias("_id"), F.col(item_text_col).alias("_text"))
     sizes = sorted({WINDOW, *(r["n"] for r in _short_lengths(lengths).collect())})
     hits = _window_rows(docs, id_col, text_col, sizes, bitmaps.gather(items))
     joined = hits.select("id", "hash", F.col("place").alias("at"), F.col("slots").alias("said")).join(
-        items.select(F.col("id").alias("item"), "hash", "place", "slots"), "hash"
+        items.select(F.col("id").alias("item"), "hash", "place", "slots", "verbatim"), "hash"
     )
     # Few windows match; written, they are found once for the counts and the slots.
     aligned = stage(joined.withColumn("shift", F.col("at") - F.col("place")), "benchmark-hits")
     pairs = F.transform(F.arrays_zip("slots", "said"), lambda p: F.struct(p["slots"].alias("s"), p["said"].alias("d")))
-    keys = ["id", "item", "shift"]
+    keys = ["id", "item", "verbatim", "shift"]
     hit_counts = aligned.groupBy(*keys).agg(F.count_distinct("place").alias("hits"))
     slots = aligned.select(*keys, F.explode(pairs).alias("p")).distinct()
     uneven = (
@@ -197,17 +221,23 @@ def find(
         .agg(F.count("*").alias("n"), F.count_distinct("p.s").alias("s"), F.count_distinct("p.d").alias("d"))
         .where("n <> s OR n <> d")
     )
+    few = lambda n: F.least(F.lit(MIN_HITS), n)
+    least = (
+        F.when(~F.col("verbatim"), few("n_windows"))
+        .when(F.col("n_windows") == 0, few("n_verbatim"))
+        .otherwise(F.col("n_verbatim"))
+    )
     return (
         hit_counts.join(uneven.select(*keys), keys, "left_anti")
-        .join(totals.select("item", "n_windows"), "item")
-        .where(F.col("hits") >= F.least(F.lit(MIN_HITS), "n_windows"))
+        .join(totals, "item")
+        .where(F.col("hits") >= least)
         .groupBy("id", "item")
         .agg(F.max("hits").alias("hits"))
     )
 
 
 def _short_lengths(items: DataFrame) -> DataFrame:
-    """Template lengths below ``WINDOW`` that items have."""
+    """Lengths below ``WINDOW`` that items have, in template words or in words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +245,8 @@ def _short_lengths(items: DataFrame) -> DataFrame:
             found: set[int] = set()
             for a, b in words.slices(texts):
                 t = template(texts.slice(a, b - a))
-                found |= {int(c) for c in np.bincount(t.doc, minlength=b - a) if MIN_LITERAL <= c < WINDOW}
+                for own in (t.doc, t.word_doc):
+                    found |= {int(c) for c in np.bincount(own, minlength=b - a) if MIN_LITERAL <= c < WINDOW}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["n"])
 
     return items.mapInArrow(run, "n long").distinct()

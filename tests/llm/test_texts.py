@@ -112,3 +112,23 @@ def test_the_query_finds_every_notice_line(spark):
     expected = {i: "|".join(sorted({notices[x] for x in t.split("\n") if x in notices})) for i, t in docs.items()}
     assert any(expected.values())
     assert {r["doc_id"]: r["licenses"] for r in queries.op9_licences(spark, FOLDER).collect()} == expected
+
+
+SUMS = "12 + 30 = 42 17 + 25 = 42 8 + 9 = 17 40 + 2 = 42 61 + 7 = 68"
+NAMES = "Visitors came from Paris, London, Rome, Berlin, Madrid, Lisbon, Vienna, Prague, Warsaw and Oslo."
+
+
+def test_whole_items_are_found_whatever_their_slots_and_case(spark):
+    items = [(1, ITEM), (2, SUMS), (3, NAMES), (4, "10 20 30 40 50 60")]
+    docs = [
+        f"Before. {ITEM.upper()} After.",
+        f"Before. {ITEM.lower()} After.",
+        ITEM.title(),
+        f"we learnt that {SUMS} at school",
+        f"Words. {NAMES} More words.",
+        NAMES.lower(),
+        "count 10 20 30 40 50 60 and on",
+        "12 + 31 = 43 17 + 26 = 43 8 + 8 = 16 40 + 3 = 43 61 + 8 = 69",
+        "10 20 30 40 50 61",
+    ]
+    assert _found(spark, docs, items) == {0: [1], 1: [1], 2: [1], 3: [2], 4: [3], 5: [3], 6: [4], 7: [], 8: []}
