@@ -8,7 +8,9 @@ windows of documents are hash-joined to windows of benchmark items. Hits of one
 document and item at one distance form an alignment; it counts if ``MIN_HITS``
 windows of it match and its slots are consistent: equal values in the item stand
 where equal values stand in the document, and different ones where different
-ones stand. So re-parameterised questions are caught, and texts that merely share
+ones stand, spellings of one unit being equal. Values that break this take away the
+windows they stand in; an alignment is dropped if fewer than ``AGREEING`` of its
+windows are left. So re-parameterised questions are caught, and texts that merely share
 the frame of a sentence are not. Items of fewer than ``WINDOW`` words are matched
 as one window of their length.
 
@@ -43,6 +45,8 @@ from feedloom.staging import stage
 WINDOW = 8
 MIN_LITERAL = 5
 MIN_HITS = 3
+#: Share of an alignment's windows whose slots must agree.
+AGREEING = 0.8
 
 # English number words and common units.
 NUMBER_WORDS = (
@@ -56,6 +60,13 @@ UNITS = (
     "meter meters metre metres kilometer kilometers kilometre kilometres centimeter centimeters s h"
 ).split()
 
+# Spellings of a unit by the one that stands for it; plurals in s are added below.
+UNIT_STEMS = {
+    "inches": "inch", "feet": "foot", "litre": "liter", "litres": "liter", "metre": "meter", "metres": "meter",
+    "kilometre": "kilometer", "kilometres": "kilometer", "centimetre": "centimeter", "centimetres": "centimeter",
+}
+UNIT_STEMS |= {u: u[:-1] for u in UNITS if u[-1] == "s" and u[:-1] in UNITS and len(u) > 3 and u not in UNIT_STEMS}
+
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (0xA11CE5, 0xB0B5, 0xCAFE5))
 _VERBATIM = np.uint64(0x7E47BA71)
 _WINDOWS = "id long, hash long, place int, slots array<long>, verbatim boolean"
@@ -80,6 +91,14 @@ def _known(names: list[str]) -> np.ndarray:
     return np.sort(words.split(pa.array([" ".join(names)])).hash)
 
 
+def _stemmed(h: np.ndarray) -> np.ndarray:
+    """Hashes of units, every spelling as its stem."""
+    spelt, stems = (words.split(pa.array([" ".join(x)])).hash for x in (UNIT_STEMS, UNIT_STEMS.values()))
+    order = np.argsort(spelt)
+    at = np.minimum(np.searchsorted(spelt[order], h), len(spelt) - 1)
+    return np.where(spelt[order][at] == h, stems[order][at], h)
+
+
 def template(texts: pa.Array) -> Template:
     w = words.split(texts)
     low = words.split(words.lowered(texts))
@@ -116,9 +135,11 @@ def template(texts: pa.Array) -> Template:
     )
     head = np.flatnonzero(~joined)
     place = np.arange(n) - np.repeat(head, np.diff(np.append(head, n)))
-    value = np.add.reduceat(words.mix(h + place.astype(np.uint64)), head)
-    slot = slot[head]
     marks = np.array([0, _NUMBER, _UNIT, _NAME], np.uint64)
+    said = np.where(unit, _stemmed(h), h)
+    # Values of different kinds of slots are never equal.
+    value = np.add.reduceat(words.mix(said + place.astype(np.uint64)), head) ^ marks[slot[head]]
+    slot = slot[head]
     return Template(np.where(slot > 0, words.mix(marks[slot]), h[head]), w.doc[head], slot, value, h, w.doc)
 
 
@@ -215,11 +236,22 @@ def find(
     pairs = F.transform(F.arrays_zip("slots", "said"), lambda p: F.struct(p["slots"].alias("s"), p["said"].alias("d")))
     keys = ["id", "item", "verbatim", "shift"]
     hit_counts = aligned.groupBy(*keys).agg(F.count_distinct("place").alias("hits"))
-    slots = aligned.select(*keys, F.explode(pairs).alias("p")).distinct()
+    held = aligned.select(*keys, "place", F.explode(pairs).alias("p")).select(*keys, "place", "p.s", "p.d")
+    slots = held.select(*keys, "s", "d").distinct()
     uneven = (
         slots.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.count_distinct("p.s").alias("s"), F.count_distinct("p.d").alias("d"))
-        .where("n <> s OR n <> d")
+        .agg(F.count("*").alias("n"), F.count_distinct("s").alias("n_s"), F.count_distinct("d").alias("n_d"))
+        .where("n <> n_s OR n <> n_d")
+    )
+    # Where slots disagree, pairs of values that are each other's most frequent stay.
+    odd = held.join(uneven.select(*keys), keys, "left_semi").distinct()
+    counted = odd.groupBy(*keys, "s", "d").agg(F.count("*").alias("n"))
+    best = lambda own, other: counted.groupBy(*keys, own).agg(F.max(F.struct("n", other))[other].alias(other))
+    agreed = best("s", "d").join(best("d", "s"), [*keys, "s", "d"])
+    broken = (
+        odd.join(agreed, [*keys, "s", "d"], "left_anti")
+        .groupBy(*keys)
+        .agg(F.count_distinct("place").alias("n_broken"))
     )
     few = lambda n: F.least(F.lit(MIN_HITS), n)
     least = (
@@ -228,7 +260,9 @@ def find(
         .otherwise(F.col("n_verbatim"))
     )
     return (
-        hit_counts.join(uneven.select(*keys), keys, "left_anti")
+        hit_counts.join(broken, keys, "left")
+        .withColumns({"all": F.col("hits"), "hits": F.col("hits") - F.coalesce("n_broken", F.lit(0))})
+        .where(F.col("hits") >= AGREEING * F.col("all"))
         .join(totals, "item")
         .where(F.col("hits") >= least)
         .groupBy("id", "item")

@@ -132,3 +132,23 @@ def test_whole_items_are_found_whatever_their_slots_and_case(spark):
         "10 20 30 40 50 61",
     ]
     assert _found(spark, docs, items) == {0: [1], 1: [1], 2: [1], 3: [2], 4: [3], 5: [3], 6: [4], 7: [], 8: []}
+
+
+def test_one_odd_value_does_not_void_a_passage(spark):
+    ran = "yesterday the old dog ran 1 hour by the river and then slept for 3 hours under a tree near home"
+    plain = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(90))
+    passage = f"we saw that Anna went out {plain} and later on Anna came back {plain[::-1]} until at last Anna slept"
+    docs = [
+        ran.replace("1 hour", "2 hours").replace("3 hours", "4 hours"),
+        # One altered occurrence of a repeated name, another word changed.
+        passage.replace("later on Anna", "later on Berta").replace("at last", "in time"),
+    ]
+    assert _found(spark, docs, [(1, ran), (2, passage)]) == {0: [1], 1: [2]}
+
+
+@pytest.mark.parametrize(("one", "other"), [("2 hour", "2 hours"), ("2 feet", "2 foot"), ("2 metres", "2 meter")])
+def test_spellings_of_a_unit_are_one_value(one, other):
+    import pyarrow as pa
+
+    a, b = (decontamination.template(pa.array([x])).value.tolist() for x in (one, other))
+    assert a == b
