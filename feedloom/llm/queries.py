@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, decontamination, licences, nearcopies, packing, quality, tokens, toxicity, urls, vectors
+from feedloom.llm import (
+    bpe,
+    chat,
+    decontamination,
+    licences,
+    nearcopies,
+    packing,
+    quality,
+    resampling,
+    tokens,
+    toxicity,
+    urls,
+    vectors,
+)
 from feedloom.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 #: The same vocabulary as ranks.
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
+WORD_TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 1024
 #: (host, path, verdict), fixed by the contract of the query.
 URL_RULES = (
@@ -92,6 +106,21 @@ def op10_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    decoded = bpe.decode(bpe.encode(_table(spark, folder, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_near_copies": op2_near_copies,
@@ -103,6 +132,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_licences": op9_licences,
     "op10_tokens": op10_tokens,
+    "op11_bpe": op11_bpe,
+    "op12_resampling": op12_resampling,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
