@@ -14,6 +14,7 @@ from feedloom.llm import (
     chat,
     decontamination,
     licences,
+    merkle,
     nearcopies,
     packing,
     quality,
@@ -121,6 +122,10 @@ def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified_documents(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_near_copies": op2_near_copies,
@@ -134,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op10_tokens": op10_tokens,
     "op11_bpe": op11_bpe,
     "op12_resampling": op12_resampling,
+    "op13_merkle": op13_merkle,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -155,4 +161,79 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, cut.host, cut.path, rule, coalesce(verdict, '{urls.DEFAULT}') AS verdict
         FROM cut LEFT JOIN fits ON cut.host = fits.host AND cut.path = fits.path
     """,
+    # Levels, proofs and folded roots step by step; the checksum is worked out byte by byte.
+    "op13_merkle": """
+        WITH RECURSIVE
+        crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+                lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        fields AS (
+            SELECT doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS d, CAST(source AS VARCHAR) AS s,
+                   CAST(lang AS VARCHAR) AS l, CAST(n_chars AS VARCHAR) AS n, CAST(n_chars + 1 AS VARCHAR) AS m,
+                   CAST(text AS VARCHAR) AS x
+            FROM documents),
+        spelt AS (
+            SELECT doc_id, lang, d, coalesce(strlen(n) || ':' || n, '-') AS n, coalesce(strlen(m) || ':' || m, '-') AS m,
+                   coalesce(strlen(d) || ':' || d, '-') || coalesce(strlen(s) || ':' || s, '-')
+                   || coalesce(strlen(l) || ':' || l, '-') AS before,
+                   coalesce(strlen(x) || ':' || x, '-') AS x
+            FROM fields),
+        summed AS (
+            SELECT doc_id, lang, sha256(before || n || x) AS leaf, sha256(before || m || x) AS bad,
+                   xor(list_reduce([4294967295] || list_transform(range(1, length(d) + 1), lambda k: ascii(substr(d, k, 1))),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+            FROM spelt, crc_table),
+        leaves AS (
+            SELECT doc_id, leaf, CASE WHEN crc % 7 = 0 THEN bad ELSE leaf END AS used,
+                   dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY lang) AS size
+            FROM summed),
+        nodes (tree, size, level, pos, width, digest) AS (
+            SELECT tree, size, 0, pos, size, leaf FROM leaves
+            UNION ALL
+            SELECT a.tree, a.size, a.level + 1, a.pos // 2, (a.width + 1) // 2, sha256(a.digest || coalesce(b.digest, ''))
+            FROM nodes a LEFT JOIN nodes b ON a.tree = b.tree AND b.pos = a.pos + 1
+            WHERE a.width > 1 AND a.pos % 2 = 0),
+        subroots AS (SELECT tree, level AS height, digest AS subroot FROM nodes WHERE width = 1),
+        tops (level, pos, width, digest) AS (
+            SELECT 0, tree, count(*) OVER (), subroot FROM subroots
+            UNION ALL
+            SELECT a.level + 1, a.pos // 2, (a.width + 1) // 2, sha256(a.digest || coalesce(b.digest, ''))
+            FROM tops a LEFT JOIN tops b ON b.pos = a.pos + 1
+            WHERE a.width > 1 AND a.pos % 2 = 0),
+        top AS (SELECT level AS top_height, digest AS root FROM tops WHERE width = 1),
+        steps AS (
+            SELECT tree AS t, pos AS p, CAST(unnest(range(height)) AS INTEGER) AS step, false AS over
+            FROM leaves JOIN subroots USING (tree)
+            UNION ALL
+            SELECT tree, pos, CAST(unnest(range(top_height)) AS INTEGER), true FROM leaves, top),
+        siblings AS (
+            SELECT t, p, over, step, digest FROM steps JOIN nodes
+            ON NOT over AND tree = t AND level = step AND pos = xor(p >> step, 1)
+            UNION ALL
+            SELECT t, p, over, step, digest FROM steps JOIN tops ON over AND level = step AND pos = xor(t >> step, 1)),
+        proofs AS (SELECT t, p, sha256(string_agg(digest, '' ORDER BY over, step)) AS proof FROM siblings GROUP BY t, p),
+        folds (t, p, step, node) AS (
+            SELECT tree, pos, 0, used FROM leaves
+            UNION ALL
+            SELECT f.t, f.p, f.step + 1,
+                   CASE WHEN s.digest IS NULL THEN sha256(node)
+                        WHEN (f.p >> f.step) & 1 = 0 THEN sha256(node || s.digest) ELSE sha256(s.digest || node) END
+            FROM folds f JOIN subroots r ON r.tree = f.t AND f.step < r.height
+            LEFT JOIN siblings s ON s.t = f.t AND s.p = f.p AND s.step = f.step AND NOT s.over),
+        over_folds (t, p, step, node) AS (
+            SELECT f.t, f.p, 0, f.node FROM folds f JOIN subroots r ON r.tree = f.t AND f.step = r.height
+            UNION ALL
+            SELECT f.t, f.p, f.step + 1,
+                   CASE WHEN s.digest IS NULL THEN sha256(node)
+                        WHEN (f.t >> f.step) & 1 = 0 THEN sha256(node || s.digest) ELSE sha256(s.digest || node) END
+            FROM over_folds f JOIN top ON f.step < top_height
+            LEFT JOIN siblings s ON s.t = f.t AND s.p = f.p AND s.step = f.step AND s.over)
+        SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, node AS folded_root,
+               node = root AS verified
+        FROM leaves JOIN subroots USING (tree) CROSS JOIN top
+        JOIN over_folds f ON f.t = leaves.tree AND f.p = leaves.pos AND f.step = top_height
+        LEFT JOIN proofs q ON q.t = leaves.tree AND q.p = leaves.pos
+    """,
 }
