@@ -579,6 +579,10 @@ BODIES: dict[str, str] = {
         FROM outcomes WHERE outcome = 'succ'""",
     "review_ledger_rows": """
         SELECT docid, 'from=' || day || '.' || arm AS source FROM outcomes WHERE outcome = 'succ'""",
+    "review_run_ledger": """
+        SELECT docid, 'from=' || day || '.' || arm AS source,
+               'r' || CAST(least((CAST(day[9:10] AS INT) - 1) // 10, 2) AS VARCHAR) AS run
+        FROM outcomes WHERE outcome = 'succ'""",
     "review_payload": f"""
         SELECT _id, 'quality_check' AS type, coalesce(mp_full_article, false) AS mp_full_article,
                coalesce(date, '') AS date, coalesce(title, '') AS title,

@@ -6,6 +6,7 @@ thresholds are lowered to what the data can reach.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.jobs import CROSS_PREFIX, NEW_PREFIX, TOP_PREFIX, VARIANT_ORDER
+from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
-from feedloom.staging import stage
+from feedloom.staging import stage, staging_root
 from feedloom.sources.testdata import (
     ALL_DAYS,
     AS_OF,
@@ -252,6 +254,30 @@ def first_outcomes(t: FeedTables) -> DataFrame:
     return review.first_outcomes(t.crawl_rows, t.written_ledger, t.reviews)
 
 
+def run_ledger(t: FeedTables) -> DataFrame:
+    """Ledger of three runs of ten days each, two of which were run again.
+
+    The second failed after its messages were written, and the first is repeated
+    after it; both find what they found before.
+    """
+    spark = t.crawl_rows.sparkSession
+    ledger = RunLedger(spark, f"{staging_root(spark)}/{spark.sparkContext.applicationId}/ledger-{uuid.uuid4().hex}")
+    source = F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
+    tens = F.least(F.floor((F.dayofmonth("day") - 1) / 10), F.lit(2))
+
+    def run(number: int) -> DataFrame:
+        lines = t.crawl_rows.where(tens == number)
+        before = t.written_ledger.select("docid").unionByName(ledger.entries(without=f"r{number}").select("docid"))
+        return stage(review.ledger_rows(review.first_outcomes(lines, before, t.reviews), source), "run-rows")
+
+    ledger.commit("r0", run(0))
+    run(1).count()
+    ledger.commit("r1", run(1))
+    ledger.commit("r0", run(0))
+    ledger.commit("r2", run(2))
+    return ledger.entries()
+
+
 def reviewed(t: FeedTables) -> DataFrame:
     return review.reviewed_docs(t.crawl_rows, t.reviews)
 
@@ -297,6 +323,7 @@ _register(
         first_outcomes(t), F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
     ),
 )
+_register("review_run_ledger", run_ledger)
 _register("review_payload", payload)
 _register("review_lookup", lambda t: review.review_lookup(t.crawl_rows, t.reviews))
 _register("review_gate", lambda t: review.review_gate(reviewed(t)))

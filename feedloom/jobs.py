@@ -17,7 +17,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom import sinks
+from feedloom import commits, sinks
+from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.session import build_session
@@ -215,31 +216,38 @@ def _crawl_lines(run: Run) -> DataFrame:
     return run.table("crawl_rows")
 
 
-def _ledger(run: Run) -> DataFrame:
-    """Documents queued so far: by earlier runs of this job, and those given as a table."""
-    known = run.spark.createDataFrame([], "docid string, source string")
-    for path in dict.fromkeys([run.path("written_ledger"), f"{run.tables}/written_ledger"]):
-        if run.has(path):
-            known = known.unionByName(run.spark.read.parquet(path).select("docid", "source"))
+def written_ledger(run: Run) -> RunLedger:
+    """What the enqueue runs have queued, run by run."""
+    return RunLedger(run.spark, run.path("written_ledger"))
+
+
+def _written_before(run: Run) -> DataFrame:
+    """Documents queued by other runs of this job, and those given as a table."""
+    known = written_ledger(run).entries(without=run.day.isoformat()).select("docid", "source")
+    given = f"{run.tables}/written_ledger"
+    if run.tables.rstrip("/") != run.out.rstrip("/") and run.has(given):
+        known = known.unionByName(run.spark.read.parquet(given).select("docid", "source"))
     return known
 
 
 def review_enqueue(run: Run, arms: str = sampling.CONTROL_ARM) -> None:
     """Queue the documents of the day's crawl files and remember them.
 
-    ``arms`` gives the order of the day's runs, parted by commas. The ledger is
-    read where it is written, so a document is queued once, whatever the number
-    of runs and days.
+    ``arms`` gives the order of the day's runs, parted by commas. A document is
+    queued once, whatever the number of days. The day may be run again, also after
+    it failed at any point: its messages lie in a folder of their own, its ledger
+    rows are committed after them and don't count as written before.
     """
+    name = run.day.isoformat()
     lines = _crawl_lines(run).where(F.col("day") == F.lit(run.day))
     firsts = stage(
-        review.first_outcomes(lines, _ledger(run), run.table("reviews"), arms.split(",")), "review-firsts"
+        review.first_outcomes(lines, _written_before(run), run.table("reviews"), arms.split(",")), "review-firsts"
     )
-    review.review_messages(firsts).write.mode("overwrite").parquet(run.path("review_messages"))
+    commits.replace(review.review_messages(firsts), run.path("review_messages"), f"day={name}")
     counts = review.review_enqueue_counts(lines, firsts)
-    counts.write.mode("overwrite").parquet(run.path("review_enqueue_counts"))
+    commits.replace(counts.drop("day"), run.path("review_enqueue_counts"), f"day={name}")
     source = F.concat(F.lit("from="), F.date_format("day", "yyyy-MM-dd"), F.lit("."), "arm")
-    sinks.append_ledger(review.ledger_rows(firsts, source), run.path("written_ledger"))
+    written_ledger(run).commit(name, review.ledger_rows(firsts, source))
 
 
 def review_analysis(run: Run, max_fail_ratio: float = review.MAX_FAIL_RATIO) -> None:

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA
-from feedloom import jobs, sinks
+from feedloom import commits, jobs, sinks
 from feedloom.catalog import QUERIES
+from feedloom.ledger import RunLedger, once_per_key
 from feedloom.sources import files, schemas
 from feedloom.sources.testdata import load
 from feedloom.staging import stage, staging_root
@@ -180,7 +181,7 @@ def test_review_jobs(run, spark, warehouse, tmp_path):
     day = jobs.Run(spark, warehouse, str(tmp_path), datetime(2024, 1, 30))
     jobs.review_enqueue(day)
     queued = _read(day, "review_messages").count()
-    assert queued == _read(day, "written_ledger").count() > 0
+    assert queued == jobs.written_ledger(day).entries().count() > 0
     jobs.review_analysis(run)
     days = [r["day"] for r in _read(run, "review_summary_7d").select("day").distinct().collect()]
     assert days and min(days) >= date(2024, 1, 24) and max(days) <= date(2024, 1, 30)
@@ -204,15 +205,76 @@ def test_an_index_is_never_written_over_itself(spark, warehouse):
     assert spark.read.parquet(f"{warehouse}/search_index").count() > 0
 
 
+def _messages(run):
+    return sorted(r["key"] for r in _read(run, f"review_messages/day={run.day}").collect())
+
+
 def test_days_on_one_ledger_queue_nothing_twice(spark, warehouse, tmp_path):
     queued = []
-    for day in (29, 30, 30):
+    for day in (29, 30):
         run = jobs.Run(spark, warehouse, str(tmp_path), datetime(2024, 1, day))
         jobs.review_enqueue(run)
-        queued.append([r["key"] for r in _read(run, "review_messages").collect()])
-    ledger = [r["docid"] for r in spark.read.parquet(str(tmp_path / "written_ledger")).collect()]
-    assert queued[0] and queued[1] and not queued[2]
-    assert sorted(queued[0] + queued[1]) == sorted(ledger) == sorted(set(ledger))
+        queued.append(_messages(run))
+    ledger = jobs.written_ledger(run).entries()
+    assert queued[0] and queued[1] and not set(queued[0]) & set(queued[1])
+    assert sorted(queued[0] + queued[1]) == sorted(r["docid"] for r in ledger.collect())
+    assert once_per_key(ledger).count() == 0
+
+
+def test_a_day_run_again_queues_the_same(spark, warehouse, tmp_path):
+    days = [jobs.Run(spark, warehouse, str(tmp_path), datetime(2024, 1, d)) for d in (29, 30)]
+    for run in days:
+        jobs.review_enqueue(run)
+    first = [_messages(run) for run in days]
+    counts = [r.asDict() for r in _read(days[0], "review_enqueue_counts").orderBy("day").collect()]
+    for run in (*days, days[0]):  # again, also the earlier day after the later one
+        jobs.review_enqueue(run)
+    assert first[0] and [_messages(run) for run in days] == first
+    assert [r.asDict() for r in _read(days[0], "review_enqueue_counts").orderBy("day").collect()] == counts
+    ledger = jobs.written_ledger(run)
+    assert sorted(r["docid"] for r in ledger.entries().collect()) == sorted(first[0] + first[1])
+    ledger.vacuum()
+    assert sorted(r["docid"] for r in ledger.entries().collect()) == sorted(first[0] + first[1])
+    assert {p.name for p in (tmp_path / "written_ledger").iterdir()} == {"run=2024-01-29", "run=2024-01-30"}
+
+
+@pytest.mark.parametrize("step", ["review_messages", "review_enqueue_counts", "ledger_rows"])
+def test_a_day_that_failed_loses_and_repeats_nothing(spark, warehouse, tmp_path, monkeypatch, step):
+    plain = [jobs.Run(spark, warehouse, str(tmp_path / "plain"), datetime(2024, 1, d)) for d in (29, 30)]
+    for run in plain:
+        jobs.review_enqueue(run)
+    days = [jobs.Run(spark, warehouse, str(tmp_path / "out"), datetime(2024, 1, d)) for d in (29, 30)]
+    jobs.review_enqueue(days[0])
+
+    def broken(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs.review, step, broken)
+        with pytest.raises(OSError):
+            jobs.review_enqueue(days[1])
+    assert jobs.written_ledger(days[1]).runs() == ["2024-01-29"]
+    jobs.review_enqueue(days[1])
+    assert [_messages(run) for run in days] == [_messages(run) for run in plain]
+
+
+def test_attempts_are_whole_and_alone(spark, tmp_path):
+    ledger = RunLedger(spark, str(tmp_path / "ledger"), "k long")
+    assert ledger.runs() == [] and ledger.entries().count() == 0
+    ledger.commit("a", spark.range(3).toDF("k"))
+    # What was written but not renamed, and a run without any attempt, do not exist.
+    commits.attempt(spark.range(9).toDF("k"), str(tmp_path / "ledger" / "run=a"))
+    commits.attempt(spark.range(9).toDF("k"), str(tmp_path / "ledger" / "run=b"))
+    assert ledger.runs() == ["a"] and ledger.entries().count() == 3 and ledger.entries("a").count() == 0
+    ledger.commit("a", spark.range(2).toDF("k"))
+    assert sorted(map(tuple, ledger.entries().collect())) == [(0, "a"), (1, "a")]
+    with pytest.raises(commits.PlaceTaken):
+        commits.land(spark.range(1).toDF("k"), str(tmp_path / "ledger" / "run=a"), "attempt=2")
+    assert ledger.entries().count() == 2
+    left = commits.names(spark, str(tmp_path / "ledger" / "run=a"))
+    assert sum(n.startswith("_attempt-") for n in left) == 1
+    ledger.vacuum()
+    assert commits.names(spark, str(tmp_path / "ledger" / "run=a")) == ["attempt=2"]
 
 
 def test_sampled_and_crawled_rows_are_enqueued(spark, warehouse, tmp_path):
