@@ -624,6 +624,10 @@ BODIES: dict[str, str] = {
     "index_sync_snapshot": """
         SELECT i.docid, coalesce(timeliness, timeliness_type) AS timeliness_type
         FROM search_index i LEFT JOIN last_updates u ON u.docid = i.docid""",
+    "index_snapshot_merged": """
+        SELECT i.docid, coalesce(CASE WHEN CAST(i.docid AS BIGINT) % 3 = 1 THEN 'again ' ELSE '' END || timeliness,
+                                 timeliness_type) AS timeliness_type
+        FROM search_index i LEFT JOIN last_updates u ON u.docid = i.docid""",
     "reindex_messages": """
         SELECT docid AS key, '{"docId":"' || docid || '","url":"' || coalesce(url, '') || '"}' AS value
         FROM synced LEFT JOIN doc_static ON _id = docid WHERE msg = 'none'""",

@@ -20,6 +20,7 @@ from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
+from feedloom.snapshots import KeyedSnapshot
 from feedloom.staging import stage, staging_root
 from feedloom.sources.testdata import (
     ALL_DAYS,
@@ -354,10 +355,28 @@ def sync_outcome(t: FeedTables) -> DataFrame:
     return sync.index_sync_outcome(t.timeliness_updates, t.search_index)
 
 
+def merged_index(t: FeedTables) -> DataFrame:
+    """The index after two update runs, the first folded into the base of its buckets.
+
+    The second run changes once more what half of the documents got in the first.
+    """
+    spark = t.search_index.sparkSession
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/index-{uuid.uuid4().hex}"
+    index = KeyedSnapshot(spark, path, "docid", buckets=8)
+    index.create(t.search_index)
+    first = sync.index_changes(sync.index_sync_outcome(t.timeliness_updates, index.read()))
+    index.update(first)
+    index.compact()
+    again = F.concat(F.lit("again "), "timeliness_type").alias("timeliness_type")
+    index.update(first.where(F.col("docid").cast("long") % 3 == 1).select("docid", again))
+    return index.read()
+
+
 _register("user_history", user_history)
 _register("index_sync_outcome", sync_outcome)
 _register("index_sync_lines", lambda t: sync.update_line_counts(t.timeliness_updates))
 _register("index_sync_counts", lambda t: sync.index_sync_counts(sync_outcome(t)))
 _register("index_sync_snapshot", lambda t: sync.index_sync_snapshot(t.timeliness_updates, t.search_index))
+_register("index_snapshot_merged", merged_index)
 _register("reindex_messages", lambda t: sync.reindex_messages(sync_outcome(t), t.doc_static))
 _register("timeliness_lookup", lambda t: sync.timeliness_lookup(t.lookup_ids, t.doc_static))

@@ -22,6 +22,7 @@ from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.session import build_session
+from feedloom.snapshots import KeyedSnapshot
 from feedloom.sources import schemas
 from feedloom.sources.files import json_lines, partitioned_table, ragged_text, with_int_flags
 from feedloom.staging import clear, stage
@@ -300,20 +301,29 @@ def user_history(
     sinks.write_delimited(rows, run.path("user_history"), sep=",")
 
 
-def index_sync(run: Run) -> None:
-    """Write the updated index snapshot and queue the documents it does not have.
+def search_index(run: Run) -> KeyedSnapshot:
+    """The index as the jobs keep it: read it with ``read()``."""
+    return KeyedSnapshot(run.spark, run.fresh_path("search_index"), "docid")
+
+
+def index_sync(run: Run, compact_after: int = 8) -> None:
+    """Bring the index up to date and queue the documents it does not have.
 
     Updates are lines of two fields parted by ``\\x01``, or a table of such lines.
+    The first run takes the index from the input table, later ones from where this
+    job keeps it; only changed fields are written, and buckets that ``compact_after``
+    runs have touched are written anew. A run may be repeated.
     """
-    snapshot_path = run.fresh_path("search_index")
-    updates, index = run.lines("timeliness_updates", "\x01"), run.table("search_index")
+    index, updates = search_index(run), run.lines("timeliness_updates", "\x01")
+    if not index.exists():
+        index.create(run.table("search_index"))
     sync.update_line_counts(updates).write.mode("overwrite").parquet(run.path("index_sync_lines"))
-    outcome = stage(sync.index_sync_outcome(updates, index), "index-sync")
+    outcome = stage(sync.index_sync_outcome(updates, index.read()), "index-sync")
     sync.index_sync_counts(outcome).write.mode("overwrite").parquet(run.path("index_sync_counts"))
-    snapshot = sync.index_sync_snapshot(updates, index)
-    snapshot.write.mode("overwrite").parquet(snapshot_path)
+    index.update(sync.index_changes(outcome))
     messages = sync.reindex_messages(outcome, run.table("doc_static"))
     messages.write.mode("overwrite").parquet(run.path("reindex_messages"))
+    index.compact(compact_after)
 
 
 JOBS: dict[str, Callable[..., None]] = {

@@ -68,6 +68,11 @@ def index_sync_snapshot(updates: DataFrame, search_index: DataFrame) -> DataFram
     )
 
 
+def index_changes(outcome: DataFrame) -> DataFrame:
+    """What an update run changes in the index: one field of the documents it holds."""
+    return outcome.where(F.col("msg") == UPDATED).select("docid", F.col("timeliness").alias("timeliness_type"))
+
+
 def reindex_messages(outcome: DataFrame, doc_static: DataFrame) -> DataFrame:
     """(key, value) messages ``{docId, url}`` for documents not in the index."""
     urls = doc_static.select(F.col("_id").alias("docid"), "url")

@@ -8,6 +8,7 @@ from conftest import TESTDATA
 from feedloom import commits, jobs, sinks
 from feedloom.catalog import QUERIES
 from feedloom.ledger import RunLedger, once_per_key
+from feedloom.plans import sync
 from feedloom.sources import files, schemas
 from feedloom.sources.testdata import load
 from feedloom.staging import stage, staging_root
@@ -196,7 +197,10 @@ def test_history_and_sync_jobs(run):
     jobs.index_sync(run)
     counts = _read(run, "index_sync_counts").first()
     assert counts["total"] - counts["in_es"] == _read(run, "reindex_messages").count()
-    assert _read(run, "search_index").count() == run.table("search_index").count()
+    expected = sync.index_sync_snapshot(run.table("timeliness_updates"), run.table("search_index"))
+    assert sorted(jobs.search_index(run).read().collect()) == sorted(expected.collect())
+    jobs.index_sync(run)  # again, from where it is kept
+    assert sorted(jobs.search_index(run).read().collect()) == sorted(expected.collect())
 
 
 def test_an_index_is_never_written_over_itself(spark, warehouse):
@@ -302,7 +306,7 @@ def test_text_and_json_inputs(spark, warehouse, tmp_path):
     })
     jobs.index_sync(run)
     assert tuple(_read(run, "index_sync_lines").first()) == (5, 2)
-    assert _read(run, "search_index").where("docid = '1'").first()["timeliness_type"] == "new"
+    assert jobs.search_index(run).read().where("docid = '1'").first()["timeliness_type"] == "new"
     assert [r["key"] for r in _read(run, "reindex_messages").collect()] == ["nowhere"]
 
     folder = given / "crawl_rows" / "day=2024-01-30" / "arm=online"
