@@ -639,6 +639,7 @@ BODIES: dict[str, str] = {
 }
 for _d in DIMENSIONS:
     BODIES[f"cross_geo_{_d}"] = f"SELECT * FROM cross_{_d}"
+    BODIES[f"cross_geo_{_d}_states"] = f"SELECT * FROM cross_{_d}"
     BODIES[f"geo_top_docs_{_d}"] = f"SELECT * FROM top_{_d}"
     BODIES[f"geo_new_docs_{_d}"] = f"SELECT * FROM new_{_d}"
     for _kind, _table in (("cross_geo", "cross"), ("geo_top_docs", "top"), ("geo_new_docs", "new")):

@@ -89,6 +89,20 @@ def cross_geo(t: FeedTables, dimension: str, latest: bool = False) -> DataFrame:
     )
 
 
+def daily_states(t: FeedTables) -> DataFrame:
+    """User states of all days, computed day by day in one pass."""
+    rows = geo.local_impressions(t.interactions, AS_OF, ALL_DAYS)
+    return stage(geo.zip_doc_states(rows, ["pdate"]), "daily-states")
+
+
+def cross_geo_states(t: FeedTables, dimension: str) -> DataFrame:
+    states = stage(geo.city_states(daily_states(t).drop("pdate"), t.zip_geo, AS_OF), "city-states")
+    return geo.cross_geo(
+        states, t.doc_dim, dimension, AS_OF, DOC_DAYS,
+        min_users=MIN_USERS, min_check=MIN_CHECK, measure=geo.state_metrics,
+    )
+
+
 def city_category(t: FeedTables) -> DataFrame:
     return geo.city_category_ctr(city_facts(t), t.doc_dim, "channel", AS_OF, DOC_DAYS)
 
@@ -136,6 +150,7 @@ def gates(t: FeedTables) -> DataFrame:
 
 for _dim in DIMENSIONS:
     _register(f"cross_geo_{_dim}", lambda t, d=_dim: cross_geo(t, d))
+    _register(f"cross_geo_{_dim}_states", lambda t, d=_dim: cross_geo_states(t, d))
     _register(f"geo_top_docs_{_dim}", lambda t, d=_dim: top_docs(t, d))
     _register(f"geo_new_docs_{_dim}", lambda t, d=_dim: new_docs(t, d))
     _register(f"cross_geo_{_dim}_latest", lambda t, d=_dim: cross_geo(t, d, latest=True))

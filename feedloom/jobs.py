@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from feedloom import commits, sinks
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
+from feedloom.operators.distinct_states import DailyStates
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.session import build_session
 from feedloom.snapshots import KeyedSnapshot
@@ -110,13 +111,21 @@ def cross_geo(
     min_check: int = 100,
     min_rows: int = MIN_RESULT_ROWS,
     dedupe_docs: bool = False,
+    cjv_days: int = 3,
 ) -> None:
-    facts = stage(geo.city_doc_user(run.table("interactions"), run.table("zip_geo"), run.day), "city-doc-user")
+    """Cross-geo lists from daily states: a run reads the facts of days that are new or not over."""
+    first = run.day - timedelta(days=cjv_days)
+    daily = DailyStates(run.spark, run.path("zip_doc_states"))
+    for day in daily.open_days(first, run.day):
+        rows = geo.local_impressions(run.table("interactions").where(F.col("pdate") == F.lit(day)), day, 0)
+        daily.put(geo.zip_doc_states(rows), day)
+    window = daily.window(first, run.day).drop("day")
+    facts = stage(geo.city_states(window, run.table("zip_geo"), run.day), "city-states")
     for dimension in VARIANT_ORDER:
         name = f"cross_geo_{dimension}"
         found = geo.cross_geo(
             facts, run.table("doc_dim"), dimension, run.day,
-            min_users=min_users, min_check=min_check, dedupe_docs=dedupe_docs,
+            min_users=min_users, min_check=min_check, dedupe_docs=dedupe_docs, measure=geo.state_metrics,
         )
         rows = stage(found, name)
         prefix = CROSS_PREFIX[dimension]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import rounded_ctr, within
+from feedloom.operators.distinct_states import distinct_states, merged_counts
 from feedloom.operators.facets import doc_facets, latest_snapshot, list_keys
 from feedloom.operators.keyed_lists import kv_fold, kv_parts
 from feedloom.operators.ranking import ordered_cap, top_k
@@ -48,6 +49,23 @@ def city_doc_user(
     )
 
 
+def zip_doc_states(interactions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Sums and user states per (zip, doc) of checked local impressions, and per ``keys``.
+
+    Zips meet their cities when the states are read, as cities change.
+    """
+    sums = [F.sum("checked").alias("checks"), F.sum("clicked").alias("clicks")]
+    return distinct_states(interactions, [*keys, "nr_zip", "doc_id"], "user_id", sums)
+
+
+def city_states(states: DataFrame, zip_geo: DataFrame, as_of: date, zip_days: int = 2) -> DataFrame:
+    """The states of a window per (city, doc): takes the place of ``city_doc_user`` facts."""
+    zips = zip_geo.where(F.col("pdate") == F.lit(as_of - timedelta(days=zip_days))).select(
+        F.col("id").alias("nr_zip"), "city_id"
+    )
+    return states.join(zips.where(F.col("city_id").isNotNull()), "nr_zip").drop("nr_zip")
+
+
 def doc_impressions(interactions: DataFrame, as_of: date, cjv_days: int = 3) -> DataFrame:
     """Sums per document, the only part of the fact the document lists need."""
     return (
@@ -77,6 +95,17 @@ def _metrics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def state_metrics(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The metrics of ``_metrics`` from user states instead of users."""
+    totals = merged_counts(rows, keys, ("checks", "clicks"), "users")
+    docs = rows.groupBy(*keys).agg(F.count_distinct("doc_id").alias("docs"))
+    docs = docs.select(*[F.col(k).alias(f"of_{k}") for k in keys], "docs")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
+    return totals.join(docs, same).select(
+        *keys, rounded_ctr(F.col("clicks"), F.col("checks")).alias("ctr"), "checks", "clicks", "docs", "users"
+    )
+
+
 def city_category_ctr(
     facts: DataFrame,
     doc_dim: DataFrame,
@@ -105,6 +134,7 @@ def cross_geo(
     min_check: int = 100,
     max_rows: int | None = None,
     dedupe_docs: bool = False,
+    measure: Callable[[DataFrame, Sequence[str]], DataFrame] = _metrics,
 ) -> DataFrame:
     """Geotags a city reads more eagerly than the rest of a category.
 
@@ -120,6 +150,8 @@ def cross_geo(
     (``city_doc_user``) is read twice: stage it. The groups that pass are
     written while the plan is built. All rows come out, in no order;
     ``max_rows`` keeps the first ones by city, category and ctr, sorted.
+
+    ``city_states`` may stand for the facts, with ``state_metrics`` as ``measure``.
     """
     group = ["city_id", "category"]
     keys = [*group, "overall", "type_pid"]
@@ -164,10 +196,10 @@ def cross_geo(
     )
     named = wanted.select(*[F.col(c).alias(f"wanted_{c}") for c in wanted.columns])
     metrics = ("ctr", "checks", "clicks", "docs", "users")
-    tags = _metrics(
+    tags = measure(
         candidates.where(~F.col("overall")).join(named, same_tag, "left_semi"), [*group, "type_pid"]
     )
-    base = _metrics(candidates.where("overall"), group).where(F.col("users") >= min_users)
+    base = measure(candidates.where("overall"), group).where(F.col("users") >= min_users)
     uplifted = tags.join(
         base.select(*group, *[F.col(m).alias(f"base_{m}") for m in metrics]), group
     ).select(*group, "type_pid", *metrics, *[f"base_{m}" for m in metrics])
