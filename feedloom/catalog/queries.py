@@ -22,6 +22,7 @@ from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.snapshots import KeyedSnapshot
 from feedloom.staging import stage, staging_root
+from feedloom.sources.bucketed import read_together, write_bucketed
 from feedloom.sources.testdata import (
     ALL_DAYS,
     AS_OF,
@@ -120,6 +121,18 @@ def top_docs(
     )
 
 
+def top_docs_bucketed(t: FeedTables, dimension: str) -> DataFrame:
+    """The same lists from facts and documents that are laid out by document."""
+    spark = t.interactions.sparkSession
+    root = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/bucketed-{uuid.uuid4().hex}"
+    write_bucketed(geo.local_impressions(t.interactions, AS_OF, ALL_DAYS), f"{root}/facts", "doc_id", 8)
+    write_bucketed(t.doc_dim, f"{root}/docs", "doc_id", 8)
+    facts, docs = read_together(spark, f"{root}/facts", f"{root}/docs")
+    return geo.geo_top_docs(
+        geo.doc_impressions(facts, AS_OF, ALL_DAYS), docs, dimension, AS_OF, DOC_DAYS, min_check=MIN_CHECK
+    )
+
+
 def top_docs_kv(t: FeedTables, dimension: str, facts: DataFrame | None = None) -> DataFrame:
     return geo.geo_top_docs_kv(top_docs(t, dimension, facts), TOP_LIST_SIZE)
 
@@ -156,6 +169,7 @@ for _dim in DIMENSIONS:
     _register(f"cross_geo_{_dim}_latest", lambda t, d=_dim: cross_geo(t, d, latest=True))
     _register(f"geo_top_docs_{_dim}_latest", lambda t, d=_dim: top_docs(t, d, latest=True))
     _register(f"geo_new_docs_{_dim}_latest", lambda t, d=_dim: new_docs(t, d, latest=True))
+_register("geo_top_docs_channel_bucketed", lambda t: top_docs_bucketed(t, "channel"))
 _register("city_category_ctr", city_category)
 _register("cross_geo_kv", lambda t: geo.cross_geo_kv(cross_geo(t, "channel")))
 _register("geo_top_docs_kv", lambda t: top_docs_kv(t, "channel"))

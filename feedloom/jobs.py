@@ -25,6 +25,7 @@ from feedloom.plans import engage, feedparse, geo, history, review, sampling, sy
 from feedloom.session import build_session
 from feedloom.snapshots import KeyedSnapshot
 from feedloom.sources import schemas
+from feedloom.sources.bucketed import read_together, write_bucketed
 from feedloom.sources.files import json_lines, partitioned_table, ragged_text, with_int_flags
 from feedloom.staging import clear, stage
 
@@ -46,7 +47,8 @@ ANALYSIS_DAYS = 7
 class Run:
     """Where a job reads and writes, and the time it runs for.
 
-    ``formats`` names inputs that are not Parquet: ``json`` lines, or ``text``.
+    ``formats`` names inputs that are not plain Parquet: ``json`` lines, ``text``, or
+    ``bucketed`` layouts.
     """
 
     spark: SparkSession
@@ -62,9 +64,17 @@ class Run:
     def table(self, name: str) -> DataFrame:
         if self.formats.get(name) == "json":
             return json_lines(self.spark, f"{self.tables}/{name}", schemas.JSON[name])
+        if self.formats.get(name) == "bucketed":
+            return self.dealt()[name]
         df = partitioned_table(self.spark, f"{self.tables}/{name}")
         return with_int_flags(df) if name == "interactions" else df
 
+    def dealt(self) -> dict[str, DataFrame]:
+        """The inputs given as bucketed layouts, which must be dealt alike."""
+        names = [n for n, kind in self.formats.items() if kind == "bucketed"]
+        frames = read_together(self.spark, *[f"{self.tables}/{n}" for n in names])
+        return dict(zip(names, frames, strict=True))
+
     def lines(self, name: str, sep: str) -> DataFrame:
         """Fields, width and order of the lines of a text input, or such a table."""
         if self.formats.get(name) == "text":
@@ -170,6 +180,16 @@ def geo_new_docs(
     _merge_published(run, "geo_new_docs", published)
 
 
+def bucket_tables(run: Run, buckets: int = 512, key: str = "doc_id") -> None:
+    """Lay interactions and documents out in buckets of the document, parted by day.
+
+    Jobs read them with ``--format interactions=bucketed --format doc_dim=bucketed``
+    and join and sum them by document without a shuffle.
+    """
+    for name in ("interactions", "doc_dim"):
+        write_bucketed(run.table(name), run.fresh_path(name), key, buckets, ["pdate"])
+
+
 def engagement(run: Run, min_comments: int = 10) -> None:
     """All four lists in one pass over the fact, a folder for each hash."""
     listed = engage.engagement_lists(
@@ -339,7 +359,7 @@ JOBS: dict[str, Callable[..., None]] = {
     job.__name__: job
     for job in (
         cross_geo, geo_top_docs, geo_new_docs, engagement, hot_tab_docs, tab_metrics, sample, crawl_rows,
-        review_enqueue, review_analysis, user_history, index_sync,
+        review_enqueue, review_analysis, user_history, index_sync, bucket_tables,
     )
 }
 
@@ -366,7 +386,7 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for results")
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="UTC run time")
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", help="a parameter of the job")
-    parser.add_argument("--format", action="append", default=[], metavar="TABLE=FORMAT", help="json or text input")
+    parser.add_argument("--format", action="append", default=[], metavar="TABLE=FORMAT", help="json, text or bucketed input")
     args = parser.parse_args()
     settings = {name: _value(text) for name, text in _pairs(args.set).items()}
     spark = build_session(f"feedloom-{args.job}")

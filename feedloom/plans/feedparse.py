@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import null_text, starts_local
 from feedloom.operators.ranking import spread_rank
+from feedloom.staging import stage
 
 # Fields are read as text, so that a document may give its position in any form.
-FEED_BODY = "documents array<map<string,string>>"
+FEED_BODY = "documents array<struct<docid:string,pos:string,contextMeta:struct<condition:string>>>"
+# The same with its keys, for dumps in which a field is null or no object: tells null from absent.
+FEED_KEYS = "documents array<map<string,string>>"
 FEED_FIELDS = ("docid", "pos", "contextMeta")
 META_BODY = (
     "data map<string,struct<static_feature:"
@@ -31,20 +36,23 @@ def feed_items(dumps: DataFrame, include_local: bool = False) -> DataFrame:
     as ``None``. Local items are left out unless asked for.
     """
     run = [c for c in ("day",) if c in dumps.columns]
-    # inline() parses a body once, however often its fields are used below.
+    # inline() evaluates what it is given once, however often its fields are used below.
     parsed_body = F.inline(F.array(F.from_json("body", FEED_BODY)))
-    incomplete = F.exists(
-        "documents",
-        lambda d: F.exists(F.array(*[F.lit(f) for f in FEED_FIELDS]), lambda f: ~F.map_contains_key(d, f))
-        | d["docid"].isNull()
-        | d["contextMeta"].isNull(),
+    odd = F.col("documents").isNull() | F.exists(
+        "documents", lambda d: d["docid"].isNull() | d["pos"].isNull() | d["contextMeta"].isNull()
     )
+
+    def item(docid: Column, pos: Column, condition: Column) -> Column:
+        return F.struct(docid.alias("docid"), pos.alias("pos"), condition.alias("condition"))
+
+    found = F.transform("documents", lambda d: item(d["docid"], d["pos"], d["contextMeta"]["condition"]))
+    whole = F.inline(F.array(F.struct(F.when(odd, _odd_items(item)).otherwise(found).alias("items"))))
     items = (
-        dumps.select(*run, F.col("line_no").alias("dump_no"), "uid", "arm", parsed_body)
-        .where(F.col("documents").isNotNull() & ~incomplete)
-        .select(*run, "dump_no", "uid", "arm", F.posexplode("documents").alias("item_no", "d"))
+        dumps.select(*run, F.col("line_no").alias("dump_no"), "uid", "arm", "body", parsed_body)
+        .select(*run, "dump_no", "uid", "arm", whole)
+        .select(*run, "dump_no", "uid", "arm", F.posexplode("items").alias("item_no", "d"))
     )
-    condition = F.get_json_object(F.col("d")["contextMeta"], "$.condition")
+    condition = F.col("d")["condition"]
     parsed = items.select(
         *run,
         "dump_no",
@@ -59,6 +67,19 @@ def feed_items(dumps: DataFrame, include_local: bool = False) -> DataFrame:
     return parsed if include_local else parsed.where(~F.col("is_local"))
 
 
+def _odd_items(item: Callable[[Column, Column, Column], Column]) -> Column:
+    """Items of a body whose fields are not all there; null if the dump is to be skipped."""
+    documents = F.from_json("body", FEED_KEYS)["documents"]
+    incomplete = F.exists(
+        documents,
+        lambda d: F.exists(F.array(*[F.lit(f) for f in FEED_FIELDS]), lambda f: ~F.map_contains_key(d, f))
+        | d["docid"].isNull()
+        | d["contextMeta"].isNull(),
+    )
+    condition = lambda d: F.get_json_object(d["contextMeta"], "$.condition")
+    return F.when(~incomplete, F.transform(documents, lambda d: item(d["docid"], d["pos"], condition(d))))
+
+
 def doc_metadata(bodies: DataFrame, run_date: str) -> DataFrame:
     """(docid, meta_status, url, domain, title, pub_time, run_date).
 
@@ -103,22 +124,25 @@ def crawl_rows(items: DataFrame, metadata: DataFrame) -> DataFrame:
 
     A file is a (day, arm); its rows have a ``line_no`` from 1, in order of dump
     and item, counted slice by slice so that no task holds a whole file (the
-    rows are written while the plan is built). ``width`` is the number of
+    items are written while the plan is built, and numbered before the metadata
+    makes them wide). ``width`` is the number of
     fields the row has as text: 10 when complete, 8 when the metadata is missing
     and a stub takes its place, 5 when broken.
     """
-    joined = items.join(metadata, "docid", "left")
+    # Numbering reads its rows more than once: they are written first, still narrow.
+    order = [F.col("dump_no"), F.col("item_no")]
+    numbered = spread_rank(stage(items, "feed-items"), ["day", "arm"], order, "line_no", label="crawl-rows")
+    joined = numbered.join(metadata, "docid", "left")
     missing = F.col("meta_status").isNull()
     width = (
         F.when(missing, STUB_WIDTH)
         .when(F.col("meta_status") == "broken", ITEM_WIDTH)
         .otherwise(CRAWL_WIDTH)
     )
-    rows = joined.select(
+    return joined.select(
         "day",
         "arm",
-        "dump_no",
-        "item_no",
+        "line_no",
         width.alias("width"),
         "uid",
         "docid",
@@ -131,8 +155,6 @@ def crawl_rows(items: DataFrame, metadata: DataFrame) -> DataFrame:
         "pub_time",
         "run_date",
     )
-    order = [F.col("dump_no"), F.col("item_no")]
-    return spread_rank(rows, ["day", "arm"], order, "line_no", label="crawl-rows").drop("dump_no", "item_no")
 
 
 # The fields of a crawl row as text, in order.

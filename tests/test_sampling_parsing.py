@@ -66,6 +66,14 @@ def test_positions_are_taken_as_written(spark, rows_of):
     assert rows_of(items, "docid", "pos") == [("a", "3"), ("b", "1.0"), ("c", "None"), ("d", "2")]
 
 
+def test_contexts_of_any_form(spark, rows_of):
+    odd = [{"docid": i, "pos": 1, "contextMeta": m} for i, m in (("a", "text"), ("b", [1]), ("c", {"condition": 7}), ("d", {"x": 1}))]
+    dumps = _dump(spark, *[{"documents": [d, _doc("z", 2, condition="k")]} for d in odd], {"documents": [None]}, {"documents": "x"})
+    items = feedparse.feed_items(dumps)
+    assert rows_of(items.where("docid <> 'z'"), "docid", "condition") == [("a", "null"), ("b", "null"), ("c", "7"), ("d", "null")]
+    assert items.where("docid = 'z' AND condition = 'k' AND item_no = 1").count() == 4
+
+
 def test_crawl_rows_are_numbered_within_their_file(spark):
     docs = [[_doc(f"{i}{k}", k) for k in range(3)] for i in range(4)]
     items = feedparse.feed_items(_dump(spark, *[{"documents": d} for d in docs]))
