@@ -637,6 +637,7 @@ BODIES: dict[str, str] = {
         FROM ids LEFT JOIN (SELECT * FROM doc_static
           WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = id""",
 }
+BODIES["publish_gate_observed"] = BODIES["publish_gate"]
 BODIES["geo_top_docs_channel_bucketed"] = "SELECT * FROM top_channel"
 for _d in DIMENSIONS:
     BODIES[f"cross_geo_{_d}"] = f"SELECT * FROM cross_{_d}"

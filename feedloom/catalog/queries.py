@@ -21,7 +21,7 @@ from feedloom.operators import keyed_lists as lists
 from feedloom.operators.facets import DIMENSIONS
 from feedloom.plans import engage, feedparse, geo, history, review, sampling, sync, tabs
 from feedloom.snapshots import KeyedSnapshot
-from feedloom.staging import stage, staging_root
+from feedloom.staging import stage, stage_counted, staging_root
 from feedloom.sources.bucketed import read_together, write_bucketed
 from feedloom.sources.testdata import (
     ALL_DAYS,
@@ -161,6 +161,18 @@ def gates(t: FeedTables) -> DataFrame:
     )
 
 
+def observed_gates(t: FeedTables) -> DataFrame:
+    """The gates, from the passes that land the lists."""
+    facts = stage(doc_facts(t), "doc-impressions")
+    results = {f"geo_new_docs_{d}": new_docs(t, d) for d in DIMENSIONS}
+    results |= {f"geo_top_docs_{d}": top_docs(t, d, facts) for d in DIMENSIONS}
+    rows = []
+    for name, found in results.items():
+        _, measured = stage_counted(found, name, lists.gate_measures())
+        rows.append((name, measured["result_rows"], lists.passes(measured)))
+    return t.interactions.sparkSession.createDataFrame(rows, "list_name string, result_rows long, publish boolean")
+
+
 for _dim in DIMENSIONS:
     _register(f"cross_geo_{_dim}", lambda t, d=_dim: cross_geo(t, d))
     _register(f"cross_geo_{_dim}_states", lambda t, d=_dim: cross_geo_states(t, d))
@@ -177,6 +189,7 @@ _register("kv_size_stats", lambda t: lists.kv_size_stats(top_docs_kv(t, "channel
 _register("geo_kv_merged", merged_top_docs)
 _register("geo_new_kv_merged", merged_new_docs)
 _register("publish_gate", gates)
+_register("publish_gate_observed", observed_gates)
 _register(
     "kv_publish",
     lambda t: lists.kv_publish(geo.cross_geo_kv(cross_geo(t, "first_cat")), CROSS_PREFIX["first_cat"]),

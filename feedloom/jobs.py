@@ -27,7 +27,7 @@ from feedloom.snapshots import KeyedSnapshot
 from feedloom.sources import schemas
 from feedloom.sources.bucketed import read_together, write_bucketed
 from feedloom.sources.files import json_lines, partitioned_table, ragged_text, with_int_flags
-from feedloom.staging import clear, stage
+from feedloom.staging import clear, stage, stage_counted
 
 # List prefixes, and the order in which the variants overwrite
 # each other where they share one.
@@ -56,6 +56,7 @@ class Run:
     out: str
     as_of: datetime
     formats: Mapping[str, str] = field(default_factory=dict)
+    one_file: bool = False
 
     @property
     def day(self) -> date:
@@ -98,9 +99,16 @@ class Run:
 def _publish_list(
     run: Run, name: str, rows: DataFrame, kv: DataFrame, prefix: str, min_rows: int, order: Sequence[Column]
 ) -> bool:
-    """Land the rows in order, then publish the list unless the result is too short."""
-    sinks.write_delimited(rows, run.path(f"{name}/rows"), order=order)
-    if not lists.publish_gate(rows, name, min_rows).first().publish:
+    """Land the rows in order, then publish the list unless the result is too short.
+
+    The gate's count comes from the pass that lands the rows. ``one_file`` of a run
+    joins them into one file beside their folder.
+    """
+    landed = run.path(f"{name}/rows")
+    counts = sinks.write_delimited(rows, landed, order=order, measures=lists.gate_measures())
+    if run.one_file:
+        sinks.merge_parts(run.spark, landed, run.path(f"{name}/rows.txt"))
+    if not lists.passes(counts, min_rows):
         return False
     published = lists.kv_publish(kv, prefix)
     published.write.mode("overwrite").parquet(run.path(f"{name}/kv"))
@@ -347,8 +355,12 @@ def index_sync(run: Run, compact_after: int = 8) -> None:
     if not index.exists():
         index.create(run.table("search_index"))
     sync.update_line_counts(updates).write.mode("overwrite").parquet(run.path("index_sync_lines"))
-    outcome = stage(sync.index_sync_outcome(updates, index.read()), "index-sync")
-    sync.index_sync_counts(outcome).write.mode("overwrite").parquet(run.path("index_sync_counts"))
+    outcome, counts = stage_counted(
+        sync.index_sync_outcome(updates, index.read()), "index-sync", sync.outcome_measures()
+    )
+    # The counters of the run are those of the pass that wrote its outcome.
+    one = run.spark.createDataFrame([tuple(counts[c] for c in sync.COUNTERS)], ", ".join(f"{c} long" for c in sync.COUNTERS))
+    one.write.mode("overwrite").parquet(run.path("index_sync_counts"))
     index.update(sync.index_changes(outcome))
     messages = sync.reindex_messages(outcome, run.table("doc_static"))
     messages.write.mode("overwrite").parquet(run.path("reindex_messages"))
@@ -387,11 +399,12 @@ def main() -> None:
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="UTC run time")
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", help="a parameter of the job")
     parser.add_argument("--format", action="append", default=[], metavar="TABLE=FORMAT", help="json, text or bucketed input")
+    parser.add_argument("--one-file", action="store_true", help="landed rows also as one file, in order")
     args = parser.parse_args()
     settings = {name: _value(text) for name, text in _pairs(args.set).items()}
     spark = build_session(f"feedloom-{args.job}")
     try:
-        JOBS[args.job](Run(spark, args.tables, args.out, args.as_of, _pairs(args.format)), **settings)
+        JOBS[args.job](Run(spark, args.tables, args.out, args.as_of, _pairs(args.format), args.one_file), **settings)
     finally:
         clear(spark)
 

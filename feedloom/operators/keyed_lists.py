@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -125,9 +125,19 @@ def merge_variants(variants: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def gate_measures() -> dict[str, Column]:
+    """What the publish gate wants to know of a result, as aggregates."""
+    return {"result_rows": F.count(F.lit(1))}
+
+
+def passes(measured: Mapping[str, int], min_rows: int = 100) -> bool:
+    """The gate on measures taken while the result was written."""
+    return measured["result_rows"] >= min_rows
+
+
 def publish_gate(lists: DataFrame, name: str, min_rows: int = 100) -> DataFrame:
     """(list_name, result_rows, publish): a short result must not be published."""
-    return lists.agg(F.count(F.lit(1)).alias("result_rows")).select(
+    return lists.agg(*[column.alias(c) for c, column in gate_measures().items()]).select(
         F.lit(name).alias("list_name"),
         "result_rows",
         (F.col("result_rows") >= min_rows).alias("publish"),

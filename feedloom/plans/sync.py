@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import stripped
@@ -52,12 +52,18 @@ def index_sync_outcome(updates: DataFrame, search_index: DataFrame) -> DataFrame
     )
 
 
-def index_sync_counts(outcome: DataFrame) -> DataFrame:
-    """One row: documents updated, found in the index, updated there."""
+COUNTERS = ("total", "in_es", "succ_update_es")
+
+
+def outcome_measures() -> dict[str, Column]:
+    """Counters of an outcome: documents updated, found in the index, updated there."""
     updated = F.count_if(F.col("msg") == UPDATED)
-    return outcome.agg(
-        F.count(F.lit(1)).alias("total"), updated.alias("in_es"), updated.alias("succ_update_es")
-    )
+    return dict(zip(COUNTERS, (F.count(F.lit(1)), updated, updated), strict=True))
+
+
+def index_sync_counts(outcome: DataFrame) -> DataFrame:
+    """One row of the counters."""
+    return outcome.agg(*[column.alias(name) for name, column in outcome_measures().items()])
 
 
 def index_sync_snapshot(updates: DataFrame, search_index: DataFrame) -> DataFrame:

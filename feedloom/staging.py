@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 from functools import cache
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,6 +46,13 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def stage_counted(df: DataFrame, label: str, measures: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Any]]:
+    """``stage``, and measures of the rows from the pass that writes them."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[column.alias(name) for name, column in measures.items()]), label)
+    return staged, dict(seen.get)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back."""
     spark = df.sparkSession

@@ -1,0 +1,70 @@
+"""Measures of the writing pass, and parts joined into one file."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom import jobs, sinks
+from feedloom.operators import keyed_lists as lists
+from feedloom.plans import sync
+from feedloom.staging import stage, stage_counted
+
+
+def test_measures_equal_a_separate_aggregate(spark, tmp_path):
+    rows = stage(spark.range(0, 5000, 1, 9).select(F.col("id").alias("k"), (F.col("id") % 7).alias("w")), "rows")
+    measures = {**lists.gate_measures(), "odd": F.count_if(F.col("w") == 3), "most": F.max("k")}
+    found = sinks.write_delimited(rows, str(tmp_path / "out"), order=[F.desc("k")], measures=measures)
+    assert found == rows.agg(*[m.alias(n) for n, m in measures.items()]).first().asDict()
+    assert spark.read.text(str(tmp_path / "out")).count() == 5000
+    staged, again = stage_counted(rows.where("w < 3"), "some", measures)
+    assert again == staged.agg(*[m.alias(n) for n, m in measures.items()]).first().asDict()
+    assert sinks.write_delimited(rows.where("false"), str(tmp_path / "none"), measures=lists.gate_measures()) == {"result_rows": 0}
+    assert sinks.write_delimited(rows, str(tmp_path / "plain")) == {}
+
+
+def test_measures_stand_above_the_last_shuffle(spark):
+    rows, _ = sinks.counted(spark.range(100).orderBy(F.desc("id")), lists.gate_measures())
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Sort")
+
+
+def test_the_gate_of_a_landed_list_reads_the_rows_once(spark, tmp_path, monkeypatch):
+    run = jobs.Run(spark, str(tmp_path), str(tmp_path / "out"), datetime(2024, 1, 31))
+    rows = stage(spark.range(30).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value")), "rows")
+    monkeypatch.setattr(lists, "publish_gate", lambda *a: pytest.fail("the rows are counted again"))
+    kv = rows.withColumns({"part": F.lit(0).cast("long"), "n_parts": F.lit(1).cast("long")})
+    assert jobs._publish_list(run, "a", rows, kv, "p", 30, [F.col("key")])
+    assert not jobs._publish_list(run, "b", rows, kv, "p", 31, [F.col("key")])
+    assert (tmp_path / "out/a/kv").exists() and not (tmp_path / "out/b/kv").exists()
+
+
+def test_one_file_holds_the_parts_in_order(spark, tmp_path):
+    rows = stage(spark.range(0, 3000, 1, 5), "thousands")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_delimited(rows, str(tmp_path / "rows"), order=[F.desc("id")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(p for p in (tmp_path / "rows").iterdir() if p.name.startswith("part-"))
+    for chunk in (7, 1 << 20):
+        size = sinks.merge_parts(spark, str(tmp_path / "rows"), str(tmp_path / "rows.txt"), chunk)
+        merged = (tmp_path / "rows.txt").read_bytes()
+        assert len(parts) > 1 and merged == b"".join(p.read_bytes() for p in parts) and len(merged) == size
+    assert [int(line) for line in merged.split()] == list(range(2999, -1, -1))
+    assert not [p for p in tmp_path.iterdir() if "attempt" in p.name]
+    sinks.write_delimited(rows.where("false"), str(tmp_path / "none"))
+    assert sinks.merge_parts(spark, str(tmp_path / "none"), str(tmp_path / "none.txt")) == 0
+
+
+def test_a_run_can_land_one_file(spark, tmp_path):
+    run = jobs.Run(spark, str(tmp_path), str(tmp_path / "out"), datetime(2024, 1, 31), one_file=True)
+    rows = stage(spark.range(50).select(F.col("id").alias("key"), F.lit("v").alias("value")), "rows")
+    assert not jobs._publish_list(run, "a", rows, rows, "p", 100, [F.desc("key")])
+    assert (tmp_path / "out/a/rows.txt").read_text() == "".join(f"{k}\tv\n" for k in range(49, -1, -1))
+
+
+def test_outcome_counters_of_the_pass(spark):
+    outcome = spark.createDataFrame([("a", "x", sync.UPDATED), ("b", "y", sync.NOT_IN_INDEX)], "docid string, timeliness string, msg string")
+    _, counts = stage_counted(outcome, "outcome", sync.outcome_measures())
+    assert counts == sync.index_sync_counts(outcome).first().asDict() == {"total": 2, "in_es": 1, "succ_update_es": 1}
