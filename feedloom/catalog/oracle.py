@@ -637,6 +637,10 @@ BODIES: dict[str, str] = {
         FROM ids LEFT JOIN (SELECT * FROM doc_static
           WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = id""",
 }
+BODIES["kv_store_alive"] = f"""
+    SELECT key, '' AS field, value, CAST(1000 + ttl_sec AS BIGINT) AS expires_at FROM ({BODIES["geo_kv_merged"]})
+    UNION ALL
+    SELECT key, field, value, CAST(ttl_sec AS BIGINT) FROM ({BODIES["hot_tab_publish"]})"""
 BODIES["publish_gate_observed"] = BODIES["publish_gate"]
 BODIES["geo_top_docs_channel_bucketed"] = "SELECT * FROM top_channel"
 for _d in DIMENSIONS:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom import kvstore
 from feedloom.jobs import CROSS_PREFIX, NEW_PREFIX, TOP_PREFIX, VARIANT_ORDER
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
@@ -195,6 +196,21 @@ _register(
     lambda t: lists.kv_publish(geo.cross_geo_kv(cross_geo(t, "first_cat")), CROSS_PREFIX["first_cat"]),
 )
 
+
+
+def stored_lists(t: FeedTables) -> DataFrame:
+    """What a store holds after three batches: lists that expire, hashes, and the lists again, later."""
+    spark = t.interactions.sparkSession
+    store = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/store-{uuid.uuid4().hex}"
+    merged = stage(merged_top_docs(t), "merged")
+    kvstore.publish(merged.withColumn("value", F.lit("earlier")), store, 0)
+    kvstore.publish(tabs.hot_tab_hash(hot_docs(t)), store, 0)
+    kvstore.publish(merged, store, 1000)
+    return kvstore.read(spark, store, 2000).select("key", F.coalesce("field", F.lit("")).alias("field"), "value", "expires_at")
+
+
+_register("kv_store_alive", stored_lists)
+
 # ---------------------------------------------------------------- engagement
 
 

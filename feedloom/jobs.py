@@ -17,7 +17,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom import commits, sinks
+from feedloom import commits, kvstore, sinks
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.distinct_states import DailyStates
@@ -115,12 +115,23 @@ def _publish_list(
     return True
 
 
+def store_of(run: Run) -> str:
+    """The store that the lists are published to: read it with ``kvstore.read``."""
+    return run.path("store")
+
+
+def _to_store(run: Run, written: str) -> None:
+    """Commit a written list to the store, as one batch with the clock of the run."""
+    kvstore.publish(run.spark.read.parquet(run.path(written)), store_of(run), tabs.epoch_of(run.as_of))
+
+
 def _merge_published(run: Run, name: str, published: list[str]) -> None:
     """The one key space variants of a shared prefix end up in."""
     if published:
         variants = [run.spark.read.parquet(run.path(f"{variant}/kv")) for variant in published]
         merged = lists.merge_variants(variants).withColumn("ttl_sec", F.lit(lists.LIST_TTL_SEC))
         merged.write.mode("overwrite").parquet(run.path(f"{name}/kv"))
+        _to_store(run, f"{name}/kv")
 
 
 def cross_geo(
@@ -147,7 +158,8 @@ def cross_geo(
         )
         rows = stage(found, name)
         prefix = CROSS_PREFIX[dimension]
-        _publish_list(run, name, rows, geo.cross_geo_kv(rows), prefix, min_rows, geo.cross_geo_order())
+        if _publish_list(run, name, rows, geo.cross_geo_kv(rows), prefix, min_rows, geo.cross_geo_order()):
+            _to_store(run, f"{name}/kv")
 
 
 def geo_top_docs(
@@ -205,6 +217,7 @@ def engagement(run: Run, min_comments: int = 10) -> None:
     )
     hashes = engage.engagement_hash(listed, F.col("list_name"))
     hashes.write.mode("overwrite").partitionBy("key").parquet(run.path("engagement"))
+    _to_store(run, "engagement")
 
 
 def hot_tab_docs(run: Run, fresh_only: bool = False, min_check: int = 60) -> None:
@@ -213,6 +226,7 @@ def hot_tab_docs(run: Run, fresh_only: bool = False, min_check: int = 60) -> Non
         docs = tabs.fresh_docs(docs, run.table("doc_static"), tabs.epoch_of(run.as_of)).drop("age_days")
     ranked = tabs.hot_tab_docs(tabs.tab_smoothed_ctr(docs, run.table("doc_profile")), min_check)
     tabs.hot_tab_hash(ranked).write.mode("overwrite").parquet(run.path("hot_tab_docs"))
+    _to_store(run, "hot_tab_docs")
 
 
 def tab_metrics(run: Run, host: str = "batch") -> None:

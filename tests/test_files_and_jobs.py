@@ -1,11 +1,11 @@
 import json
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA
-from feedloom import commits, jobs, sinks
+from feedloom import commits, jobs, kvstore, sinks
 from feedloom.catalog import QUERIES
 from feedloom.ledger import RunLedger, once_per_key
 from feedloom.plans import sync
@@ -143,6 +143,10 @@ def test_geo_jobs(run, tmp_path):
     channel = {r["key"]: r["value"] for r in _read(run, "geo_top_docs_channel/kv").collect()}
     everything = {r["key"]: r["value"] for r in merged.collect()}
     assert channel.items() <= everything.items()
+    jobs.geo_top_docs(run, min_check=1, min_rows=1)  # again: the store has every key once
+    now = int(run.as_of.replace(tzinfo=timezone.utc).timestamp())
+    assert {r["key"]: r["value"] for r in kvstore.read(run.spark, jobs.store_of(run), now).collect()} == everything
+    assert kvstore.read(run.spark, jobs.store_of(run), now + 86400).count() == 0
     landed = [r["value"] for r in run.spark.read.text(run.path("geo_top_docs_channel/rows")).collect()]
     assert landed and {len(line.split("\t")) for line in landed} == {9}
     jobs.geo_new_docs(run, min_rows=1)
@@ -165,6 +169,8 @@ def test_engagement_and_tab_jobs(run):
     assert row["field"].endswith("#0/1") and json.loads(row["value"])[0]["docId"]
     jobs.hot_tab_docs(run)
     assert _read(run, "hot_tab_docs").count() > 0
+    stored = kvstore.read(run.spark, jobs.store_of(run), 0)
+    assert stored.count() == _read(run, "hot_tab_docs").count() + _read(run, "engagement").count()
     jobs.hot_tab_docs(jobs.Run(run.spark, run.tables, run.out + "/fresh", run.as_of), fresh_only=True)
 
 
