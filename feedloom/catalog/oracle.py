@@ -637,6 +637,15 @@ BODIES: dict[str, str] = {
         FROM ids LEFT JOIN (SELECT * FROM doc_static
           WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = id""",
 }
+BODIES["index_sync_text"] = BODIES["index_sync_outcome"]
+BODIES["feed_items_json"] = BODIES["feed_items"]
+BODIES["reindex_messages_from_log"] = BODIES["reindex_messages"]
+BODIES["crawl_paste"] = """
+    SELECT row_number() OVER (ORDER BY line_no) AS line_no,
+           uid || chr(9) || pos || chr(9)
+             || CASE WHEN line_no <= 0.9 * max(line_no) OVER () THEN title || chr(9) || url ELSE '' END AS value,
+           line_no <= 0.9 * max(line_no) OVER () AS paired
+    FROM lines"""
 BODIES["kv_store_alive"] = f"""
     SELECT key, '' AS field, value, CAST(1000 + ttl_sec AS BIGINT) AS expires_at FROM ({BODIES["geo_kv_merged"]})
     UNION ALL

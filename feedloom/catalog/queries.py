@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom import kvstore
+from feedloom import kvstore, sinks
 from feedloom.jobs import CROSS_PREFIX, NEW_PREFIX, TOP_PREFIX, VARIANT_ORDER
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
@@ -24,6 +24,8 @@ from feedloom.plans import engage, feedparse, geo, history, review, sampling, sy
 from feedloom.snapshots import KeyedSnapshot
 from feedloom.staging import stage, stage_counted, staging_root
 from feedloom.sources.bucketed import read_together, write_bucketed
+from feedloom.sources import schemas
+from feedloom.sources.files import json_lines, numbered_lines, ragged_text, zip_lines
 from feedloom.sources.testdata import (
     ALL_DAYS,
     AS_OF,
@@ -430,6 +432,48 @@ def merged_index(t: FeedTables) -> DataFrame:
     return index.read()
 
 
+def _folder(t: FeedTables, label: str) -> str:
+    spark = t.interactions.sparkSession
+    return f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def pasted_rows(t: FeedTables) -> DataFrame:
+    """Crawl rows put together from two texts, line by line; the second lacks the last tenth."""
+    spark, left, right = t.crawl_rows.sparkSession, _folder(t, "items"), _folder(t, "pages")
+    rows = stage(t.crawl_rows.select("line_no", "uid", "pos", "title", "url"), "paste")
+    last = rows.agg(F.max("line_no")).first()[0]
+    sinks.write_delimited(rows.orderBy("line_no").select("uid", "pos"), left)
+    sinks.write_delimited(rows.where(F.col("line_no") <= last * 0.9).orderBy("line_no").select("title", "url"), right)
+    return zip_lines(numbered_lines(spark, left), numbered_lines(spark, right))
+
+
+def synced_text(t: FeedTables) -> DataFrame:
+    """The outcome of updates that are read from lines of control-separated text."""
+    lines = t.timeliness_updates.orderBy("line_no").select(F.array_join("fields", "\x01").alias("value"))
+    lines.write.text(path := _folder(t, "updates"))
+    return sync.index_sync_outcome(ragged_text(lines.sparkSession, path, "\x01"), t.search_index)
+
+
+def items_of_json(t: FeedTables) -> DataFrame:
+    """Items of feed dumps that are read from JSON lines."""
+    t.feed_dump.withColumn("day", F.date_format("day", "yyyy-MM-dd")).write.json(path := _folder(t, "dumps"))
+    return feedparse.feed_items(json_lines(t.feed_dump.sparkSession, path, schemas.JSON["feed_dump"]))
+
+
+def messages_of_log(t: FeedTables) -> DataFrame:
+    """Reindex messages from a log with other lines in it, some of them cut off."""
+    outcome = stage(sync_outcome(t), "outcome")
+    told = sync.outcome_log(outcome, AS_OF_TIME.isoformat(sep=" "))
+    other = outcome.select(F.concat(F.lit("process doc="), "docid").alias("value"))
+    cut = outcome.select(F.concat(F.lit("docid="), "docid").alias("value"))
+    told.unionByName(other).unionByName(cut).write.text(path := _folder(t, "log"))
+    return sync.reindex_messages(sync.logged_outcome(numbered_lines(outcome.sparkSession, path)), t.doc_static)
+
+
+_register("crawl_paste", pasted_rows)
+_register("index_sync_text", synced_text)
+_register("feed_items_json", items_of_json)
+_register("reindex_messages_from_log", messages_of_log)
 _register("user_history", user_history)
 _register("index_sync_outcome", sync_outcome)
 _register("index_sync_lines", lambda t: sync.update_line_counts(t.timeliness_updates))

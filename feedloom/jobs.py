@@ -26,7 +26,8 @@ from feedloom.session import build_session
 from feedloom.snapshots import KeyedSnapshot
 from feedloom.sources import schemas
 from feedloom.sources.bucketed import read_together, write_bucketed
-from feedloom.sources.files import json_lines, partitioned_table, ragged_text, with_int_flags
+from feedloom.sources.files import json_lines, numbered_lines, partitioned_table, ragged_text, with_int_flags
+from feedloom.sources.logs import quarantined, read_log
 from feedloom.staging import clear, stage, stage_counted
 
 # List prefixes, and the order in which the variants overwrite
@@ -376,16 +377,30 @@ def index_sync(run: Run, compact_after: int = 8) -> None:
     one = run.spark.createDataFrame([tuple(counts[c] for c in sync.COUNTERS)], ", ".join(f"{c} long" for c in sync.COUNTERS))
     one.write.mode("overwrite").parquet(run.path("index_sync_counts"))
     index.update(sync.index_changes(outcome))
+    sync.outcome_log(outcome, run.as_of.isoformat(sep=" ")).write.mode("overwrite").text(run.path("index_sync_log"))
     messages = sync.reindex_messages(outcome, run.table("doc_static"))
     messages.write.mode("overwrite").parquet(run.path("reindex_messages"))
     index.compact(compact_after)
 
 
+def reindex_from_log(run: Run) -> None:
+    """Queue documents that the index lacks from the log of an update run, whoever wrote it.
+
+    Lines that tell of a document but can't be read are written apart.
+    """
+    lines = stage(numbered_lines(run.spark, f"{run.tables}/index_sync_log"), "log-lines")
+    messages = sync.reindex_messages(sync.logged_outcome(lines), run.table("doc_static"))
+    messages.write.mode("overwrite").parquet(run.path("reindex_messages"))
+    log = read_log(lines, sync.OUTCOME_LOG)
+    quarantined(log).write.mode("overwrite").parquet(run.path("index_sync_log_quarantine"))
+
+
 JOBS: dict[str, Callable[..., None]] = {
     job.__name__: job
     for job in (
         cross_geo, geo_top_docs, geo_new_docs, engagement, hot_tab_docs, tab_metrics, sample, crawl_rows,
-        review_enqueue, review_analysis, user_history, index_sync, bucket_tables,
+        review_enqueue, review_analysis, user_history, index_sync,
+        reindex_from_log, bucket_tables,
     )
 }
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import stripped
+from feedloom.sources.logs import LogFormat, log_rows, read_log
 
 # Outcome texts.
 NOT_IN_INDEX = "none"
@@ -90,6 +91,25 @@ def reindex_messages(outcome: DataFrame, doc_static: DataFrame) -> DataFrame:
     )
 
 
+#: A line of the log of an update run that tells of a document.
+OUTCOME_LOG = LogFormat(
+    marker="docid=", columns="docid string, timeliness string, msg string", pattern=r"docid=(\S+) (\S*) msg=(\S+)$"
+)
+
+
+def outcome_log(outcome: DataFrame, stamp: str) -> DataFrame:
+    """The outcome as lines of a log, as the update run writes them."""
+    said = F.concat(F.lit("docid="), "docid", F.lit(" "), "timeliness", F.lit(" msg="), "msg")
+    return outcome.select(F.concat(F.lit(f"{stamp} : INFO : "), said).alias("value"))
+
+
+def logged_outcome(lines: DataFrame) -> DataFrame:
+    """The outcome of update runs, from the lines of their logs: the last one of a document counts."""
+    rows = log_rows(read_log(lines, OUTCOME_LOG))
+    last = rows.groupBy("docid").agg(F.max_by(F.struct("timeliness", "msg"), "line_no").alias("last"))
+    return last.select("docid", "last.timeliness", "last.msg")
+
+
 def timeliness_lookup(ids: DataFrame, doc_static: DataFrame) -> DataFrame:
     """(_id, status, timeliness_type, expire_time) of the requested ids.
 

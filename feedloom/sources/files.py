@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import flag, stripped
+from feedloom.staging import stage
 
 FLAGS = ("joined", "checked", "clicked", "shared", "thumbed_up")
 
@@ -47,21 +48,65 @@ def ragged_fields(line: Column, sep: str = "\t") -> Column:
     return F.split(stripped(line), sep)
 
 
-def ragged_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """(fields, width, line_no) of text lines, beside the columns of partition folders.
+def numbered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+    """(value, file, file_line, line_no) of text lines, beside the columns of partition folders.
 
-    ``line_no`` is a struct that orders the lines of a file, and files by name: the
-    block a line lies in, then its place there.
+    ``file_line`` counts the lines of a file from 1, ``line_no`` those of all files in
+    the order of their paths. Both are dense, whatever blocks the files are read in:
+    lines are counted per block, and the sums of the blocks before give each block's
+    first number. Lines are written while the plan is built, with their place.
     """
-    read = spark.read.text(path)
+    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    read = reader.text(path)
     folders = [c for c in read.columns if c != "value"]
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+    lines = stage(
+        read.select(
+            "value",
+            *folders,
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            # Rises by one from line to line of a block.
+            F.monotonically_increasing_id().alias("_at"),
+        ),
+        "lines",
+    )
+    of_file = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per block of the input.
+    blocks = lines.groupBy("file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    blocks = blocks.withColumn("_in_file", F.coalesce(F.sum("_n").over(of_file), F.lit(0)))
+    sizes = blocks.groupBy("file").agg(F.sum("_n").alias("_lines"))
+    sizes = sizes.select("file", F.coalesce(F.sum("_lines").over(files), F.lit(0)).alias("_before"))
+    firsts = stage(blocks.join(sizes, "file").drop("_n"), "line-blocks")
+    file_line = F.col("_in_file") + F.col("_at") - F.col("_first") + 1
+    return lines.join(firsts, ["file", "_block"]).select(
+        *folders, "value", "file", file_line.alias("file_line"), (F.col("_before") + file_line).alias("line_no")
     )
-    lines = read.select(*folders, ragged_fields(F.col("value"), sep).alias("fields"), place.alias("line_no"))
-    return lines.withColumn("width", F.size("fields"))
+
+
+def zip_lines(left: DataFrame, right: DataFrame, sep: str = "\t") -> DataFrame:
+    """(line_no, value, paired): lines of equal number side by side, like columns that are pasted.
+
+    Where one text is shorter, its part of the line is empty and ``paired`` is false.
+    """
+    a = left.select("line_no", F.col("value").alias("_left"))
+    b = right.select("line_no", F.col("value").alias("_right"))
+    empty = F.lit("")
+    line = F.concat(F.coalesce("_left", empty), F.lit(sep), F.coalesce("_right", empty))
+    paired = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+    return a.join(b, "line_no", "full").select("line_no", line.alias("value"), paired.alias("paired"))
+
+
+def zip_counts(zipped: DataFrame) -> DataFrame:
+    """One row: lines of a zip, and lines that only one text has."""
+    return zipped.agg(F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("paired")).alias("unpaired"))
+
+
+def ragged_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """(fields, width, line_no) of text lines, beside the columns of partition folders."""
+    read = numbered_lines(spark, path)
+    kept = [c for c in read.columns if c not in ("value", "file", "file_line")]
+    return read.select(*kept, ragged_fields(F.col("value"), sep).alias("fields")).withColumn("width", F.size("fields"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
