@@ -176,8 +176,67 @@ def test_no_vectors_and_null_ids(spark):
 
 
 def test_passes_grow_with_the_logarithm_of_the_miss_and_a_root_of_the_size():
-    few, many = vectors.passes_for(10_000), vectors.passes_for(10_000_000)
-    assert few < many < few * (1000**0.3)
+    # Vectors that part evenly: twice as many stand between two of a pair where there are twice as many.
+    shape = np.random.default_rng(1).pareto(0.3, (512, vectors.TRIALS))
+    few, many = ((shape * n / 1e4).astype(np.int64) for n in (10_000, 10_000_000))
+    cost = lambda found: found[1] * (vectors._PASS_COST + vectors._PLACE_COST * found[0])
+    assert cost(vectors.passes_for(few)) < cost(vectors.passes_for(many)) < cost(vectors.passes_for(few)) * 1000**0.6
+    assert vectors.passes_for(many, 1e-6)[1] >= 1.5 * vectors.passes_for(many)[1]
+    assert vectors.passes_for(few[:0]) == (vectors.WINDOWS[0], 1)
+
+
+def _dense(n, share, cosine, pairs, dim=64):
+    """Vectors of which a share stand at a cosine from one another, and pairs planted at 0.902 among them."""
+    rng = np.random.default_rng([n, int(100 * share), int(100 * cosine)])
+    middle = np.eye(dim)[0]
+
+    def spread(m):
+        x = rng.standard_normal((m, dim))
+        x[:, 0] = 0
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def around(x):
+        return math.sqrt(cosine) * middle + math.sqrt(1 - cosine) * x
+
+    hot = int(n * share) - pairs
+    first, other = spread(pairs), spread(pairs)
+    kept = (0.902 - cosine) / (1 - cosine)
+    other -= (other * first).sum(1, keepdims=True) * first
+    second = kept * first + math.sqrt(1 - kept**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    rest = rng.standard_normal((n - hot - 2 * pairs, dim)) if share < 1 else np.zeros((0, dim))
+    return np.concatenate([around(first), around(second), around(spread(hot)), rest]).astype(np.float32)
+
+
+@pytest.mark.parametrize(("n", "share", "cosine"), [(4_000, 1 / 3, 0.7), (16_000, 1 / 3, 0.8), (4_000, 1, 0.7), (4_000, 1, 0.8), (16_000, 1, 0.8)])
+def test_dense_vectors_keep_their_links(spark, n, share, cosine):
+    pairs = 300
+    rows = _dense(n, share, cosine, pairs)
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(frame).collect()}
+    kept = [k for k in range(pairs) if found[k][0] and found[k][1] == found[k + pairs][1]]
+    assert len(kept) >= 0.99 * pairs
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    held = np.concatenate([(unit[k : k + 2000] @ unit.T >= 0.9).sum(1) - 1 for k in range(0, len(unit), 2000)])
+    assert sum(c for c, _ in found.values()) >= 0.99 * held.sum()
+    assert all(found[i][0] <= held[i] for i in range(len(rows)))
+
+
+def test_links_of_the_query_equal_brute_force(spark):
+    folder = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in queries.op7_vectors(spark, folder).collect()}
+    usable = [r for r in table if r["embedding"] and None not in r["embedding"] and np.isfinite(r["embedding"]).all() and any(r["embedding"])]
+    ids = np.array([r["vec_id"] for r in usable])
+    unit = np.array([r["embedding"] for r in usable], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    forest = Forest()
+    for i, j in np.argwhere(near).tolist():
+        forest.join(int(ids[i]), int(ids[j]))
+    expected = dict.fromkeys([r["vec_id"] for r in table], 0) | dict(zip(ids.tolist(), near.sum(1).tolist(), strict=True))
+    assert {i: n for i, (n, _) in found.items()} == expected
+    assert {i: c for i, (_, c) in found.items()} == {i: forest.find(i) for i in expected}
 
 
 def test_passages_repeated_a_different_number_of_times_are_one_class(spark):
