@@ -47,6 +47,30 @@ def test_filters_keep_what_the_operators_keep(spark, docs):
     assert kept.columns == docs.columns and _ids(kept) == _ids(held)
 
 
+PASSAGE = " ".join(f"word{k} of{k}" for k in range(40))
+
+
+def test_different_texts_under_one_id_and_none(spark):
+    other = " ".join(f"else{k} or{k}" for k in range(40))
+    rows = [(1, PASSAGE), (1, other), (2, PASSAGE + " end"), (None, other + " end"), (None, "alone " * 3), (None, None), (3, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.keep_one_copy(spark, docs, FOLDER).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, PASSAGE), (1, other), (None, "alone " * 3), (None, None), (3, None), (3, "")], key=repr)
+
+
+def test_ids_that_are_text(spark):
+    rows = [("b", PASSAGE), ("a", PASSAGE + " end"), ("c", "something else entirely in here"), (None, PASSAGE + " and")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    assert _ids(corpus_pipeline.keep_one_copy(spark, docs, FOLDER)) == ["'a'", "'c'"]
+
+
+def test_passages_in_rows_without_an_id(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 200").first()["text"]
+    docs = spark.createDataFrame([(None, f"before {item} after"), (4, f"so {item}"), (4, "clean text"), (None, "also clean")], "doc_id long, text string")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, FOLDER)
+    assert sorted(r["text"] for r in kept.collect()) == ["also clean", "clean text"]
+
+
 def test_a_run_packs_what_the_filters_keep(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     pieces = corpus_pipeline.run(spark, FOLDER)
