@@ -637,6 +637,7 @@ BODIES: dict[str, str] = {
         FROM ids LEFT JOIN (SELECT * FROM doc_static
           WHERE timeliness_type IS NOT NULL AND expire_time IS NOT NULL) ON _id = id""",
 }
+BODIES["user_history_by_days"] = BODIES["user_history"]
 BODIES["index_sync_text"] = BODIES["index_sync_outcome"]
 BODIES["feed_items_json"] = BODIES["feed_items"]
 BODIES["reindex_messages_from_log"] = BODIES["reindex_messages"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom import kvstore, sinks
+from feedloom.itemsets import ItemSets
 from feedloom.jobs import CROSS_PREFIX, NEW_PREFIX, TOP_PREFIX, VARIANT_ORDER
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
@@ -411,6 +412,17 @@ def user_history(t: FeedTables) -> DataFrame:
     )
 
 
+def history_by_days(t: FeedTables) -> DataFrame:
+    """The history from kept item sets: two thirds of the days folded, the others as they landed."""
+    bounds = (date(2023, 8, 1), AS_OF, AS_OF)
+    sets = ItemSets(t.interactions.sparkSession, _folder(t, "user-items"), "user_id", buckets=8)
+    days = [FIRST_DAY + timedelta(days=k) for k in range((LAST_DAY - FIRST_DAY).days + 1)]
+    for landed in (days[:20], days[20:]):
+        sets.put(history.read_items(t.interactions, t.doc_static_daily, landed[0], landed[-1], *bounds), landed)
+        sets.fold(days[19], FIRST_DAY)
+    return history.kept_history(sets, FIRST_DAY, LAST_DAY)
+
+
 def sync_outcome(t: FeedTables) -> DataFrame:
     return sync.index_sync_outcome(t.timeliness_updates, t.search_index)
 
@@ -475,6 +487,7 @@ _register("index_sync_text", synced_text)
 _register("feed_items_json", items_of_json)
 _register("reindex_messages_from_log", messages_of_log)
 _register("user_history", user_history)
+_register("user_history_by_days", history_by_days)
 _register("index_sync_outcome", sync_outcome)
 _register("index_sync_lines", lambda t: sync.update_line_counts(t.timeliness_updates))
 _register("index_sync_counts", lambda t: sync.index_sync_counts(sync_outcome(t)))

@@ -83,17 +83,21 @@ def land(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()
         raise
 
 
-def replace(df: DataFrame, folder: str, name: str) -> None:
-    """Write rows as ``folder/name``, in the place of what is there.
+def make(spark: SparkSession, path: str) -> None:
+    """An empty folder."""
+    _system(spark, path).mkdirs(_path(spark, path))
+
+
+def swap(spark: SparkSession, written: str, target: str) -> None:
+    """Move a written folder to a place, instead of what is there; none written is an empty one.
 
     The old folder stands until the new one is whole; between the two renames
     there is none, and a job that fails there is run again.
     """
-    spark = df.sparkSession
-    written = attempt(df, folder)
-    target = f"{folder}/{name}"
+    if not exists(spark, written):
+        make(spark, written)
     if exists(spark, target):
-        old = f"{folder}/{_ATTEMPT}{uuid.uuid4().hex}"
+        old = f"{target.rpartition('/')[0]}/{_ATTEMPT}{uuid.uuid4().hex}"
         rename(spark, target, old)
         rename(spark, written, target)
         remove(spark, old)
@@ -101,6 +105,11 @@ def replace(df: DataFrame, folder: str, name: str) -> None:
         rename(spark, written, target)
 
 
+def replace(df: DataFrame, folder: str, name: str) -> None:
+    """Write rows as ``folder/name``, in the place of what is there."""
+    swap(df.sparkSession, attempt(df, folder), f"{folder}/{name}")
+
+
 def clear_attempts(spark: SparkSession, folder: str) -> None:
     """Remove what failed attempts have left; only while nobody writes."""
     for name in names(spark, folder):

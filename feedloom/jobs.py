@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import commits, kvstore, sinks
+from feedloom.itemsets import ItemSets
 from feedloom.ledger import RunLedger
 from feedloom.operators import keyed_lists as lists
 from feedloom.operators.distinct_states import DailyStates
@@ -337,20 +338,36 @@ def review_analysis(run: Run, max_fail_ratio: float = review.MAX_FAIL_RATIO) ->
 
 
 def user_history(
-    run: Run, fact_days: int = 31, publish_days: int = 190, partitions: int | None = None
-) -> None:
-    """Lines ``user, part, parts, items``: a heavy reader has several."""
-    rows = history.user_history(
-        run.table("interactions"),
-        run.table("doc_static_daily"),
-        first_day=run.day - timedelta(days=fact_days),
-        last_day=run.day,
-        first_publish=run.day - timedelta(days=publish_days),
-        last_publish=run.day,
-        snapshot=run.day,
-        output_partitions=partitions,
-    )
+    run: Run, fact_days: int = 31, publish_days: int = 190, partitions: int | None = None,
+    keep: bool = False, fold_after: int = 8,
+) -> None:
+    """Lines ``user, part, parts, items``: a heavy reader has several.
+
+    With ``keep`` the items are kept from run to run: a run reads the facts of days that
+    are absent, of the last one and the one before it, and each day's items are chosen by
+    the documents of the run that landed it last, not by today's.
+    """
+    first = run.day - timedelta(days=fact_days)
+    bounds = dict(first_publish=run.day - timedelta(days=publish_days), last_publish=run.day, snapshot=run.day)
+    facts, docs = run.table("interactions"), run.table("doc_static_daily")
+    if not keep:
+        rows = history.user_history(facts, docs, first_day=first, last_day=run.day, output_partitions=partitions, **bounds)
+    else:
+        sets = user_items(run)
+        closed = sets.closed() or date.min
+        recent = {d for d in (run.day - timedelta(days=1), run.day) if d > closed}
+        due = recent.union(sets.open_days(first + timedelta(days=k) for k in range(fact_days + 1)))
+        if due:
+            sets.put(history.read_items(facts, docs, min(due), max(due), **bounds), due)
+        rows = history.kept_history(sets, first, run.day, output_partitions=partitions)
     sinks.write_delimited(rows, run.path("user_history"), sep=",")
+    if keep:
+        user_items(run).fold(run.day - timedelta(days=2), first, min_days=fold_after)
+
+
+def user_items(run: Run) -> ItemSets:
+    """The items that ``user_history`` keeps."""
+    return ItemSets(run.spark, run.fresh_path("user_items"), "user_id")
 
 
 def search_index(run: Run) -> KeyedSnapshot:

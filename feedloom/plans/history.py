@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.itemsets import ItemSets
 from feedloom.plans.geo import FEED_CHANNELS
 from feedloom.staging import stage
 
@@ -32,6 +33,20 @@ def user_history(
     Everybody else has part 0 of 1. Items and heavy users are written while the
     plan is built.
     """
+    seen = read_items(interactions, doc_static_daily, first_day, last_day, first_publish, last_publish, snapshot)
+    return in_parts(seen.select("user_id", "item").distinct(), part_size, output_partitions)
+
+
+def read_items(
+    interactions: DataFrame,
+    doc_static_daily: DataFrame,
+    first_day: date,
+    last_day: date,
+    first_publish: date,
+    last_publish: date,
+    snapshot: date,
+) -> DataFrame:
+    """(user_id, item, day) of what users read, repeated as the facts repeat it."""
     published = F.to_date("publish_time").between(F.lit(first_publish), F.lit(last_publish))
     docs = doc_static_daily.where((F.col("pdate") == F.lit(snapshot)) & published).select(
         "doc_id",
@@ -45,15 +60,40 @@ def user_history(
         & (F.col("cv_time") >= MIN_DWELL_MS)
         & F.col("channel_name").isin(*FEED_CHANNELS)
         & (F.col("user_id") > 0)
-    ).select("user_id", "doc_id", "ts", "nr_condition")
+    ).select("user_id", "doc_id", "ts", "nr_condition", F.col("pdate").alias("day"))
     wanted = F.col("long_lived") | F.col("non_news") | F.col("nr_condition").contains("evergreen")
-    items = (
+    return (
         facts.join(docs, "doc_id")
         .where(wanted)
-        .select("user_id", F.concat("doc_id", F.lit("|"), F.col("ts").cast("string")).alias("item"))
+        .select("user_id", F.concat("doc_id", F.lit("|"), F.col("ts").cast("string")).alias("item"), "day")
         .where(F.col("item").isNotNull())
-        .distinct()
     )
+
+
+def kept_history(
+    sets: ItemSets,
+    first_day: date,
+    last_day: date,
+    part_size: int = 100_000,
+    output_partitions: int | None = None,
+    changed_on: date | None = None,
+) -> DataFrame:
+    """``user_history`` from item sets that took its days one by one.
+
+    ``changed_on`` gives only the users that this landed day touched, each with all of
+    the parts, as a user that grows is parted anew.
+    """
+    items = sets.read(first_day, last_day)
+    if items is not None and changed_on is not None:
+        users = sets.touched(changed_on)
+        items = None if users is None else items.join(users, sets.owner, "left_semi")
+    if items is None:
+        return sets.spark.createDataFrame([], "user_id long, part long, n_parts long, doc_items string")
+    return in_parts(items.select("user_id", "item"), part_size, output_partitions)
+
+
+def in_parts(items: DataFrame, part_size: int, output_partitions: int | None = None) -> DataFrame:
+    """Distinct items (user_id, item) as sorted lists of parts."""
     parts = _parts(stage(items, "history-items"), part_size)
     # Partitioned by user *and* part: grouping by the join key alone would put
     # all parts of a heavy reader into one task.
