@@ -75,7 +75,7 @@ MIT = next(body for name, body in licences.KNOWN if name == "MIT" and len(body)
 TEXTS = [
     ("Released under the MIT License.", "MIT", "MIT"),
     ("# released  under the MIT licence", "MIT", "MIT"),
-    (f"The MIT License header\n\nCopyright (c) 2020 A. Body\n\n{MIT}\n", None, ""),
+    (f"The MIT License header\n\nCopyright (c) 2020 A. Body\n\n{MIT}\n", "MIT", "MIT"),
     (f"Copyright (c) 2020 A. Body\n(C) 2021 B. Body\nCopyright by C.\nAll rights reserved.\n{MIT.lower()}", "MIT", "MIT"),
     ("Words before.\nLicensed under the Apache Licence, ver. 2.0\r\nWords after.\nLicensed under CC BY-NC 4.0.", None, "Apache-2.0|CC-BY-NC-4.0"),
     ("We like the MIT License. Released under the MIT License, they said.", None, ""),
@@ -106,6 +106,61 @@ def test_a_block_of_a_document_is_a_text_of_its_own(spark):
     assert [r["licenses"] for r in licences.scan(rows).orderBy("doc_id").collect()] == ["MIT", ""]
 
 
+BODY = {name: body for name, body in licences.KNOWN if len(body) > 200}
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+FOUND = [
+    (f"MIT License\n\nCopyright (c) 2020 A. Body\n\n{MIT}\n", "MIT", "MIT"),
+    (f"Read me.\n\nThe MIT License (MIT)\n\nCopyright 2020 by A. Body\n\n{MIT}\n\nMore words.", None, "MIT"),
+    # Blocks of a known text that do not stand one after the other are not that text.
+    (MIT.replace("\n\n", "\n\nOther words.\n\n"), None, ""),
+    (MIT.split("\n\n")[0], None, ""),
+    ("\n".join(f"// {line}".rstrip() for line in APACHE.split("\n")), "Apache-2.0", "Apache-2.0"),
+    (f"/*\n * A file.\n *\n * {APACHE}\n */\ncode();".replace("\n", "\n * "), None, "Apache-2.0"),
+    (f"# {GPL}", "GPL-3.0-or-later", "GPL-3.0-or-later"),
+    (GPL.replace("General", "Lesser General").replace("program", "library").replace(": you", "; you").replace("3", "2.1"), "LGPL-2.1-or-later", "LGPL-2.1-or-later"),
+    ("x = 1\n# SPDX-License-Identifier: BSD-2-Clause\n", None, "BSD-2-Clause"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("// spdx-license-identifier: GPL-2.0+", "GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\ny", None, "Apache-2.0|GPL-2.0|MIT"),
+    ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0", "MPL-2.0"),
+    ("SPDX-License-Identifier: LicenseRef-Own", None, ""),
+    (licences._BSD_OPENING.replace("\n", " ") + "\n* no evil", None, "BSD"),
+    (f"BSD 3-Clause License\n\nCopyright (c) 2020, A. Body\nAll rights reserved.\n\n{BODY['BSD-3-Clause']}", "BSD-3-Clause", "BSD-3-Clause"),
+    (BODY["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("HOLDER ", "OWNER "), "BSD-2-Clause", "BSD-2-Clause"),
+    (f"{BODY['Unlicense']}\n\nFor more information, please refer to <https://unlicense.org>", None, "Unlicense"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 F\n Everyone", None, "GPL-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0", "CC-BY-SA-4.0"),
+    ("MIT License", None, ""),
+]
+
+
+def test_common_licence_files_headers_and_tags(spark):
+    rows = spark.createDataFrame([(i, text) for i, (text, _, _) in enumerate(FOUND)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["whole_license"], r["licenses"]) for r in licences.scan(rows).collect()}
+    assert found == {i: (whole, names) for i, (_, whole, names) in enumerate(FOUND)}
+
+
+def test_every_known_text_is_found_as_itself(spark):
+    rows = spark.createDataFrame([(i, body) for i, (_, body) in enumerate(licences.KNOWN)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["whole_license"], r["licenses"]) for r in licences.scan(rows).collect()}
+    assert {i: whole for i, (whole, _) in found.items()} == {i: name for i, (name, _) in enumerate(licences.KNOWN)}
+    assert all("|" not in names for _, names in found.values())
+
+
 def test_the_query_finds_every_notice_line(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     notices = {body: name for name, body in licences.KNOWN if "\n" not in body}
