@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -24,7 +23,6 @@ from feedloom.llm import (
     urls,
     vectors,
 )
-from feedloom.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,9 +99,9 @@ def op9_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts through a cache of this run; a lasting cache folder serves later runs."""
-    cache = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/token-cache-{uuid.uuid4().hex}"
-    counts = tokens.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), cache)
+    """Counts through the lasting cache of the tokenizer: texts that an earlier run has met are not encoded again."""
+    path = public_tokenizers.path(TOKENIZER)
+    counts = tokens.count_tokens(_table(spark, folder, "documents"), path, tokens.lasting_cache(spark, path))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

@@ -9,22 +9,26 @@ anything more would change counts.
 Ids that are null or repeated are rows like others, and equal texts share their
 count. Empty texts have no token. Texts of any length are encoded whole, in
 batches of bounded bytes. An empty table gives an empty result. Only the id and
-text columns are read. Files that two runs append for the same content agree and
-are read once.
+text columns are read. What a run appends appears by one rename: a run that fails adds
+nothing, runs may append at once, and counts that two of them append for the same
+content agree and are read once.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Iterator
 from importlib.metadata import version
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom import commits
 from feedloom.llm import words
+from feedloom.staging import staging_root
 
 _CACHE = "content binary, tokenizer binary, n_tokens long"
 _BATCH_BYTES = 1 << 20
@@ -53,6 +57,19 @@ def counter(path: str):
     return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
 
 
+def lasting_cache(spark: SparkSession, tokenizer: str) -> str:
+    """The folder of a tokenizer's counts under the session's shared folder; it outlives the application."""
+    return f"{staging_root(spark)}/token-counts/{tokenizer_digest(tokenizer).hex()}"
+
+
+def stored_counts(spark: SparkSession, cache: str) -> DataFrame:
+    """All counts that finished runs have appended to a cache."""
+    runs = commits.numbered(spark, cache, "run")
+    if not runs:
+        return spark.createDataFrame([], _CACHE)
+    return spark.read.schema(_CACHE).option("basePath", cache).parquet(*[f"{cache}/{r}" for r in runs.values()]).drop("run")
+
+
 def count_tokens(
     docs: DataFrame,
     tokenizer: str,
@@ -71,13 +88,7 @@ def count_tokens(
     keyed = docs.select(
         F.col(id_col), F.unhex(F.sha2(text, 256)).alias("_content"), F.octet_length(text).cast("long").alias("n_bytes")
     )
-    spark.createDataFrame([], _CACHE).write.mode("append").parquet(cache)
-    known = (
-        spark.read.schema(_CACHE)
-        .parquet(cache)
-        .where(F.col("tokenizer") == file_digest)
-        .select(F.col("content").alias("_content"))
-    )
+    known = stored_counts(spark, cache).where(F.col("tokenizer") == file_digest).select(F.col("content").alias("_content"))
     misses = (
         keyed.groupBy("_content")
         .agg(F.min(id_col).alias("_first"))
@@ -99,18 +110,20 @@ def count_tokens(
                 [batch.column("_content"), pa.array(found, pa.int64())], names=["content", "n_tokens"]
             )
 
-    (
+    encoded = (
         words.bounded(chosen.select("_content", "_text"))
         .mapInArrow(encode, "content binary, n_tokens long")
         .groupBy("content")
         .agg(F.max("n_tokens").alias("n_tokens"))
         .select("content", file_digest.alias("tokenizer"), "n_tokens")
-        .write.mode("append")
-        .parquet(cache)
     )
+    written = commits.attempt(encoded, cache)
+    if spark.read.schema(_CACHE).parquet(written).isEmpty():
+        commits.remove(spark, written)
+    else:
+        commits.rename(spark, written, f"{cache}/run=r{uuid.uuid4().hex}")
     counts = (
-        spark.read.schema(_CACHE)
-        .parquet(cache)
+        stored_counts(spark, cache)
         .where(F.col("tokenizer") == file_digest)
         .groupBy(F.col("content").alias("_content"))
         .agg(F.max("n_tokens").alias("n_tokens"))

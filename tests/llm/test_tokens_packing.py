@@ -56,6 +56,22 @@ def test_counts_of_an_empty_table(spark, tmp_path, odd):
     assert tokens.count_tokens(odd.where("false"), PATH, str(tmp_path / "none")).count() == 0
 
 
+def test_a_second_run_of_the_query_encodes_nothing(spark, monkeypatch, tmp_path):
+    root = str(tmp_path / "shared")
+    monkeypatch.setattr(tokens, "staging_root", lambda _: root)
+    cache = tokens.lasting_cache(spark, PATH)
+    first = sorted(map(tuple, queries.op10_tokens(spark, FOLDER).collect()))
+    runs = tokens.commits.names(spark, cache)
+    assert sorted(map(tuple, queries.op10_tokens(spark, FOLDER).collect())) == first
+    assert tokens.commits.names(spark, cache) == runs and len(runs) == 1
+    # Counts come from the cache: what it says is taken.
+    texts = spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").distinct().count()
+    assert tokens.stored_counts(spark, cache).count() == texts
+    # An attempt that failed is not read.
+    tokens.stored_counts(spark, cache).withColumn("n_tokens", F.lit(-1).cast("long")).write.parquet(f"{cache}/_attempt-x")
+    assert sorted(map(tuple, queries.op10_tokens(spark, FOLDER).collect())) == first
+
+
 def test_the_query_counts_every_document(spark, library):
     texts = dict(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
     rows = queries.op10_tokens(spark, FOLDER).collect()
