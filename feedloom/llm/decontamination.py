@@ -6,9 +6,9 @@ other words are lower-cased: what is left of a text is its template. Every run o
 ``WINDOW`` template words with at least ``MIN_LITERAL`` plain ones is hashed, and
 windows of documents are hash-joined to windows of benchmark items. Hits of one
 document and item at one distance form an alignment; it counts if ``MIN_HITS``
-windows of it match and its slots are consistent: equal values in the item stand
-where equal values stand in the document, and different ones where different
-ones stand, spellings of one unit being equal. Values that break this take away the
+windows of it match and its slots are consistent: equal values in the item stand on
+equal values in the document, spellings of one unit being equal; different ones may
+fall together. Values that break this take away the
 windows they stand in; an alignment is dropped if fewer than ``AGREEING`` of its
 windows are left. So re-parameterised questions are caught, and texts that merely share
 the frame of a sentence are not. Items of fewer than ``WINDOW`` words are matched
@@ -17,16 +17,21 @@ as one window of their length.
 Beside the template, every run of ``WINDOW`` lower-cased words is hashed as it
 stands. So a whole item is found whatever its slots and whatever the case of the
 copy; of an item whose template windows all hold too few plain words, ``MIN_HITS``
-such runs are enough. Items of fewer than ``MIN_LITERAL`` words say too little to
+such runs are enough. A window that an item repeats is compared at its first place, so
+repetitive texts make no more rows than they have windows; a document must have the
+window as often as the item where fewer than ``MIN_HITS`` different windows, or whole
+items of verbatim ones, decide. Items of fewer than ``MIN_LITERAL`` words say too little to
 be matched.
 
 Before the join, a bitmap of fixed size, whatever the benchmark's, drops windows that
 no item has; what passes is decided by the join.
 
-Null and empty texts are clean. Documents of any length are read whole. A null or
-repeated document id gives a row per input row; rows under one id share its
-findings. Items with null id or text are left out. Without documents or items
-nothing is contaminated. Only id and text columns are read.
+Null and empty texts are clean. Documents of any length are read whole. In ``mark`` an
+id may be null, repeated or text: each row is judged by its own text, under a 64-bit
+key of id and text. ``find`` takes ids that are whole numbers and leaves rows without
+one out; rows under one id share its findings. Item ids are whole numbers; items with
+null id or text are left out. Without documents or items nothing is contaminated. Only
+id and text columns are read.
 """
 
 from __future__ import annotations
@@ -159,12 +164,12 @@ def verbatim(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
     return words.mix(found ^ _VERBATIM) + np.uint64(size), at
 
 
-def _slots(t: Template, at: np.ndarray, size: int) -> list[list[int]]:
-    out = []
-    for a in at.tolist():
-        held = np.flatnonzero(t.slot[a : a + size]) + a
-        out.append(t.value[held].view(np.int64).tolist())
-    return out
+def _slots(t: Template, at: np.ndarray, size: int) -> pa.ListArray:
+    """Values of the slots of each window, in order."""
+    place = at[:, None] + np.arange(size)
+    held = t.slot[place] > 0 if len(t.slot) else np.zeros(place.shape, bool)
+    offsets = np.concatenate([[0], np.cumsum(held.sum(axis=1))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(t.value[place[held]].view(np.int64)))
 
 
 def _window_rows(
@@ -194,13 +199,13 @@ def _window_rows(
                             keep &= bitmaps.held(bitmap, found)
                         found, at = found[keep], at[keep]
                         doc = own[at]
-                        slots = _slots(t, at, size) if look is windows else [[]] * len(at)
+                        none = pa.ListArray.from_arrays(pa.array(np.zeros(len(at) + 1, np.int32)), pa.array([], pa.int64()))
                         yield pa.RecordBatch.from_arrays(
                             [
                                 ids.take(pa.array(doc)),
                                 pa.array(found.view(np.int64)),
                                 pa.array((at - first[doc]).astype(np.int32)),
-                                pa.array(slots, pa.list_(pa.int64())),
+                                _slots(t, at, size) if look is windows else none,
                                 pa.array(np.full(len(at), look is verbatim)),
                             ],
                             names=["id", "hash", "place", "slots", "verbatim"],
@@ -219,17 +224,21 @@ def find(
     item_text_col: str = "text",
 ) -> DataFrame:
     """Pairs of a document and an item it holds (``id``, ``item``, ``hits``), without repeats."""
-    items = stage(_window_rows(benchmark, item_col, item_text_col, None, None), "benchmark-windows")
+    rows = _window_rows(benchmark, item_col, item_text_col, None, None)
+    # A window that an item repeats stands for itself where it is first.
+    firsts = rows.groupBy("id", "hash", "verbatim").agg(
+        F.min("place").alias("place"), F.min_by("slots", "place").alias("slots"), F.count_distinct("place").alias("times")
+    )
+    items = stage(firsts, "benchmark-windows")
     totals = items.groupBy(F.col("id").alias("item")).agg(
-        F.count_distinct(F.when(~F.col("verbatim"), F.col("place"))).alias("n_windows"),
-        F.count_distinct(F.when(F.col("verbatim"), F.col("place"))).alias("n_verbatim"),
+        F.count_if(~F.col("verbatim")).alias("n_windows"), F.count_if(F.col("verbatim")).alias("n_verbatim")
     )
     # Window lengths that occur: WINDOW and those of shorter items, fewer than WINDOW in all.
     lengths = benchmark.select(F.col(item_col).cast("long").alias("_id"), F.col(item_text_col).alias("_text"))
     sizes = sorted({WINDOW, *(r["n"] for r in _short_lengths(lengths).collect())})
     hits = _window_rows(docs, id_col, text_col, sizes, bitmaps.gather(items))
     joined = hits.select("id", "hash", F.col("place").alias("at"), F.col("slots").alias("said")).join(
-        items.select(F.col("id").alias("item"), "hash", "place", "slots", "verbatim"), "hash"
+        items.select(F.col("id").alias("item"), "hash", "place", "slots", "verbatim", "times"), "hash"
     )
     # Few windows match; written, they are found once for the counts and the slots.
     aligned = stage(joined.withColumn("shift", F.col("at") - F.col("place")), "benchmark-hits")
@@ -239,20 +248,26 @@ def find(
     held = aligned.select(*keys, "place", F.explode(pairs).alias("p")).select(*keys, "place", "p.s", "p.d")
     slots = held.select(*keys, "s", "d").distinct()
     uneven = (
-        slots.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.count_distinct("s").alias("n_s"), F.count_distinct("d").alias("n_d"))
-        .where("n <> n_s OR n <> n_d")
+        slots.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("s").alias("n_s")).where("n <> n_s")
     )
-    # Where slots disagree, pairs of values that are each other's most frequent stay.
+    # Where slots disagree, the value that stands most often on each of the item's stays.
     odd = held.join(uneven.select(*keys), keys, "left_semi").distinct()
     counted = odd.groupBy(*keys, "s", "d").agg(F.count("*").alias("n"))
-    best = lambda own, other: counted.groupBy(*keys, own).agg(F.max(F.struct("n", other))[other].alias(other))
-    agreed = best("s", "d").join(best("d", "s"), [*keys, "s", "d"])
+    agreed = counted.groupBy(*keys, "s").agg(F.max(F.struct("n", "d"))["d"].alias("d"))
     broken = (
         odd.join(agreed, [*keys, "s", "d"], "left_anti")
         .groupBy(*keys)
         .agg(F.count_distinct("place").alias("n_broken"))
     )
+    # Of a window that the item repeats, the document must have as many.
+    lacking = (
+        aligned.where("times > 1")
+        .groupBy("id", "item", "verbatim", "hash", "times")
+        .agg(F.count_distinct("at").alias("n"))
+        .where("n < times")
+        .select("id", "item", "verbatim", F.lit(True).alias("lacks"))
+        .distinct()
+    )
     few = lambda n: F.least(F.lit(MIN_HITS), n)
     least = (
         F.when(~F.col("verbatim"), few("n_windows"))
@@ -264,7 +279,9 @@ def find(
         .withColumns({"all": F.col("hits"), "hits": F.col("hits") - F.coalesce("n_broken", F.lit(0))})
         .where(F.col("hits") >= AGREEING * F.col("all"))
         .join(totals, "item")
-        .where(F.col("hits") >= least)
+        .join(lacking, ["id", "item", "verbatim"], "left")
+        # Three different windows of one alignment say enough whatever is repeated.
+        .where((F.col("hits") >= least) & (F.col("lacks").isNull() | (~F.col("verbatim") & (F.col("hits") >= MIN_HITS))))
         .groupBy("id", "item")
         .agg(F.max("hits").alias("hits"))
     )
@@ -287,13 +304,15 @@ def _short_lengths(items: DataFrame) -> DataFrame:
 
 
 def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Every document with the items it holds, in order."""
+    """Every document with the items it holds, in order; each row is judged by its own text, whatever its id."""
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.col("text").isNull(), "text")
+    keyed = docs.select("doc_id", "text", key.alias("_key"))
     found = (
-        find(docs, benchmark)
+        find(keyed, benchmark, "_key")
         .groupBy(F.col("id").alias("_id"))
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    return docs.select("doc_id").join(found, F.col("doc_id") == F.col("_id"), "left").select(
+    return keyed.join(found, F.col("_key") == F.col("_id"), "left").select(
         "doc_id",
         F.col("_id").isNotNull().alias("contaminated"),
         F.coalesce("items", F.array().cast("array<bigint>")).alias("item_ids"),

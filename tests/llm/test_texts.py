@@ -23,7 +23,7 @@ def test_questions_with_other_parameters_are_caught(spark):
         ITEM.replace("12", "7").replace("Anna Smith", "Bob").replace("3 dollars", "2.50 euros"),
         # The two equal numbers of the question differ here: another question of the same frame.
         ITEM.replace("12 apples", "5 apples").replace("12 pears", "6 pears"),
-        # Different values of the question are equal here.
+        # Different values of the question are equal here, which says nothing against it.
         ITEM.replace("3 dollars", "12 dollars"),
         ITEM.upper(),
         "a farmer sells his farm and all of its many animals to a friend from the old town by the sea",
@@ -32,7 +32,7 @@ def test_questions_with_other_parameters_are_caught(spark):
         "word " * 50_000 + ITEM,
     ]
     found = _found(spark, docs, [(1, ITEM), (2, None), (None, ITEM)])
-    assert found == {0: [1], 1: [1], 2: [], 3: [], 4: found[4], 5: [], 6: [], 7: [], 8: [1]}
+    assert found == {0: [1], 1: [1], 2: [], 3: [1], 4: [1], 5: [], 6: [], 7: [], 8: [1]}
 
 
 def test_short_items_and_ties(spark):
@@ -48,8 +48,29 @@ def test_no_documents(spark):
     assert decontamination.mark(docs, items).count() == 0
     repeated = spark.createDataFrame([(None, ITEM), (4, ITEM), (4, ITEM)], docs.schema)
     assert sorted(map(repr, ((r["doc_id"], r["contaminated"], r["kept"]) for r in decontamination.mark(repeated, items).collect()))) == [
-        "(4, True, False)", "(4, True, False)", "(None, False, True)",
+        "(4, True, False)", "(4, True, False)", "(None, True, False)",
     ]
+    own = spark.createDataFrame([("a", ITEM), ("a", "other words"), (None, "more words")], "doc_id string, text string")
+    assert sorted(map(repr, ((r["doc_id"], r["kept"]) for r in decontamination.mark(own, items).collect()))) == [
+        "('a', False)", "('a', True)", "(None, True)",
+    ]
+
+
+def test_repetitive_texts_make_no_more_rows_than_windows(spark, monkeypatch):
+    staged = []
+    real = decontamination.stage
+
+    def seen(df, label):
+        staged.append((label, real(df, label)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(decontamination, "stage", seen)
+    line = "the shop sells apples and pears to all the people of the town"
+    items = [(1, "word " * 1500), (2, f"{line}. " * 40), (3, f"first we said that {line}. " + f"{line}. " * 3)]
+    docs = ["word " * 4000, "word " * 1499, "word " * 20, f"{line}. " * 60, f"{line}. " * 39, f"{line}.", f"so first we said that {line}. " + f"{line}. " * 5]
+    assert _found(spark, docs, items) == {0: [1], 1: [], 2: [], 3: [2, 3], 4: [2, 3], 5: [2, 3], 6: [2, 3]}
+    rows = dict(staged)["benchmark-hits"].count()
+    assert rows < 2 * 3 * (4000 + 1500 + 120 * 13)
 
 
 def test_the_query_finds_every_whole_passage_and_no_other(spark):
