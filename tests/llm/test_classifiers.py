@@ -78,6 +78,19 @@ def test_toxic_documents_are_caught_and_clean_ones_left(spark, tables):
     assert sum(r["toxic"] for r in rows) >= 0.9 * sum(r["label"] for r in rows) > 0
 
 
+def test_toxicity_on_rows_it_was_not_trained_on(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    docs, labels = read("documents").select("doc_id", "text"), read("labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    chain = toxicity.train(docs, toxicity.category_labels(labels.where(~held_out)))
+    held = docs.join(labels.where(held_out).select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    rows = toxicity.score(held, chain).select("label", "p_toxic").collect()
+    toxic = [r["p_toxic"] > toxicity.THRESHOLD for r in rows if r["label"] == 1]
+    clean = [r["p_toxic"] > toxicity.THRESHOLD for r in rows if r["label"] == 0]
+    assert len(toxic) > 100 and len(clean) > 800
+    assert np.mean(toxic) >= 0.89 and np.mean(clean) <= 0.005
+
+
 def test_the_chain_feeds_out_of_fold_probabilities():
     rng = np.random.default_rng(0)
     import pyarrow as pa
