@@ -1,20 +1,31 @@
 """Lexical retrieval packing with a sharded BM25 index.
 
-Documents are dealt to shards of bounded bytes by a hash. The document
-frequencies of hashed terms and the mean length are counted over all documents
-first (a table of ``2 ** BITS`` numbers). In its shard every document is
-tokenised once; whole windows are cut from its front, its tail waits. Tails are
-then seeds in order of id: the inverted index returns the unused documents that
-share the seed's most telling terms, best score first, and their tails fill the
-window greedily; the last one is cut to fit and its rest waits again. If no
-neighbour is left, the next waiting tail in order is taken. So every sequence is
-full but the last of each shard, and no token is lost or repeated.
+The document frequencies of hashed terms and the mean length are counted over
+all documents first (a table of ``2 ** BITS`` numbers). Then every document is
+tokenised once and signed: two of its terms, each drawn by a hash with odds of
+its squared idf, so documents draw the same term with the chance of their
+weighted overlap. Documents are shuffled by the first, sorted by both, and cut
+in this order into shards of bounded bytes and documents: those that share
+telling content lie side by side, and a term that many documents draw goes on
+over several shards. Rows travel as ids and terms; texts do not. Partitions that one
+term makes too large are split by adaptive execution; without it documents stay
+in the partitions they were read in, which costs neighbours and nothing else.
+
+In its shard whole windows are cut from a document's front, its tail waits.
+Tails are then seeds in the order of the shard: the inverted index scores all
+documents by all terms they share with the seed, unused ones of a score above 0
+follow, best first, and their tails fill the window greedily; the last one is cut
+to fit and its rest waits again. If no neighbour is left, the next waiting tail in
+order is taken; a window that the shard cannot fill goes on in the next shard. So
+every sequence is full but the last of each partition, and no token is lost or
+repeated.
 
 Null and empty texts are one end token. Very long texts are encoded in pieces
 that end where no token can. Repeated rows are documents of their own, ties go
-to the lower place in id order, null ids come first. An empty table gives no
-piece. Only the id and text columns are read. A shard lost with an executor is
-packed again to the same pieces: its rows are sorted before anything else.
+to the lower place in order, null ids come first. An empty table gives no
+piece. Only the id and text columns are read. A partition lost with an executor is
+packed again to the same pieces: its rows are sorted before anything else, and
+weights lie on a grid of 2 ** -24, so that their sums are exact in any order.
 """
 
 from __future__ import annotations
@@ -26,6 +37,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +51,21 @@ from feedloom.llm import words
 BITS = 18
 WINDOW = 1024
 END_ID = 0
-#: Text bytes a shard holds on average; each shard is packed by one task.
-SHARD_BYTES = 16 << 20
-#: Terms of a seed that are looked up, those of the highest weight.
-QUERY_TERMS = 24
+#: Bytes of ids and terms, and documents, that a shard holds at most, but one document at least.
+SHARD_BYTES = 4 << 20
+SHARD_DOCS = 2048
+#: Shards a partition holds on average. Its task holds one at a time.
+PARTITION_SHARDS = 8
+#: Partitions at most; beyond, they grow.
+MOST_PARTITIONS = 100_000
 K1, B = 1.2, 0.75
 _FIRST_LOOK = 32
+_TERM_BITS = 32
+_GRID = float(1 << 24)
+_SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
+#: Pairs of postings that are added up at once, and terms of a block of the product.
+_PAIRS = 1 << 21
+_BLOCK = 1024
 _END = END_ID.to_bytes(4, "little")
 _PIECE_CHARS = 1 << 20
 _SAFE_CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
@@ -128,89 +149,119 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[np.nd
 
 
 class Index:
-    """BM25 postings of the documents of one shard, with statistics of the whole corpus."""
+    """BM25 scores of the documents of one shard, with statistics of the whole corpus.
+
+    ``idf`` is looked up by the highest bits of a term, as ``shift`` says.
+    """
 
     def __init__(
-        self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float
+        self,
+        doc: np.ndarray,
+        term: np.ndarray,
+        tf: np.ndarray,
+        length: np.ndarray,
+        idf: np.ndarray,
+        mean: float,
+        shift: int = 0,
     ):
         self.n_docs = len(length)
-        # A term that one document of the shard holds leads nowhere.
-        holders = np.bincount(term, minlength=len(idf))
-        shared = np.flatnonzero(holders[term] > 1)
-        doc, term, tf = doc[shared], term[shared], tf[shared].astype(np.float32)
-        norm = (K1 * (1 - B + B * length / max(mean, 1e-9))).astype(np.float32)
-        weight = idf[term] * tf * np.float32(K1 + 1) / (tf + norm[doc])
-        held = holders > 1
-        sizes = holders[held]
-        self.stop = np.cumsum(sizes)
-        self.first = self.stop - sizes
-        entry = np.arange(len(term), dtype=np.uint64)
+        norm = K1 * (1 - B + B * length / max(mean, 1e-9))
+        weight = idf[term >> shift] * tf * (K1 + 1) / (tf + norm[doc])
         # Distinct keys that hold their entry sort faster than an order of entries.
-        order = np.sort((term.astype(np.uint64) << np.uint64(32)) | entry) & np.uint64(0xFFFFFFFF)
-        self.docs = doc[order.astype(np.int64)].astype(np.int32)
-        self.weights = weight[order.astype(np.int64)]
-        best = self._telling(doc, weight, entry)
-        self.terms = (np.cumsum(held) - 1)[term[best]]
-        self.begins = np.searchsorted(doc[best], np.arange(self.n_docs + 1))
-
-    def _telling(self, doc: np.ndarray, weight: np.ndarray, entry: np.ndarray) -> np.ndarray:
-        """Entries of the ``QUERY_TERMS`` highest weights of every document, ties in order of terms.
-
-        Positive floats sort like their bits; as many of them are compared as document
-        and entry leave room for.
-        """
-        place = len(entry).bit_length()
-        spare = min(32, 64 - place - self.n_docs.bit_length())
-        falling = (np.uint64(0xFFFFFFFF) - weight.view(np.uint32).astype(np.uint64)) >> np.uint64(32 - spare)
-        key = (((doc.astype(np.uint64) << np.uint64(spare)) | falling) << np.uint64(place)) | entry
-        best = (np.sort(key) & np.uint64((1 << place) - 1)).astype(np.int64)
-        begins = np.searchsorted(doc, np.arange(self.n_docs))
-        rank = np.arange(len(best)) - begins[doc[best]]
-        return best[rank < QUERY_TERMS]
+        key = np.sort((term.astype(np.uint64) << np.uint64(32)) | np.arange(len(term), dtype=np.uint64))
+        order = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        key >>= np.uint64(32)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        self.docs = doc[order].astype(np.int64)
+        self.weights = np.rint(weight[order].astype(np.float64) * _GRID) / _GRID
+        self.first = first
+        self.holders = np.diff(np.append(first, len(key)))
+        self._all = self._by_rare_terms()
+        self._add_common_terms()
 
     def scores(self, seed: int) -> np.ndarray:
-        terms = self.terms[self.begins[seed] : self.begins[seed + 1]]
-        if not len(terms):
-            return np.zeros(self.n_docs)
-        spans = [slice(a, b) for a, b in zip(self.first[terms].tolist(), self.stop[terms].tolist(), strict=True)]
-        hit = np.concatenate([self.docs[s] for s in spans])
-        return np.bincount(hit, np.concatenate([self.weights[s] for s in spans]), self.n_docs)
+        """Scores of all documents of the shard for the terms of ``seed``, each counted once."""
+        return self._all[seed]
 
+    def _common(self) -> int:
+        """Documents from which on a term is common: it takes a column of a matrix, not a list of pairs."""
+        return max(16, self.n_docs // 16)
 
-def fill(sizes: np.ndarray, index: Index, window: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset) of one shard."""
+    def _by_rare_terms(self) -> np.ndarray:
+        n = self.n_docs
+        total = np.zeros(n * n)
+        keys, weights, size = [], [], 0
+        # A term that one document of the shard holds leads nowhere.
+        for held in range(2, min(self._common(), self.holders.max(initial=0) + 1)):
+            terms = self.first[self.holders == held]
+            step = max(1, _PAIRS // held**2)
+            for k in range(0, len(terms), step):
+                at = terms[k : k + step, None] + np.arange(held)
+                d = self.docs[at]
+                keys.append((d[:, :, None] * n + d[:, None, :]).ravel())
+                weights.append(np.repeat(self.weights[at][:, None, :], held, axis=1).ravel())
+                size += len(keys[-1])
+                if size >= _PAIRS:
+                    total += np.bincount(np.concatenate(keys), np.concatenate(weights), n * n)
+                    keys, weights, size = [], [], 0
+        if size:
+            total += np.bincount(np.concatenate(keys), np.concatenate(weights), n * n)
+        return total.reshape(n, n)
+
+    def _add_common_terms(self) -> None:
+        common = np.flatnonzero(self.holders >= self._common())
+        for k in range(0, len(common), _BLOCK):
+            block = common[k : k + _BLOCK]
+            held = self.holders[block]
+            column = np.repeat(np.arange(len(block)), held)
+            at = np.repeat(self.first[block] - (np.cumsum(held) - held), held) + np.arange(len(column))
+            weight = np.zeros((self.n_docs, len(block)))
+            weight[self.docs[at], column] = self.weights[at]
+            self._all += (weight > 0).astype(np.float64) @ weight.T
+
+
+@dataclass
+class Cursor:
+    """The sequence that is being filled. Numbers never repeat in a partition; ``base`` is added to new ones."""
+
+    base: int = 0
+    free: int = 0
+    sequence: int = 0
+    used: int = 0
+
+    def new(self) -> int:
+        self.free += 1
+        return self.base + self.free - 1
+
+
+def fill(sizes: np.ndarray, index: Index, window: int, cursor: Cursor) -> Iterator[tuple[int, int, int, int, int]]:
+    """Pieces (document, start, length, sequence, offset) of one shard; the last window may stay open."""
     left = sizes % window
-    sequence = 0
     for d in np.flatnonzero(sizes >= window):
         for start in range(0, int(sizes[d] - left[d]), window):
-            yield int(d), start, window, sequence, 0
-            sequence += 1
+            yield int(d), start, window, cursor.new(), 0
     unused = left > 0
     waiting = 0
     for seed in range(len(sizes)):
-        if not unused[seed]:
-            continue
-        space, offset, chosen = window, 0, [seed]
-        ranked: Iterator[int] | None = None
-        while space:
-            if chosen:
-                d = chosen.pop()
-            else:
+        while unused[seed]:
+            ranked: Iterator[int] | None = None
+            d = seed
+            while d >= 0:
+                if not cursor.used:
+                    cursor.sequence = cursor.new()
+                took = int(min(left[d], window - cursor.used))
+                yield d, int(sizes[d] - left[d]), took, cursor.sequence, cursor.used
+                left[d] -= took
+                unused[d] = left[d] > 0
+                cursor.used = (cursor.used + took) % window
+                if not cursor.used:
+                    break
                 ranked = ranked or _neighbours(index.scores(seed), unused)
                 d = next((x for x in ranked if unused[x]), -1)
                 if d < 0:
                     while waiting < len(sizes) and not unused[waiting]:
                         waiting += 1
-                    if waiting == len(sizes):
-                        break
-                    d = waiting
-            took = int(min(left[d], space))
-            yield d, int(sizes[d] - left[d]), took, sequence, offset
-            left[d] -= took
-            unused[d] = left[d] > 0
-            space -= took
-            offset += took
-        sequence += 1
+                    d = waiting if waiting < len(sizes) else -1
 
 
 def _neighbours(scores: np.ndarray, unused: np.ndarray) -> Iterator[int]:
@@ -228,6 +279,101 @@ def _neighbours(scores: np.ndarray, unused: np.ndarray) -> Iterator[int]:
         yield from found[np.lexsort((found, -scores[found]))].tolist()
 
 
+def _least(doc: np.ndarray, value: np.ndarray, term: np.ndarray, n_docs: int) -> np.ndarray:
+    """The term of least value of every document, mixed; 0 for documents without terms."""
+    out = np.zeros(n_docs, np.uint64)
+    if len(doc):
+        first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        least = np.repeat(np.minimum.reduceat(value, first), np.diff(np.append(first, len(doc))))
+        at = np.flatnonzero(value == least)[::-1]
+        out[doc[at]] = words.mix(term[at].astype(np.uint64))
+    return out.view(np.int64)
+
+
+def signatures(doc: np.ndarray, term: np.ndarray, idf: np.ndarray, n_docs: int) -> list[np.ndarray]:
+    """Two terms of every document, drawn by hash with odds of the squared idf (``doc`` in order)."""
+    odds = idf[term >> (_TERM_BITS - BITS)].astype(np.float64) ** 2 + 1e-12
+    out = []
+    for salt in _SALTS:
+        even = ((words.mix(term.astype(np.uint64) ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        out.append(_least(doc, -np.log(even) / odds, term, n_docs))
+    return out
+
+
+def _binary(parts: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Runs of an array as binary values; ``begins`` ends with the length."""
+    offsets = pa.py_buffer((begins * parts.itemsize).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, offsets, pa.py_buffer(parts)]).cast(pa.binary())
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes as the largest needs: 1, 2 or 4."""
+    top = int(values.max(initial=0))
+    return values.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+
+
+def _shards(batches: Iterator[pa.RecordBatch], most_bytes: int, most_docs: int) -> Iterator[pa.Table]:
+    """Rows in order, cut into tables of at most these bytes and rows, but one row at least."""
+    held, count, size = [], 0, 0
+    for batch in batches:
+        row_bytes = sum(np.diff(words.bytes_of(batch.column(n))[1]) for n in ("_ids", "_terms", "_tf"))
+        first = 0
+        for k, n in enumerate(row_bytes.tolist()):
+            if count and (size + n > most_bytes or count == most_docs):
+                yield pa.Table.from_batches([*held, batch.slice(first, k - first)])
+                held, count, size, first = [], 0, 0, k
+            count, size = count + 1, size + n
+        held.append(batch.slice(first))
+    if count:
+        yield pa.Table.from_batches(held)
+
+
+def _shard_index(shard: pa.Table, idf: np.ndarray, mean: float) -> Index:
+    terms, counts, number = [], [], []
+    for t, c in zip(shard.column("_terms").to_pylist(), shard.column("_tf").to_pylist(), strict=True):
+        terms.append(np.frombuffer(t, "<u4"))
+        number.append(len(terms[-1]))
+        counts.append(np.frombuffer(c, f"<u{len(c) // max(number[-1], 1) or 1}"))
+    doc = np.repeat(np.arange(len(number)), number)
+    term = np.concatenate(terms).astype(np.int64)
+    length = shard.column("_words").to_numpy()
+    return Index(doc, term, np.concatenate(counts).astype(np.float64), length, idf, mean, _TERM_BITS - BITS)
+
+
+def sign_and_encode(
+    docs: DataFrame, idf: np.ndarray, json_path: str, ranks_path: str | None, pattern: str | None
+) -> DataFrame:
+    """Per document (columns id and text): signature, ids, distinct terms with their counts, number of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(json_path, ranks_path, pattern)
+        for batch in batches:
+            texts = words.text_array(batch.column(1))
+            for a, b in words.slices(texts):
+                part = texts.slice(a, b - a)
+                w = words.split(words.lowered(part))
+                doc, term, tf = words.tallies(w.doc, w.hash >> np.uint64(64 - _TERM_BITS), _TERM_BITS)
+                begins = np.searchsorted(doc, np.arange(b - a + 1))
+                ids = [_narrow(encode(text.as_py())) for text in part]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a),
+                        *[pa.array(x) for x in signatures(doc, term, idf, b - a)],
+                        pa.array([x.itemsize for x in ids], pa.int32()),
+                        pa.array([x.tobytes() for x in ids], pa.binary()),
+                        _binary(term.astype("<u4"), begins),
+                        _binary(_narrow(tf), begins),
+                        pa.array(np.bincount(w.doc, minlength=b - a), pa.int64()),
+                    ],
+                    names=schema.names,
+                )
+
+    fields = {"_first": T.LongType(), "_second": T.LongType(), "_width": T.IntegerType(), "_ids": T.BinaryType()}
+    fields |= {"_terms": T.BinaryType(), "_tf": T.BinaryType(), "_words": T.LongType()}
+    schema = T.StructType([T.StructField("_id", docs.schema[0].dataType)] + [T.StructField(n, t) for n, t in fields.items()])
+    return words.bounded(docs).mapInArrow(run, schema)
+
+
 def pack(
     docs: DataFrame,
     json_path: str,
@@ -242,65 +388,50 @@ def pack(
     frequency, n_docs, n_words, n_bytes = document_frequencies(docs, text_col)
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
     mean = n_words / max(n_docs, 1)
-    shards = max(1, math.ceil((n_bytes + 64 * n_docs) / shard_bytes))
+    partitions = math.ceil((n_bytes + 64 * n_docs) / (PARTITION_SHARDS * shard_bytes))
     own = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    dealt = own.repartition(shards, F.xxhash64(F.col(id_col), F.col("_text")))
-    id_type = own.schema[0]
+    signed = sign_and_encode(own, idf, json_path, ranks_path, pattern)
+    dealt = signed.hint("rebalance", min(max(partitions, 1), MOST_PARTITIONS), "_first")
+    ordered = dealt.sortWithinPartitions("_first", "_second", "_id", "_ids")
     schema = T.StructType(
-        [id_type]
+        [own.schema[0]]
         + [T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")]
         + [T.StructField("ids", T.BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        del held
-        table = table.sort_by([(table.schema.names[0], "ascending"), ("_text", "ascending")]).combine_chunks()
-        names = table.column(0).combine_chunks()
-        texts = words.text_array(table.column(1))
-        del table
-        encode = encoder(json_path, ranks_path, pattern)
-        tokens, parts, lengths, at = [], [], [], 0
-        for a, b in words.slices(texts):
-            part = texts.slice(a, b - a)
-            w = words.split(words.lowered(part))
-            doc, term, tf = words.tallies(w.doc, w.hash >> np.uint64(64 - BITS), BITS)
-            parts.append((doc + a, term, tf))
-            lengths.append(np.bincount(w.doc, minlength=b - a))
-            for text in part:
-                tokens.append(encode(text.as_py()))
-        doc, term, tf = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        del parts, texts
-        index = Index(doc, term, tf, np.concatenate(lengths), idf, mean)
-        del doc, term, tf
-        sizes = np.array([len(t) + 1 for t in tokens], np.int64)
-        base = TaskContext.get().partitionId() << 32
-        pieces: list[tuple[int, int, int, int, int]] = []
-
-        def batch() -> pa.RecordBatch:
-            d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
-            ids = [
-                tokens[k][s : s + n].astype("<u4").tobytes() + (_END if s + n == sizes[k] else b"")
-                for k, s, n, _, _ in pieces
-            ]
-            return pa.RecordBatch.from_arrays(
-                [
-                    names.take(pa.array(d)),
-                    *[pa.array(x) for x in (start, length, sizes[d], sequence + base, offset)],
-                    pa.array(ids, pa.binary()),
-                ],
-                names=schema.names,
-            )
-
-        for piece in fill(sizes, index, window):
-            pieces.append(piece)
-            if len(pieces) == 4096:
-                yield batch()
-                pieces.clear()
-        if pieces:
-            yield batch()
-
-    return words.bounded(dealt).mapInArrow(run, schema)
+        base = TaskContext.get().partitionId() << 43
+        cursor = Cursor()
+        for number, shard in enumerate(_shards(batches, shard_bytes, SHARD_DOCS)):
+            names = shard.column("_id").combine_chunks()
+            widths = shard.column("_width").to_pylist()
+            tokens = [np.frombuffer(x, f"<u{n}") for x, n in zip(shard.column("_ids").to_pylist(), widths, strict=True)]
+            sizes = np.array([len(t) + 1 for t in tokens], np.int64)
+            index = _shard_index(shard, idf, mean)
+            del shard
+            # The shard where a sequence begins is noted above its number.
+            cursor.base = base | (number & 2047) << 32
+            pieces: list[tuple[int, int, int, int, int]] = []
+            for piece in fill(sizes, index, window, cursor):
+                pieces.append(piece)
+                if len(pieces) == 4096:
+                    yield batch(names, tokens, sizes, pieces)
+                    pieces = []
+            if pieces:
+                yield batch(names, tokens, sizes, pieces)
+
+    def batch(names, tokens, sizes, pieces) -> pa.RecordBatch:
+        d, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
+        ids = [
+            tokens[k][s : s + n].astype("<u4").tobytes() + (_END if s + n == sizes[k] else b"") for k, s, n, _, _ in pieces
+        ]
+        return pa.RecordBatch.from_arrays(
+            [
+                names.take(pa.array(d)),
+                *[pa.array(x) for x in (start, length, sizes[d], sequence, offset)],
+                pa.array(ids, pa.binary()),
+            ],
+            names=schema.names,
+        )
+
+    return words.bounded(ordered).mapInArrow(run, schema)
