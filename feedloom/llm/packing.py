@@ -387,6 +387,8 @@ def pack(
     """Pieces of all documents with their token ids (little-endian, four bytes each)."""
     frequency, n_docs, n_words, n_bytes = document_frequencies(docs, text_col)
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
+    # What one document holds leads nowhere, and no signature should rest on it.
+    idf[frequency < 2] = 0
     mean = n_words / max(n_docs, 1)
     partitions = math.ceil((n_bytes + 64 * n_docs) / (PARTITION_SHARDS * shard_bytes))
     own = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
