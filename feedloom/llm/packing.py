@@ -54,8 +54,6 @@ END_ID = 0
 #: Bytes of ids and terms, and documents, that a shard holds at most, but one document at least.
 SHARD_BYTES = 4 << 20
 SHARD_DOCS = 2048
-#: Shards a partition holds on average. Its task holds one at a time.
-PARTITION_SHARDS = 8
 #: Partitions at most; beyond, they grow.
 MOST_PARTITIONS = 100_000
 K1, B = 1.2, 0.75
@@ -374,29 +372,45 @@ def sign_and_encode(
     return words.bounded(docs).mapInArrow(run, schema)
 
 
-def pack(
+def deal(
     docs: DataFrame,
     json_path: str,
     ranks_path: str | None = None,
     pattern: str | None = None,
-    window: int = WINDOW,
     shard_bytes: int = SHARD_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> DataFrame:
-    """Pieces of all documents with their token ids (little-endian, four bytes each)."""
+) -> tuple[DataFrame, np.ndarray, float]:
+    """Signed and encoded documents in the order that shards are cut from; idf by term bucket; mean length.
+
+    A partition is about one shard, so that terms part well. Adaptive execution merges
+    partitions up to its advisory size, and splits those that one term makes larger.
+    """
     frequency, n_docs, n_words, n_bytes = document_frequencies(docs, text_col)
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
     # What one document holds leads nowhere, and no signature should rest on it.
     idf[frequency < 2] = 0
-    mean = n_words / max(n_docs, 1)
-    partitions = math.ceil((n_bytes + 64 * n_docs) / (PARTITION_SHARDS * shard_bytes))
+    partitions = min(math.ceil((n_bytes + 64 * n_docs) / shard_bytes), MOST_PARTITIONS)
     own = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     signed = sign_and_encode(own, idf, json_path, ranks_path, pattern)
-    dealt = signed.hint("rebalance", min(max(partitions, 1), MOST_PARTITIONS), "_first")
-    ordered = dealt.sortWithinPartitions("_first", "_second", "_id", "_ids")
+    dealt = signed.hint("rebalance", max(partitions, 1), "_first")
+    return dealt.sortWithinPartitions("_first", "_second", "_id", "_ids"), idf, n_words / max(n_docs, 1)
+
+
+def pack(
+    docs: DataFrame,
+    json_path: str,
+    ranks_path: str | None = None,
+    pattern: str | None = None,
+    window: int = WINDOW,
+    shard_bytes: int = SHARD_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Pieces of all documents with their token ids (little-endian, four bytes each)."""
+    ordered, idf, mean = deal(docs, json_path, ranks_path, pattern, shard_bytes, id_col, text_col)
     schema = T.StructType(
-        [own.schema[0]]
+        [T.StructField(id_col, docs.schema[id_col].dataType)]
         + [T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")]
         + [T.StructField("ids", T.BinaryType())]
     )

@@ -7,6 +7,8 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -164,3 +166,113 @@ def test_neighbours_are_those_of_plain_bm25():
                 n = np.array([(d == t).sum() for d in docs])
                 plain += idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / length.mean()))
         assert np.allclose(index.scores(seed), plain, atol=1e-5)
+
+
+def _postings(docs):
+    doc = np.concatenate([np.full(len(np.unique(d)), i) for i, d in enumerate(docs)])
+    term = np.concatenate([np.unique(d) for d in docs])
+    tf = np.concatenate([np.unique(d, return_counts=True)[1] for d in docs])
+    return doc, term, tf, np.array([len(d) for d in docs])
+
+
+def test_texts_of_many_terms_are_scored_by_all_of_them(monkeypatch):
+    monkeypatch.setattr(packing, "_PAIRS", 5000)
+    monkeypatch.setattr(packing, "_BLOCK", 30)
+    rng = np.random.default_rng(5)
+    docs = [(rng.random(rng.integers(300, 900)) ** 3 * 1500).astype(np.int64) for _ in range(80)]
+    doc, term, tf, length = _postings(docs)
+    assert np.median(np.bincount(doc)) > 200
+    df = np.bincount(term, minlength=1500)
+    assert (df >= 16).sum() > 60 and ((df > 1) & (df < 16)).sum() > 60
+    idf = np.log1p((80 - df + 0.5) / (df + 0.5))
+    index = packing.Index(doc, term, tf, length, idf, length.mean())
+    n = np.zeros((80, 1500))
+    n[doc, term] = tf
+    weight = idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length[:, None] / length.mean()))
+    plain = (n > 0) @ np.where(df > 1, weight, 0).T
+    found = np.array([index.scores(seed) for seed in range(80)])
+    assert np.allclose(found, plain, atol=1e-4)
+    # Sums are exact, so the order of documents cannot change them.
+    turn = rng.permutation(80)
+    place = np.argsort(turn)
+    doc, term, tf, length = _postings([docs[k] for k in turn])
+    other = packing.Index(doc, term, tf, length, idf, length.mean())
+    assert all((other.scores(place[seed])[place] == found[seed]).all() for seed in range(80))
+
+
+def test_the_best_neighbours_come_first():
+    """Every window of one shard is filled in the order that plain scores give."""
+    rng = np.random.default_rng(9)
+    doc, term, tf, length = _postings([rng.integers(0, 200, 60) for _ in range(40)])
+    index = packing.Index(doc, term, tf, length, np.ones(200), length.mean())
+    pieces = list(packing.fill(np.full(40, 10), index, 50, packing.Cursor()))
+    used = set()
+    for k in range(0, 40, 5):
+        seed, *rest = (p[0] for p in pieces[k : k + 5])
+        assert seed == min(set(range(40)) - used)
+        free = sorted(set(range(40)) - used - {seed}, key=lambda d: (-index.scores(seed)[d], d))
+        assert rest == free[:4]
+        used |= {seed, *rest}
+
+
+def test_an_open_window_goes_on_in_the_next_shard():
+    cursor = packing.Cursor()
+    none = np.zeros(0, np.int64)
+    index = lambda n: packing.Index(none, none, none, np.zeros(n), np.zeros(1), 0.0)
+    first = list(packing.fill(np.array([3, 14]), index(2), 10, cursor))
+    second = list(packing.fill(np.array([5, 4]), index(2), 10, cursor))
+    assert first == [(1, 0, 10, 0, 0), (0, 0, 3, 1, 0), (1, 10, 4, 1, 3)]
+    assert second == [(0, 0, 3, 1, 7), (0, 3, 2, 2, 0), (1, 0, 4, 2, 2)]
+
+
+def _places(docs, size):
+    """Shard of every document, and the terms of each."""
+    ordered, _, _ = packing.deal(docs, PATH, RANKS, public_tokenizers.PATTERN, size)
+
+    def run(batches):
+        base = TaskContext.get().partitionId() << 32
+        for number, shard in enumerate(packing._shards(batches, size, packing.SHARD_DOCS)):
+            where = pa.array(np.full(len(shard), base + number))
+            yield pa.RecordBatch.from_arrays([shard.column("_id").combine_chunks(), where], names=["id", "shard"])
+
+    return dict(map(tuple, ordered.mapInArrow(run, "id long, shard long").collect()))
+
+
+def test_documents_that_share_telling_content_share_a_shard(spark):
+    """Where a best neighbour stands out (half of the seed's own score), it is in reach of 0.8 of the seeds."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    ids, texts = zip(*sorted(map(tuple, docs.collect())), strict=True)
+    found = [np.unique((t or "").lower().split(), return_counts=True) for t in texts]
+    vocabulary = {w: k for k, w in enumerate(sorted({w for words, _ in found for w in words}))}
+    doc = np.concatenate([np.full(len(w), k) for k, (w, _) in enumerate(found)])
+    term = np.array([vocabulary[w] for words, _ in found for w in words])
+    tf = np.concatenate([c for _, c in found])
+    length = np.bincount(doc, tf, minlength=len(ids))
+    df = np.bincount(term)
+    idf = np.log1p((len(ids) - df + 0.5) / (df + 0.5))
+    weight = idf[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[doc] / length.mean()))
+    full = np.zeros((len(ids), len(vocabulary)), np.float32)
+    full[doc, term] = weight
+    scores = (full > 0).astype(np.float32) @ full.T
+    own = scores.diagonal().copy()
+    np.fill_diagonal(scores, -1)
+    best = scores.argmax(1)
+    clear = np.flatnonzero((own > 0) & (scores.max(1) >= own / 2))
+    assert len(clear) > 100
+    place = _places(docs, 100_000)
+    shard = np.array([place[i] for i in ids])
+    sizes = np.unique(shard, return_counts=True)[1]
+    assert len(sizes) > 15
+    assert (shard[clear] == shard[best[clear]]).mean() >= 0.8
+    assert (sizes / len(ids)).max() < 0.2
+
+
+def test_a_hot_group_and_tiny_texts_stay_in_bounded_shards(spark, monkeypatch, library):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 50)
+    rows = [(k, "one text that a third of all rows hold " * 3 if k % 3 == 0 else f"w{k}") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pieces = packing.pack(docs, PATH, RANKS, public_tokenizers.PATTERN, shard_bytes=3000).withColumn("ids_crc32", F.crc32("ids"))
+    _check(pieces.collect(), rows, library)
+    place = _places(docs, 3000)
+    assert sorted(place) == list(range(900))
+    assert np.unique(list(place.values()), return_counts=True)[1].max() <= 50
