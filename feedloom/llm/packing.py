@@ -66,6 +66,9 @@ _PAIRS = 1 << 21
 _BLOCK = 1024
 _END = END_ID.to_bytes(4, "little")
 _PIECE_CHARS = 1 << 20
+#: Characters of white space in a row from which on the faster library is not asked: its pattern may run out of stack.
+_LONG_BLANK = 50_000
+_BLANKS = re.compile(r"\s{2,}")
 _SAFE_CUT = re.compile(r"(?<=[^\W\d_])(?= [^\W\d_])")
 
 
@@ -81,13 +84,17 @@ def _safe_pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _long_blank(text: str) -> bool:
+    return len(text) > _LONG_BLANK and any(m.end() - m.start() > _LONG_BLANK for m in _BLANKS.finditer(text))
+
+
 def encoder(json_path: str, ranks_path: str | None = None, pattern: str | None = None):
     """A function from a text to the ids that the ``tokenizers`` library gives it.
 
     ``ranks_path`` may name the same byte-level vocabulary as ranks, with the
     pattern that splits texts before the merges; plain texts are then encoded by
-    the faster library with equal ids. Texts with a special string always go to
-    ``tokenizers`` itself.
+    the faster library with equal ids. Texts with a special string or a very long
+    run of white space always go to ``tokenizers`` itself.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     loaded = []
@@ -112,7 +119,7 @@ def encoder(json_path: str, ranks_path: str | None = None, pattern: str | None =
     fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or _long_blank(text):
             return exact(text)
         ids = array("I")
         for piece in _safe_pieces(text):

@@ -276,3 +276,13 @@ def test_a_hot_group_and_tiny_texts_stay_in_bounded_shards(spark, monkeypatch, l
     place = _places(docs, 3000)
     assert sorted(place) == list(range(900))
     assert np.unique(list(place.values()), return_counts=True)[1].max() <= 50
+
+
+def test_ranks_give_the_ids_of_the_library_for_all_documents_and_unbroken_texts(spark):
+    encode = packing.encoder(PATH, RANKS, public_tokenizers.PATTERN)
+    exact = packing.encoder(PATH)
+    rng = np.random.default_rng(2)
+    unbroken = ["ab" * 500_000, "".join(rng.choice(list("etaoinshr"), 1_000_000)), " " * 1_000_000, " \n" * 400_000 + "x", "=" * 1_000_000]
+    texts = [t for (t,) in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    for text in texts + unbroken:
+        assert (encode(text or "") == exact(text or "")).all()
