@@ -83,6 +83,95 @@ def test_the_query_counts_every_document(spark, library):
         assert (r["n_tokens"], r["over_limit"]) == (n, n > 1024)
 
 
+class Recorder:
+    """A tokenizer that notes all text it is given."""
+
+    def __init__(self, inner, given):
+        self._inner, self._given, self.model, self.pre_tokenizer = inner, given, self, self
+
+    def __getattr__(self, name):
+        inner = self._inner
+        owner = {"tokenize": inner.model, "pre_tokenize_str": inner.pre_tokenizer}.get(name, inner)
+
+        def call(texts, **options):
+            self._given.append("".join(texts))
+            return getattr(owner, name)(texts, **options)
+
+        return call if name in ("tokenize", "pre_tokenize_str", "encode_batch_fast") else getattr(inner, name)
+
+
+def test_words_that_are_known_are_not_encoded_again(monkeypatch, library):
+    given = []
+
+    class Recorded:
+        from_file = staticmethod(lambda path: Recorder(Tokenizer.from_file(path), given))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Recorded)
+    rng = np.random.default_rng(4)
+    known = [f"{a}{b}" for a in "wörd часть it's plain 12".split() for b in ("", "s", ",", ".")]
+    texts = [" ".join(rng.choice(known, 300)) for _ in range(100)]
+    count = tokens.counter.__wrapped__(PATH)
+    found = [n for a in range(0, 100, 20) for n in count(pa.array(texts[a : a + 20])).tolist()]
+    assert found == [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert given and sum(map(len, given)) < sum(map(len, texts)) / 100
+
+
+PIECES = st.sampled_from([*"ab1'.,-é漢×я²\u0308\u200b\u3000\u180e\xa0\x85\x1c\x00 \t\n", "  ", "   ", "'s", "'ll", "\r\n", "<|endoftext|>", "<|"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=25).map("".join) | st.text(max_size=40), max_size=4))
+def test_sums_over_units_equal_the_library(texts):
+    count, library = test_sums_over_units_equal_the_library.both
+    assert count(pa.array(texts, pa.string())).tolist() == [len(library.encode(t, add_special_tokens=False)) for t in texts]
+
+
+test_sums_over_units_equal_the_library.both = (tokens.counter.__wrapped__(PATH), Tokenizer.from_file(PATH))
+
+
+@pytest.mark.parametrize("form", ["{}", "a{}  b", "{}a,{}1 {}'s", "é{}я {}!{}", "'{}s\n {} "])
+def test_every_character_is_cut_as_the_library_cuts_it(library, form):
+    texts = [form.replace("{}", chr(c)) for c in range(0x3100)]
+    found = tokens.counter.__wrapped__(PATH)(pa.array(texts))
+    assert found.tolist() == [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_forgetting_units_and_slices_change_no_count(monkeypatch, library):
+    monkeypatch.setattr(tokens, "MEMORY_BYTES", 100)
+    texts = [t or "" for _, t in ODD] * 2
+    wanted = [len(e) for e in library.encode_batch(texts, add_special_tokens=False)]
+    count = tokens.counter.__wrapped__(PATH)
+    for _ in range(2):
+        assert count(pa.array(texts).slice(3)).tolist() == wanted[3:]
+    assert count(pa.array([], pa.string())).tolist() == []
+
+
+def test_units_met_again_are_kept_when_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY_BYTES", 4000)
+    count = tokens.counter.__wrapped__(PATH)
+    for k in range(40):
+        count(pa.array([" often met" + "".join(f" rare{chr(97 + i)}{chr(97 + k % 26)}x{chr(97 + k // 26)}" for i in range(20))]))
+        assert k == 0 or {b" often", b" met"} <= set(count._known.to_pylist())
+        assert count._known.nbytes < 6000 and len(count._known) == len(count._counts) == len(count._again)
+
+
+def test_a_replaced_file_is_read_anew(spark, tmp_path):
+    path, docs = tmp_path / "t.json", spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
+    for n, name in ((0, "byte_bpe_50k.json"), (1, "word_bpe_49k.json")):
+        path.write_bytes(open(public_tokenizers.path(name), "rb").read())
+        text = f"some unusualish words {n}, here"
+        found = tokens.count_tokens(docs.withColumn("text", F.lit(text)), str(path), str(tmp_path / "cache")).first()
+        assert found["n_tokens"] == len(Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False))
+
+
+def test_tokenizers_of_other_words_are_given_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    count, library = tokens.counter.__wrapped__(path), Tokenizer.from_file(path)
+    assert not isinstance(count, tokens.UnitCounts)
+    texts = [(t or "")[:5000] for _, t in ODD]
+    assert count(pa.array(texts)).tolist() == [len(library.encode(t, add_special_tokens=False)) for t in texts]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(max_size=60))
 def test_ranks_give_the_ids_of_the_library(text):
